@@ -1,4 +1,4 @@
-"""Rate-limited emission of a changelog, replayed over stored input."""
+"""Rate-limited emission of a changelog."""
 
 from __future__ import annotations
 
@@ -20,34 +20,48 @@ def throttled_emission(
 
     An update opens an entry for its (window, group), later updates overwrite it, and it
     is released once stream time reaches the opening update's record time plus the emit
-    period. Adds ``entry_time``, the record time of the opening update.
+    period. Adds ``entry_time``, the record time of the opening update. Entries that are
+    still open when the input ends are not part of the result.
+    """
+    end = measurements.agg(F.unix_micros(F.max("event_time"))).first()[0]
+    return throttle(changelog, end, cfg)[0]
+
+
+def throttle(
+    changelog: DataFrame, end_micros: int | None, cfg: RollupConfig, carried: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Released results, and the entries still open at stream time ``end_micros``.
+
+    ``carried`` are the open entries of an earlier call, whose changelog came before.
 
-    An update whose own record time is that old already is released at once, and takes
-    nothing with it: record times only grow within a group, so an entry opened earlier
-    is due no later. The other updates fall into entries one after the other. Each round
-    finds the first open entry of all groups together by aggregation; ordered input
-    needs one round, corrections within the grace period one more each.
+    An update whose own record time is old enough is released at once, and takes nothing
+    with it: record times only grow within a group, so an entry opened earlier is due no
+    later. The other updates fall into entries one after the other. Each round finds the
+    first open entry of all groups together by aggregation; ordered input needs one
+    round, corrections within the grace period one more each.
     """
-    period = F.lit(cfg.emit_period_ms * 1000)
+    period = cfg.emit_period_ms * 1000
+    columns = changelog.columns
+    updates = changelog.withColumn("entry_time", F.col("event_time"))
+    if carried is not None:
+        updates = updates.unionByName(carried.select(*columns, "entry_time"))
     rows = write_table(
-        changelog.select(
+        updates.select(
             "*",
             F.unix_micros("stream_time").alias("_clock"),
-            (F.unix_micros("event_time") + period).alias("_due"),
+            (F.unix_micros("entry_time") + F.lit(period)).alias("_due"),
         ),
         "changelog",
     )
-    end_of_input = measurements.agg(F.unix_micros(F.max("event_time")).alias("end"))
-    columns = [c for c in changelog.columns]
-
-    at_once = rows.where("_clock >= _due").withColumn("entry_time", F.col("event_time"))
-    released = [at_once.select(*columns, "entry_time")]
+    result = [*columns, "entry_time"]
+    released = [rows.where("_clock >= _due").select(*result)]
+    open_entries = [rows.limit(0).select(*result)]
 
     waiting = rows.where("_clock < _due")
     while True:
         openers = write_table(
             waiting.groupBy(*_GROUP).agg(
-                F.min_by("event_time", "arrival_seq").alias("entry_time"),
+                F.min_by("entry_time", "arrival_seq").alias("_opened"),
                 F.min_by("_due", "arrival_seq").alias("_entry_due"),
             ),
             "openers",
@@ -56,26 +70,25 @@ def throttled_emission(
         if groups == 0:
             break
         placed = waiting.join(sized(openers, groups, cfg.broadcast_rows), _GROUP)
-        latest = (
+        newest = [
+            F.max_by(c, "arrival_seq").alias(c)
+            for c in columns
+            if c not in (*_GROUP, "arrival_seq")
+        ]
+        entries = (
             placed.where("_clock < _entry_due")
             .groupBy(*_GROUP)
             .agg(
-                *[
-                    F.max_by(c, "arrival_seq").alias(c)
-                    for c in columns
-                    if c not in (*_GROUP, "arrival_seq")
-                ],
+                *newest,
                 F.max("arrival_seq").alias("arrival_seq"),
-                F.max("entry_time").alias("entry_time"),
+                F.max("_opened").alias("entry_time"),
                 F.max("_entry_due").alias("_entry_due"),
             )
         )
-        released.append(
-            latest.join(F.broadcast(end_of_input), F.col("end") >= F.col("_entry_due")).select(
-                *columns, "entry_time"
-            )
-        )
+        is_due = F.col("_entry_due") <= F.lit(end_micros).cast("bigint")
+        released.append(entries.where(is_due).select(*result))
+        open_entries.append(entries.where(~is_due).select(*result))
         waiting = write_table(
-            placed.where("_clock >= _entry_due").drop("entry_time", "_entry_due"), "waiting"
+            placed.where("_clock >= _entry_due").drop("_opened", "_entry_due"), "waiting"
         )
-    return reduce(DataFrame.unionByName, released)
+    return reduce(DataFrame.unionByName, released), reduce(DataFrame.unionByName, open_entries)
