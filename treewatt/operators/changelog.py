@@ -18,7 +18,7 @@ def child_deltas(accepted: DataFrame, cfg: RollupConfig) -> DataFrame:
 
     Adds ``delta`` (new value minus the one it replaces, 0 if an older payload does not
     replace it) and ``is_first`` (the sensor had no value in this window). ``accepted``
-    is read twice.
+    is read twice: hand in a written table.
     """
     best = F.struct("payload_ts_ms", "arrival_seq", summable(F.col("value_w"), cfg).alias("u"))
     before = with_running(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,15 +33,26 @@ class Hierarchy:
     def sized_closure(self) -> DataFrame:
         return sized(self.closure, self.closure_rows, self.broadcast_rows)
 
-    def sized_nodes(self) -> DataFrame:
-        """``(child, parents, height)`` of every node that has a parent; leaves are 0."""
+    @cached_property
+    def nodes(self) -> DataFrame:
+        """``(child, parents, height)`` of every node that has a parent; leaves are 0.
+
+        Written to the shared folder on first use.
+        """
         heights = self.closure.groupBy(F.col("ancestor").alias("child")).agg(
             F.max("depth").alias("height")
         )
         parents = self.edges.groupBy("child").agg(F.collect_list("parent").alias("parents"))
-        nodes = parents.join(heights, "child", "left").select(
-            "child", "parents", F.coalesce("height", F.lit(0)).alias("height")
+        return write_table(
+            parents.join(heights, "child", "left").select(
+                "child", "parents", F.coalesce("height", F.lit(0)).alias("height")
+            ),
+            "nodes",
         )
+
+    def sized_nodes(self, height: int | None = None) -> DataFrame:
+        """All nodes, or those of one height."""
+        nodes = self.nodes if height is None else self.nodes.where(F.col("height") == height)
         return sized(nodes, self.edge_rows, self.broadcast_rows)
 
 
@@ -59,18 +71,25 @@ def build_hierarchy(
     is left, and a cycle raises once ``max_depth`` is passed.
     """
     pairs = write_table(edges.select("child", "parent").distinct(), "edges")
-    up = pairs.select(F.col("child").alias("ancestor"), F.col("parent").alias("next"))
+    edge_rows = pairs.count()
+    up = sized(
+        pairs.select(F.col("child").alias("ancestor"), F.col("parent").alias("next")),
+        edge_rows,
+        broadcast_rows,
+    )
 
     def longer(paths: DataFrame) -> DataFrame:
-        return (
-            paths.join(up, "ancestor")
-            .groupBy(
-                "leaf",
-                F.col("next").alias("ancestor"),
-                F.col("ancestor").alias("via_child"),
-                (F.col("depth") + 1).alias("depth"),
-            )
-            .agg(F.sum("paths").alias("paths"))
+        return paths.join(up, "ancestor").select(
+            "leaf",
+            F.col("next").alias("ancestor"),
+            F.col("ancestor").alias("via_child"),
+            (F.col("depth") + 1).alias("depth"),
+            "paths",
+        )
+
+    def merged(paths: DataFrame) -> DataFrame:
+        return paths.groupBy("leaf", "ancestor", "via_child", "depth").agg(
+            F.sum("paths").alias("paths")
         )
 
     paths = pairs.select(
@@ -87,7 +106,7 @@ def build_hierarchy(
             levels.append(paths)
     else:
         while True:
-            paths = write_table(longer(paths), "paths")
+            paths = write_table(merged(longer(paths)), "paths")
             if paths.isEmpty():
                 break
             levels.append(paths)
@@ -97,7 +116,11 @@ def build_hierarchy(
     found = levels[0]
     for level in levels[1:]:
         found = found.unionByName(level)
-    inner = pairs.select(F.col("parent").alias("leaf"), F.lit(True).alias("inner")).distinct()
+    inner = sized(
+        pairs.select(F.col("parent").alias("leaf"), F.lit(True).alias("inner")).distinct(),
+        edge_rows,
+        broadcast_rows,
+    )
     closure = write_table(
         found.groupBy("leaf", "ancestor", "via_child")
         .agg(F.max("depth").alias("depth"), F.sum("paths").alias("paths"))
@@ -112,7 +135,7 @@ def build_hierarchy(
         edges=pairs,
         closure=closure,
         height=size.height or 0,
-        edge_rows=pairs.count(),
+        edge_rows=edge_rows,
         closure_rows=size.rows,
         broadcast_rows=broadcast_rows,
     )

@@ -80,13 +80,11 @@ def rollup_values(values: DataFrame, hierarchy: Hierarchy, cfg: RollupConfig) ->
     parents by the first one; from then on only groups are left. Finished groups ride
     along as result rows, so the plan is one chain that reads its input once.
     """
-    nodes = hierarchy.sized_nodes().select(F.col("child").alias("node_child"), "parents", "height")
+    nodes = hierarchy.sized_nodes().withColumnRenamed("child", "identifier")
     units = summable(F.col("value_w"), cfg)
 
     # Leaves go to their parents; a reading of a group itself waits for its children.
-    placed = values.join(nodes, F.col("identifier") == F.col("node_child")).withColumn(
-        "is_leaf", F.col("height") == 0
-    )
+    placed = values.join(nodes, "identifier").withColumn("is_leaf", F.col("height") == 0)
     first = placed.select(
         "window_start",
         F.explode(
@@ -101,7 +99,7 @@ def rollup_values(values: DataFrame, hierarchy: Hierarchy, cfg: RollupConfig) ->
         F.when(F.col("is_leaf"), F.col("event_time")).alias("event_time"),
         F.when(~F.col("is_leaf"), F.col("event_time")).alias("own_time"),
     )
-    return _climb(_fold(first), nodes, range(1, hierarchy.height), cfg)
+    return _climb(_fold(first), hierarchy, range(1, hierarchy.height), cfg)
 
 
 def rollup_memberships(values: DataFrame, groups: Hierarchy | None, cfg: RollupConfig) -> DataFrame:
@@ -112,7 +110,6 @@ def rollup_memberships(values: DataFrame, groups: Hierarchy | None, cfg: RollupC
     """
     if groups is None:
         return aggregate_children(values, cfg)
-    nodes = groups.sized_nodes().select(F.col("child").alias("node_child"), "parents", "height")
     nothing_own = _nothing_own(cfg)
     first = values.select(
         "window_start",
@@ -125,7 +122,7 @@ def rollup_memberships(values: DataFrame, groups: Hierarchy | None, cfg: RollupC
         "event_time",
         nothing_own[2],
     )
-    return _climb(_fold(first), nodes, range(groups.height), cfg)
+    return _climb(_fold(first), groups, range(groups.height), cfg)
 
 
 def _nothing_own(cfg: RollupConfig) -> list[Column]:
@@ -136,18 +133,23 @@ def _nothing_own(cfg: RollupConfig) -> list[Column]:
     ]
 
 
-def _climb(state: DataFrame, nodes: DataFrame, heights: range, cfg: RollupConfig) -> DataFrame:
-    """Finish the groups of one height after the other and pass their values up."""
+def _climb(
+    state: DataFrame, hierarchy: Hierarchy, heights: range, cfg: RollupConfig
+) -> DataFrame:
+    """Finish the groups of one height after the other and pass their values up.
+
+    Only nodes of the current height match the join; finished results are of lower
+    heights and pass through.
+    """
     nothing_own = _nothing_own(cfg)
     for height in heights:
-        joined = state.join(
-            nodes, F.when(~F.col("done"), F.col("node")) == F.col("node_child"), "left"
-        )
+        nodes = hierarchy.sized_nodes(height).select(F.col("child").alias("node"), "parents")
+        joined = state.join(nodes, "node", "left")
+        ready = F.col("parents").isNotNull()
         has_children = F.col("n") > 0
         children_win = has_children & (
             F.col("own_ts").isNull() | (F.col("newest") >= F.col("own_ts"))
         )
-        ready = F.coalesce(F.col("height") == height, F.lit(False))
         as_is = F.struct(
             "node", "done", "n", "total", "newest", "own", "own_ts", "event_time", "own_time"
         )

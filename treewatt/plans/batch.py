@@ -48,7 +48,7 @@ def build_batch(
         return rollup_closure(drop_late(measurements, cfg, by), hierarchy, cfg)
     if emission not in EMISSIONS:
         raise ValueError(f"emission must be one of {EMISSIONS}")
-    accepted = accepted_with_stream_time(measurements, cfg, by)
+    accepted = write_table(accepted_with_stream_time(measurements, cfg, by), "accepted")
     changelog = aggregate_changelog(accepted, hierarchy, cfg)
     if emission == "changelog":
         return changelog

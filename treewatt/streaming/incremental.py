@@ -21,6 +21,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from treewatt.config import RollupConfig, require
 from treewatt.functions.columns import replay_order, window_end, with_window_start
+from treewatt.functions.tables import write_table
 from treewatt.operators.changelog import aggregate_changelog
 from treewatt.operators.hierarchy import Hierarchy
 from treewatt.operators.late import with_stream_time
@@ -72,14 +73,14 @@ class IncrementalRollup:
         newest = batch.agg(F.unix_micros(F.max("event_time"))).first()[0]
         clock = max((t for t in (before, newest) if t is not None), default=None)
 
-        accepted = self._accept(batch, before)
+        accepted = write_table(self._accept(batch, before), "accepted")
         earlier = self._load(spark, "values", batch_id - 1)
         merged = self._merge(accepted, earlier)
         open_until = F.unix_micros(window_end(self.cfg)) + F.lit(self.cfg.grace_period_ms * 1000)
         still_open = open_until > F.lit(clock).cast("bigint")
 
         if self.emission == "final":
-            merged = self._save(merged, "merged", batch_id)
+            merged = write_table(merged, "merged")
             closed = merged.where(~still_open)
             self._emit(rollup_values(closed, tree, self.cfg), batch_id)
         else:
