@@ -11,13 +11,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamWriter
 
 from treewatt import RollupConfig
-from treewatt.functions.tables import write_table
+from treewatt.functions.tables import new_path, sized, write_table
 from treewatt.operators import attribution, late, latest, registry, rollup
 from treewatt.operators.hierarchy import Hierarchy, build_hierarchy
 from treewatt.plans import sample_tables as sample
 from treewatt.plans.batch import build_batch, rollup_changing_membership
+from treewatt.schemas import MEASUREMENT
+from treewatt.sources.writers import stream_batches
+from treewatt.streaming.incremental import IncrementalRollup, incremental_writer
+from treewatt.streaming.windows import final_results
 
 HOUR_MS = 3_600_000
 CFG = RollupConfig(emit_period_ms=6 * HOUR_MS, sum_scale=2)
@@ -214,7 +219,8 @@ def tumbling_windows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def last_value_per_window(spark: SparkSession, folder: str) -> DataFrame:
-    parents = sample.customer_edges(spark, folder).withColumnRenamed("child", "identifier")
+    edges, rows = _customer_edges(spark, folder)
+    parents = sized(edges.withColumnRenamed("child", "identifier"), rows, CFG.broadcast_rows)
     return _plain(
         latest.value_per_window(
             sample.measurements(spark, folder).join(parents, "identifier"),
@@ -309,11 +315,59 @@ def aggregate_changelog(spark: SparkSession, folder: str) -> DataFrame:
     return _plain(log.drop("window_end"))
 
 
+def changelog_group_reports(spark: SparkSession, folder: str) -> DataFrame:
+    readings = sample.shuffled_arrival(sample.inner_node_reports(spark, folder))
+    log = build_batch(
+        readings, _balanced(spark, folder), GRACE, "changelog", groups_report=True
+    )
+    return _plain(log.drop("window_end"))
+
+
 def throttled_emission(spark: SparkSession, folder: str) -> DataFrame:
     out = build_batch(_shuffled(spark, folder), _balanced(spark, folder), GRACE, "throttled")
     return _plain(out.drop("window_end"))
 
 
+# -- streaming --------------------------------------------------------------------
+
+
+def _run(writer: DataStreamWriter) -> None:
+    query = writer.trigger(availableNow=True).start()
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+
+
+def rollup_final(spark: SparkSession, folder: str) -> DataFrame:
+    """Streaming run over the events file; windows the watermark has passed."""
+    tree = _balanced(spark, folder)
+    schema = sample.table(spark, folder, "events").schema
+    events = spark.readStream.schema(schema).parquet(f"{folder}/events*.parquet")
+    results = final_results(sample.measurements_of(events), tree, CFG)
+    out = new_path(spark, "final")
+    _run(stream_batches(results, out, new_path(spark, "final-checkpoint")))
+    return _results(spark.read.parquet(out))
+
+
+def rollup_throttled_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The throttled emission from three micro-batches, cut along the arrival order."""
+    readings = _shuffled(spark, folder)
+    span = readings.agg(F.max("arrival_seq")).first()[0] + 1
+    source = new_path(spark, "arrivals")
+    for part in range(3):
+        inside = F.floor(F.col("arrival_seq") * 3 / span) == part
+        readings.where(inside).coalesce(1).write.mode("append").parquet(source)
+    stream = (
+        spark.readStream.schema(MEASUREMENT).option("maxFilesPerTrigger", 1).parquet(source)
+    )
+    out = new_path(spark, "throttled")
+    step = IncrementalRollup(
+        _balanced(spark, folder), GRACE, new_path(spark, "state"), out, "throttled"
+    )
+    _run(incremental_writer(stream, step, new_path(spark, "throttled-checkpoint")))
+    return _plain(spark.read.parquet(out).drop("window_end", "batch_id"))
+
+
 _QUERIES = (
     measurement_scan,
     registry_events,
@@ -345,7 +399,10 @@ _QUERIES = (
     rollup_accepted,
     rollup_changing_members,
     aggregate_changelog,
+    changelog_group_reports,
     throttled_emission,
+    rollup_final,
+    rollup_throttled_stream,
 )
 
 

@@ -136,6 +136,10 @@ _BALANCED_ROLLUP = (
     + _final("by_nation", "by_region", "by_root")
 )
 
+# Only windows the newest event time has passed.
+_CLOSED = """
+WHERE window_start + INTERVAL '6 hours' <= (SELECT max(event_time) FROM m)"""
+
 # A group's own reading against the sum of its children: the newer counts, the sum on a tie.
 _NEWER = """
 {name} AS (
@@ -448,3 +452,79 @@ released AS (
 )
 SELECT {_LOG_COLUMNS}, entry_time FROM released""",
 }
+
+# State of every sensor and group as of each accepted reading (q), level by level.
+ORACLE["changelog_group_reports"] = f"""
+WITH inner_m AS (
+  SELECT CASE WHEN event_type = 'error' THEN 'nation-' || c_nationkey
+              ELSE 'customer-' || user_id END AS identifier,
+         ts AS event_time, epoch_us(ts) // 1000 AS payload_ts_ms, value AS value_w,
+         (event_id + (event_id * 7919) % 97) * 128 + event_id % 128 AS arrival_seq
+  FROM events JOIN customer ON user_id = c_custkey
+),
+timed AS (
+  SELECT *, max(event_time) OVER (ORDER BY arrival_seq) AS stream_time,
+         time_bucket(INTERVAL '6 hours', event_time) AS window_start
+  FROM inner_m
+),
+acc AS (
+  SELECT * FROM timed
+  WHERE window_start + INTERVAL '6 hours' + INTERVAL '1 hour' > stream_time
+),{_CUSTOMERS},{_GROUPS},{_CLOSURE},
+below AS (
+  SELECT leaf, ancestor FROM closure
+  UNION ALL
+  SELECT child, parent FROM nations
+  UNION ALL
+  SELECT n.child, r.parent FROM nations n JOIN regions r ON n.parent = r.child
+),
+seen AS (
+  SELECT u.arrival_seq AS q, u.window_start, v.identifier, v.payload_ts_ms,
+         CAST(v.value_w AS DECIMAL(18, 2)) AS value_w, v.event_time,
+         row_number() OVER (
+           PARTITION BY u.arrival_seq, v.identifier
+           ORDER BY v.payload_ts_ms DESC, v.arrival_seq DESC) AS rn
+  FROM acc u JOIN acc v
+    ON v.window_start = u.window_start AND v.arrival_seq <= u.arrival_seq
+),
+nation_now AS (
+  SELECT s.q, c.parent AS identifier, count(*) AS count, sum(s.value_w) AS total,
+         max(s.payload_ts_ms) AS timestamp_ms
+  FROM seen s JOIN customers c ON s.identifier = c.child WHERE s.rn = 1 GROUP BY 1, 2
+),
+nation_value AS (
+  SELECT coalesce(r.q, d.q) AS q, coalesce(r.identifier, d.identifier) AS identifier,
+         CASE WHEN d.q IS NULL OR r.timestamp_ms >= d.payload_ts_ms
+              THEN r.timestamp_ms ELSE d.payload_ts_ms END AS timestamp_ms,
+         CASE WHEN d.q IS NULL OR r.timestamp_ms >= d.payload_ts_ms
+              THEN r.total ELSE d.value_w END AS total
+  FROM nation_now r
+  FULL JOIN (SELECT * FROM seen WHERE rn = 1 AND identifier LIKE 'nation-%') d
+    ON r.q = d.q AND r.identifier = d.identifier
+),
+region_now AS (
+  SELECT v.q, n.parent AS identifier, count(*) AS count, sum(v.total) AS total,
+         max(v.timestamp_ms) AS timestamp_ms
+  FROM nation_value v JOIN nations n ON v.identifier = n.child GROUP BY 1, 2
+),
+root_now AS (
+  SELECT v.q, r.parent AS identifier, count(*) AS count, sum(v.total) AS total,
+         max(v.timestamp_ms) AS timestamp_ms
+  FROM region_now v JOIN regions r ON v.identifier = r.child GROUP BY 1, 2
+),
+newest AS (
+  SELECT s.q, b.ancestor AS identifier, max(s.event_time) AS event_time
+  FROM seen s JOIN below b ON s.identifier = b.leaf GROUP BY 1, 2
+),
+states AS (
+  SELECT * FROM nation_now UNION ALL SELECT * FROM region_now UNION ALL SELECT * FROM root_now
+)
+SELECT u.window_start, s.identifier, s.timestamp_ms, s.count,
+       CAST(s.total AS DOUBLE) AS sum_w, CAST(s.total AS DOUBLE) / s.count AS average_w,
+       t.event_time, u.arrival_seq, u.stream_time
+FROM acc u
+JOIN below b ON u.identifier = b.leaf
+JOIN states s ON s.q = u.arrival_seq AND s.identifier = b.ancestor
+JOIN newest t ON t.q = u.arrival_seq AND t.identifier = b.ancestor"""
+ORACLE["rollup_final"] = _BALANCED_ROLLUP + _CLOSED
+ORACLE["rollup_throttled_stream"] = ORACLE["throttled_emission"]

@@ -88,3 +88,30 @@ def with_running(
     ]
     kept = [c for c in df.columns if c != chunk]
     return joined.select(*kept, *combined)
+
+
+def with_previous(
+    df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str], name: str
+) -> DataFrame:
+    """Add struct ``name`` with ``columns`` of the row before, null on the first row.
+
+    Like ``lag`` over a window per key, but split into chunks as ``with_running`` is.
+    """
+    row = F.struct(order, *columns)
+    return with_running(
+        df.withColumn("_row", row), keys, order, [Running(name, "max", "_row", before=True)]
+    ).drop("_row")
+
+
+def with_next(
+    df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str], name: str
+) -> DataFrame:
+    """Add struct ``name`` with ``columns`` of the row after, null on the last row."""
+    backwards = f"_back_{order}"
+    row = F.struct(order, *columns)
+    return with_running(
+        df.withColumn("_row", row).withColumn(backwards, -F.col(order)),
+        keys,
+        backwards,
+        [Running(name, "min", "_row", before=True)],
+    ).drop("_row", backwards)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from treewatt.config import RollupConfig
 from treewatt.functions.columns import packed_order, with_window_start
+from treewatt.functions.running import Running, with_previous, with_running
 from treewatt.functions.tables import sized
 from treewatt.operators.registry import membership_retractions, versioned_edges
 
@@ -52,12 +53,18 @@ def reattribute_on_change(
     Each reading falls into exactly one interval between two changes of its sensor, so
     one partial aggregate keeps the last reading per interval and even a sensor with a
     third of all rows is reduced before the shuffle. Carrying the value over intervals
-    without readings then only touches the changes of a sensor.
+    without readings then only touches the changes of a sensor. Changes of one sensor
+    are ordered by their ``arrival_seq``, and so are their times.
     """
-    history = Window.partitionBy("child").orderBy("event_time", "arrival_seq")
-    intervals = changes.select(
+    intervals = with_previous(
+        changes.select("child", "event_time", "arrival_seq"),
+        ["child"],
+        "arrival_seq",
+        ["event_time"],
+        "before",
+    ).select(
         F.col("child").alias("identifier"),
-        F.lag("event_time").over(history).alias("after"),
+        F.col("before.event_time").alias("after"),
         F.col("event_time").alias("change_time"),
         F.col("arrival_seq").alias("change_seq"),
     )
@@ -75,7 +82,6 @@ def reattribute_on_change(
             F.max_by("arrival_seq", order).alias("arrival_seq"),
         )
     )
-    carried = Window.partitionBy("identifier").orderBy("change_time", "change_seq")
     known = changes.select(
         F.col("child").alias("identifier"),
         "op",
@@ -83,14 +89,21 @@ def reattribute_on_change(
         F.col("event_time").alias("change_time"),
         F.col("arrival_seq").alias("change_seq"),
     ).join(last, ["identifier", "change_time", "change_seq"], "left")
-    values = [
-        F.last(c, ignorenulls=True).over(carried).alias(c)
-        for c in ("value_w", "payload_ts_ms", "arrival_seq")
-    ]
-    return (
-        known.select("identifier", "op", "parents", "change_time", "change_seq", *values)
-        .where("op = 'upsert' AND value_w IS NOT NULL")
-        .drop("op")
+    reading = F.struct("change_seq", "value_w", "payload_ts_ms", "arrival_seq")
+    carried = with_running(
+        known.withColumn("reading", F.when(F.col("value_w").isNotNull(), reading)),
+        ["identifier"],
+        "change_seq",
+        [Running("newest", "max", "reading")],
+    )
+    return carried.where("op = 'upsert' AND newest IS NOT NULL").select(
+        "identifier",
+        "parents",
+        "change_time",
+        "change_seq",
+        "newest.value_w",
+        "newest.payload_ts_ms",
+        "newest.arrival_seq",
     )
 
 

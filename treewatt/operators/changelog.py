@@ -2,40 +2,77 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from treewatt.config import RollupConfig
 from treewatt.functions.columns import result_columns, summable
 from treewatt.functions.running import Running, with_running
-from treewatt.functions.tables import write_table
+from treewatt.functions.tables import sized, write_table
 from treewatt.operators.hierarchy import Hierarchy
-from treewatt.operators.rollup import closure_values
+from treewatt.operators.rollup import leaf_only
 
 
-def child_deltas(accepted: DataFrame, cfg: RollupConfig) -> DataFrame:
-    """What each accepted reading changes for its sensor and window.
+def child_deltas(offers: DataFrame, cfg: RollupConfig) -> DataFrame:
+    """What each update of a child changes in its window.
 
-    Adds ``delta`` (new value minus the one it replaces, 0 if an older payload does not
-    replace it) and ``is_first`` (the sensor had no value in this window). ``accepted``
-    is read twice: hand in a written table.
+    ``offers`` are updates ``(window_start, identifier, arrival_seq, payload_ts_ms,
+    units, from_children)`` and whatever else should come along; it is read twice, so
+    hand in a written table. Adds ``delta`` (the new value minus the one it replaces, 0
+    if it is older than that one) and ``is_first`` (the child had no value in this
+    window before).
     """
-    best = F.struct("payload_ts_ms", "arrival_seq", summable(F.col("value_w"), cfg).alias("u"))
     before = with_running(
-        accepted.withColumn("offer", best),
+        offers.withColumn(
+            "offer", F.struct("payload_ts_ms", "from_children", "arrival_seq", "units")
+        ),
         ["window_start", "identifier"],
         "arrival_seq",
         [Running("replaced", "max", "offer", before=True)],
     )
     replaces = F.col("replaced").isNull() | (F.col("offer") > F.col("replaced"))
-    worth = F.col("offer.u") - F.coalesce(F.col("replaced.u"), F.lit(0))
+    worth = F.col("units") - F.coalesce(F.col("replaced.units"), F.lit(0))
     return before.select(
-        *accepted.columns,
+        *offers.columns,
         F.when(replaces, worth).otherwise(F.lit(0)).alias("delta"),
         F.col("replaced").isNull().alias("is_first"),
     )
 
 
+def _offers(accepted: DataFrame, cfg: RollupConfig) -> DataFrame:
+    return accepted.select(
+        "window_start",
+        "identifier",
+        "arrival_seq",
+        "payload_ts_ms",
+        summable(F.col("value_w"), cfg).alias("units"),
+        F.lit(False).alias("from_children"),
+        "event_time",
+        *_stream_time(accepted),
+    )
+
+
+def _stream_time(df: DataFrame) -> list[str]:
+    return ["stream_time"] if "stream_time" in df.columns else []
+
+
+def _running_results(updates: DataFrame, node: str) -> DataFrame:
+    """Counts, sums and newest times after each update of a group."""
+    return with_running(
+        updates,
+        ["window_start", node],
+        "arrival_seq",
+        [
+            Running("n", "sum", "joins"),
+            Running("total", "sum", "moves"),
+            Running("newest", "max", "payload_ts_ms"),
+            Running("event_time", "max", "record_time"),
+        ],
+    )
+
+
 def aggregate_changelog(
     accepted: DataFrame, hierarchy: Hierarchy, cfg: RollupConfig
 ) -> DataFrame:
@@ -45,13 +82,13 @@ def aggregate_changelog(
     newest record time that went into the result) and, if the input has it,
     ``stream_time``. Only states after an update are rows; the step in between, with the
     old value taken out and the new one not yet added, never shows. Readings must come
-    from leaves, each with its own ``arrival_seq``; ``window_start`` must be present.
+    from leaves (else see ``changelog_by_height``), each with its own ``arrival_seq``;
+    ``window_start`` must be present. ``accepted`` is read twice.
     """
-    if cfg.child_agg != "last":
-        raise ValueError("the changelog follows last values: child_agg must be 'last'")
-    deltas = write_table(child_deltas(accepted, cfg), "deltas")
-    spread = closure_values(deltas, hierarchy)
-    stream_time = ["stream_time"] if "stream_time" in accepted.columns else []
+    _only_last_values(cfg)
+    deltas = write_table(child_deltas(_offers(accepted, cfg), cfg), "deltas")
+    closure = hierarchy.sized_closure().withColumnRenamed("leaf", "identifier")
+    spread = deltas.join(closure, "identifier").withColumn("delta", leaf_only("delta"))
 
     # The first reading below a direct child adds one to the count.
     firsts = (
@@ -65,7 +102,7 @@ def aggregate_changelog(
         F.sum(F.col("delta") * F.col("paths")).alias("moves"),
         F.max("payload_ts_ms").alias("payload_ts_ms"),
         F.max("event_time").alias("record_time"),
-        *[F.max(c).alias(c) for c in stream_time],
+        *[F.max(c).alias(c) for c in _stream_time(accepted)],
     )
     updates = write_table(
         moved.join(firsts, ["window_start", "ancestor", "arrival_seq"], "left").withColumn(
@@ -73,24 +110,84 @@ def aggregate_changelog(
         ),
         "updates",
     )
-    running = with_running(
-        updates,
-        ["window_start", "ancestor"],
-        "arrival_seq",
-        [
-            Running("n", "sum", "joins"),
-            Running("total", "sum", "moves"),
-            Running("newest", "max", "payload_ts_ms"),
-            Running("event_time", "max", "record_time"),
-        ],
+    extra = ("event_time", "arrival_seq", *_stream_time(accepted))
+    return _running_results(updates, "ancestor").select(
+        *result_columns(cfg, "ancestor", "n", "total", "newest", extra)
     )
-    return running.select(
-        *result_columns(
-            cfg,
-            "ancestor",
-            "n",
-            "total",
-            "newest",
-            ("event_time", "arrival_seq", *stream_time),
-        )
+
+
+def _only_last_values(cfg: RollupConfig) -> None:
+    if cfg.child_agg != "last":
+        raise ValueError("the changelog follows last values: child_agg must be 'last'")
+
+
+def changelog_by_height(
+    accepted: DataFrame, hierarchy: Hierarchy, cfg: RollupConfig
+) -> DataFrame:
+    """The changelog when groups may report themselves as well.
+
+    Goes up the tree one height at a time: the updates of all children of a group are
+    known before the group's own results are derived, and a group's value is whichever
+    is newer, its own reading or the sum of its children (the sum on a tie). Rows as in
+    ``aggregate_changelog``; a reading causes one row per group it reaches.
+    """
+    _only_last_values(cfg)
+    stream_time = _stream_time(accepted)
+    heights = sized(
+        hierarchy.nodes.select(F.col("child").alias("identifier"), "height"),
+        hierarchy.edge_rows,
+        hierarchy.broadcast_rows,
     )
+    own = write_table(_offers(accepted, cfg).join(heights, "identifier"), "own")
+    deltas: list[DataFrame] = []
+    results: list[DataFrame] = []
+    extra = ("event_time", "arrival_seq", *stream_time)
+
+    for height in range(hierarchy.height + 1):
+        offers = own.where(F.col("height") == height).drop("height")
+        if height > 0:
+            arriving = reduce(
+                DataFrame.unionByName,
+                [d.where(F.col("parent_height") == height) for d in deltas],
+            )
+            updates = write_table(
+                arriving.groupBy("window_start", "parent", "arrival_seq").agg(
+                    F.sum(F.col("is_first").cast("bigint")).alias("joins"),
+                    F.sum("delta").alias("moves"),
+                    F.max("payload_ts_ms").alias("payload_ts_ms"),
+                    F.max("event_time").alias("record_time"),
+                    *[F.max(c).alias(c) for c in stream_time],
+                ),
+                "updates",
+            )
+            after = write_table(_running_results(updates, "parent"), "results")
+            results.append(
+                after.select(*result_columns(cfg, "parent", "n", "total", "newest", extra))
+            )
+            offers = offers.unionByName(
+                after.select(
+                    "window_start",
+                    F.col("parent").alias("identifier"),
+                    "arrival_seq",
+                    F.col("newest").alias("payload_ts_ms"),
+                    F.col("total").alias("units"),
+                    F.lit(True).alias("from_children"),
+                    "event_time",
+                    *stream_time,
+                )
+            )
+        if height < hierarchy.height:
+            links = sized(
+                hierarchy.links.where(F.col("height") == height).select(
+                    F.col("child").alias("identifier"), "parent", "parent_height"
+                ),
+                hierarchy.edge_rows,
+                hierarchy.broadcast_rows,
+            )
+            deltas.append(
+                write_table(
+                    child_deltas(write_table(offers, "offers"), cfg).join(links, "identifier"),
+                    "deltas",
+                )
+            )
+    return reduce(DataFrame.unionByName, results)

@@ -28,32 +28,47 @@ class Hierarchy:
     broadcast_rows: int
 
     def sized_edges(self) -> DataFrame:
-        return sized(self.edges, self.edge_rows, self.broadcast_rows)
+        return self._sized(self.edges)
 
     def sized_closure(self) -> DataFrame:
         return sized(self.closure, self.closure_rows, self.broadcast_rows)
 
     @cached_property
-    def nodes(self) -> DataFrame:
-        """``(child, parents, height)`` of every node that has a parent; leaves are 0.
-
-        Written to the shared folder on first use.
-        """
-        heights = self.closure.groupBy(F.col("ancestor").alias("child")).agg(
-            F.max("depth").alias("height")
+    def links(self) -> DataFrame:
+        """Edges with the heights of both ends; leaves are 0. Written on first use."""
+        heights = self.closure.groupBy("ancestor").agg(F.max("depth").alias("height"))
+        of_child = heights.select(F.col("ancestor").alias("child"), "height")
+        of_parent = heights.select(
+            F.col("ancestor").alias("parent"), F.col("height").alias("parent_height")
         )
-        parents = self.edges.groupBy("child").agg(F.collect_list("parent").alias("parents"))
         return write_table(
-            parents.join(heights, "child", "left").select(
-                "child", "parents", F.coalesce("height", F.lit(0)).alias("height")
+            self.edges.join(self._sized(of_child), "child", "left")
+            .join(self._sized(of_parent), "parent")
+            .select(
+                "child",
+                F.coalesce("height", F.lit(0)).alias("height"),
+                "parent",
+                "parent_height",
             ),
+            "links",
+        )
+
+    @cached_property
+    def nodes(self) -> DataFrame:
+        """``(child, parents, height)`` of every node that has a parent. Written on first
+        use."""
+        return write_table(
+            self.links.groupBy("child", "height").agg(F.collect_list("parent").alias("parents")),
             "nodes",
         )
 
+    def _sized(self, dimension: DataFrame) -> DataFrame:
+        return sized(dimension, self.edge_rows, self.broadcast_rows)
+
     def sized_nodes(self, height: int | None = None) -> DataFrame:
         """All nodes, or those of one height."""
         nodes = self.nodes if height is None else self.nodes.where(F.col("height") == height)
-        return sized(nodes, self.edge_rows, self.broadcast_rows)
+        return self._sized(nodes)
 
 
 def build_hierarchy(

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from treewatt.functions.running import Running, with_running
+from treewatt.functions.running import with_next, with_previous
 from treewatt.schemas import REGISTRY_SNAPSHOT_EVENTS
 
 
@@ -105,22 +105,31 @@ def diff_history(edges: DataFrame) -> DataFrame:
     and returns gives a delete and an upsert.
     """
     snapshots = edges.select("arrival_seq", "event_time").distinct()
-    before = with_running(
-        snapshots, [], "arrival_seq", [Running("previous_seq", "max", "arrival_seq", before=True)]
+    neighbours = with_next(
+        with_previous(snapshots, [], "arrival_seq", [], "before"),
+        [],
+        "arrival_seq",
+        ["event_time"],
+        "after",
     )
-    after = before.where("previous_seq IS NOT NULL").select(
-        F.col("previous_seq").alias("arrival_seq"),
-        F.col("arrival_seq").alias("next_seq"),
-        F.col("event_time").alias("next_time"),
+    timeline = neighbours.select(
+        "arrival_seq",
+        F.col("before.arrival_seq").alias("previous_seq"),
+        F.col("after.arrival_seq").alias("next_seq"),
+        F.col("after.event_time").alias("next_time"),
     )
-    timeline = before.drop("event_time").join(after, "arrival_seq", "left")
     sets = parent_sets(edges, "arrival_seq", "event_time").join(timeline, "arrival_seq")
-    per_child = Window.partitionBy("child").orderBy("arrival_seq")
-    seen = sets.select(
-        "*",
-        F.lag("arrival_seq").over(per_child).alias("seen_seq"),
-        F.lag("parents").over(per_child).alias("seen_parents"),
-        F.lead("arrival_seq").over(per_child).alias("again_seq"),
+    seen = with_next(
+        with_previous(sets, ["child"], "arrival_seq", ["parents"], "seen"),
+        ["child"],
+        "arrival_seq",
+        [],
+        "again",
+    ).select(
+        *sets.columns,
+        F.col("seen.arrival_seq").alias("seen_seq"),
+        F.col("seen.parents").alias("seen_parents"),
+        F.col("again.arrival_seq").alias("again_seq"),
     )
     continued = F.col("seen_seq").eqNullSafe(F.col("previous_seq")) & F.col("seen_seq").isNotNull()
     upserts = seen.where(~continued | (F.col("seen_parents") != F.col("parents"))).select(
@@ -156,14 +165,14 @@ def versioned_edges(changes: DataFrame) -> DataFrame:
 
     ``valid_to`` is exclusive and null while the version is current.
     """
-    history = Window.partitionBy("child").orderBy("arrival_seq")
+    history = with_next(changes, ["child"], "arrival_seq", ["event_time"], "after")
     return (
-        changes.select(
+        history.select(
             "child",
             "op",
             "parents",
             F.col("event_time").alias("valid_from"),
-            F.lead("event_time").over(history).alias("valid_to"),
+            F.col("after.event_time").alias("valid_to"),
         )
         .where("op = 'upsert'")
         .drop("op")

@@ -214,15 +214,18 @@ def rollup_closure(
     return closure_results(closure_values(value_per_window(measurements, cfg), hierarchy), cfg)
 
 
+def leaf_only(column: str) -> Column:
+    """A column of closure rows, raising where the reporting node has children."""
+    refused = F.raise_error(
+        F.concat(F.lit("a group reports itself, go level by level: "), F.col("identifier"))
+    )
+    return F.coalesce(F.when(F.col("inner"), refused), F.col(column))
+
+
 def closure_values(values: DataFrame, hierarchy: Hierarchy) -> DataFrame:
     """One row per window, leaf and ancestor path."""
     closure = hierarchy.sized_closure().withColumnRenamed("leaf", "identifier")
-    refused = F.raise_error(
-        F.concat(F.lit("a group reports itself, use rollup_multilevel: "), F.col("identifier"))
-    ).cast("double")
-    return values.join(closure, "identifier").withColumn(
-        "value_w", F.when(F.col("inner"), refused).otherwise(F.col("value_w"))
-    )
+    return values.join(closure, "identifier").withColumn("value_w", leaf_only("value_w"))
 
 
 def closure_results(values: DataFrame, cfg: RollupConfig) -> DataFrame:

@@ -42,9 +42,13 @@ def throttle(
     """
     period = cfg.emit_period_ms * 1000
     columns = changelog.columns
-    updates = changelog.withColumn("entry_time", F.col("event_time"))
+    updates = changelog.withColumn("entry_time", F.col("event_time")).withColumn(
+        "_order", F.col("arrival_seq")
+    )
     if carried is not None:
-        updates = updates.unionByName(carried.select(*columns, "entry_time"))
+        # At most one per group, and older than every update of this changelog.
+        before = F.lit(-1).cast("bigint").alias("_order")
+        updates = updates.unionByName(carried.select(*columns, "entry_time", before))
     rows = write_table(
         updates.select(
             "*",
@@ -61,8 +65,8 @@ def throttle(
     while True:
         openers = write_table(
             waiting.groupBy(*_GROUP).agg(
-                F.min_by("entry_time", "arrival_seq").alias("_opened"),
-                F.min_by("_due", "arrival_seq").alias("_entry_due"),
+                F.min_by("entry_time", "_order").alias("_opened"),
+                F.min_by("_due", "_order").alias("_entry_due"),
             ),
             "openers",
         )
@@ -70,17 +74,12 @@ def throttle(
         if groups == 0:
             break
         placed = waiting.join(sized(openers, groups, cfg.broadcast_rows), _GROUP)
-        newest = [
-            F.max_by(c, "arrival_seq").alias(c)
-            for c in columns
-            if c not in (*_GROUP, "arrival_seq")
-        ]
+        newest = [F.max_by(c, "_order").alias(c) for c in columns if c not in _GROUP]
         entries = (
             placed.where("_clock < _entry_due")
             .groupBy(*_GROUP)
             .agg(
                 *newest,
-                F.max("arrival_seq").alias("arrival_seq"),
                 F.max("_opened").alias("entry_time"),
                 F.max("_entry_due").alias("_entry_due"),
             )

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from treewatt.config import RollupConfig, require
 from treewatt.functions.tables import write_table
 from treewatt.operators.attribution import contributions_over_time
-from treewatt.operators.changelog import aggregate_changelog
+from treewatt.operators.changelog import aggregate_changelog, changelog_by_height
 from treewatt.operators.hierarchy import Hierarchy, build_hierarchy
 from treewatt.operators.latest import value_per_window
 from treewatt.operators.late import accepted_with_stream_time, drop_late
@@ -33,6 +33,7 @@ def build_batch(
     cfg: RollupConfig,
     emission: str = "final",
     by: tuple[str, ...] = (),
+    groups_report: bool = False,
 ) -> DataFrame:
     """Results of all groups at all levels over stored readings.
 
@@ -40,6 +41,8 @@ def build_batch(
                "closure": the same without iteration, when only leaves report;
                "changelog": every update; "throttled": rate-limited updates
     by         columns that name the source whose clock decides lateness
+    groups_report   whether groups may send readings of their own; "changelog" and
+               "throttled" then go level by level ("final" always does)
     """
     require(measurements=measurements, hierarchy=hierarchy, cfg=cfg)
     if emission == "final":
@@ -49,7 +52,8 @@ def build_batch(
     if emission not in EMISSIONS:
         raise ValueError(f"emission must be one of {EMISSIONS}")
     accepted = write_table(accepted_with_stream_time(measurements, cfg, by), "accepted")
-    changelog = aggregate_changelog(accepted, hierarchy, cfg)
+    follow = changelog_by_height if groups_report else aggregate_changelog
+    changelog = follow(accepted, hierarchy, cfg)
     if emission == "changelog":
         return changelog
     return throttled_emission(changelog, measurements, cfg)

@@ -22,7 +22,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from treewatt.config import RollupConfig, require
 from treewatt.functions.columns import replay_order, window_end, with_window_start
 from treewatt.functions.tables import write_table
-from treewatt.operators.changelog import aggregate_changelog
+from treewatt.operators.changelog import aggregate_changelog, changelog_by_height
 from treewatt.operators.hierarchy import Hierarchy
 from treewatt.operators.late import with_stream_time
 from treewatt.operators.rollup import rollup_values
@@ -44,6 +44,7 @@ class IncrementalRollup:
     output      folder that gets one sub-folder of results per batch
     emission    "final": one result when a window closes; "changelog": every update;
                 "throttled": rate-limited updates
+    groups_report   whether groups may send readings of their own
     """
 
     hierarchy: Hierarchy | Callable[[], Hierarchy]
@@ -51,6 +52,7 @@ class IncrementalRollup:
     state: str
     output: str
     emission: str = "throttled"
+    groups_report: bool = False
 
     def __post_init__(self) -> None:
         require(hierarchy=self.hierarchy, cfg=self.cfg, state=self.state, output=self.output)
@@ -129,7 +131,8 @@ class IncrementalRollup:
         )
         if earlier is not None:
             rows = rows.unionByName(earlier, allowMissingColumns=True)
-        log = aggregate_changelog(rows, tree, self.cfg)
+        follow = changelog_by_height if self.groups_report else aggregate_changelog
+        log = follow(write_table(rows, "rows"), tree, self.cfg)
         return log.where(F.col("stream_time").isNotNull())
 
     def _emit(self, results: DataFrame, batch_id: int) -> None:
@@ -152,9 +155,6 @@ class IncrementalRollup:
             df = df.withColumn(
                 "arrival_seq", F.when(seq >= 0, seq - F.lit(_EARLIER)).otherwise(seq)
             )
-        if name == "entries":
-            # Known values: they are older than any update of this batch.
-            df = df.withColumn("arrival_seq", F.lit(-1).cast("bigint"))
         return df
 
     def _clock(self, spark: SparkSession, batch_id: int) -> int | None:

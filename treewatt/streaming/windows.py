@@ -9,6 +9,7 @@ from treewatt.config import RollupConfig
 from treewatt.functions.columns import result_columns, summable, window_length
 from treewatt.operators.hierarchy import Hierarchy
 from treewatt.operators.latest import child_value
+from treewatt.operators.rollup import leaf_only
 
 
 def final_results(readings: DataFrame, hierarchy: Hierarchy, cfg: RollupConfig) -> DataFrame:
@@ -24,7 +25,6 @@ def final_results(readings: DataFrame, hierarchy: Hierarchy, cfg: RollupConfig)
     """
     length = window_length(cfg)
     closure = hierarchy.sized_closure().withColumnRenamed("leaf", "identifier")
-    refused = F.raise_error(F.lit("a group reports itself")).cast("double")
     last = (
         readings.withWatermark("event_time", f"{cfg.grace_period_ms} milliseconds")
         .groupBy(F.window("event_time", length).alias("w"), "identifier")
@@ -34,12 +34,11 @@ def final_results(readings: DataFrame, hierarchy: Hierarchy, cfg: RollupConfig)
             F.max("event_time").alias("event_time"),
         )
     )
-    value = F.when(F.col("inner"), refused).otherwise(F.col("value_w"))
     per_child = (
         last.join(closure, "identifier")
         .groupBy(F.window("w", length).alias("w"), "ancestor", "via_child")
         .agg(
-            F.sum(summable(value, cfg) * F.col("paths")).alias("total"),
+            F.sum(summable(leaf_only("value_w"), cfg) * F.col("paths")).alias("total"),
             F.max("payload_ts_ms").alias("newest"),
             F.max("event_time").alias("event_time"),
         )
