@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from treewatt.config import RollupConfig
 from treewatt.functions.columns import packed_order, with_window_start
 from treewatt.functions.running import Running, with_previous, with_running
-from treewatt.functions.tables import sized
+from treewatt.functions.tables import sized, write_table
 from treewatt.operators.registry import membership_retractions, versioned_edges
 
 
@@ -89,6 +89,8 @@ def reattribute_on_change(
         F.col("event_time").alias("change_time"),
         F.col("arrival_seq").alias("change_seq"),
     ).join(last, ["identifier", "change_time", "change_seq"], "left")
+    # One row per change: written, because the running scan below reads it twice.
+    known = write_table(known, "known")
     reading = F.struct("change_seq", "value_w", "payload_ts_ms", "arrival_seq")
     carried = with_running(
         known.withColumn("reading", F.when(F.col("value_w").isNotNull(), reading)),

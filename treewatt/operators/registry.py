@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from treewatt.functions.running import with_next, with_previous
+from treewatt.functions.tables import write_table
 from treewatt.schemas import REGISTRY_SNAPSHOT_EVENTS
 
 
@@ -104,7 +105,7 @@ def diff_history(edges: DataFrame) -> DataFrame:
     versions are compared with the snapshot right before it, so a child that leaves
     and returns gives a delete and an upsert.
     """
-    snapshots = edges.select("arrival_seq", "event_time").distinct()
+    snapshots = write_table(edges.select("arrival_seq", "event_time").distinct(), "snapshots")
     neighbours = with_next(
         with_previous(snapshots, [], "arrival_seq", [], "before"),
         [],
@@ -118,7 +119,9 @@ def diff_history(edges: DataFrame) -> DataFrame:
         F.col("after.arrival_seq").alias("next_seq"),
         F.col("after.event_time").alias("next_time"),
     )
-    sets = parent_sets(edges, "arrival_seq", "event_time").join(timeline, "arrival_seq")
+    sets = write_table(
+        parent_sets(edges, "arrival_seq", "event_time").join(timeline, "arrival_seq"), "sets"
+    )
     seen = with_next(
         with_previous(sets, ["child"], "arrival_seq", ["parents"], "seen"),
         ["child"],
