@@ -16,6 +16,8 @@ from treewatt.streaming.incremental import IncrementalRollup
         {"on_removal": "keep"},
         {"sum_scale": 12},
         {"broadcast_rows": -1},
+        {"order_bounds": ((5, 1), (0, 1))},
+        {"order_bounds": ((0, 2**40), (0, 2**40))},
     ],
 )
 def test_wrong_parameters_are_refused(wrong):

@@ -5,7 +5,7 @@ from helpers import counts_and_sums, hierarchy, readings, windows_counts_sums
 from pyspark.sql import functions as F
 from scenarios import PAIR, TWO_LEVELS, UNBALANCED
 
-from treewatt import RollupConfig
+from treewatt import RollupConfig, measure_order
 from treewatt.operators.latest import latest_per_sensor, merge_streams, value_per_window
 from treewatt.operators.rollup import (
     results_as_measurements,
@@ -190,3 +190,17 @@ def test_a_hot_sensor_is_reduced_before_the_shuffle(spark):
     assert counts_and_sums(out) == [("root", 2, 2.0)]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan and "partial_max_by" in plan
+
+
+def test_order_within_bounds(spark):
+    rows = random_rows(leaves(UNBALANCED), seed=4)
+    df, tree = readings(spark, rows), hierarchy(spark, UNBALANCED)
+    cfg = measure_order(df, CFG)
+    assert cfg.order_bounds[1] == (0, len(rows) - 1)
+    assert full(rollup_multilevel(df, tree, cfg)) == brute_force(UNBALANCED, rows)
+    with pytest.raises(Exception, match="outside order_bounds"):
+        rollup_multilevel(readings(spark, [*rows, ("sensor-1-1", 0, 1, 99)]), tree, cfg).collect()
+    wide = readings(spark, [("a", 0, 1)]).selectExpr(
+        "*", "explode(array(0L, 1L << 40)) AS far"
+    ).selectExpr("identifier", "event_time", "far AS payload_ts_ms", "value_w", "far AS arrival_seq")
+    assert measure_order(wide, CFG) is CFG

@@ -21,6 +21,10 @@ class RollupConfig:
     sum_scale         decimals kept in sums. When set, sums are computed on whole
                       numbers, so a re-run task gives the same bits whatever the
                       order of its input; None sums doubles directly.
+    order_bounds      ((lowest, highest payload_ts_ms), (lowest, highest arrival_seq))
+                      of the input, see ``measure_order``. When set, the order "payload
+                      time, then arrival" is a bigint instead of a decimal, which halves
+                      the cost of last values; a reading outside the bounds raises.
     broadcast_rows    largest dimension table (by counted rows) that is broadcast;
                       beyond it joins shuffle and AQE splits skewed keys
     """
@@ -31,6 +35,7 @@ class RollupConfig:
     on_removal: str = "retract"
     drop_window: bool = False
     sum_scale: int | None = None
+    order_bounds: tuple[tuple[int, int], tuple[int, int]] | None = None
     broadcast_rows: int = 1_000_000
 
     def __post_init__(self) -> None:
@@ -46,9 +51,19 @@ class RollupConfig:
             raise ValueError(f"on_removal must be one of {REMOVAL_MODES}")
         if self.sum_scale is not None and not 0 <= self.sum_scale <= 9:
             raise ValueError("sum_scale must be between 0 and 9")
+        if self.order_bounds is not None:
+            (low_ts, high_ts), (low_seq, high_seq) = self.order_bounds
+            if low_ts > high_ts or low_seq > high_seq:
+                raise ValueError("order_bounds must be (lowest, highest) pairs")
+            if self.order_bits() > 63:
+                raise ValueError("order_bounds do not fit into a bigint")
         if self.broadcast_rows < 0:
             raise ValueError("broadcast_rows must not be negative")
 
+    def order_bits(self) -> int:
+        """Bits that payload time and arrival take within the bounds."""
+        return sum((high - low).bit_length() for low, high in self.order_bounds)
+
 
 def require(**named: object) -> None:
     """Raise ValueError for every argument left at None."""

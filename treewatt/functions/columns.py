@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
@@ -32,14 +33,43 @@ def slot_index(micros: Column, cfg: RollupConfig) -> Column:
     return ((micros - F.pmod(micros, period)) / period).cast("bigint")
 
 
-def replay_order(payload_ts: str = "payload_ts_ms", arrival: str = "arrival_seq") -> Column:
+def replay_order(cfg: RollupConfig | None = None) -> Column:
     """Sort key "payload time, then arrival" as one number.
 
-    A struct would order the same way, but an aggregate buffer holding a struct
-    forces a sort-based aggregate; a decimal stays in the hash aggregate (2.5x
-    faster on 20 million rows).
+    A struct would order the same way, but an aggregate buffer holding a struct forces a
+    sort-based aggregate; numbers stay in the hash aggregate. Within stated bounds the
+    number is a bigint, otherwise a decimal.
     """
-    return packed_order(F.col(payload_ts), F.col(arrival))
+    payload, arrival = F.col("payload_ts_ms"), F.col("arrival_seq")
+    if cfg is None or cfg.order_bounds is None:
+        return packed_order(payload, arrival)
+    (low_ts, high_ts), (low_seq, high_seq) = cfg.order_bounds
+    outside = ~(payload.between(low_ts, high_ts) & arrival.between(low_seq, high_seq))
+    refused = F.raise_error(
+        F.concat_ws(" ", F.lit("reading outside order_bounds:"), payload, arrival)
+    )
+    shifted = F.shiftleft(payload - F.lit(low_ts), (high_seq - low_seq).bit_length())
+    return F.coalesce(F.when(outside, refused), shifted + (arrival - F.lit(low_seq)))
+
+
+def measure_order(measurements: DataFrame, cfg: RollupConfig) -> RollupConfig:
+    """The configuration with ``order_bounds`` of the input, unchanged if too wide.
+
+    One aggregate over two columns, worth it before a job that reads a large input.
+    """
+    low = measurements.agg(
+        F.min("payload_ts_ms").alias("low_ts"),
+        F.max("payload_ts_ms").alias("high_ts"),
+        F.min("arrival_seq").alias("low_seq"),
+        F.max("arrival_seq").alias("high_seq"),
+    ).first()
+    if low.low_ts is None:
+        return cfg
+    bits = (low.high_ts - low.low_ts).bit_length() + (low.high_seq - low.low_seq).bit_length()
+    if bits > 63:
+        return cfg
+    bounds = ((low.low_ts, low.high_ts), (low.low_seq, low.high_seq))
+    return replace(cfg, order_bounds=bounds)
 
 
 def packed_order(first: Column, second: Column) -> Column:

@@ -38,22 +38,30 @@ def closing_arrivals(
     micros = F.unix_micros("event_time")
     index = slot_index(micros, cfg)
     reached = slot_index(micros - F.lit(cfg.grace_period_ms * 1000), cfg)
+    reduced = (
+        measurements.select(
+            *by, index.alias("index"), reached.alias("reached"), "arrival_seq"
+        )
+        .groupBy(*by, "index", "reached")
+        .agg(F.min("arrival_seq").alias("first"), F.max("arrival_seq").alias("last"))
+    )
     # A row closes every window before the slot it reaches, and asks, as a member of its
     # own window, for the closing slots after it.
+    nothing = F.lit(None).cast("bigint")
     roles = F.array(
         F.struct(
-            reached.alias("slot"),
-            F.col("arrival_seq").alias("first_arrival"),
-            F.lit(None).cast("bigint").alias("last_member"),
+            F.col("reached").alias("slot"),
+            F.col("first").alias("first_arrival"),
+            nothing.alias("last_member"),
         ),
         F.struct(
-            (index + 1).alias("slot"),
-            F.lit(None).cast("bigint").alias("first_arrival"),
-            F.col("arrival_seq").alias("last_member"),
+            (F.col("index") + 1).alias("slot"),
+            nothing.alias("first_arrival"),
+            F.col("last").alias("last_member"),
         ),
     )
     slots = (
-        measurements.select(*by, F.inline(roles))
+        reduced.select(*by, F.inline(roles))
         .groupBy(*by, "slot")
         .agg(
             F.min("first_arrival").alias("first_arrival"),

@@ -41,7 +41,7 @@ def child_value(cfg: RollupConfig) -> Column:
     """How the readings of one child in one window become its value."""
     units = summable(F.col("value_w"), cfg)
     if cfg.child_agg == "last":
-        return F.max_by("value_w", replay_order())
+        return F.max_by("value_w", replay_order(cfg))
     if cfg.child_agg == "avg":
         return from_summable(F.sum(units), cfg) / F.count("value_w")
     if cfg.child_agg == "sum":
