@@ -412,10 +412,39 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in _QUERIES}
+    return {query.__name__: query for query in _QUERIES} | _text_queries()
 
 
 def oracle_sql() -> dict[str, str]:
     from oracle_queries import ORACLE
 
-    return dict(ORACLE)
+    return dict(ORACLE) | _text_sql()
+
+
+# -- text operators, where they are installed -------------------------------------
+
+
+def _text_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    try:
+        from treewatt.llm.queries import QUERIES
+    except ImportError:
+        return {}
+    found = dict(QUERIES)
+    try:
+        import corpus_pipeline
+    except ImportError:
+        return found
+    return found | {"pipeline": corpus_pipeline.run}
+
+
+def _text_sql() -> dict[str, str]:
+    try:
+        from treewatt.llm.queries import ORACLE_SQL
+    except ImportError:
+        return {}
+    found = dict(ORACLE_SQL)
+    try:
+        from corpus_pipeline import ORACLE_SQL as pipeline_sql
+    except ImportError:
+        return found
+    return found if pipeline_sql is None else found | {"pipeline": pipeline_sql}
