@@ -19,10 +19,11 @@ grow with its range. Equal ids may fill several shards.
 from __future__ import annotations
 
 import os
-import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -35,31 +36,33 @@ from treewatt.llm.common import Scratch, file_system, replace_file
 from treewatt.llm.perfect_hash import PerfectHash
 
 SHARD_BYTES = 64 << 20
-CACHE_CHUNKS = 300_000
+CACHE_CHUNKS = 1_000_000
 NO_ID = -(1 << 63)
 MAGIC = b"TIDX"
 HEADER = struct.Struct("<4sHHQQ")  # magic, bytes of an id, nothing, keys, documents
 BROADCAST_ROWS = 100_000
 
-_SPLIT_SPACES = re.compile(r"\s |\A ")
+BLANKS = "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
+    map(chr, range(0x2000, 0x200B))
+)
+BLANK_BEFORE_SPACE = [blank + " " for blank in BLANKS]
 
 
 def chunks_of(text: str) -> list[str]:
-    """Cut a text before single spaces that follow a character other than white space.
+    """Cut a text at single spaces that follow a character other than white space.
 
-    Byte-level pre-tokenizers cut there in any case, and what they do on either side does
-    not depend on the other; the ids of the pieces in order are those of the whole text.
+    Byte-level pre-tokenizers cut before such a space in any case, and what they do on
+    either side does not depend on the other; so the ids of the first chunk, and of the
+    others with the space put back, are in order those of the whole text.
     """
     pieces = text.split(" ")
-    if len(pieces) == 1:
-        return [text] if text else []
-    if not _SPLIT_SPACES.search(text):
-        return [pieces[0], *(" " + p for p in pieces[1:])]
+    if pieces[0] and not any(map(text.__contains__, BLANK_BEFORE_SPACE)):
+        return pieces
     out, open_ = [], pieces[0]
     for piece in pieces[1:]:
         if open_ and not open_[-1].isspace():
             out.append(open_)
-            open_ = " " + piece
+            open_ = piece
         else:
             open_ += " " + piece
     return [*out, open_]
@@ -68,7 +71,8 @@ def chunks_of(text: str) -> list[str]:
 class ChunkEncoder:
     """Ids of whole texts as bytes; each distinct chunk goes through the library once.
 
-    The table of known chunks is emptied at CACHE_CHUNKS entries.
+    At CACHE_CHUNKS entries only the earlier half of the known chunks is kept, in which the
+    frequent ones are.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -81,19 +85,32 @@ class ChunkEncoder:
         self.end = np.array([end_id], self.dtype).tobytes()
         self.known: dict[str, bytes] = {}
 
+    def _ids(self, texts: list[str]) -> Iterator[bytes]:
+        for at in range(0, len(texts), 10_000):
+            part = texts[at : at + 10_000]
+            for made in self.tokenizer.encode_batch_fast(part, add_special_tokens=False):
+                yield np.array(made.ids, self.dtype).tobytes()
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text and the end id, in the shards' byte form."""
         split = [chunks_of(text or "") for text in texts]
+        heads = list(self._ids([chunks[0] for chunks in split]))
         if len(self.known) > CACHE_CHUNKS:
-            self.known = {}
+            self.known = dict(islice(self.known.items(), CACHE_CHUNKS // 2))
         known = self.known
-        new = list({c for chunks in split for c in chunks if c not in known})
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            made = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            for chunk, encoding in zip(part, made, strict=True):
-                known[chunk] = np.array(encoding.ids, self.dtype).tobytes()
-        return [b"".join([*map(known.__getitem__, chunks), self.end]) for chunks in split]
+        rest = [chunks[1:] for chunks in split]
+        new = list(set(chain.from_iterable(rest)).difference(known))
+        known.update(zip(new, self._ids([" " + c for c in new]), strict=True))
+        return [
+            b"".join([head, *map(known.__getitem__, chunks), self.end])
+            for head, chunks in zip(heads, rest, strict=True)
+        ]
+
+
+@lru_cache(maxsize=1)
+def encoder_of(path: str, end_id: int) -> ChunkEncoder:
+    """One encoder per worker process, so that its known chunks outlive a task."""
+    return ChunkEncoder(path, end_id)
 
 
 def index_bytes(keys: list[int], sizes: list[int], width: int) -> tuple[bytes, list[int]]:
@@ -157,7 +174,7 @@ def write_shards(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, roll = TaskContext.get().partitionId(), 0
-        encoder = ChunkEncoder(tokenizer, end_id)
+        encoder = encoder_of(tokenizer, end_id)
         width = encoder.dtype.itemsize
         keys, bodies, held = [], [], 0
 
