@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from treewatt.llm import decontaminate, simhash, token_counts, token_shards
+from treewatt.llm import decontaminate, quartile_digest, simhash, token_counts, token_shards
 
 QUERIES = {
     query.__name__: query
     for query in (
         token_counts.op3_token_counts,
         simhash.op6_simhash,
+        quartile_digest.op8_quartile_digest,
         decontaminate.op9_decontaminate,
         token_shards.op10_token_shards,
     )
