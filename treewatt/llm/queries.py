@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from treewatt.llm import decontaminate, quartile_digest, simhash, token_counts, token_shards
+from treewatt.llm import decontaminate, quartile_digest, simhash, token_counts, token_shards, warc
 
 QUERIES = {
     query.__name__: query
     for query in (
+        warc.op1_warc,
         token_counts.op3_token_counts,
         simhash.op6_simhash,
         quartile_digest.op8_quartile_digest,
@@ -15,4 +16,4 @@ QUERIES = {
     )
 }
 
-ORACLE_SQL = {**decontaminate.ORACLE_SQL}
+ORACLE_SQL = {**warc.ORACLE_SQL, **decontaminate.ORACLE_SQL}
