@@ -398,7 +398,7 @@ WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
 d AS (SELECT page_id, octet_length(body) AS n, sha1(body) AS hex FROM p),
 m AS (SELECT *, min(page_id) OVER (PARTITION BY hex) AS least FROM d)
 SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
-  array_to_string(list_transform(range(32), k -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
     CAST(((('0x' || substr(hex, CAST(5 * (k // 4) + 1 AS INTEGER), 5))::BIGINT
       >> CAST(15 - 5 * (k % 4) AS INTEGER)) & 31) AS INTEGER) + 1, 1)), '') AS payload_digest,
   CASE WHEN page_id = least THEN 'response' ELSE 'revisit' END AS record_type,
