@@ -1,0 +1,122 @@
+"""Rules through the token index against trying every rule on every url."""
+
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from treewatt.llm.url_rules import (
+    HOST_RULES,
+    RuleIndex,
+    host_and_path,
+    host_rule,
+    judge_urls,
+    op2_url_rules,
+    pattern_rule,
+    production_rules,
+    whole_tokens,
+)
+
+PAGES = "page_id bigint, url string"
+
+
+@pytest.mark.parametrize(
+    "url, expected",
+    [
+        ("http://A.Com/X?y", ("a.com", "/X")),
+        ("http://a.com", ("a.com", "")),
+        ("http://a.com?x/y", ("a.com", "")),
+        ("http://a.com#x", ("a.com", "")),
+        ("http://É.COM:80/a://b#c", ("É.com:80", "/a://b")),
+        ("a.com/x", ("", "")),
+        ("://", ("", "")),
+        (None, ("", "")),
+    ],
+)
+def test_host_and_path(url, expected):
+    assert host_and_path(url) == expected
+
+
+@pytest.mark.parametrize(
+    "pattern, tokens",
+    [
+        (r"\bads-track\.", ["ads", "track"]),
+        (r"/ads/", ["ads"]),
+        (r"ads/b-", ["b"]),
+        (r"/ads?/", []),
+        (r"/a(?:b-c)d/e/", ["e"]),
+        (r"/x/|/y/", []),
+        (r"(?i)/x/", []),
+        (r"/x[/]y/z/", ["z"]),
+        (r"/x.y/", []),
+        (r"\A/xY\Z", ["xy"]),
+        (r"/x\d-y-", ["y"]),
+        (r"-+q-", []),
+    ],
+)
+def test_whole_tokens(pattern, tokens):
+    assert whole_tokens(pattern) == tokens
+
+
+def plain_best(rules, target):
+    found = [r for r in rules if re.search(r.pattern, target)]
+    return max(found, key=lambda r: r.rank) if found else None
+
+
+def some_urls(seed, count):
+    random_ = random.Random(seed)
+    bits = ["com", "net", "example", "www", "ads-track", "en", "fr", "es", "a", "zip", "WWW", "é"]
+    out = []
+    for _ in range(count):
+        host = random_.choice([".", "-"]).join(random_.choices(bits, k=random_.randint(1, 4)))
+        path = "".join(random_.choice("/.-?#") + random_.choice(bits) for _ in range(random_.randint(0, 4)))
+        out.append(random_.choice(["http://", "https://", ""]) + host + path + random_.choice(["", "/"]))
+    return out
+
+
+def test_index_equals_trying_all():
+    rules = production_rules() + [
+        host_rule("example.com", "/e", "block"),
+        host_rule("a", "", "block"),
+        pattern_rule(r"zip|exe", "block"),
+        pattern_rule(r"/en/.*/fr", "block"),
+        pattern_rule(r"-es-", "allow"),
+    ]
+    counts = {"com": 50, "en": 9, "example": 30}
+    index = RuleIndex(rules, counts)
+    for url in some_urls(1, 3000):
+        target = "".join(host_and_path(url))
+        best, plain = index.best(target), plain_best(rules, target)
+        assert (best and best.rank) == (plain and plain.rank), target
+
+
+def test_query_and_blocks(spark, tmp_path):
+    rows = list(enumerate(some_urls(2, 400))) + [(None, "http://x.net/es/1"), (1, None), (1, None)]
+    rows.append((7, "http://www.example.com/en/1"))
+    pages = spark.createDataFrame(rows, PAGES).withColumn("host", F.lit(1)).repartition(3)
+    pages.write.parquet(str(tmp_path / "pages.parquet"))
+    expected = []
+    for page_id, url in rows:
+        host, path = host_and_path(url)
+        fits = [
+            (h + p, a)
+            for h, p, a in HOST_RULES
+            if (host == h or host.endswith("." + h)) and path.startswith(p)
+        ]
+        name, verdict = max(fits, key=lambda x: len(x[0]), default=(None, None))
+        if name is None:
+            best = plain_best(production_rules(), host + path)
+            verdict = best.action if best else "allow"
+        expected.append(str((page_id, host, path, name, verdict)))
+    got = op2_url_rules(spark, str(tmp_path))
+    assert sorted(str(tuple(r)) for r in got.collect()) == sorted(expected)
+    small = judge_urls(pages, production_rules(), ["page_id"], block_bytes=30)
+    small = small.select("keep.page_id", "host", "path", "rule", "verdict")
+    assert sorted(str(tuple(r)) for r in small.collect()) == sorted(expected)
+
+
+def test_no_rules_and_no_rows(spark):
+    pages = spark.createDataFrame([(1, "http://a.com/")], PAGES)
+    assert judge_urls(pages, [], ["*"], default="block").first().verdict == "block"
+    assert judge_urls(pages.limit(0), production_rules(), ["*"]).count() == 0

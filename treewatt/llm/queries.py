@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from treewatt.llm import decontaminate, quartile_digest, simhash, token_counts, token_shards, warc
+from treewatt.llm import decontaminate, quartile_digest, simhash, token_counts, token_shards, url_rules, warc
 
 QUERIES = {
     query.__name__: query
     for query in (
         warc.op1_warc,
+        url_rules.op2_url_rules,
         token_counts.op3_token_counts,
         simhash.op6_simhash,
         quartile_digest.op8_quartile_digest,
@@ -16,4 +17,4 @@ QUERIES = {
     )
 }
 
-ORACLE_SQL = {**warc.ORACLE_SQL, **decontaminate.ORACLE_SQL}
+ORACLE_SQL = {**warc.ORACLE_SQL, **url_rules.ORACLE_SQL, **decontaminate.ORACLE_SQL}
