@@ -49,12 +49,16 @@ class Rule:
 
 
 def host_rule(host: str, path: str, action: str) -> Rule:
-    """Fits a host and its subdomains, where the url's path starts with the rule's."""
+    """Fits a host and its subdomains, where the url's path starts with the rule's.
+
+    The path is empty or starts with a slash.
+    """
     text = (host + path).translate(LOWER)
     tokens = TOKEN.findall(text)
     if tokens and text[-1:].isalnum() and len(path):
         tokens = tokens[:-1]  # the path may go on inside the last token
-    pattern = r"\A(?:[^/]*\.)?" + re.escape(host) + re.escape(path)
+    whole = re.escape(path) if path else r"(?=/|\Z)"
+    pattern = r"\A(?:[^/]*\.)?" + re.escape(host) + whole
     return Rule(pattern, action, tuple(tokens), host + path)
 
 
