@@ -58,18 +58,23 @@ def digest_codes(text: str) -> tuple[int, np.ndarray]:
     return round(STEPS * math.log2(len(data) + 1)), codes
 
 
-def digest_string(digest: tuple[int, np.ndarray]) -> str:
-    """Three hex digits of length and four codes in each further byte."""
+def digest_bytes(digest: tuple[int, np.ndarray]) -> bytes:
+    """Two bytes of length, and four codes in each further byte."""
     length, codes = digest
     four = codes.reshape(-1, 4)
     packed = four[:, 0] << 6 | four[:, 1] << 4 | four[:, 2] << 2 | four[:, 3]
-    return f"{length:03x}{packed.astype(np.uint8).tobytes().hex()}"
+    return length.to_bytes(2, "big") + packed.astype(np.uint8).tobytes()
+
+
+def digest_string(digest: tuple[int, np.ndarray]) -> str:
+    return digest_bytes(digest).hex()
 
 
 def parse_digest(text: str) -> tuple[int, np.ndarray]:
-    packed = np.frombuffer(bytes.fromhex(text[3:]), np.uint8)
+    data = bytes.fromhex(text)
+    packed = np.frombuffer(data[2:], np.uint8)
     codes = np.stack([packed >> 6, packed >> 4 & 3, packed >> 2 & 3, packed & 3], axis=1)
-    return int(text[:3], 16), codes.reshape(-1)
+    return int.from_bytes(data[:2], "big"), codes.reshape(-1)
 
 
 def difference(a: tuple[int, np.ndarray], b: tuple[int, np.ndarray]) -> float:
@@ -91,8 +96,8 @@ def _compared(text: str, own, following: str, next_own) -> tuple:
     return (
         len(text),
         hashlib.sha256(edited.encode()).hexdigest(),
-        digest_string(own),
-        digest_string(other),
+        digest_bytes(own),
+        digest_bytes(other),
         1.0 - difference(own, other),
         1.0 - difference(own, next_own),
     )
@@ -101,13 +106,13 @@ def _compared(text: str, own, following: str, next_own) -> tuple:
 COMPARED = {
     "n_chars": pa.int64(),
     "edited_sha256": pa.string(),
-    "fingerprint": pa.string(),
-    "edited_fingerprint": pa.string(),
+    "fingerprint": pa.binary(),
+    "edited_fingerprint": pa.binary(),
     "near_edited": pa.float64(),
     "near_next": pa.float64(),
 }
 SCHEMA = (
-    "n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+    "n_chars bigint, edited_sha256 string, fingerprint binary, edited_fingerprint binary, "
     "near_edited double, near_next double"
 )
 KINDS = {"doc_id": pa.int64(), **COMPARED}
@@ -183,7 +188,9 @@ def compared_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         .select("doc_id", "body", "next_body")
     )
     done = seen.where("kind = 'done'").drop("kind", "part", "body")
-    return done.unionByName(edges.mapInArrow(_pairs, f"doc_id bigint, {SCHEMA}"))
+    both = done.unionByName(edges.mapInArrow(_pairs, f"doc_id bigint, {SCHEMA}"))
+    names = ("fingerprint", "edited_fingerprint")
+    return both.withColumns({name: F.lower(F.hex(name)) for name in names})
 
 
 def op8_quartile_digest(spark, sf_dir: str) -> DataFrame:
