@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from treewatt.llm import decontaminate, quartile_digest, simhash, token_counts, token_shards, url_rules, warc
+from treewatt.llm import decontaminate, quartile_digest, simhash, token_counts, token_shards, toxicity, url_rules, warc
 
 QUERIES = {
     query.__name__: query
@@ -11,6 +11,7 @@ QUERIES = {
         url_rules.op2_url_rules,
         token_counts.op3_token_counts,
         simhash.op6_simhash,
+        toxicity.op7_toxicity,
         quartile_digest.op8_quartile_digest,
         decontaminate.op9_decontaminate,
         token_shards.op10_token_shards,
