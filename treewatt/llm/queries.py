@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from treewatt.llm import decontaminate, mixing, quartile_digest, simhash, token_counts, token_shards, toxicity, url_rules, warc
+from treewatt.llm import decontaminate, mixing, pii, quartile_digest, simhash, token_counts, token_shards, toxicity, url_rules, warc
 
 QUERIES = {
     query.__name__: query
@@ -10,6 +10,7 @@ QUERIES = {
         warc.op1_warc,
         url_rules.op2_url_rules,
         token_counts.op3_token_counts,
+        pii.op4_pii,
         mixing.op5_mix_sources,
         simhash.op6_simhash,
         toxicity.op7_toxicity,
