@@ -322,13 +322,14 @@ def train(
         .agg(F.max(label_col).cast("int").alias("_label")),
         "labels",
     )
-    labelled = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(
-        sized(known, known.count(), LABEL_ROWS), "_id"
-    )
     spare = F.floor(remainder("_id") / 4) % CALIBRATION_PART == 0
-    counted = labelled.where(~spare).select("_text", "_label")
-    model = Model(spark, bucket_tables(gram_tables(counted, scratch)))
-    sample = labelled.where(spare).orderBy(F.xxhash64("_id")).limit(calibration_rows)
+    sample = scratch.write(
+        known.where(spare).orderBy(F.xxhash64("_id")).limit(calibration_rows), "sample"
+    )
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    counted = texts.join(sized(known, known.count(), LABEL_ROWS), "_id").where(~spare)
+    model = Model(spark, bucket_tables(gram_tables(counted.select("_text", "_label"), scratch)))
+    sample = texts.join(sized(sample, calibration_rows, LABEL_ROWS), "_id")
     rows = model.measured(sample, ["_label"], "_text").select("keep._label", "largest", "mean")
     got = np.array([tuple(r) for r in rows.collect()], np.float64).reshape(-1, 3)
     model.curve = fitted_curve(got[:, 1:], got[:, 0])
