@@ -57,8 +57,8 @@ def odd_texts(seed, count):
 
 
 def test_base_spans(spark, tmp_path):
-    texts = odd_texts(1, 1500) + [None, "", "1" * 60_000, "a.b" * 5_000 + "@c", "x@" + "a." * 30_000 + "b"]
-    texts += ["1-" * 30_000 + "1", "+1" + " 2" * 30_000, "1." * 30_000 + "1", "a" * 20_000]
+    texts = odd_texts(1, 1500) + [None, "", "1" * 12_000, "a.b" * 5_000 + "@c", "x@" + "a." * 6_000 + "b"]
+    texts += ["1-" * 6_000 + "1", "+1" + " 2" * 6_000, "1." * 6_000 + "1", "a" * 20_000]
     rows = list(enumerate(texts)) + [(None, "a@b.cd"), (3, "a@b.cd")]
     docs = spark.createDataFrame(rows, DOCS).withColumn("email", F.lit(1)).repartition(4)
     docs.write.parquet(str(tmp_path / "documents.parquet"))

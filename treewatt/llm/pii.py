@@ -124,8 +124,9 @@ def disclosing_terms(
 ) -> DataFrame:
     """(term, strength) of the terms that reveal an entity.
 
-    Terms of contexts are counted first. Only those with enough texts next to one entity are
-    looked up in the whole corpus.
+    Terms of contexts are counted first. The texts in which a term is near any value are at
+    most those that hold it at all, so they bound its strength from above; only terms that
+    can still reach the threshold are looked up in the whole corpus, and none is lost.
     """
     texts = found.select("text_hash", "body", *KINDS)
     spans = F.flatten(F.array(*KINDS))
@@ -150,17 +151,7 @@ def disclosing_terms(
         )
         .distinct()
     )
-    near = near.where(F.length("term") > 1)
-    together = scratch.write(
-        near.groupBy("entity", "term")
-        .agg(F.count(F.lit(1)).alias("together"))
-        .where(F.col("together") >= support),
-        "together",
-    )
-    if together.isEmpty():
-        return scratch.write(
-            together.select("term", F.lit(0.0).alias("strength")), "terms"
-        )
+    near = scratch.write(near.where(F.length("term") > 1), "near")
     entities = (
         texts.select("text_hash", F.explode(spans).alias("span"))
         .select("text_hash", F.xxhash64("span.value").alias("entity"))
@@ -168,6 +159,28 @@ def disclosing_terms(
         .groupBy("entity")
         .agg(F.count(F.lit(1)).alias("of_entity"))
     )
+    seen = (
+        near.select("term", "text_hash")
+        .distinct()
+        .groupBy("term")
+        .agg(F.count(F.lit(1)).alias("near_values"))
+    )
+    total = F.lit(float(texts.select("text_hash").distinct().count()))
+
+    def strength(texts_of_term: str) -> Column:
+        mutual = F.ln(F.col("together") * total / (F.col("of_entity") * F.col(texts_of_term)))
+        information = F.ln(total / F.col("of_entity"))
+        return F.when(information > 0, mutual / information).otherwise(0.0)
+
+    together = scratch.write(
+        near.groupBy("entity", "term")
+        .agg(F.count(F.lit(1)).alias("together"))
+        .where(F.col("together") >= support)
+        .join(entities, "entity")
+        .join(seen, "term")
+        .where(strength("near_values") >= disclosure),
+        "together",
+    )
     candidates = together.select("term").distinct()
     rows = candidates.count()
     of_term = (
@@ -180,13 +193,9 @@ def disclosing_terms(
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("of_term"))
     )
-    total = F.lit(float(texts.select("text_hash").distinct().count()))
-    mutual = F.ln(F.col("together") * total / (F.col("of_entity") * F.col("of_term")))
-    information = F.ln(total / F.col("of_entity"))
     strengths = (
-        together.join(entities, "entity")
-        .join(of_term, "term")
-        .select("term", F.when(information > 0, mutual / information).otherwise(0.0).alias("strength"))
+        together.join(of_term, "term")
+        .select("term", strength("of_term").alias("strength"))
         .groupBy("term")
         .agg(F.max("strength").alias("strength"))
         .where(F.col("strength") >= disclosure)
