@@ -64,20 +64,43 @@ def file_system(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
-def replace_file(uri: str, write) -> int:
-    """Let write(stream) fill a file and put it in place in one step; returns its bytes.
+class NewFile:
+    """A file that is written bit by bit and put in place in one step.
 
     A task that is run again, or twice at once, writes the same content to a name of its
     own and renames it, so readers see a whole file or none.
     """
-    from pyarrow import fs
 
-    system, path = file_system(uri)
-    system.create_dir(posixpath.dirname(path), recursive=True)
-    part = f"{path}.{uuid.uuid4().hex}.tmp"
-    with system.open_output_stream(part) as stream:
-        write(stream)
-    if system.get_file_info(path).type != fs.FileType.NotFound:
-        system.delete_file(path)
-    system.move(part, path)
-    return system.get_file_info(path).size
+    def __init__(self, uri: str):
+        self.system, self.path = file_system(uri)
+        self.system.create_dir(posixpath.dirname(self.path), recursive=True)
+        self.part = f"{self.path}.{uuid.uuid4().hex}.tmp"
+        self.stream = self.system.open_output_stream(self.part)
+        self.size = 0
+
+    def write(self, data: bytes) -> None:
+        self.stream.write(data)
+        self.size += len(data)
+
+    def place(self) -> None:
+        from pyarrow import fs
+
+        self.stream.close()
+        if self.system.get_file_info(self.path).type != fs.FileType.NotFound:
+            self.system.delete_file(self.path)
+        self.system.move(self.part, self.path)
+
+
+_HELD: dict[tuple, object] = {}
+
+
+def held_in_worker(key: tuple, make):
+    """What make() gives, kept in this worker process until another key is asked for.
+
+    Workers outlive their tasks, so tables of known words need not be learnt anew; with
+    one place for all operators their memory does not add up.
+    """
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]

@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import islice
 
 import numpy as np
@@ -27,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from treewatt.llm.common import held_in_worker
+
 LIMIT = 4096
 SPACE = "▁"
 PRE_TOKENS = re.compile(" +[^ ]*")
@@ -234,19 +235,13 @@ class TokenCounter:
         return [sum(map(self.known.__getitem__, words)) for words in split]
 
 
-@lru_cache(maxsize=1)
-def counter_of(path: str) -> TokenCounter:
-    """One counter per worker process, so that its known pre-tokens outlive a task."""
-    return TokenCounter(path)
-
-
 def token_counts(
     docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT
 ) -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit) per row of docs; model is a file on the workers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = counter_of(model)
+        counter = held_in_worker(("counts", model), lambda: TokenCounter(model))
         for batch in batches:
             counts: list[int] = []
             for at in range(0, batch.num_rows, 1000):

@@ -12,8 +12,8 @@ id come first, under a key of their own, and have a null id when read back; docu
 share an id lie side by side, ordered by text hash, have one key and a row each; a table
 without rows gives no shard and an empty result; extra columns are ignored.
 
-A shard holds about ``shard_bytes`` and at least one document, so a task's memory does not
-grow with its range. Equal ids may fill several shards.
+A shard holds about ``shard_bytes`` and at least one document. Ids are written as they come;
+of a shard only keys and sizes are held. Equal ids may fill several shards.
 """
 
 from __future__ import annotations
@@ -22,7 +22,6 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain, islice
 
 import numpy as np
@@ -32,11 +31,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from treewatt.functions.tables import sized
-from treewatt.llm.common import Scratch, file_system, replace_file
+from treewatt.llm.common import NewFile, Scratch, file_system, held_in_worker
 from treewatt.llm.perfect_hash import PerfectHash
 
 SHARD_BYTES = 64 << 20
-CACHE_CHUNKS = 1_000_000
+CACHE_CHUNKS = 700_000
 NO_ID = -(1 << 63)
 MAGIC = b"TIDX"
 HEADER = struct.Struct("<4sHHQQ")  # magic, bytes of an id, nothing, keys, documents
@@ -45,6 +44,8 @@ BROADCAST_ROWS = 100_000
 BLANKS = "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
     map(chr, range(0x2000, 0x200B))
 )
+MARKS = ".,;:!?"
+LETTERS = frozenset(c for c in map(chr, range(0x250)) if c.isalpha())
 BLANK_BEFORE_SPACE = [blank + " " for blank in BLANKS]
 
 
@@ -84,6 +85,7 @@ class ChunkEncoder:
         self.dtype = np.dtype("<u2" if largest < 1 << 16 else "<u4")
         self.end = np.array([end_id], self.dtype).tobytes()
         self.known: dict[str, bytes] = {}
+        self.marks = dict(zip(MARKS, self._ids(list(MARKS)), strict=True))
 
     def _ids(self, texts: list[str]) -> Iterator[bytes]:
         for at in range(0, len(texts), 10_000):
@@ -99,20 +101,20 @@ class ChunkEncoder:
             self.known = dict(islice(self.known.items(), CACHE_CHUNKS // 2))
         known = self.known
         rest = [chunks[1:] for chunks in split]
-        new = list(set(chain.from_iterable(rest)).difference(known))
+        new = set(chain.from_iterable(rest)).difference(known)
+        # A run of letters ends before a mark in any case, so its ids are those without it.
+        marked = [c for c in new if c[-1:] in self.marks and c[-2:-1] and c[-2] in LETTERS]
+        new.difference_update(marked)
+        words = {c[:-1] for c in marked}.difference(known)
+        new = list(new | words)
         known.update(zip(new, self._ids([" " + c for c in new]), strict=True))
+        known.update((c, known[c[:-1]] + self.marks[c[-1]]) for c in marked)
         return [
             b"".join([head, *map(known.__getitem__, chunks), self.end])
             for head, chunks in zip(heads, rest, strict=True)
         ]
 
 
-@lru_cache(maxsize=1)
-def encoder_of(path: str, end_id: int) -> ChunkEncoder:
-    """One encoder per worker process, so that its known chunks outlive a task."""
-    return ChunkEncoder(path, end_id)
-
-
 def index_bytes(keys: list[int], sizes: list[int], width: int) -> tuple[bytes, list[int]]:
     """The index file of documents in key order, and the distinct keys."""
     keys_ = np.array(keys, np.int64)
@@ -174,16 +176,18 @@ def write_shards(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, roll = TaskContext.get().partitionId(), 0
-        encoder = encoder_of(tokenizer, end_id)
+        encoder = held_in_worker(
+            ("chunks", tokenizer, end_id), lambda: ChunkEncoder(tokenizer, end_id)
+        )
         width = encoder.dtype.itemsize
-        keys, bodies, held = [], [], 0
+        keys, sizes, ids = [], [], None
 
         def flush() -> pa.RecordBatch:
-            sizes = [len(b) // width for b in bodies]
             index, distinct = index_bytes(keys, sizes, width)
-            path = shard_path(folder, part, roll)
-            replace_file(f"{path}.ids", lambda stream: [stream.write(b) for b in bodies])
-            replace_file(f"{path}.idx", lambda stream: stream.write(index))
+            ids.place()
+            file = NewFile(f"{shard_path(folder, part, roll)}.idx")
+            file.write(index)
+            file.place()
             n = len(distinct)
             columns = [
                 pa.array(distinct, pa.int64()),
@@ -198,13 +202,15 @@ def write_shards(
                 rows = batch.slice(at, 1000)
                 made = encoder.encode(rows.column(1).to_pylist())
                 for key, body in zip(rows.column(0).to_pylist(), made, strict=True):
-                    if bodies and held + len(body) > shard_bytes:
+                    if ids is not None and ids.size + len(body) > shard_bytes:
                         yield flush()
-                        keys, bodies, held, roll = [], [], 0, roll + 1
+                        keys, sizes, ids, roll = [], [], None, roll + 1
+                    if ids is None:
+                        ids = NewFile(f"{shard_path(folder, part, roll)}.ids")
+                    ids.write(body)
                     keys.append(key)
-                    bodies.append(body)
-                    held += len(body)
-        if bodies:
+                    sizes.append(len(body) // width)
+        if ids is not None:
             yield flush()
 
     ordered = docs.select(

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from treewatt.functions.tables import sized
-from treewatt.llm.common import Scratch
+from treewatt.llm.common import Scratch, held_in_worker
 
 ORDER = 5  # characters of the longest grams
 SHARED = 3  # grams up to this length are shared by the classes
@@ -226,17 +226,6 @@ class Ratios:
         return out
 
 
-_RATIOS: dict[str, Ratios] = {}
-
-
-def ratios_of(key: str, broadcast) -> Ratios:
-    """One scorer per worker process and model, so that known words outlive a task."""
-    if key not in _RATIOS:
-        _RATIOS.clear()
-        _RATIOS[key] = Ratios(broadcast.value)
-    return _RATIOS[key]
-
-
 class Model:
     """A fitted model: tables on the workers, and the curve."""
 
@@ -251,7 +240,8 @@ class Model:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                ratios, rows = ratios_of(key, tables), []
+                ratios = held_in_worker(("ratios", key), lambda: Ratios(tables.value))
+                rows: list[tuple[float, float]] = []
                 for at in range(0, batch.num_rows, 1000):
                     rows += ratios.measures(batch.column(1).slice(at, 1000).to_pylist())
                 columns = zip(*rows, strict=True) if rows else [(), ()]

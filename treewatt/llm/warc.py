@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treewatt.llm.common import Scratch, file_system, replace_file
+from treewatt.llm.common import NewFile, Scratch, file_system
 
 ARCHIVE_BYTES = 128 << 20
 READ_BYTES = 1 << 20
@@ -119,18 +119,22 @@ def write_warc(
 ) -> DataFrame:
     """Write archives when evaluated; (path, records, bytes) of each.
 
-    Payloads of fewer than least_bytes are never revisited. An archive is put together in
-    memory, is renamed in one step, and has a name that a repeated task gives again.
+    Payloads of fewer than least_bytes are never revisited. An archive is written
+    record by record, put in place in one step, and has a name that a repeated task gives
+    again.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, roll, held, size = TaskContext.get().partitionId(), 0, [], 0
+        part, roll, file, records = TaskContext.get().partitionId(), 0, None, 0
+        ending = ".warc.gz" if compress else ".warc"
 
-        def flush() -> pa.RecordBatch:
-            path = f"{folder}/pages-{part:06d}-{roll:04d}.warc{'.gz' if compress else ''}"
-            written = replace_file(path, lambda stream: [stream.write(x) for x in held])
+        def path() -> str:
+            return f"{folder}/pages-{part:06d}-{roll:04d}{ending}"
+
+        def placed() -> pa.RecordBatch:
+            file.place()
             return pa.RecordBatch.from_pydict(
-                {"path": [path], "records": [len(held)], "bytes": [written]}
+                {"path": [path()], "records": [records], "bytes": [file.size]}
             )
 
         for batch in batches:
@@ -140,13 +144,15 @@ def write_warc(
                 if compress:
                     packer = zlib.compressobj(6, zlib.DEFLATED, 31)
                     record = packer.compress(record) + packer.flush()
-                if held and size + len(record) > archive_bytes:
-                    yield flush()
-                    held, size, roll = [], 0, roll + 1
-                held.append(record)
-                size += len(record)
-        if held:
-            yield flush()
+                if file is not None and file.size + len(record) > archive_bytes:
+                    yield placed()
+                    file, records, roll = None, 0, roll + 1
+                if file is None:
+                    file = NewFile(path())
+                file.write(record)
+                records += 1
+        if file is not None:
+            yield placed()
 
     rows = with_first_page(pages, id_col, url_col, html_col, least_bytes)
     return rows.mapInArrow(run, "path string, records bigint, bytes bigint")
