@@ -40,4 +40,4 @@ def test_paths_of_a_diamond(spark):
 
 def test_a_cycle_raises(spark):
     with pytest.raises(ValueError, match="cycle"):
-        build_hierarchy(edges(spark, {"a": ["b"], "b": ["a"]}), max_depth=4)
+        build_hierarchy(edges(spark, {"a": ["b"], "b": ["a"], "c": ["x"], "d": ["c"]}))

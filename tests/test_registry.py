@@ -4,6 +4,7 @@ import pytest
 from helpers import at, edges, registry_events
 from scenarios import PAIR, UNBALANCED
 
+from treewatt import RollupConfig, hierarchy_from_events
 from treewatt.operators.registry import (
     current_parents,
     diff_history,
@@ -15,6 +16,7 @@ from treewatt.operators.registry import (
     snapshot_events,
     versioned_edges,
 )
+from treewatt.streaming.registry_feed import RegistryFeed
 
 
 def test_only_snapshot_events_pass(spark):
@@ -43,10 +45,39 @@ def test_flatten_with_other_field_names(spark):
     assert sorted((r.child, r.parent) for r in rows) == [("a", "top"), ("b", "top")]
 
 
-def test_flatten_beyond_a_limit_raises_instead_of_cutting(spark):
-    events = registry_events(spark, [(0, UNBALANCED)])
-    with pytest.raises(Exception, match="(?i)recursion"):
-        flatten_registry(events, depth_limit=2).collect()
+def test_deep_registry_and_session_left_alone(spark):
+    names = ("spark.sql.cteRecursionRowLimit", "spark.sql.cteRecursionLevelLimit")
+    before = [spark.conf.get(name) for name in names]
+    chain = {f"n{i}": [f"n{i + 1}"] for i in range(150)} | {"root": ["n0"]}
+    events = registry_events(spark, [(0, chain)])
+    assert flatten_registry(events).count() == 151
+    assert [spark.conf.get(name) for name in names] == before
+
+
+def test_duplicates_are_refused_by_the_pipelines(spark, tmp_path):
+    events = registry_events(spark, [(0, {"root": ["a", "g"], "g": ["a"]})])
+    with pytest.raises(ValueError, match="duplicate identifier: a"):
+        hierarchy_from_events(events, RollupConfig())
+    with pytest.raises(ValueError, match="duplicate identifier: a"):
+        RegistryFeed(str(tmp_path))(events, 0)
+
+
+def test_emptied_registry_deletes_all(spark, tmp_path):
+    events = registry_events(spark, [(0, PAIR), (5, {"root": []}), (9, {"root": ["child2"]})])
+    history = diff_history(flatten_registry(events), events)
+    expected = [
+        ("child1", "delete", 1), ("child1", "upsert", 0),
+        ("child2", "delete", 1), ("child2", "upsert", 0), ("child2", "upsert", 2),
+    ]
+    assert sorted((r.child, r.op, r.arrival_seq) for r in history.collect()) == expected
+    assert [r.child for r in current_parents(history).collect()] == ["child2"]
+    feed = RegistryFeed(str(tmp_path))
+    for number in range(3):
+        feed(events.where(f"arrival_seq = {number}"), number)
+        known = {r.child for r in feed.memberships(spark, number).collect()}
+        assert known == [{"child1", "child2"}, set(), {"child2"}][number]
+    assert sorted((r.child, r.op, r.arrival_seq) for r in feed.changes(spark).collect()) == expected
+    assert feed.hierarchy(spark, 2).edge_rows == feed.hierarchy(spark).edge_rows == 1
 
 
 def test_duplicate_identifiers(spark):

@@ -71,6 +71,14 @@ def test_writing_again_replaces_only_the_days_written(spark, tmp_path):
     assert rows == [(0.0, 1.0), (float(day), 6.0)]
 
 
+def test_writing_one_window_keeps_the_others_of_its_day(spark, tmp_path):
+    path = str(tmp_path / "out")
+    write_results(results(spark, [("child1", 0, 1), ("child1", 3, 2)]), path)
+    write_results(results(spark, [("child1", 3, 7), ("child1", 9, 8)]), path)
+    rows = sorted((r.window_start.timestamp(), r.sum_w) for r in spark.read.parquet(path).collect())
+    assert rows == [(0.0, 1.0), (2.0, 7.0), (8.0, 8.0)]
+
+
 def test_bus_messages(spark):
     row = to_bus(results(spark, [("child1", 0, 4), ("child2", 1, 2)])).first()
     assert row.key == "root"

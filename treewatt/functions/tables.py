@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +36,20 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/treewatt/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for the jobs run inside, put back as it was afterwards."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def write_table(df: DataFrame, label: str) -> DataFrame:
     """Write df to the shared folder and return the reader of what was written.
 

@@ -87,10 +87,10 @@ class Hierarchy:
                 (F.col("depth") + 1).alias("depth"),
                 "paths",
             )
+            # Paths that meet are one row from here on, whatever the depth.
+            level = level.groupBy(*keys).agg(F.sum("paths").alias("paths"))
             if self.height > _PLANNED_LEVELS:
-                level = write_table(
-                    level.groupBy(*keys).agg(F.sum("paths").alias("paths")), "paths"
-                )
+                level = write_table(level, "paths")
             levels.append(level)
         inner = self.heights.select(F.col("node").alias("leaf"), F.lit(True).alias("inner"))
         return write_table(
@@ -118,7 +118,6 @@ def build_hierarchy(
     edges: DataFrame,
     *,
     depth: int | None = None,
-    max_depth: int = 100,
     broadcast_rows: int = 1_000_000,
 ) -> Hierarchy:
     """Prepare a hierarchy once, for any number of roll-ups.
@@ -127,7 +126,7 @@ def build_hierarchy(
     the heights come from the edges between groups alone, one step per height. With
     ``depth`` stated (the longest path, e.g. the largest level of a flattened tree) all
     steps are one job and a deeper tree raises; without it there is one small job per
-    height, and a cycle raises once ``max_depth`` is passed.
+    height, and a cycle raises once there are more heights than nodes with children.
     """
     pairs = write_table(edges.select("child", "parent").distinct(), "edges")
     edge_rows = pairs.count()
@@ -144,11 +143,12 @@ def build_hierarchy(
             levels.append(level)
     else:
         level = write_table(level.distinct(), "height")
+        parents = level.count()
         levels = []
         while not level.isEmpty():
             levels.append(level)
-            if len(levels) > max_depth:
-                raise ValueError(f"hierarchy has a cycle or is deeper than {max_depth}")
+            if len(levels) > parents:
+                raise ValueError("hierarchy has a cycle")
             level = write_table(parents_of(level).distinct(), "height")
         levels = levels or [level]
     numbered = [nodes.withColumn("height", F.lit(k)) for k, nodes in enumerate(levels, start=1)]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from treewatt.functions.running import with_next, with_previous
-from treewatt.functions.tables import write_table
+from treewatt.functions.tables import setting, write_table
 from treewatt.schemas import REGISTRY_SNAPSHOT_EVENTS
 
 
@@ -20,18 +20,26 @@ def flatten_registry(
     *,
     identifier_field: str = "identifier",
     children_field: str = "children",
-    row_limit: int = 100_000_000,
-    depth_limit: int = 100,
 ) -> DataFrame:
     """Registry JSON to edges ``(arrival_seq, event_time, child, parent, level)``.
 
     Every node but the root becomes one row. The walk goes one tree level per step over
-    all snapshots at once; a tree beyond the limits raises instead of being cut.
+    all snapshots at once, without a limit on rows or depth; it ends where no node has
+    children. The edges are written to the shared folder, as Spark reads the limits of a
+    recursion when it runs. A document is one row: it must fit one VARIANT, and its first
+    level is taken apart by one task.
     """
     spark = events.sparkSession
-    spark.conf.set("spark.sql.cteRecursionRowLimit", str(row_limit))
-    spark.conf.set("spark.sql.cteRecursionLevelLimit", str(depth_limit))
-    return spark.sql(
+    walk = _walk(events, identifier_field, children_field)
+    with (
+        setting(spark, "spark.sql.cteRecursionRowLimit", "-1"),
+        setting(spark, "spark.sql.cteRecursionLevelLimit", "-1"),
+    ):
+        return write_table(walk, "registry")
+
+
+def _walk(events: DataFrame, identifier_field: str, children_field: str) -> DataFrame:
+    return events.sparkSession.sql(
         """
         WITH RECURSIVE walk(arrival_seq, event_time, node, parent, level) AS (
           SELECT arrival_seq, event_time, parse_json(payload), CAST(NULL AS STRING), 0
@@ -58,6 +66,14 @@ def duplicate_identifiers(edges: DataFrame, snapshot: str | None = None) -> Data
     return edges.groupBy(*keys).agg(F.count("*").alias("occurrences")).where("occurrences > 1")
 
 
+def unique_identifiers(edges: DataFrame, snapshot: str | None = None) -> DataFrame:
+    """The edges themselves; raises now if a snapshot names a node more than once."""
+    repeated = duplicate_identifiers(edges, snapshot).first()
+    if repeated is not None:
+        raise ValueError(f"duplicate identifier: {repeated.child}")
+    return edges
+
+
 def refuse_duplicates(edges: DataFrame, snapshot: str | None = None) -> DataFrame:
     """The parent of each node as a set, raising when a snapshot repeats a node."""
     keys = [snapshot, "child"] if snapshot else ["child"]
@@ -98,14 +114,17 @@ def diff_snapshots(old: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
-def diff_history(edges: DataFrame) -> DataFrame:
+def diff_history(edges: DataFrame, events: DataFrame | None = None) -> DataFrame:
     """All changes along a history of snapshots, in arrival order of the snapshots.
 
-    ``edges`` is the output of ``flatten_registry`` over whole snapshots. A child's
-    versions are compared with the snapshot right before it, so a child that leaves
-    and returns gives a delete and an upsert.
+    ``edges`` is the output of ``flatten_registry`` over whole snapshots, ``events`` are
+    the snapshots themselves (``arrival_seq``, ``event_time``): a snapshot of a root
+    without children has no edge and deletes all. A child's versions are compared with
+    the snapshot right before it, so a child that leaves and returns gives a delete and
+    an upsert.
     """
-    snapshots = write_table(edges.select("arrival_seq", "event_time").distinct(), "snapshots")
+    stated = edges if events is None else events
+    snapshots = write_table(stated.select("arrival_seq", "event_time").distinct(), "snapshots")
     neighbours = with_next(
         with_previous(snapshots, [], "arrival_seq", [], "before"),
         [],

@@ -16,6 +16,7 @@ from treewatt.operators.registry import (
     diff_history,
     flatten_registry,
     snapshot_events,
+    unique_identifiers,
 )
 from treewatt.operators.rollup import (
     rollup_closure,
@@ -61,8 +62,9 @@ def build_batch(
 
 def hierarchy_from_events(events: DataFrame, cfg: RollupConfig) -> Hierarchy:
     """The hierarchy known after all registry events."""
-    edges = write_table(flatten_registry(snapshot_events(events)), "registry")
-    known = current_parents(diff_history(edges))
+    snapshots = snapshot_events(events)
+    edges = unique_identifiers(flatten_registry(snapshots), "arrival_seq")
+    known = current_parents(diff_history(edges, snapshots))
     return build_hierarchy(
         known.selectExpr("child", "explode(parents) AS parent"),
         broadcast_rows=cfg.broadcast_rows,

@@ -2,25 +2,37 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from treewatt.config import require
+from treewatt.functions.tables import write_table
+
+_RESULT_KEY = ("window_start", "identifier")
 
 
 def write_results(results: DataFrame, path: str) -> None:
-    """Write results partitioned by the day of their window.
+    """Insert or update results, keyed by window and group, in a table by day of window.
 
-    Only the days present in ``results`` are replaced, so writing the same results
-    again leaves the table as it was.
+    Rows of other keys stay, also those of the same day, and writing the same results
+    again leaves the table as it was. Only the days present in ``results`` are read and
+    replaced; the new days are complete in the shared folder before any is replaced.
     """
     require(path=path)
+    spark = results.sparkSession
+    new = write_table(results.withColumn("window_date", F.to_date("window_start")), "results")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.exists(folder):
+        days = new.select("window_date").distinct()
+        old = spark.read.schema(new.schema).parquet(path).join(days, "window_date", "left_semi")
+        kept = old.join(new.select(*_RESULT_KEY), list(_RESULT_KEY), "left_anti")
+        new = write_table(new.unionByName(kept), "days")
     (
-        results.withColumn("window_date", F.to_date("window_start"))
-        .write.mode("overwrite")
+        new.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("window_date")
         .parquet(path)
@@ -70,6 +82,16 @@ def stream_to_bus(
     )
 
 
+def bus_batches(options: Mapping[str, str]) -> Callable[[DataFrame, int], None]:
+    """Publishes each batch of ``IncrementalRollup`` to Kafka (needs the connector)."""
+    require(options=options)
+
+    def put(results: DataFrame, batch_id: int) -> None:
+        to_bus(results).write.format("kafka").options(**options).save()
+
+    return put
+
+
 def latest_per_window(results: DataFrame, version: str) -> DataFrame:
     """Upsert view of appended corrections: the newest row per (window, group)."""
     columns = [c for c in results.columns if c not in ("window_start", "identifier", version)]

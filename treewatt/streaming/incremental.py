@@ -45,6 +45,8 @@ class IncrementalRollup:
     emission    "final": one result when a window closes; "changelog": every update;
                 "throttled": rate-limited updates
     groups_report   whether groups may send readings of their own
+    publish     called with the written results of each batch and its number, for example
+                ``bus_batches(options)``; a batch that is run again is published again
     """
 
     hierarchy: Hierarchy | Callable[[], Hierarchy]
@@ -53,6 +55,7 @@ class IncrementalRollup:
     output: str
     emission: str = "throttled"
     groups_report: bool = False
+    publish: Callable[[DataFrame, int], None] | None = None
 
     def __post_init__(self) -> None:
         require(hierarchy=self.hierarchy, cfg=self.cfg, state=self.state, output=self.output)
@@ -136,7 +139,10 @@ class IncrementalRollup:
         return log.where(F.col("stream_time").isNotNull())
 
     def _emit(self, results: DataFrame, batch_id: int) -> None:
-        results.write.mode("overwrite").parquet(f"{self.output}/batch_id={batch_id}")
+        folder = f"{self.output}/batch_id={batch_id}"
+        results.write.mode("overwrite").parquet(folder)
+        if self.publish is not None:
+            self.publish(results.sparkSession.read.schema(results.schema).parquet(folder), batch_id)
 
     def _folder(self, name: str, batch_id: int) -> str:
         return f"{self.state}/{name}/batch_id={batch_id}"

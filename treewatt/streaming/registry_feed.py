@@ -18,6 +18,7 @@ from treewatt.operators.registry import (
     flatten_registry,
     parent_sets,
     snapshot_events,
+    unique_identifiers,
 )
 
 
@@ -37,22 +38,27 @@ class RegistryFeed:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        edges = write_table(flatten_registry(snapshot_events(batch)), "registry")
+        snapshots = write_table(
+            snapshot_events(batch).select("arrival_seq", "event_time", "payload"), "snapshots"
+        )
+        edges = unique_identifiers(flatten_registry(snapshots), "arrival_seq")
         known = self.memberships(spark, batch_id - 1)
-        snapshots = edges.agg(F.min("arrival_seq"), F.count("*")).first()
-        if snapshots[1] == 0:
-            changes = diff_history(edges)
+        stamp = snapshots.agg(
+            F.min("arrival_seq").alias("arrival_seq"),
+            F.min_by("event_time", "arrival_seq").alias("event_time"),
+        ).first()
+        if stamp.arrival_seq is None:
+            changes = diff_history(edges, snapshots)
         else:
             # Inside the batch each snapshot is compared with the one before it; the
             # first one with what earlier batches left.
-            first = edges.where(F.col("arrival_seq") == snapshots[0])
-            stamp = first.select("arrival_seq", "event_time").limit(1).first()
+            first = edges.where(F.col("arrival_seq") == stamp.arrival_seq)
             changes = (
                 diff_snapshots(known, parent_sets(first))
                 .withColumn("arrival_seq", F.lit(stamp.arrival_seq).cast("bigint"))
                 .withColumn("event_time", F.lit(stamp.event_time))
                 .unionByName(
-                    diff_history(edges).where(F.col("arrival_seq") > F.lit(stamp.arrival_seq))
+                    diff_history(edges, snapshots).where(F.col("arrival_seq") > F.lit(stamp.arrival_seq))
                 )
             )
         changes.write.mode("overwrite").parquet(self._folder("changes", batch_id))
@@ -75,11 +81,17 @@ class RegistryFeed:
         """All changes so far, in the shape of ``diff_history``."""
         return spark.read.parquet(f"{self.state}/changes").drop("batch_id")
 
-    def hierarchy(self, spark: SparkSession, broadcast_rows: int = 1_000_000) -> Hierarchy:
-        """The hierarchy after all changes so far."""
-        edges = current_parents(self.changes(spark)).selectExpr(
-            "child", "explode(parents) AS parent"
+    def hierarchy(
+        self, spark: SparkSession, batch_id: int | None = None, broadcast_rows: int = 1_000_000
+    ) -> Hierarchy:
+        """The hierarchy after a batch, read from its memberships; without its number the
+        one after all changes so far."""
+        known = (
+            current_parents(self.changes(spark))
+            if batch_id is None
+            else self.memberships(spark, batch_id)
         )
+        edges = known.selectExpr("child", "explode(parents) AS parent")
         return build_hierarchy(edges, broadcast_rows=broadcast_rows)
 
 
