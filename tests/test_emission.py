@@ -71,7 +71,7 @@ def disordered(tree, seed, n=60):
     ("tree", "grace", "seed"), [(TWO_LEVELS, 2, 1), (UNBALANCED, 4, 2)], ids=["two", "deep"]
 )
 def test_against_sequential_run(spark, tree, grace, seed):
-    cfg = RollupConfig(2000, grace * 1000)
+    cfg = RollupConfig(2000, grace * 1000, sum_scale=3)
     rows = disordered(tree, seed)
     updates, released = simulate(tree, rows, 2, grace)
     prepared, df = hierarchy(spark, tree), readings(spark, rows)
@@ -93,7 +93,7 @@ def test_against_sequential_run(spark, tree, grace, seed):
 
 
 def test_level_by_level_equals_closure(spark):
-    cfg = RollupConfig(2000, 2000, broadcast_rows=0)
+    cfg = RollupConfig(2000, 2000, broadcast_rows=0, sum_scale=3)
     df = accepted_with_stream_time(readings(spark, disordered(UNBALANCED, 9)), cfg).cache()
     tree = hierarchy(spark, UNBALANCED, broadcast_rows=0)
     columns = ["arrival_seq", "identifier", "count", "sum_w", "timestamp_ms", "event_time"]
@@ -105,7 +105,7 @@ def test_level_by_level_equals_closure(spark):
 def test_a_group_report_replaces_its_children_until_they_are_newer(spark):
     tree = hierarchy(spark, TWO_LEVELS)
     rows = [("sensor-1-1", 0, 10), ("sensor-1", 0.5, 99), ("sensor-1-2", 0.2, 5), ("sensor-1-1", 1, 20)]
-    cfg = RollupConfig(2000, 0)
+    cfg = RollupConfig(2000, 0, sum_scale=3)
     log = build_batch(readings(spark, rows), tree, cfg, "changelog", groups_report=True)
     got = sorted((r.arrival_seq, r.identifier, r["count"], r.sum_w) for r in log.collect())
     assert got == [

@@ -7,7 +7,7 @@ from scenarios import GRACE_MS, SCENARIOS, WINDOW_MS
 from treewatt import RollupConfig
 from treewatt.plans.batch import build_batch, hierarchy_from_events
 
-CFG = RollupConfig(emit_period_ms=WINDOW_MS, grace_period_ms=GRACE_MS)
+CFG = RollupConfig(emit_period_ms=WINDOW_MS, grace_period_ms=GRACE_MS, sum_scale=3)
 
 # What each scenario's last window holds, which throttling has not released yet.
 OPEN_AT_END = {

@@ -18,7 +18,7 @@ from treewatt.streaming.incremental import IncrementalRollup, incremental_writer
 from treewatt.streaming.registry_feed import RegistryFeed, registry_writer
 from treewatt.streaming.windows import final_results
 
-CFG = RollupConfig(emit_period_ms=WINDOW_MS, grace_period_ms=GRACE_MS)
+CFG = RollupConfig(emit_period_ms=WINDOW_MS, grace_period_ms=GRACE_MS, sum_scale=3)
 
 
 def write_batches(df, folder, sizes):

@@ -79,11 +79,25 @@ def packed_order(first: Column, second: Column) -> Column:
     ).cast("decimal(38,0)")
 
 
-def summable(value: Column, cfg: RollupConfig) -> Column:
-    """The form a value takes inside a sum: whole units of 10^-scale, or the double."""
+def summable(value: Column, cfg: RollupConfig, averaged: bool = False) -> Column:
+    """The form a value takes inside a sum: whole units of 10^-scale, or the double.
+
+    A value with more decimals than the scale raises; an average, which has decimals of its
+    own, is rounded to it. So is no reading ever changed.
+    """
     if cfg.sum_scale is None:
         return value.cast("double")
-    return F.round(value * F.lit(float(10**cfg.sum_scale))).cast("bigint")
+    scale = F.lit(float(10**cfg.sum_scale))
+    units = F.round(value * scale).cast("bigint")
+    if averaged:
+        return units
+    refused = F.raise_error(F.concat_ws(" ", F.lit("more decimals than sum_scale holds:"), value))
+    return F.coalesce(F.when(units.cast("double") / scale != value, refused.cast("bigint")), units)
+
+
+def child_units(value: Column, cfg: RollupConfig) -> Column:
+    """summable of the value of a child, which is an average if children are averaged."""
+    return summable(value, cfg, averaged=cfg.child_agg == "avg")
 
 
 def from_summable(total: Column, cfg: RollupConfig) -> Column:

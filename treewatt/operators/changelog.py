@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -83,7 +84,9 @@ def aggregate_changelog(
     ``stream_time``. Only states after an update are rows; the step in between, with the
     old value taken out and the new one not yet added, never shows. Readings must come
     from leaves (else see ``changelog_by_height``), each with its own ``arrival_seq``;
-    ``window_start`` must be present. ``accepted`` is read twice.
+    ``window_start`` must be present. ``accepted`` is read twice. Rows have the window's
+    bounds also under ``drop_window``, as what follows tells groups apart by them; see
+    ``public_columns``.
     """
     _only_last_values(cfg)
     deltas = write_table(child_deltas(_offers(accepted, cfg), cfg), "deltas")
@@ -112,13 +115,20 @@ def aggregate_changelog(
     )
     extra = ("event_time", "arrival_seq", *_stream_time(accepted))
     return _running_results(updates, "ancestor").select(
-        *result_columns(cfg, "ancestor", "n", "total", "newest", extra)
+        *result_columns(replace(cfg, drop_window=False), "ancestor", "n", "total", "newest", extra)
     )
 
 
+def public_columns(results: DataFrame, cfg: RollupConfig) -> DataFrame:
+    """Without the bounds of the window, if results are to be without them."""
+    return results.drop("window_start", "window_end") if cfg.drop_window else results
+
+
 def _only_last_values(cfg: RollupConfig) -> None:
     if cfg.child_agg != "last":
         raise ValueError("the changelog follows last values: child_agg must be 'last'")
+    if cfg.sum_scale is None:
+        raise ValueError("the changelog adds and subtracts: set sum_scale, for exact sums")
 
 
 def changelog_by_height(
@@ -162,7 +172,11 @@ def changelog_by_height(
             )
             after = write_table(_running_results(updates, "parent"), "results")
             results.append(
-                after.select(*result_columns(cfg, "parent", "n", "total", "newest", extra))
+                after.select(
+                    *result_columns(
+                        replace(cfg, drop_window=False), "parent", "n", "total", "newest", extra
+                    )
+                )
             )
             offers = offers.unionByName(
                 after.select(

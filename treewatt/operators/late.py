@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from treewatt.config import RollupConfig
@@ -25,6 +25,31 @@ def with_stream_time(measurements: DataFrame, by: tuple[str, ...] = ()) -> DataF
     )
 
 
+def unique_arrival(measurements: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """Arrival numbers that are unique over all sources and keep the order within each.
+
+    Sources number their readings independently, as the partitions of a bus do. Readings
+    take turns by their number, and of equal numbers the source that sorts first leads.
+    """
+    if not by:
+        return measurements
+    names = [f"_by_{i}" for i in range(len(by))]
+    sources = write_table(
+        measurements.select(*[F.col(c).alias(n) for c, n in zip(by, names, strict=True)])
+        .distinct()
+        .withColumn("_key", F.struct(*names)),
+        "sources",
+    )
+    # One row per source, like the partitions of a bus: few enough for one task.
+    ranked = sources.withColumn("_rank", F.row_number().over(Window.orderBy("_key")) - 1)
+    count = sources.count()
+    same = [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(by, names, strict=True)]
+    numbered = measurements.join(sized(ranked, count, 100_000), same)
+    return numbered.withColumn(
+        "arrival_seq", F.col("arrival_seq") * F.lit(count).cast("bigint") + F.col("_rank")
+    ).select(*measurements.columns)
+
+
 def closing_arrivals(
     measurements: DataFrame, cfg: RollupConfig, by: tuple[str, ...] = ()
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from treewatt.config import RollupConfig
 from treewatt.functions.columns import (
     result_columns,
-    summable,
+    child_units,
 )
 from treewatt.functions.tables import sized
 from treewatt.operators.hierarchy import Hierarchy
@@ -32,7 +32,7 @@ def aggregate_children(values: DataFrame, cfg: RollupConfig) -> DataFrame:
         values.groupBy("window_start", "parent")
         .agg(
             F.count("*").alias("n"),
-            F.sum(summable(F.col("value_w"), cfg)).alias("total"),
+            F.sum(child_units(F.col("value_w"), cfg)).alias("total"),
             F.max("payload_ts_ms").alias("newest"),
             F.max("event_time").alias("event_time"),
         )
@@ -81,7 +81,7 @@ def rollup_values(values: DataFrame, hierarchy: Hierarchy, cfg: RollupConfig) ->
     along as result rows, so the plan is one chain that reads its input once.
     """
     nodes = hierarchy.sized_nodes().withColumnRenamed("child", "identifier")
-    units = summable(F.col("value_w"), cfg)
+    units = child_units(F.col("value_w"), cfg)
 
     # Leaves go to their parents; a reading of a group itself waits for its children.
     placed = values.join(nodes, "identifier").withColumn("is_leaf", F.col("height") == 0)
@@ -116,7 +116,7 @@ def rollup_memberships(values: DataFrame, groups: Hierarchy | None, cfg: RollupC
         F.col("parent").alias("node"),
         F.lit(False).alias("done"),
         F.lit(1).cast("bigint").alias("n"),
-        summable(F.col("value_w"), cfg).alias("total"),
+        child_units(F.col("value_w"), cfg).alias("total"),
         F.col("payload_ts_ms").alias("newest"),
         *nothing_own[:2],
         "event_time",
@@ -235,7 +235,7 @@ def closure_results(values: DataFrame, cfg: RollupConfig) -> DataFrame:
     row per (window, group, direct child) at most.
     """
     per_child = values.groupBy("window_start", "ancestor", "via_child").agg(
-        F.sum(summable(F.col("value_w"), cfg) * F.col("paths")).alias("total"),
+        F.sum(child_units(F.col("value_w"), cfg) * F.col("paths")).alias("total"),
         F.max("payload_ts_ms").alias("newest"),
         F.max("event_time").alias("event_time"),
     )

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from treewatt.config import RollupConfig
-from treewatt.functions.tables import sized, write_table
+from treewatt.functions.running import Running, with_running
+from treewatt.functions.tables import write_table
 
 _GROUP = ["window_start", "identifier"]
 
@@ -36,9 +35,11 @@ def throttle(
 
     An update whose own record time is old enough is released at once, and takes nothing
     with it: record times only grow within a group, so an entry opened earlier is due no
-    later. The other updates fall into entries one after the other. Each round finds the
-    first open entry of all groups together by aggregation; ordered input needs one
-    round, corrections within the grace period one more each.
+    later. The other updates fall into entries one after the other: if an update opens
+    one, the next opener is the first update whose stream time reaches its due time. That
+    successor is found for every update at once, and the openers are what the first update
+    of a group reaches, found by doubling the length of the jumps: the rounds grow with the
+    logarithm of the entries of a group.
     """
     period = cfg.emit_period_ms * 1000
     columns = changelog.columns
@@ -58,36 +59,78 @@ def throttle(
         "changelog",
     )
     result = [*columns, "entry_time"]
-    released = [rows.where("_clock >= _due").select(*result)]
-    open_entries = [rows.limit(0).select(*result)]
+    released = rows.where("_clock >= _due").select(*result)
 
     waiting = rows.where("_clock < _due")
-    while True:
-        openers = write_table(
-            waiting.groupBy(*_GROUP).agg(
-                F.min_by("entry_time", "_order").alias("_opened"),
-                F.min_by("_due", "_order").alias("_entry_due"),
-            ),
-            "openers",
-        )
-        groups = openers.count()
-        if groups == 0:
-            break
-        placed = waiting.join(sized(openers, groups, cfg.broadcast_rows), _GROUP)
-        newest = [F.max_by(c, "_order").alias(c) for c in columns if c not in _GROUP]
-        entries = (
-            placed.where("_clock < _entry_due")
-            .groupBy(*_GROUP)
-            .agg(
-                *newest,
-                F.max("_opened").alias("entry_time"),
-                F.max("_entry_due").alias("_entry_due"),
-            )
+    openers = _openers(waiting)
+    entry_due = _first_beyond(
+        openers.select(*_GROUP, F.col("_due").alias("_at"), F.col("_due").alias("_value")),
+        waiting.select(*_GROUP, F.col("_clock").alias("_at")),
+        reached=False,
+    ).withColumnRenamed("_value", "_entry_due")
+    placed = waiting.join(entry_due.withColumnRenamed("_at", "_clock"), [*_GROUP, "_clock"])
+    newest = [F.max_by(c, "_order").alias(c) for c in columns if c not in _GROUP]
+    entries = write_table(
+        placed.groupBy(*_GROUP, "_entry_due").agg(
+            *newest, F.min_by("entry_time", "_order").alias("entry_time")
+        ),
+        "entries",
+    )
+    is_due = F.col("_entry_due") <= F.lit(end_micros).cast("bigint")
+    return (
+        released.unionByName(entries.where(is_due).select(*result)),
+        entries.where(~is_due).select(*result),
+    )
+
+
+def _first_beyond(points: DataFrame, asked: DataFrame, reached: bool) -> DataFrame:
+    """For each asked (group, _at) the smallest _value of the group's points from there on.
+
+    With ``reached`` a point at the asked time itself counts. Points and questions are
+    reduced to one row per group and time and scanned from the newest to the oldest in
+    chunks, so no group is one task.
+    """
+    nothing = F.lit(None).cast("bigint").alias("_value")
+    times = write_table(
+        points.select(*_GROUP, "_at", "_value")
+        .unionByName(asked.select(*_GROUP, "_at", nothing))
+        .groupBy(*_GROUP, "_at")
+        .agg(F.min("_value").alias("_value"))
+        .withColumn("_back", -F.col("_at")),
+        "times",
+    )
+    scanned = with_running(
+        times.withColumnRenamed("_value", "_own"),
+        _GROUP,
+        "_back",
+        [Running("_value", "min", "_own", before=not reached)],
+        chunk_bits=(22, 20),
+    )
+    return scanned.select(*_GROUP, "_at", "_value").where("_value IS NOT NULL")
+
+
+def _openers(waiting: DataFrame) -> DataFrame:
+    """(group, _order, _due) of the updates that open an entry."""
+    updates = waiting.select(*_GROUP, "_order", "_clock", "_due")
+    following = _first_beyond(
+        updates.select(*_GROUP, F.col("_clock").alias("_at"), F.col("_order").alias("_value")),
+        updates.select(*_GROUP, F.col("_due").alias("_at")),
+        reached=True,
+    ).select(*_GROUP, F.col("_at").alias("_due"), F.col("_value").alias("_to"))
+    jumps = write_table(
+        updates.join(following, [*_GROUP, "_due"]).select(*_GROUP, "_order", "_to"), "jumps"
+    )
+    marked = write_table(updates.groupBy(*_GROUP).agg(F.min("_order").alias("_order")), "marked")
+    while not jumps.isEmpty():
+        further = jumps.join(marked, [*_GROUP, "_order"]).select(
+            *_GROUP, F.col("_to").alias("_order")
         )
-        is_due = F.col("_entry_due") <= F.lit(end_micros).cast("bigint")
-        released.append(entries.where(is_due).select(*result))
-        open_entries.append(entries.where(~is_due).select(*result))
-        waiting = write_table(
-            placed.where("_clock >= _entry_due").drop("_opened", "_entry_due"), "waiting"
+        marked = write_table(marked.unionByName(further), "marked")
+        then = jumps.select(*_GROUP, F.col("_order").alias("_to"), F.col("_to").alias("_then"))
+        jumps = write_table(
+            jumps.join(then, [*_GROUP, "_to"]).select(
+                *_GROUP, "_order", F.col("_then").alias("_to")
+            ),
+            "jumps",
         )
-    return reduce(DataFrame.unionByName, released), reduce(DataFrame.unionByName, open_entries)
+    return updates.join(marked, [*_GROUP, "_order"]).select(*_GROUP, "_order", "_due")

@@ -7,10 +7,14 @@ from pyspark.sql import DataFrame
 from treewatt.config import RollupConfig, require
 from treewatt.functions.tables import write_table
 from treewatt.operators.attribution import contributions_over_time
-from treewatt.operators.changelog import aggregate_changelog, changelog_by_height
+from treewatt.operators.changelog import (
+    aggregate_changelog,
+    changelog_by_height,
+    public_columns,
+)
 from treewatt.operators.hierarchy import Hierarchy, build_hierarchy
 from treewatt.operators.latest import value_per_window
-from treewatt.operators.late import accepted_with_stream_time, drop_late
+from treewatt.operators.late import accepted_with_stream_time, drop_late, unique_arrival
 from treewatt.operators.registry import (
     current_parents,
     diff_history,
@@ -41,7 +45,8 @@ def build_batch(
     emission   "final": one result per window and group after all accepted readings;
                "closure": the same without iteration, when only leaves report;
                "changelog": every update; "throttled": rate-limited updates
-    by         columns that name the source whose clock decides lateness
+    by         columns that name the source whose clock decides lateness; arrival numbers
+               are then unique within a source only, and changelogs carry new ones
     groups_report   whether groups may send readings of their own; "changelog" and
                "throttled" then go level by level ("final" always does)
     """
@@ -52,12 +57,13 @@ def build_batch(
         return rollup_closure(drop_late(measurements, cfg, by), hierarchy, cfg)
     if emission not in EMISSIONS:
         raise ValueError(f"emission must be one of {EMISSIONS}")
-    accepted = write_table(accepted_with_stream_time(measurements, cfg, by), "accepted")
+    arrived = unique_arrival(measurements, by)
+    accepted = write_table(accepted_with_stream_time(arrived, cfg, by), "accepted")
     follow = changelog_by_height if groups_report else aggregate_changelog
     changelog = follow(accepted, hierarchy, cfg)
-    if emission == "changelog":
-        return changelog
-    return throttled_emission(changelog, measurements, cfg)
+    if emission == "throttled":
+        changelog = throttled_emission(changelog, measurements, cfg)
+    return public_columns(changelog, cfg)
 
 
 def hierarchy_from_events(events: DataFrame, cfg: RollupConfig) -> Hierarchy:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from treewatt.config import RollupConfig
-from treewatt.functions.columns import result_columns, summable, window_length
+from treewatt.functions.columns import result_columns, child_units, window_length
 from treewatt.operators.hierarchy import Hierarchy
 from treewatt.operators.latest import child_value
 from treewatt.operators.rollup import leaf_only
@@ -38,7 +38,7 @@ def final_results(readings: DataFrame, hierarchy: Hierarchy, cfg: RollupConfig)
         last.join(closure, "identifier")
         .groupBy(F.window("w", length).alias("w"), "ancestor", "via_child")
         .agg(
-            F.sum(summable(leaf_only("value_w"), cfg) * F.col("paths")).alias("total"),
+            F.sum(child_units(leaf_only("value_w"), cfg) * F.col("paths")).alias("total"),
             F.max("payload_ts_ms").alias("newest"),
             F.max("event_time").alias("event_time"),
         )
