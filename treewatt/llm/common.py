@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import posixpath
 import uuid
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,6 +93,21 @@ class NewFile:
         self.system.move(self.part, self.path)
 
 
+def kept_with_text(
+    df: DataFrame, keep: list, text_col: str
+) -> tuple[DataFrame, Callable[[pa.RecordBatch], pa.Array]]:
+    """(keep, body): a struct of columns and the text, and how a task gets at the texts.
+
+    Where all columns are kept the text is among them, and body is left out, so that it
+    travels once.
+    """
+    rows = df.select(F.struct(*keep).alias("keep"), F.col(text_col).alias("body"))
+    if keep != ["*"]:
+        return rows, lambda batch: batch.column(1)
+    place = df.columns.index(text_col)
+    return rows.drop("body"), lambda batch: batch.column(0).field(place)
+
+
 _HELD: dict[tuple, object] = {}
 
 
@@ -104,3 +121,8 @@ def held_in_worker(key: tuple, make):
         _HELD.clear()
         _HELD[key] = make()
     return _HELD[key]
+
+
+def let_go_in_worker() -> None:
+    """Frees what held_in_worker keeps; for operators that need the room."""
+    _HELD.clear()

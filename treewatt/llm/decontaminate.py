@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from treewatt.llm.common import Scratch
+from treewatt.llm.common import Scratch, kept_with_text, let_go_in_worker
 
 WINDOW = 10
 BLOCK_BYTES = 4 << 20
@@ -103,17 +103,18 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int)
     return [rows.where(part == i) for i in range(parts)] if parts > 1 else [rows]
 
 
-def _scan_block(items: list[tuple[str, bytes | None]], window: int, at: int):
-    """Adds to _hits the word numbers hit and to _items the items found, row by row."""
+def _scan_block(items: list[tuple[str, bytes | None]], window: int, texts_of):
+    """Adds to hits the word numbers hit and to items the items found, row by row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go_in_worker()
         tables = test_strings(items, window)
         for batch in batches:
             counts, hits, found = [], [], []
             for text, old, had in zip(
-                batch.column(at), batch.column(at + 2), batch.column(at + 3), strict=True
+                texts_of(batch), *(batch.column(c) for c in ("hits", "items")), strict=True
             ):
-                words = words_of(text.as_py())
+                words = words_of((text.as_py() or "").encode())
                 marks, ids = bytearray(len(words)), set(had.as_py() or ())
                 for number in old.as_py() or ():
                     marks[number] = 1
@@ -122,7 +123,7 @@ def _scan_block(items: list[tuple[str, bytes | None]], window: int, at: int):
                 counts.append(len(words))
                 hits.append([i for i, mark in enumerate(marks) if mark] if any(marks) else [])
                 found.append(sorted(ids))
-            columns = batch.columns[: at + 1] + [
+            columns = batch.columns[:-3] + [
                 pa.array(counts, pa.int64()),
                 pa.array(hits, pa.list_(pa.int32())),
                 pa.array(found, pa.list_(pa.string())),
@@ -148,9 +149,9 @@ def benchmark_hits(
     strings, items the ids of the items that occur, both ascending.
     """
     scratch = Scratch(docs.sparkSession, "decontaminate")
-    state = docs.select(
-        F.struct(*keep).alias("keep"),
-        F.col(text_col).cast("binary").alias("body"),
+    kept, texts_of = kept_with_text(docs, keep, text_col)
+    state = kept.select(
+        "*",
         F.lit(0).cast("bigint").alias("n_words"),
         F.array().cast("array<int>").alias("hits"),
         F.array().cast("array<string>").alias("items"),
@@ -162,7 +163,7 @@ def benchmark_hits(
             if number > 1:
                 scratch.drop(f"pass-{number - 1}")
         items = [(r.item, None if r.body is None else bytes(r.body)) for r in block.collect()]
-        state = state.mapInArrow(_scan_block(items, window, 1), state.schema)
+        state = state.mapInArrow(_scan_block(items, window, texts_of), state.schema)
     return state.drop("body")
 
 

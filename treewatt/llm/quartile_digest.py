@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from treewatt.functions.tables import sized
-from treewatt.llm.common import Scratch
+from treewatt.llm.common import Scratch, let_go_in_worker
 
 BUCKETS = 1024
 PART = 1 << 20
@@ -127,6 +127,7 @@ def _batch(rows: list[tuple], kinds: dict) -> pa.RecordBatch:
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of a sorted partition with the row after them; its first and last row as they are."""
+    let_go_in_worker()
     part, nothing = TaskContext.get().partitionId(), (None,) * len(COMPARED)
     held = None
     for batch in batches:

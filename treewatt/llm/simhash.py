@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from treewatt.functions.tables import sized
-from treewatt.llm.common import Scratch, id_or_surrogate, shown_id
+from treewatt.llm.common import Scratch, id_or_surrogate, let_go_in_worker, shown_id
 from treewatt.llm.components import components
 
 SEED = 42
@@ -89,6 +89,7 @@ def fingerprints(
     names = lane_names(lanes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go_in_worker()
         for batch in batches:
             rows = [fingerprint(x.as_py(), words, lanes) for x in batch.column(2)]
             signed = np.array(rows, np.uint64).reshape(-1, lanes).view(np.int64)

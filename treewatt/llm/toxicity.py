@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from treewatt.functions.tables import sized
-from treewatt.llm.common import Scratch, held_in_worker
+from treewatt.llm.common import Scratch, held_in_worker, kept_with_text, let_go_in_worker
 
 ORDER = 5  # characters of the longest grams
 SHARED = 3  # grams up to this length are shared by the classes
@@ -52,7 +52,9 @@ CALIBRATION_ROWS = 20_000
 DEFAULT_CURVE = (-4.0, 2.0, 0.0)
 THRESHOLD = 0.3
 LABEL_ROWS = 1_000_000  # up to here labels are broadcast
-KNOWN = 500_000
+KNOWN = 200_000
+ROWS = 250  # texts that are cut into words at once
+COUNTED_ROWS = 2_500  # texts whose words are counted together before the shuffle
 
 SUMS = ("toxic", "ordinary")
 
@@ -68,15 +70,18 @@ def pieces_of(text: str | None) -> list[str]:
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    let_go_in_worker()
     for batch in batches:
-        counts = (Counter(), Counter())
-        for text, label in zip(batch.column(0), batch.column(1), strict=True):
-            counts[1 - label.as_py()].update(pieces_of(text.as_py()))
-        words = list(counts[0].keys() | counts[1].keys())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(words, pa.string()), *(pa.array([c[w] for w in words], pa.int64()) for c in counts)],
-            ["word", *SUMS],
-        )
+        for at in range(0, batch.num_rows, COUNTED_ROWS):
+            part = batch.slice(at, COUNTED_ROWS)
+            counts = (Counter(), Counter())
+            for text, label in zip(part.column(0), part.column(1), strict=True):
+                counts[1 - label.as_py()].update(pieces_of(text.as_py()))
+            words = list(counts[0].keys() | counts[1].keys())
+            sums = [pa.array([c[w] for w in words], pa.int64()) for c in counts]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(words, pa.string()), *sums], ["word", *SUMS]
+            )
 
 
 def _present(name: str) -> Column:
@@ -237,24 +242,23 @@ class Model:
     def measured(self, docs: DataFrame, keep: list[Column | str], text_col: str) -> DataFrame:
         """(keep, largest, mean) per row; keep is a struct of the columns given."""
         key, tables = self.key, self.tables
+        kept, texts_of = kept_with_text(docs, keep, text_col)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 ratios = held_in_worker(("ratios", key), lambda: Ratios(tables.value))
                 rows: list[tuple[float, float]] = []
-                for at in range(0, batch.num_rows, 1000):
-                    rows += ratios.measures(batch.column(1).slice(at, 1000).to_pylist())
+                texts = texts_of(batch)
+                for at in range(0, batch.num_rows, ROWS):
+                    rows += ratios.measures(texts.slice(at, ROWS).to_pylist())
                 columns = zip(*rows, strict=True) if rows else [(), ()]
                 arrays = [pa.array(c, pa.float64()) for c in columns]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), *arrays], ["keep", "largest", "mean"]
                 )
 
-        rows = docs.select(F.struct(*keep).alias("keep"), F.col(text_col).alias("body"))
-        schema = rows.select("keep").withColumns(
-            {c: F.lit(0.0) for c in ("largest", "mean")}
-        ).schema
-        return rows.mapInArrow(run, schema)
+        measures = {c: F.lit(0.0) for c in ("largest", "mean")}
+        return kept.mapInArrow(run, kept.select("keep").withColumns(measures).schema)
 
     def score(self) -> Column:
         start, largest, mean = map(F.lit, self.curve)
