@@ -19,8 +19,8 @@ from treewatt.operators import attribution, late, latest, registry, rollup
 from treewatt.operators.hierarchy import Hierarchy, build_hierarchy
 from treewatt.plans import sample_tables as sample
 from treewatt.plans.batch import build_batch, rollup_changing_membership
-from treewatt.schemas import MEASUREMENT
-from treewatt.sources.writers import stream_batches
+from treewatt.sources.readers import read_measurements
+from treewatt.sources.writers import stream_batches, write_results
 from treewatt.streaming.incremental import IncrementalRollup, incremental_writer
 from treewatt.streaming.windows import final_results
 
@@ -149,6 +149,18 @@ def registry_history(spark: SparkSession, folder: str) -> DataFrame:
     return _plain(registry.diff_history(first.unionByName(second)))
 
 
+def registry_emptied(spark: SparkSession, folder: str) -> DataFrame:
+    """Everyone joins, the registry is emptied, the second version joins."""
+    stamps = [(0, sample.START_TIME), (1, sample.EMPTIED_TIME), (2, sample.CHANGE_TIME)]
+    events = spark.createDataFrame(stamps, "arrival_seq bigint, event_time string").withColumn(
+        "event_time", F.col("event_time").cast("timestamp")
+    )
+    full = sample.customer_edges(spark, folder).withColumn("arrival_seq", F.lit(0).cast("bigint"))
+    last = sample.second_version(spark, folder).withColumn("arrival_seq", F.lit(2).cast("bigint"))
+    edges = full.unionByName(last).join(F.broadcast(events), "arrival_seq")
+    return _plain(registry.diff_history(edges, events))
+
+
 def current_parents(spark: SparkSession, folder: str) -> DataFrame:
     return _plain(registry.current_parents(_membership_changes(spark, folder)))
 
@@ -231,7 +243,9 @@ def last_value_per_window(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _shuffled(spark: SparkSession, folder: str) -> DataFrame:
-    return sample.shuffled_arrival(sample.measurements(spark, folder))
+    return sample.shuffled_arrival(
+        sample.measurements(spark, folder), sample.late_places(spark, folder)
+    )
 
 
 def late_filter(spark: SparkSession, folder: str) -> DataFrame:
@@ -252,6 +266,17 @@ def rollup_one_level(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def results_upserted(spark: SparkSession, folder: str) -> DataFrame:
+    """Results written in two parts that share windows of every day, and read again."""
+    edges, rows = _customer_edges(spark, folder)
+    results = rollup.rollup_one_level(sample.measurements(spark, folder), edges, rows, CFG)
+    results = write_table(results, "results")
+    path = new_path(spark, "upserted")
+    write_results(results.where(F.hour("window_start") < 18), path)
+    write_results(results.where(F.hour("window_start") >= 6), path)
+    return _results(spark.read.schema(results.schema).parquet(path))
+
+
 def rollup_child_avg(spark: SparkSession, folder: str) -> DataFrame:
     edges, rows = _customer_edges(spark, folder)
     return _results(
@@ -316,13 +341,30 @@ def aggregate_changelog(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def changelog_group_reports(spark: SparkSession, folder: str) -> DataFrame:
-    readings = sample.shuffled_arrival(sample.inner_node_reports(spark, folder))
+    readings = sample.shuffled_arrival(
+        sample.inner_node_reports(spark, folder), sample.late_places(spark, folder)
+    )
     log = build_batch(
         readings, _balanced(spark, folder), GRACE, "changelog", groups_report=True
     )
     return _plain(log.drop("window_end"))
 
 
+def changelog_two_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """Every kind of event is a source with a clock and arrival numbers of its own."""
+    events = sample.table(spark, folder, "events")
+    shuffled = sample.shuffled_arrival(
+        sample.measurements_of(events, "event_type"), sample.late_places(spark, folder)
+    )
+    readings = write_table(
+        sample.numbered_by_source(write_table(shuffled, "shuffled"), "event_type"), "numbered"
+    )
+    log = build_batch(
+        readings, _balanced(spark, folder), GRACE, "changelog", by=("event_type",)
+    )
+    return _plain(log.drop("window_end"))
+
+
 def throttled_emission(spark: SparkSession, folder: str) -> DataFrame:
     out = build_batch(_shuffled(spark, folder), _balanced(spark, folder), GRACE, "throttled")
     return _plain(out.drop("window_end"))
@@ -350,21 +392,23 @@ def rollup_final(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def rollup_throttled_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The throttled emission from three micro-batches, cut along the arrival order."""
+    """The throttled emission from three micro-batches, cut along the arrival order.
+
+    Each part is appended and taken by a run of the query that starts where the one before
+    ended.
+    """
     readings = _shuffled(spark, folder)
     span = readings.agg(F.max("arrival_seq")).first()[0] + 1
-    source = new_path(spark, "arrivals")
-    for part in range(3):
-        inside = F.floor(F.col("arrival_seq") * 3 / span) == part
-        readings.where(inside).coalesce(1).write.mode("append").parquet(source)
-    stream = (
-        spark.readStream.schema(MEASUREMENT).option("maxFilesPerTrigger", 1).parquet(source)
-    )
-    out = new_path(spark, "throttled")
+    source, out = new_path(spark, "arrivals"), new_path(spark, "throttled")
+    checkpoint = new_path(spark, "throttled-checkpoint")
     step = IncrementalRollup(
         _balanced(spark, folder), GRACE, new_path(spark, "state"), out, "throttled"
     )
-    _run(incremental_writer(stream, step, new_path(spark, "throttled-checkpoint")))
+    for part in range(3):
+        inside = F.floor(F.col("arrival_seq") * 3 / span) == part
+        readings.where(inside).write.mode("append").parquet(source)
+        stream = read_measurements(spark, "parquet", source, streaming=True)
+        _run(incremental_writer(stream, step, checkpoint))
     return _plain(spark.read.parquet(out).drop("window_end", "batch_id"))
 
 
@@ -377,6 +421,7 @@ _QUERIES = (
     registry_duplicate_ids,
     registry_diff,
     registry_history,
+    registry_emptied,
     current_parents,
     membership_retractions,
     join_current_parents,
@@ -390,6 +435,7 @@ _QUERIES = (
     late_filter,
     stream_time,
     rollup_one_level,
+    results_upserted,
     rollup_child_avg,
     rollup_multilevel,
     rollup_closure,
@@ -399,6 +445,7 @@ _QUERIES = (
     rollup_accepted,
     rollup_changing_members,
     aggregate_changelog,
+    changelog_two_sources,
     changelog_group_reports,
     throttled_emission,
     rollup_final,

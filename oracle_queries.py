@@ -12,12 +12,18 @@ m AS (
   FROM events
 )"""
 
+_PLACES = "(SELECT greatest(97, max(event_id) // 103) FROM events)"
+
+
+def _late(seq: str) -> str:
+    return f"({seq} + ({seq} * 7919) % {_PLACES}) * {_PLACES} + {seq} % {_PLACES}"
+
+
 _SHUFFLED = (
     _M
-    + """,
+    + f""",
 s AS (
-  SELECT identifier, event_time, payload_ts_ms, value_w,
-         (arrival_seq + (arrival_seq * 7919) % 97) * 128 + arrival_seq % 128 AS arrival_seq
+  SELECT identifier, event_time, payload_ts_ms, value_w, {_late('arrival_seq')} AS arrival_seq
   FROM m
 ),
 timed AS (
@@ -459,7 +465,7 @@ WITH inner_m AS (
   SELECT CASE WHEN event_type = 'error' THEN 'nation-' || c_nationkey
               ELSE 'customer-' || user_id END AS identifier,
          ts AS event_time, epoch_us(ts) // 1000 AS payload_ts_ms, value AS value_w,
-         (event_id + (event_id * 7919) % 97) * 128 + event_id % 128 AS arrival_seq
+         {_late('event_id')} AS arrival_seq
   FROM events JOIN customer ON user_id = c_custkey
 ),
 timed AS (
@@ -528,3 +534,39 @@ JOIN states s ON s.q = u.arrival_seq AND s.identifier = b.ancestor
 JOIN newest t ON t.q = u.arrival_seq AND t.identifier = b.ancestor"""
 ORACLE["rollup_final"] = _BALANCED_ROLLUP + _CLOSED
 ORACLE["rollup_throttled_stream"] = ORACLE["throttled_emission"]
+ORACLE["results_upserted"] = ORACLE["rollup_one_level"]
+
+ORACLE["registry_emptied"] = f"""
+WITH {_CUSTOMERS},{_VERSION_2}
+SELECT child, 'upsert' AS op, CAST(NULL AS VARCHAR) AS old_parents, parent AS parents,
+       CAST(0 AS BIGINT) AS arrival_seq, TIMESTAMP '2024-01-01 00:00:00' AS event_time
+FROM customers
+UNION ALL
+SELECT child, 'delete', parent, NULL, 1, TIMESTAMP '2024-01-08 00:00:00' FROM customers
+UNION ALL
+SELECT child, 'upsert', NULL, parent, 2, TIMESTAMP '2024-01-15 00:00:00' FROM version2"""
+
+# Sources take turns by their own numbers; each has its own stream time.
+_SOURCES = f"""
+shuffled AS (
+  SELECT 'customer-' || user_id AS identifier, ts AS event_time,
+         epoch_us(ts) // 1000 AS payload_ts_ms, value AS value_w, event_type,
+         {_late('event_id')} AS seq
+  FROM events
+),
+numbered AS (
+  SELECT *, (row_number() OVER (PARTITION BY event_type ORDER BY seq) - 1)
+              * (SELECT count(DISTINCT event_type) FROM events)
+            + dense_rank() OVER (ORDER BY event_type) - 1 AS arrival_seq
+  FROM shuffled
+),
+timed AS (
+  SELECT *, max(event_time) OVER (PARTITION BY event_type ORDER BY arrival_seq) AS stream_time,
+         time_bucket(INTERVAL '6 hours', event_time) AS window_start
+  FROM numbered
+),
+acc AS (
+  SELECT * EXCLUDE (event_type, seq) FROM timed
+  WHERE window_start + INTERVAL '6 hours' + INTERVAL '1 hour' > stream_time
+)"""
+ORACLE["changelog_two_sources"] = ORACLE["aggregate_changelog"].replace(_SHUFFLED, _SOURCES)

@@ -9,12 +9,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from treewatt.functions.running import Running, with_running
 from treewatt.session import use_utc
 
 # Second version of the customer memberships: customers divisible by 17 leave, of the
 # others those divisible by 10 move to the next nation.
 CHANGE_TIME = "2024-01-15 00:00:00"
 START_TIME = "2024-01-01 00:00:00"
+EMPTIED_TIME = "2024-01-08 00:00:00"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -41,11 +43,28 @@ def measurements(spark: SparkSession, folder: str) -> DataFrame:
     return measurements_of(table(spark, folder, "events"))
 
 
-def shuffled_arrival(readings: DataFrame) -> DataFrame:
-    """The same readings, arriving up to 96 places late."""
-    seq = F.col("arrival_seq")
-    late = seq + (seq * 7919) % 97
-    return readings.withColumn("arrival_seq", late * 128 + seq % 128)
+def late_places(spark: SparkSession, folder: str) -> int:
+    """By how many places readings may be late: about seven hours, however dense they are."""
+    last = table(spark, folder, "events").agg(F.max("event_id")).first()[0] or 0
+    return max(97, last // 103)
+
+
+def shuffled_arrival(readings: DataFrame, places: int) -> DataFrame:
+    """The same readings, each arriving fewer than so many places late."""
+    seq, span = F.col("arrival_seq"), F.lit(places).cast("bigint")
+    late = seq + (seq * 7919) % span
+    return readings.withColumn("arrival_seq", late * span + seq % span)
+
+
+def numbered_by_source(readings: DataFrame, source: str) -> DataFrame:
+    """Arrival numbers that start at 0 in every source, as in the partitions of a bus."""
+    counted = with_running(
+        readings.withColumn("_one", F.lit(1).cast("bigint")),
+        [source],
+        "arrival_seq",
+        [Running("_number", "sum", "_one")],
+    )
+    return counted.withColumn("arrival_seq", F.col("_number") - 1).drop("_one", "_number")
 
 
 def group_edges(spark: SparkSession, folder: str) -> DataFrame:
