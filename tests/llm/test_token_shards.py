@@ -36,7 +36,7 @@ def odd_texts(seed, count):
 
 
 def test_chunks_give_the_ids_of_whole_texts(library):
-    texts = odd_texts(5, 4000)
+    texts = odd_texts(5, 4000) + ["a <|endoftext|> b", "<|endoftext|>", " <|endoftext|>x y"]
     made = ChunkEncoder(production_tokenizer(), 2).encode(texts)
     for text, body in zip(texts, made, strict=True):
         ids = library.encode(text, add_special_tokens=False).ids

@@ -22,7 +22,7 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import chain, islice
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +44,7 @@ BROADCAST_ROWS = 100_000
 BLANKS = "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
     map(chr, range(0x2000, 0x200B))
 )
+GROUP = 20  # chunks that are encoded together
 MARKS = ".,;:!?"
 LETTERS = frozenset(c for c in map(chr, range(0x250)) if c.isalpha())
 BLANK_BEFORE_SPACE = [blank + " " for blank in BLANKS]
@@ -85,13 +86,38 @@ class ChunkEncoder:
         self.dtype = np.dtype("<u2" if largest < 1 << 16 else "<u4")
         self.end = np.array([end_id], self.dtype).tobytes()
         self.known: dict[str, bytes] = {}
+        self.between = None
+        for number, token in self.tokenizer.get_added_tokens_decoder().items():
+            if token.special and not (token.lstrip or token.rstrip or token.single_word):
+                self.between = (number, token.content)
         self.marks = dict(zip(MARKS, self._ids(list(MARKS)), strict=True))
 
     def _ids(self, texts: list[str]) -> Iterator[bytes]:
-        for at in range(0, len(texts), 10_000):
-            part = texts[at : at + 10_000]
-            for made in self.tokenizer.encode_batch_fast(part, add_special_tokens=False):
-                yield np.array(made.ids, self.dtype).tobytes()
+        """Ids of each text, encoded in groups with a special token between them.
+
+        The library cuts at special tokens before it does anything else. Texts that hold
+        that token go through on their own.
+        """
+        number, token = self.between or (-1, "")
+        size = GROUP if self.between else 1
+        groups = [texts[i : i + size] for i in range(0, len(texts), size)]
+        for at in range(0, len(groups), 1000):
+            part = groups[at : at + 1000]
+            joined = [token.join(group) for group in part]
+            batch = self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)
+            for group, made in zip(part, batch, strict=True):
+                ids = np.array(made.ids, self.dtype)
+                cuts = np.flatnonzero(ids == number).tolist() if len(group) > 1 else []
+                if len(cuts) != len(group) - 1:
+                    for text in group:
+                        alone = self.tokenizer.encode(text, add_special_tokens=False).ids
+                        yield np.array(alone, self.dtype).tobytes()
+                    continue
+                data, width, start = ids.tobytes(), self.dtype.itemsize, 0
+                for cut in cuts:
+                    yield data[start : cut * width]
+                    start = (cut + 1) * width
+                yield data[start:]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text and the end id, in the shards' byte form."""
@@ -100,8 +126,14 @@ class ChunkEncoder:
         if len(self.known) > CACHE_CHUNKS:
             self.known = dict(islice(self.known.items(), CACHE_CHUNKS // 2))
         known = self.known
-        rest = [chunks[1:] for chunks in split]
-        new = set(chain.from_iterable(rest)).difference(known)
+        rows, new = [], set()
+        for chunks in split:
+            parts = list(map(known.get, chunks))
+            gaps = [i for i, part in enumerate(parts) if part is None]
+            if gaps[:1] == [0]:  # the first chunk has no space before it, see heads
+                del gaps[0]
+            new.update([chunks[i] for i in gaps])
+            rows.append((parts, gaps))
         # A run of letters ends before a mark in any case, so its ids are those without it.
         marked = [c for c in new if c[-1:] in self.marks and c[-2:-1] and c[-2] in LETTERS]
         new.difference_update(marked)
@@ -109,10 +141,14 @@ class ChunkEncoder:
         new = list(new | words)
         known.update(zip(new, self._ids([" " + c for c in new]), strict=True))
         known.update((c, known[c[:-1]] + self.marks[c[-1]]) for c in marked)
-        return [
-            b"".join([head, *map(known.__getitem__, chunks), self.end])
-            for head, chunks in zip(heads, rest, strict=True)
-        ]
+        out = []
+        for head, chunks, (parts, gaps) in zip(heads, split, rows, strict=True):
+            parts[0] = head
+            for i in gaps:
+                parts[i] = known[chunks[i]]
+            parts.append(self.end)
+            out.append(b"".join(parts))
+        return out
 
 
 def index_bytes(keys: list[int], sizes: list[int], width: int) -> tuple[bytes, list[int]]:
