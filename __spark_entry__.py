@@ -233,13 +233,8 @@ def tumbling_windows(spark: SparkSession, folder: str) -> DataFrame:
 def last_value_per_window(spark: SparkSession, folder: str) -> DataFrame:
     edges, rows = _customer_edges(spark, folder)
     parents = sized(edges.withColumnRenamed("child", "identifier"), rows, CFG.broadcast_rows)
-    return _plain(
-        latest.value_per_window(
-            sample.measurements(spark, folder).join(parents, "identifier"),
-            CFG,
-            ("identifier", "parent"),
-        )
-    )
+    values = latest.value_per_window(sample.measurements(spark, folder), CFG)
+    return _plain(values.join(parents, "identifier"))
 
 
 def _shuffled(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,5 +1,5 @@
 import pytest
-from helpers import hierarchy, readings, registry_events, windows_counts_sums
+from helpers import at, hierarchy, readings, registry_events, windows_counts_sums
 
 from treewatt import RollupConfig
 from treewatt.operators.attribution import (
@@ -105,3 +105,21 @@ def test_hierarchy_after_all_events(spark):
     assert {(r.child, r.parent) for r in tree.edges.collect()} == {
         (child, parent) for parent, children in A_MOVED.items() for child in children
     }
+
+
+@pytest.mark.parametrize("second", [5, 4.2])
+def test_kept_parents_get_no_reading_twice(spark, second):
+    """Sums under {x, y} -> {x, z}; also with a reading at the time of the change."""
+    rows = [
+        ("a", "upsert", None, ["x", "y"], 0, at(0)),
+        ("a", "upsert", ["x", "y"], ["x", "z"], 1, at(second)),
+    ]
+    history = spark.createDataFrame(
+        rows,
+        "child string, op string, old_parents array<string>, parents array<string>, "
+        "arrival_seq bigint, event_time timestamp",
+    )
+    df = readings(spark, [("a", 4.1, 10), ("a", second, 7)])
+    cfg = RollupConfig(2000, child_agg="sum", sum_scale=3)
+    out = rollup_changing_membership(df, history, 2, None, cfg)
+    assert windows_counts_sums(out) == [(4.0, "x", 1, 17.0), (4.0, "z", 1, 17.0)]

@@ -4,7 +4,7 @@ import random
 
 import pytest
 from helpers import hierarchy, readings
-from scenarios import TWO_LEVELS, UNBALANCED
+from scenarios import PAIR, TWO_LEVELS, UNBALANCED
 from test_rollup import leaves, parents_of
 
 from treewatt import RollupConfig
@@ -119,3 +119,57 @@ def test_a_group_report_replaces_its_children_until_they_are_newer(spark):
     ]
     with pytest.raises(Exception, match="a group reports itself"):
         build_batch(readings(spark, rows), tree, cfg, "changelog").collect()
+
+
+def test_many_corrections_take_few_rounds(spark, monkeypatch):
+    """200 entries one after the other in one group, each opened by a correction."""
+    from treewatt.operators import throttle as module
+
+    tables = []
+    write = module.write_table
+    monkeypatch.setattr(module, "write_table", lambda df, label: tables.append(label) or write(df, label))
+    rows = []
+    for i in range(200):
+        # The first moves the clock past the last entry's due time, the second comes late.
+        rows += [("child2", i + 1000.5, 1), ("child1", i + 1, i)]
+    cfg = RollupConfig(1_000_000, 2_000_000, sum_scale=0)
+    tree = hierarchy(spark, PAIR)
+    out = build_batch(readings(spark, rows), tree, cfg, "throttled").where("unix_seconds(window_start) = 0")
+    got = sorted((r.entry_time.timestamp(), r["count"]) for r in out.collect())
+    assert len(got) > 150
+    assert tables.count("marked") - 1 <= 10
+
+
+def test_changelog_needs_exact_sums_and_keeps_the_last_result(spark):
+    tree = hierarchy(spark, PAIR)
+    rows = [("child1", 0.1, 1e12), ("child2", 0.2, 5), ("child1", 0.3, 1), ("child2", 0.4, 0.001)]
+    with pytest.raises(ValueError, match="sum_scale"):
+        build_batch(readings(spark, rows), tree, RollupConfig(2000), "changelog")
+    cfg = RollupConfig(2000, sum_scale=3)
+    log = build_batch(readings(spark, rows), tree, cfg, "changelog").orderBy("arrival_seq").collect()
+    final = build_batch(readings(spark, rows), tree, cfg, "final").first()
+    assert log[-1].sum_w == final.sum_w == 1.001
+    coarse = RollupConfig(2000, sum_scale=2)
+    with pytest.raises(Exception, match="more decimals"):
+        build_batch(readings(spark, rows), tree, coarse, "final").collect()
+
+
+@pytest.mark.parametrize("emission", ["changelog", "throttled"])
+def test_emissions_without_windows(spark, emission):
+    rows = [("child1", 0.1, 1), ("child2", 2.2, 5), ("child1", 9.3, 1)]
+    cfg = RollupConfig(2000, drop_window=True, sum_scale=3)
+    out = build_batch(readings(spark, rows), hierarchy(spark, PAIR), cfg, emission)
+    assert "window_start" not in out.columns and out.count() >= 2
+
+
+def test_equal_numbers_of_two_sources_stay_apart(spark):
+    """Sources with numbers of their own: a row each, and each source has its own clock."""
+    rows = [("child1", 0.1, 1), ("child2", 0.2, 5)]
+    df = readings(spark, rows).selectExpr("*", "cast(arrival_seq as int) as source")
+    df = df.withColumn("arrival_seq", df.arrival_seq * 0 + 7)
+    log = build_batch(
+        df, hierarchy(spark, PAIR), RollupConfig(2000, sum_scale=3), "changelog", by=("source",)
+    )
+    assert sorted((r.arrival_seq, r["count"], r.sum_w) for r in log.collect()) == [
+        (14, 1, 1.0), (15, 2, 6.0),
+    ]

@@ -46,10 +46,17 @@ def join_parents_as_of(
 
 
 def reattribute_on_change(
-    measurements: DataFrame, changes: DataFrame, change_rows: int, broadcast_rows: int
+    measurements: DataFrame,
+    changes: DataFrame,
+    change_rows: int,
+    broadcast_rows: int,
+    once: bool = False,
 ) -> DataFrame:
     """The last reading of each sensor known when its parents changed.
 
+    With ``once`` no parent gets a reading a second time: a reading at the very time of a
+    change already goes to the new parents, and parents that stay have had the one before.
+
     Each reading falls into exactly one interval between two changes of its sensor, so
     one partial aggregate keeps the last reading per interval and even a sensor with a
     third of all rows is reduced before the shuffle. Carrying the value over intervals
@@ -69,12 +76,18 @@ def reattribute_on_change(
         F.col("arrival_seq").alias("change_seq"),
     )
     order = packed_order(F.unix_micros("event_time"), F.col("arrival_seq"))
+    time = F.col("event_time")
+    if once:
+        known_then, before_last = time < F.col("change_time"), time < F.col("after")
+    else:
+        known_then, before_last = time <= F.col("change_time"), time <= F.col("after")
+    parents = F.col("parents")
+    if once:
+        old = F.coalesce("old_parents", F.array().cast("array<string>"))
+        parents = F.array_except("parents", old)
     last = (
         measurements.join(sized(intervals, change_rows, broadcast_rows), "identifier")
-        .where(
-            (F.col("event_time") <= F.col("change_time"))
-            & (F.col("after").isNull() | (F.col("event_time") > F.col("after")))
-        )
+        .where(known_then & (F.col("after").isNull() | ~before_last))
         .groupBy("identifier", "change_time", "change_seq")
         .agg(
             F.max_by("value_w", order).alias("value_w"),
@@ -85,7 +98,7 @@ def reattribute_on_change(
     known = changes.select(
         F.col("child").alias("identifier"),
         "op",
-        "parents",
+        parents.alias("parents"),
         F.col("event_time").alias("change_time"),
         F.col("arrival_seq").alias("change_seq"),
     ).join(last, ["identifier", "change_time", "change_seq"], "left")
@@ -115,7 +128,8 @@ def contributions_over_time(
     """Readings per parent under a changing membership.
 
     A reading goes to the parents of its event time. At a change the sensor's last
-    reading also goes, at the time of the change, to its new parents. Under "retract"
+    reading also goes, at the time of the change, to its new parents; where readings add
+    up, to those that are new to it. Under "retract"
     what a pair (sensor, former parent) had contributed before the change to the window
     of the change is dropped; earlier windows stay as they are.
     """
@@ -125,8 +139,11 @@ def contributions_over_time(
             measurements, versioned_edges(changes), change_rows, cfg.broadcast_rows
         )
     ).select(*columns)
+    adds_up = cfg.child_agg in ("sum", "avg")
     moved = fan_out(
-        reattribute_on_change(measurements, changes, change_rows, cfg.broadcast_rows)
+        reattribute_on_change(
+            measurements, changes, change_rows, cfg.broadcast_rows, once=adds_up
+        )
     ).withColumn("event_time", F.col("change_time"))
     rows = direct.unionByName(moved.select(*columns))
     if cfg.on_removal == "ignore":
