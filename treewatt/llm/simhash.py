@@ -35,7 +35,7 @@ from treewatt.llm.components import components
 
 SEED = 42
 HASH_BLOCK = 1 << 16
-BROADCAST_ROWS = 100_000
+BROADCAST_ROWS = 1_000_000  # table entries of two numbers each
 
 
 def _mixed(hashes: np.ndarray, lane: int) -> np.ndarray:
