@@ -41,13 +41,14 @@ MAGIC = b"TIDX"
 HEADER = struct.Struct("<4sHHQQ")  # magic, bytes of an id, nothing, keys, documents
 BROADCAST_ROWS = 100_000
 
-BLANKS = "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
+RARE_BLANKS = "\v\f\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
     map(chr, range(0x2000, 0x200B))
 )
+# Texts with one of these are looked at piece by piece.
+UNCOMMON = ("  ", "\n ", "\r ", "\t ", *RARE_BLANKS)
 GROUP = 20  # chunks that are encoded together
 MARKS = ".,;:!?"
 LETTERS = frozenset(c for c in map(chr, range(0x250)) if c.isalpha())
-BLANK_BEFORE_SPACE = [blank + " " for blank in BLANKS]
 
 
 def chunks_of(text: str) -> list[str]:
@@ -58,7 +59,8 @@ def chunks_of(text: str) -> list[str]:
     others with the space put back, are in order those of the whole text.
     """
     pieces = text.split(" ")
-    if pieces[0] and not any(map(text.__contains__, BLANK_BEFORE_SPACE)):
+    odd = any(map(text.__contains__, UNCOMMON))
+    if pieces[0] and not odd:
         return pieces
     out, open_ = [], pieces[0]
     for piece in pieces[1:]:
