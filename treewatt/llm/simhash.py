@@ -29,12 +29,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from treewatt.functions.tables import sized
+from treewatt.functions.tables import setting, sized
 from treewatt.llm.common import Scratch, id_or_surrogate, let_go_in_worker, shown_id
 from treewatt.llm.components import components
 
 SEED = 42
-HASH_BLOCK = 1 << 16
+HASH_BLOCK = 1 << 14
+BATCH_ROWS = "1000"  # texts that travel to a worker at once
 BROADCAST_ROWS = 1_000_000  # table entries of two numbers each
 
 
@@ -218,7 +219,8 @@ def simhash_components(
     """
     scratch = Scratch(docs.sparkSession, "simhash")
     names = lane_names(lanes)
-    marked = scratch.write(fingerprints(docs, id_col, text_col, words, lanes), "marked")
+    with setting(docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS):
+        marked = scratch.write(fingerprints(docs, id_col, text_col, words, lanes), "marked")
     nodes = scratch.write(marked.groupBy(*names).agg(F.min("id").alias("node")), "nodes")
     found = linked_components(nodes, lanes, segments, max_distance, scratch)
     classes = nodes.join(found, "node", "left").select(
