@@ -147,3 +147,35 @@ def test_segments_must_fit_lanes(spark):
     docs = spark.createDataFrame([(1, "a")], DOCS)
     with pytest.raises(ValueError):
         simhash_components(docs, lanes=2, segments=3).count()
+
+
+def jaccard(a, b, words=5):
+    def shingles(text):
+        tokens = text.split(" ")
+        return {" ".join(tokens[i : i + words]) for i in range(len(tokens) - words + 1)}
+
+    a, b = shingles(a), shingles(b)
+    return len(a & b) / len(a | b)
+
+
+def planted(seed, pairs, shared, own):
+    """Pairs of texts with a passage of some words in common and an own rest."""
+    random_ = random.Random(seed)
+
+    def words(n):
+        return [f"w{random_.getrandbits(40):x}" for _ in range(n)]
+
+    out = []
+    for _ in range(pairs):
+        common = words(shared)
+        out += [" ".join(common + words(own)) for _ in range(2)]
+    return out
+
+
+def test_documents_below_the_similarity_stay(spark):
+    texts = planted(5, 150, 176, 28)
+    line = "the same line again and again and " * 60
+    texts += [f"{line}{text}" for text in planted(6, 2, 0, 50)]
+    assert max(jaccard(*texts[i : i + 2]) for i in range(0, len(texts), 2)) < 0.8
+    kept = deduplicate(spark.createDataFrame(list(enumerate(texts)), DOCS).repartition(3))
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(len(texts)))

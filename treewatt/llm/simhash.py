@@ -11,6 +11,10 @@ at a value between them, so all pairs are found whose distance is below
 ``segments * (2 * radius + 1)``; for that reason 2 segments and radius 1 are exact for the
 distance 4. Complete distances are then compared.
 
+``deduplicate`` judges by the Jaccard similarity of the sets of shingle hashes instead.
+Fingerprints of these sets and min-hashes in bands only find the candidates; each link is
+confirmed by the sets themselves before components are formed.
+
 Edge cases: a null or empty text, or one of white space, has the fingerprint zero, which is
 linked like any other; a text of fewer words than a shingle is one shingle; equal texts, and
 other texts of equal fingerprints, form one class whose copies are never compared; rows
@@ -21,7 +25,7 @@ are ignored, whatever their names.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +39,7 @@ from treewatt.llm.components import components
 
 SEED = 42
 HASH_BLOCK = 1 << 14
+MIN_BLOCK = 1 << 10
 BATCH_ROWS = "1000"  # texts that travel to a worker at once
 BROADCAST_ROWS = 1_000_000  # table entries of two numbers each
 
@@ -66,7 +71,11 @@ def shingle_hashes(text: bytes | None, words: int) -> np.ndarray:
 
 def fingerprint(text: bytes | None, words: int, lanes: int = 1) -> list[int]:
     """The lanes of a text as unsigned numbers."""
-    hashes = shingle_hashes(text, words)
+    return lanes_of(shingle_hashes(text, words), lanes)
+
+
+def lanes_of(hashes: np.ndarray, lanes: int) -> list[int]:
+    """The lanes of shingle hashes as unsigned numbers."""
     out = []
     for lane in range(lanes):
         counts = np.zeros(64, np.int64)
@@ -79,6 +88,30 @@ def fingerprint(text: bytes | None, words: int, lanes: int = 1) -> list[int]:
     return out
 
 
+def _draws(count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and odd factors of so many hash functions."""
+    numbers = _mixed(np.arange(1, 2 * count + 1, dtype=np.uint64), 1)
+    return numbers[:count], numbers[count:] | np.uint64(1)
+
+
+def band_keys(hashes: np.ndarray, bands: int, band_rows: int) -> np.ndarray:
+    """One negative number a band, made from the band's min-hashes; none of an empty set.
+
+    Two sets have a band in common with probability 1 - (1 - J ** band_rows) ** bands.
+    """
+    if len(hashes) == 0 or bands == 0:
+        return np.empty(0, np.int64)
+    offsets, factors = _draws(bands * band_rows)
+    least = np.full(len(offsets), 2**64 - 1, np.uint64)
+    for at in range(0, len(hashes), MIN_BLOCK):
+        block = _mixed((hashes[at : at + MIN_BLOCK, None] ^ offsets) * factors, 2)
+        least = np.minimum(least, block.min(axis=0))
+    keys = np.arange(bands, dtype=np.uint64)
+    for row in least.reshape(bands, band_rows).T:
+        keys = _mixed(keys ^ row, 3)
+    return (keys | np.uint64(1 << 63)).view(np.int64)
+
+
 def lane_names(lanes: int) -> list[str]:
     return [f"lane_{i}" for i in range(lanes)]
 
@@ -106,6 +139,60 @@ def fingerprints(
     ).mapInArrow(run, schema)
 
 
+def set_marks(
+    docs: DataFrame, id_col: str, text_col: str, words: int, lanes: int, bands: int, band_rows: int
+) -> DataFrame:
+    """(id, text_hash, lane_0, ..., set_hash, size, bands) per row, of the set of shingles."""
+    names = lane_names(lanes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go_in_worker()
+        for batch in batches:
+            rows, hashes, sizes, keys = [], [], [], []
+            for text in batch.column(2):
+                found = np.unique(shingle_hashes(text.as_py(), words))
+                rows.append(lanes_of(found, lanes))
+                hashes.append(xxhash.xxh64_intdigest(found.tobytes(), SEED))
+                sizes.append(len(found))
+                keys.append(band_keys(found, bands, band_rows))
+            signed = np.array(rows, np.uint64).reshape(-1, lanes).view(np.int64)
+            columns = [batch.column(0), batch.column(1)]
+            columns += [pa.array(np.ascontiguousarray(signed[:, i])) for i in range(lanes)]
+            columns += [
+                pa.array(np.array(hashes, np.uint64).view(np.int64)),
+                pa.array(sizes, pa.int64()),
+                pa.array(keys, pa.list_(pa.int64())),
+            ]
+            yield pa.RecordBatch.from_arrays(
+                columns, ["id", "text_hash", *names, "set_hash", "size", "bands"]
+            )
+
+    schema = "id bigint, text_hash bigint, " + ", ".join(f"{x} bigint" for x in names)
+    return docs.select(
+        id_or_surrogate(id_col, text_col).alias("id"),
+        F.xxhash64(F.col(text_col)).alias("text_hash"),
+        F.col(text_col).cast("binary").alias("body"),
+    ).mapInArrow(run, schema + ", set_hash bigint, size bigint, bands array<bigint>")
+
+
+def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
+    """(node, shingles): the distinct hashes of (node, body)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go_in_worker()
+        for batch in batches:
+            sets = [
+                np.unique(shingle_hashes(x.as_py(), words)).view(np.int64)
+                for x in batch.column(1)
+            ]
+            arrays = [batch.column(0), pa.array(sets, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(arrays, ["node", "shingles"])
+
+    return texts.select("node", F.col("body").cast("binary").alias("body")).mapInArrow(
+        run, "node bigint, shingles array<bigint>"
+    )
+
+
 def _ball(value: Column, width: int, number: int) -> Column:
     """The segment's value and those one bit away, each with the segment's number."""
     flips = F.array(*[F.lit(f).cast("bigint") for f in (0, *(1 << i for i in range(width)))])
@@ -135,7 +222,13 @@ def _distance(lanes: int, left: str, right: str) -> Column:
 
 
 def linked_components(
-    nodes: DataFrame, lanes: int, segments: int, max_distance: int, scratch: Scratch
+    nodes: DataFrame,
+    lanes: int,
+    segments: int,
+    max_distance: int,
+    scratch: Scratch,
+    similarity: float | None = None,
+    confirmed: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
     """(node, root) over (node, lane_0, ...) of distinct fingerprints; lone nodes are left out.
 
@@ -144,9 +237,22 @@ def linked_components(
     members that are not in the component of that node are compared with the others, and
     only across components. Each link between two nodes is hence either compared or
     already implied, while the rows made grow with the entries, not with their square.
+
+    With ``confirmed``, nodes also have ``size`` and ``bands``. What meets at a band is a
+    candidate at any distance; a candidate whose sizes allow the similarity becomes a link
+    if it is among what ``confirmed`` returns of the candidates (u, v).
     """
     names = lane_names(lanes)
-    ball = nodes.select("*", F.explode(_keys(lanes, segments)).alias("key"))
+    keys = _keys(lanes, segments)
+    near = _distance(lanes, "a", "b") <= max_distance
+    if confirmed:
+        names = [*names, "size"]
+        keys = F.concat(keys, "bands")
+        smaller, larger = F.least("a.size", "b.size"), F.greatest("a.size", "b.size")
+        near = (F.col("a.banded") | near) & (smaller / larger >= similarity)
+    ball = nodes.select("node", *names, F.explode(keys).alias("key")).withColumn(
+        "banded", F.col("key") < 0
+    )
     entries = scratch.write(
         ball.groupBy("key")
         .agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("members"))
@@ -156,48 +262,52 @@ def linked_components(
     )
     rows = entries.count()
     met = (
-        ball.select("key", "node", *names)
+        ball.select("key", "node", "banded", *names)
         .join(sized(entries, rows, BROADCAST_ROWS), "key")
         .where("node != rep")
-        .select("node", "rep", *names)
+        .select("node", "rep", "banded", *names)
         .distinct()
     )
     reps = nodes.select(F.col("node").alias("rep_node"), *names)
-    stars = scratch.write(
+    star_pairs = (
         met.alias("a")
-        .join(
-            reps.alias("b"),
-            (F.col("a.rep") == F.col("b.rep_node"))
-            & (_distance(lanes, "a", "b") <= max_distance),
-        )
-        .select(F.col("a.node").alias("u"), F.col("a.rep").alias("v")),
-        "stars",
+        .join(reps.alias("b"), (F.col("a.rep") == F.col("b.rep_node")) & near)
+        .select(F.col("a.node").alias("u"), F.col("a.rep").alias("v"))
     )
+    if confirmed:
+        star_pairs = confirmed(star_pairs.distinct(), "stars")
+    stars = scratch.write(star_pairs, "stars")
     first = components(stars, scratch, "first")
     placed = scratch.write(
         nodes.join(first, "node", "left").select(
-            "node", *names, F.coalesce("root", "node").alias("part")
+            *nodes.columns, F.coalesce("root", "node").alias("part")
         ),
         "placed",
     )
     parts = placed.select(F.col("node").alias("rep"), F.col("part").alias("rep_part"))
     known = entries.join(parts, "rep").select("key", "rep_part")
-    members = placed.select("*", F.explode(_keys(lanes, segments)).alias("key")).join(
-        sized(known, rows, BROADCAST_ROWS), "key"
+    members = (
+        placed.select("node", "part", *names, F.explode(keys).alias("key"))
+        .join(sized(known, rows, BROADCAST_ROWS), "key")
+        .withColumn("banded", F.col("key") < 0)
     )
     rest = members.where("part != rep_part")
-    across = scratch.write(
+    linked = "node" if confirmed else "part"
+    across_pairs = (
         rest.alias("a")
         .join(
             members.alias("b"),
-            (F.col("a.key") == F.col("b.key"))
-            & (F.col("a.part") != F.col("b.part"))
-            & (_distance(lanes, "a", "b") <= max_distance),
+            (F.col("a.key") == F.col("b.key")) & (F.col("a.part") != F.col("b.part")) & near,
         )
-        .select(F.col("a.part").alias("u"), F.col("b.part").alias("v"))
-        .distinct(),
-        "across",
+        .select(
+            F.greatest(f"a.{linked}", f"b.{linked}").alias("u"),
+            F.least(f"a.{linked}", f"b.{linked}").alias("v"),
+        )
+        .distinct()
     )
+    if confirmed:
+        across_pairs = confirmed(across_pairs, "across")
+    across = scratch.write(across_pairs, "across")
     if across.isEmpty():
         return first
     return components(stars.unionByName(across), scratch, "second")
@@ -229,6 +339,73 @@ def simhash_components(
     return marked.join(classes, names)
 
 
+def similar_components(
+    docs: DataFrame,
+    id_col: str,
+    text_col: str,
+    words: int,
+    lanes: int,
+    segments: int,
+    max_distance: int,
+    similarity: float,
+    bands: int,
+    band_rows: int,
+) -> DataFrame:
+    """(id, text_hash, component) per row of docs, linked by the similarity of their sets.
+
+    Texts of equal sets form one class. Sets are made again from the text of each class
+    that has a candidate, so those of lone documents are never written.
+    """
+    scratch = Scratch(docs.sparkSession, "similar")
+    with setting(docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS):
+        marked = scratch.write(
+            set_marks(docs, id_col, text_col, words, lanes, bands, band_rows), "marked"
+        )
+    same = ["set_hash", "size", *lane_names(lanes)]
+    nodes = scratch.write(
+        marked.groupBy(*same, "bands").agg(
+            F.min("id").alias("node"), F.min("text_hash").alias("text_hash")
+        ),
+        "nodes",
+    )
+    texts = docs.select(
+        F.xxhash64(F.col(text_col)).alias("text_hash"), F.col(text_col).alias("body")
+    )
+
+    def confirmed(pairs: DataFrame, name: str) -> DataFrame:
+        pairs = scratch.write(pairs, f"{name}-pairs")
+        ends = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
+        needed = scratch.write(
+            nodes.join(ends, "node", "left_semi").select("node", "text_hash"), f"{name}-nodes"
+        )
+        chosen = texts.join(sized(needed, needed.count(), BROADCAST_ROWS), "text_hash")
+        once = chosen.groupBy("node", "text_hash").agg(F.max("body").alias("body"))
+        with setting(
+            docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS
+        ):
+            sets = scratch.write(shingle_sets(once, words), f"{name}-sets")
+        left = sets.select(F.col("node").alias("u"), F.col("shingles").alias("left"))
+        right = sets.select(F.col("node").alias("v"), F.col("shingles").alias("right"))
+        both = F.size(F.array_intersect("left", "right"))
+        jaccard = both / (F.size("left") + F.size("right") - both)
+        found = pairs.join(left, "u").join(right, "v").where(jaccard >= similarity)
+        return found.select("u", "v").distinct()
+
+    found = linked_components(
+        nodes.drop("set_hash", "text_hash"),
+        lanes,
+        segments,
+        max_distance,
+        scratch,
+        similarity,
+        confirmed,
+    )
+    classes = nodes.join(found, "node", "left").select(
+        *same, F.coalesce("root", "node").alias("component")
+    )
+    return marked.join(classes, same).select("id", "text_hash", "component")
+
+
 def deduplicate(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -237,20 +414,33 @@ def deduplicate(
     lanes: int = 4,
     segments: int = 8,
     max_distance: int = 46,
+    similarity: float = 0.8,
+    bands: int = 0,
+    band_rows: int = 5,
 ) -> DataFrame:
     """docs with all its columns, and of each component only the row of the smallest id.
 
-    The defaults stand for shingles of five words and a similarity of 0.8 or more: at a
-    Jaccard similarity of 0.8 a bit differs with a probability of about 0.15, so 46 of 256
-    bits leave room for chance. All pairs up to 23 bits are found for certain, farther
-    ones with a probability that falls from there: about 0.99 at a similarity of 0.9, 0.9
-    at 0.85 and 0.7 at 0.8. Segments of 32 bits keep texts that have nothing in common from
-    meeting by chance, so the work grows with the documents and not with their square.
+    Documents are linked if the Jaccard similarity of their distinct shingle hashes is at
+    least ``similarity``; candidates are confirmed by the sets themselves. All candidates up
+    to 23 differing bits are found for certain, farther ones up to 46 with a probability that
+    falls from there: about 0.96 at a similarity of 0.9, 0.85 at 0.85 and 0.6 at 0.8.
+    Segments of 32 bits keep texts that have nothing in common from meeting by chance.
 
     Of several rows with the smallest id the one with the smaller text hash stays, and one
     of wholly equal id and text. Rows without an id stay only in components that have no id.
     """
-    marked = simhash_components(docs, id_col, text_col, words, lanes, segments, max_distance)
+    marked = similar_components(
+        docs,
+        id_col,
+        text_col,
+        words,
+        lanes,
+        segments,
+        max_distance,
+        similarity,
+        bands,
+        band_rows,
+    )
     scratch = Scratch(docs.sparkSession, "dedup")
     rows = scratch.write(
         marked.groupBy("id", "text_hash", "component").agg(F.count(F.lit(1)).alias("copies")),
