@@ -179,3 +179,16 @@ def test_documents_below_the_similarity_stay(spark):
     assert max(jaccard(*texts[i : i + 2]) for i in range(0, len(texts), 2)) < 0.8
     kept = deduplicate(spark.createDataFrame(list(enumerate(texts)), DOCS).repartition(3))
     assert sorted(r.doc_id for r in kept.collect()) == list(range(len(texts)))
+
+
+@pytest.mark.parametrize("own", [24, 17, 10])  # similarities from 0.8, 0.85 and 0.9 on
+def test_planted_pairs_are_found(spark, own):
+    texts = planted(own, 150, 200, own)
+    expected = {
+        max(i, i + 1)
+        for i in range(0, len(texts), 2)
+        if jaccard(texts[i], texts[i + 1]) >= 0.8
+    }
+    assert len(expected) == 150
+    kept = deduplicate(spark.createDataFrame(list(enumerate(texts)), DOCS).repartition(3))
+    assert {r.doc_id for r in kept.collect()} == set(range(len(texts))) - expected
