@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from treewatt.llm.mixing import mix_sources, op5_mix_sources, poisson_table
+from treewatt.llm.mixing import first_count, mix_sources, op5_mix_sources, poisson_table
 
 DOCS = "doc_id bigint, text string, source string"
 
@@ -82,3 +82,25 @@ def test_order_is_a_shuffle_and_rates_are_bounded(spark, rows):
     assert 0.4 < rising / len(ids) < 0.65
     with pytest.raises(ValueError):
         mix_sources(docs, {"low": 1.0}, epochs=1e6)
+
+
+def test_tiny_source_beside_large_ones(spark):
+    """A rate over 1000: the counts are the quantiles of the distribution as well."""
+    rows = [(i, "x" * 40_000, "large") for i in range(200)] + [(501, None, None), (502, "", None)]
+    docs = spark.createDataFrame(rows, DOCS)
+    rates = rates_of(rows, lambda s, n: n**0.5)
+    assert rates[None] > 1_900
+    got = Counter((r.doc_id, r.source) for r in mix_sources(docs).select("doc_id", "source").collect())
+    assert [got[i, None] for i in (501, 502)] == [plain_count(i, rates[None]) for i in (501, 502)]
+
+
+@pytest.mark.parametrize("rate", [1_001.0, 20_000.0])
+def test_part_of_the_table_at_large_rates(spark, rate):
+    got = spark.range(1).select(first_count(F.lit(rate)).alias("n"), poisson_table(F.lit(rate)).alias("t"))
+    first, table = got.first()
+    total = 0.0
+    for k in range(first + len(table)):
+        total += math.exp(-rate + k * math.log(rate) - math.lgamma(k + 1))
+        if k >= first:
+            assert table[k - first] == pytest.approx(total, abs=1e-9)
+    assert table[0] < 2**-52 and table[-1] == pytest.approx(1.0, abs=1e-9)

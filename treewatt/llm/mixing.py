@@ -7,17 +7,22 @@ same mixture on any cluster. Documents are repeated that many times, or left out
 all are dealt out and ordered by a hash of id, copy and seed.
 
 Only DataFrame functions are used. Per source one row is kept, with the cumulative
-probabilities of its rate; a source of any size needs no group of its rows.
+probabilities of its rate; a source of any size needs no group of its rows. At a large rate
+the row has only the counts within 12 deviations of the rate, as those below are passed by
+every uniform number of 52 bits but 0.
 
 Edge cases: a document counts as its characters and one more, so sources of null or empty
 texts have a size; rows without a source are a source of their own; rows without an id share
 one uniform number; repeated rows are drawn alike; a source that has no weight gets no
-share; a table without rows gives none; columns of the input are kept, whatever their
+share; a source so small that a row would occur more than ``LARGEST_RATE`` times is refused,
+which without weights takes an input of some 1e14 characters; a table without rows gives none; columns of the input are kept, whatever their
 names, and ``copy_no`` is added unless it is to be left out.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +32,8 @@ from treewatt.llm.common import Scratch
 SEED = 17
 ALPHA = 0.5
 BROADCAST_ROWS = 10_000
-LARGEST_RATE = 1_000.0  # beyond it the table of probabilities is no small row any more
+WHOLE_RATE = 1_000.0  # up to here the table of probabilities begins at 0
+LARGEST_RATE = 1e7  # refused beyond it: the numbers of one row's copies are made as one array
 
 
 def uniform(id_col: Column, seed: int) -> Column:
@@ -36,10 +42,25 @@ def uniform(id_col: Column, seed: int) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(2.0**52)
 
 
+def first_count(rate: Column) -> Column:
+    """The count that the table of a rate begins with; fewer have a probability below 1e-30."""
+    return F.when(
+        rate > WHOLE_RATE, F.floor(rate - 12 * F.sqrt(rate) - 30).cast("int")
+    ).otherwise(F.lit(0))
+
+
+def _log_probability(rate: Column, k: Column) -> Column:
+    """ln P(X = k) for a large k, with Stirling's series for its factorial."""
+    ln_factorial = k * F.ln(k) - k + 0.5 * F.ln(2 * math.pi * k) + 1 / (12 * k) - 1 / (360 * F.pow(k, F.lit(3)))
+    return k * F.ln(rate) - rate - ln_factorial
+
+
 def poisson_table(rate: Column) -> Column:
-    """P(X <= 0), P(X <= 1), ... of a Poisson variable, up to where it is 1 but for rounding."""
+    """P(X <= n) for n from first_count(rate) to where it is 1 but for rounding."""
+    first = first_count(rate)
     last = F.ceil(rate + 12 * F.sqrt(rate) + 30).cast("int")
-    zero = F.struct((-rate).alias("log"), F.exp(-rate).alias("sum"), F.array(F.exp(-rate)).alias("table"))
+    log = F.when(first > 0, _log_probability(rate, F.greatest(first, F.lit(1)))).otherwise(-rate)
+    zero = F.struct(log.alias("log"), F.exp(log).alias("sum"), F.array(F.exp(log)).alias("table"))
 
     def longer(state: Column, k: Column) -> Column:
         log = state["log"] + F.ln(rate) - F.ln(k)
@@ -48,7 +69,7 @@ def poisson_table(rate: Column) -> Column:
             log.alias("log"), total.alias("sum"), F.concat(state["table"], F.array(total)).alias("table")
         )
 
-    made = F.aggregate(F.sequence(F.lit(1), last), zero, longer, lambda s: s["table"])
+    made = F.aggregate(F.sequence(first + 1, last), zero, longer, lambda s: s["table"])
     return F.when(rate > 0, made).otherwise(F.array(F.lit(1.0)))
 
 
@@ -61,7 +82,7 @@ def source_rates(
     text_col: str,
     scratch: Scratch,
 ) -> DataFrame:
-    """(source, rate, table) of each source; without weights shares go as size to the alpha."""
+    """(source, rate, first, table) of each source; without weights shares go as size to the alpha."""
     size = F.coalesce(F.length(text_col), F.lit(0)).cast("bigint") + 1
     sizes = scratch.write(
         docs.groupBy(F.col(source_col).cast("string").alias("source")).agg(F.sum(size).alias("size")),
@@ -81,7 +102,12 @@ def source_rates(
     highest = rated.agg(F.max("rate")).first()[0] or 0.0
     if highest > LARGEST_RATE:
         raise ValueError(f"a source would be repeated {highest:.0f} times")
-    return rated.select("source", "rate", poisson_table(F.col("rate")).alias("table"))
+    return rated.select(
+        "source",
+        "rate",
+        first_count(F.col("rate")).alias("first"),
+        poisson_table(F.col("rate")).alias("table"),
+    )
 
 
 def mix_sources(
@@ -103,13 +129,14 @@ def mix_sources(
     rates = scratch.write(
         source_rates(docs, weights, alpha, epochs, source_col, text_col, scratch), "rates"
     )
-    rates = sized(rates.select(F.col("source").alias("_source"), "table"), rates.count(), BROADCAST_ROWS)
+    rates = rates.select(F.col("source").alias("_source"), F.col("first").alias("_first"), "table")
+    rates = sized(rates, rates.count(), BROADCAST_ROWS)
     rows = docs.select(F.struct("*").alias("_row"))
     source = F.col(f"_row.{source_col}").cast("string")
     joined = rows.join(rates, source.eqNullSafe(F.col("_source")))
     drawn = uniform(F.col(f"_row.{id_col}"), seed)
     count = F.aggregate(
-        "table", F.lit(0), lambda n, p: n + F.when(p <= F.col("_u"), 1).otherwise(0)
+        "table", F.col("_first"), lambda n, p: n + F.when(p <= F.col("_u"), 1).otherwise(0)
     )
     copies = joined.withColumn("_u", drawn).select("_row", count.alias("_count")).where("_count > 0")
     numbered = copies.select("_row", F.explode(F.sequence(F.lit(1), F.col("_count"))).alias("copy_no"))
