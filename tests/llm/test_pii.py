@@ -139,3 +139,18 @@ def test_sanitised_text(spark):
 
 def test_empty_table(spark):
     assert with_all_spans(spark.createDataFrame([], DOCS), ["doc_id"]).count() == 0
+
+
+def test_terms_of_entities_in_one_text(spark):
+    """A name at the head of a page and the only address at its foot, in a single text."""
+    random_ = random.Random(4)
+    words = ["".join(random_.choices("abcdefghij", k=4)) for _ in range(60)]
+    filler = [" ".join(random_.choices(words, k=30)) for _ in range(1200)]
+    page = f"Quentor lives here. {filler[0]} {filler[1]} Reach me at q@mail.example.org"
+    docs = [*enumerate(filler), (5000, page), (5001, f"Quentor? {page}")]
+    found = with_all_spans(spark.createDataFrame(docs, DOCS), ["doc_id"])
+    spans = {r.keep.doc_id: [s.value for s in r.term] for r in found.collect()}
+    assert "Quentor" in spans[5000] and "Quentor" in spans[5001]
+    assert not any(w in values for values in spans.values() for w in words)
+    single = with_all_spans(spark.createDataFrame(docs[:-1], DOCS), ["doc_id"])
+    assert {s.value for r in single.collect() for s in r.term} == {"Quentor", "lives", "here", "Reach", "me", "at"}

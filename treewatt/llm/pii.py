@@ -1,18 +1,20 @@
 """Personal data: patterns, and terms that reveal what the patterns found.
 
 Base kinds are emails, IPv4 addresses, payment cards and phone numbers. Their values are the
-protected entities. The corpus then tells how strongly a term near an entity reveals it: over
-distinct texts, the pointwise mutual information of term and entity is set in relation to the
-information of the entity itself. At 1 whoever reads the term knows the entity, at 0 nothing.
-Terms that reach ``disclosure`` with at least ``support`` texts behind them become spans of
-the kind ``term`` wherever they occur. In the sanitised text base values are generalised to
+protected entities. The corpus then tells how strongly a term of an entity's texts reveals it:
+over distinct texts, the pointwise mutual information of term and entity is set in relation to
+the information of the entity itself. At 1 whoever reads the term knows the entity, at 0
+nothing. The share of the term's texts that hold the entity is smoothed as if ``smoothing``
+more texts had the term alone, so few texts say less than many, but none says nothing. Terms
+that reach ``disclosure`` become spans of the kind ``term`` wherever they occur. In the sanitised text base values are generalised to
 their kind; disclosing terms are generalised to ``[term]``, or removed if they reach
 ``removal``.
 
 Only DataFrame functions are used. Expressions are written so that the regular-expression
 engine neither recurses nor tries a run of characters from each of its places, so texts of
-any length pass. Contexts are rows of (entity, term, text) and are aggregated; a copy of a
-text adds nothing, and an entity in a third of all texts is a key of an aggregate only.
+any length pass. Terms are all whole words of a text outside its values. Rows of (entity,
+term, text) are made only of terms that are rare enough to reveal the entity, and aggregated; a
+copy of a text adds nothing, and an entity in a third of all texts is a key of an aggregate only.
 
 Edge cases: a null text is an empty one without spans; equal texts have equal spans, however
 often they occur; rows without an id have a row each; an empty table gives an empty result;
@@ -38,10 +40,9 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 TERM = r"[\p{L}\p{N}]++"
-CONTEXT = 80  # characters on either side of a value
 DISCLOSURE = 0.9
 REMOVAL = 0.999
-SUPPORT = 5
+SMOOTHING = 1.0  # texts that a term is taken to have besides, without the entity
 BROADCAST_ROWS = 100_000
 SPANS = "array<struct<start:int,stop:int,value:string>>"
 
@@ -120,68 +121,54 @@ def labelled(kind: str, spans: Column) -> Column:
 
 
 def disclosing_terms(
-    found: DataFrame, scratch: Scratch, disclosure: float, support: int
+    found: DataFrame, scratch: Scratch, disclosure: float, smoothing: float
 ) -> DataFrame:
     """(term, strength) of the terms that reveal an entity.
 
-    Terms of contexts are counted first. The texts in which a term is near any value are at
-    most those that hold it at all, so they bound its strength from above; only terms that
-    can still reach the threshold are looked up in the whole corpus, and none is lost.
+    A term of n texts and an entity of m occur together in at most m, so n has a bound above
+    which the threshold is out of reach. Terms of texts with values are held against it, first
+    by their number among these texts and then by that in the whole corpus; none is lost. Of
+    the entities that occur in one text only and in the same, one stands for all.
     """
     texts = found.select("text_hash", "body", *KINDS)
     spans = F.flatten(F.array(*KINDS))
-    near = (
-        texts.where(F.size(spans) > 0)
-        .select("text_hash", "body", F.explode(spans).alias("span"))
-        .select(
-            "text_hash",
-            F.xxhash64("span.value").alias("entity"),
-            F.concat_ws(
-                "\n",
-                F.expr(f"substring(body, greatest(span.start - {CONTEXT}, 0) + 1, least(span.start, {CONTEXT}))"),
-                F.expr(f"substring(body, span.stop + 1, {CONTEXT})"),
-            ).alias("context"),
-        )
-        .select(
-            "text_hash",
-            "entity",
-            F.explode(
-                F.array_distinct(F.regexp_extract_all("context", F.lit(TERM), F.lit(0)))
-            ).alias("term"),
-        )
-        .distinct()
-    )
-    near = scratch.write(near.where(F.length("term") > 1), "near")
-    entities = (
+    held = scratch.write(
         texts.select("text_hash", F.explode(spans).alias("span"))
         .select("text_hash", F.xxhash64("span.value").alias("entity"))
-        .distinct()
-        .groupBy("entity")
-        .agg(F.count(F.lit(1)).alias("of_entity"))
-    )
-    seen = (
-        near.select("term", "text_hash")
-        .distinct()
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("near_values"))
+        .distinct(),
+        "entities",
     )
     total = F.lit(float(texts.select("text_hash").distinct().count()))
 
-    def strength(texts_of_term: str) -> Column:
-        mutual = F.ln(F.col("together") * total / (F.col("of_entity") * F.col(texts_of_term)))
-        information = F.ln(total / F.col("of_entity"))
-        return F.when(information > 0, mutual / information).otherwise(0.0)
+    def most_texts(of_entity: str) -> Column:
+        """Of a term that can reveal the entity, with some room for rounding."""
+        often = F.col(of_entity)
+        return often * F.pow(total / often, F.lit(1 - disclosure)) * (1 + 1e-9) - smoothing
 
-    together = scratch.write(
-        near.groupBy("entity", "term")
-        .agg(F.count(F.lit(1)).alias("together"))
-        .where(F.col("together") >= support)
-        .join(entities, "entity")
+    counted = held.join(held.groupBy("entity").agg(F.count(F.lit(1)).alias("of_entity")), "entity")
+    once = counted.where("of_entity = 1").groupBy("text_hash", "of_entity").agg(F.min("entity").alias("entity"))
+    entities = scratch.write(counted.where("of_entity > 1").unionByName(once), "carriers")
+    limits = entities.groupBy("text_hash").agg(F.max("of_entity").alias("most"))
+    words = (
+        texts.where(F.size(spans) > 0)
+        .select("text_hash", _replaced(_cut()).alias("rest"))
+        .select(
+            "text_hash",
+            F.explode(F.array_distinct(F.regexp_extract_all("rest", F.lit(TERM), F.lit(0)))).alias("term"),
+        )
+        .where(F.length("term") > 1)
+        .distinct()
+    )
+    words = scratch.write(words, "words")
+    seen = words.groupBy("term").agg(F.count(F.lit(1)).alias("beside_values"))
+    rare = scratch.write(
+        words.join(limits, "text_hash")
         .join(seen, "term")
-        .where(strength("near_values") >= disclosure),
-        "together",
+        .where(F.col("beside_values") <= most_texts("most"))
+        .select("text_hash", "term"),
+        "rare",
     )
-    candidates = together.select("term").distinct()
+    candidates = scratch.write(rare.select("term").distinct(), "candidates")
     rows = candidates.count()
     of_term = (
         texts.select(
@@ -193,9 +180,18 @@ def disclosing_terms(
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("of_term"))
     )
+    together = (
+        rare.join(of_term, "term")
+        .join(entities, "text_hash")
+        .where(F.col("of_term") <= most_texts("of_entity"))
+        .groupBy("entity", "term", "of_entity", "of_term")
+        .agg(F.count(F.lit(1)).alias("together"))
+    )
+    information = F.ln(total / F.col("of_entity"))
+    mutual = information + F.ln(F.col("together") / (F.col("of_term") + smoothing))
+    strength = F.when(information > 0, mutual / information).otherwise(0.0)
     strengths = (
-        together.join(of_term, "term")
-        .select("term", strength("of_term").alias("strength"))
+        together.select("term", strength.alias("strength"))
         .groupBy("term")
         .agg(F.max("strength").alias("strength"))
         .where(F.col("strength") >= disclosure)
@@ -215,7 +211,7 @@ def with_all_spans(
     keep: list[str],
     text_col: str = "text",
     disclosure: float = DISCLOSURE,
-    support: int = SUPPORT,
+    smoothing: float = SMOOTHING,
 ) -> DataFrame:
     """(keep, body, email, ip, card, phone, term, removed) per row.
 
@@ -225,7 +221,7 @@ def with_all_spans(
     scratch = Scratch(docs.sparkSession, "pii")
     chosen = docs.select(F.struct(*keep).alias("keep"), F.col(text_col).alias("text"))
     found = with_base_spans(chosen, "text").withColumn("text_hash", F.xxhash64("body"))
-    terms = disclosing_terms(found, scratch, disclosure, support)
+    terms = disclosing_terms(found, scratch, disclosure, smoothing)
     rows = terms.count()
     none = F.array().cast(SPANS)
     if rows == 0:
@@ -270,7 +266,11 @@ def sanitised(found: DataFrame) -> DataFrame:
             ),
         )
     )
-    spans = F.array_sort(F.concat(*parts))
+    return found.withColumn("clean", _replaced(F.concat(*parts)))
+
+
+def _replaced(spans: Column) -> Column:
+    """The body with what each span (start, stop, shown) shows in its place."""
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def further(state: Column, span: Column) -> Column:
@@ -282,10 +282,22 @@ def sanitised(found: DataFrame) -> DataFrame:
             F.struct(F.greatest(state["at"], span["stop"]).alias("at"), state["out"].alias("out"))
         )
 
-    end = F.aggregate(
-        spans, start, further, lambda s: F.concat(s["out"], F.substr(F.col("body"), s["at"] + 1))
+    return F.aggregate(
+        F.array_sort(spans), start, further, lambda s: F.concat(s["out"], F.substr(F.col("body"), s["at"] + 1))
+    )
+
+
+def _cut() -> Column:
+    """All base spans, with a line break to show."""
+    return F.concat(
+        *[
+            F.transform(
+                kind,
+                lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), F.lit("\n").alias("shown")),
+            )
+            for kind in KINDS
+        ]
     )
-    return found.withColumn("clean", end)
 
 
 def _shown(kind: str) -> Column:
