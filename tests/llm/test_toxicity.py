@@ -115,3 +115,17 @@ def test_curve_of_one_class_is_the_default():
     import numpy as np
 
     assert fitted_curve(np.zeros((3, 2)), np.zeros(3)) == (-4.0, 2.0, 0.0)
+
+
+def test_more_grams_than_the_former_buckets(spark):
+    random_ = random.Random(8)
+    word = lambda: "".join(chr(random_.randrange(0x4E00, 0x9F00)) for _ in range(3))
+    texts = [(" ".join(word() for _ in range(1_000)), int(i % 10 == 0)) for i in range(40)]
+    texts.append(("plain", 1))
+    frame = spark.createDataFrame(texts, "text string, label int").repartition(3)
+    tables = bucket_tables(gram_tables(frame, Scratch(spark, "test")))
+    assert len(tables["gram", 5][0]) > 120_000 and len(tables["gram", 2][0]) > 2**16
+    ratios = Ratios(tables)
+    for i in (0, 1):
+        known = texts[i][0].split(" ")[5]
+        assert ratios.measures([known])[0][0] == pytest.approx(plain_ratio(texts, known), abs=1e-4)

@@ -11,9 +11,9 @@ divided by the number of predictions. A document has two measures, the largest r
 words, so that one insult counts in a text of any length, and the mean ratio. A logistic
 curve over both, fitted on labelled rows that the counts leave out, gives the score.
 
-Every labelled row for training is counted, and what is counted grows with the corpus. The
-tables that scoring needs have a set number of buckets, into which grams are hashed; counts
-that share a bucket add up, and none is left out. The curve is fitted on at most
+Every labelled row for training is counted, and what is counted grows with the corpus. So do
+the tables that scoring needs: each gram and each context is an entry of its own, found by a
+hash of 64 bits, and takes 16 or 24 bytes on the driver and in each worker. The curve is fitted on at most
 ``CALIBRATION_ROWS`` labelled rows, taken by the hash of their id.
 
 Edge cases: a null or empty text, or one without a word, has both measures 0 and hence the
@@ -41,7 +41,6 @@ from treewatt.llm.common import Scratch, held_in_worker, kept_with_text, let_go_
 
 ORDER = 5  # characters of the longest grams
 SHARED = 3  # grams up to this length are shared by the classes
-BITS = {5: 20, 4: 20, 3: 18, 2: 16, 1: 16}  # buckets of each order
 DISCOUNT = 0.75
 UNIFORM = 1 / 300  # probability of a character that was never seen
 PIECE = 40  # longer words are cut
@@ -134,56 +133,63 @@ def gram_hashes(points: np.ndarray) -> np.ndarray:
     return out * np.uint64(0xBF58476D1CE4E5B9)
 
 
-def buckets_of(hashes: np.ndarray, order: int) -> np.ndarray:
-    return (hashes >> np.uint64(64 - BITS[order])).astype(np.int64)
-
-
-def _bucketed(order: int, cut: int):
-    """Bucket of each gram, or with cut 1 of its context, before its columns."""
+def _hashed(order: int, cut: int):
+    """Hash of each gram, or with cut 1 of its context, before its columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data = "".join(batch.column(0).to_pylist()).encode("utf-32-le")
             points = np.frombuffer(data, "<u4").reshape(-1, order)[:, : order - cut]
-            buckets = pa.array(buckets_of(gram_hashes(points), order))
+            hashes = pa.array(gram_hashes(points).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [buckets, *batch.columns[1:]], ["bucket", *batch.schema.names[1:]]
+                [hashes, *batch.columns[1:]], ["hash", *batch.schema.names[1:]]
             )
 
     return run
 
 
-def bucket_tables(tables: dict[int, DataFrame]) -> dict[tuple[str, int], np.ndarray]:
-    """Counts by bucket: (2, buckets) sums of grams, (4, buckets) sums and kinds of contexts.
+Table = tuple[np.ndarray, np.ndarray]
 
-    What reaches the driver is bounded by the number of buckets.
-    """
+
+def bucket_tables(tables: dict[int, DataFrame]) -> dict[tuple[str, int], Table]:
+    """Ascending hashes with counts: (2, n) sums of grams, (4, n) sums and kinds of contexts."""
     out = {}
-    schema = "bucket bigint, toxic bigint, ordinary bigint"
+    schema = "hash bigint, toxic bigint, ordinary bigint"
     for order, table in tables.items():
         kinds = [(F.col(c) > 0).cast("bigint").alias(f"{c}_kinds") for c in SUMS]
         wide = table.select("gram", *SUMS, *kinds)
         for kind, cut in (("gram", 0), ("context", 1)):
             frame = (wide if cut else table).mapInArrow(
-                _bucketed(order, cut),
+                _hashed(order, cut),
                 schema + (", toxic_kinds bigint, ordinary_kinds bigint" if cut else ""),
             )
             names = frame.columns[1:]
-            rows = frame.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in names]).toArrow()
-            filled = np.zeros((len(names), 1 << BITS[order]), np.float32)
+            rows = frame.groupBy("hash").agg(*[F.sum(c).alias(c) for c in names]).toArrow()
+            hashes = rows.column("hash").to_numpy().view(np.uint64)
+            ascending = np.argsort(hashes)
+            counts = np.empty((len(names), len(hashes)), np.float32)
             for i, name in enumerate(names):
-                filled[i, rows.column("bucket").to_numpy()] = rows.column(name).to_numpy()
-            out[kind, order] = filled
+                counts[i] = rows.column(name).to_numpy()[ascending]
+            out[kind, order] = hashes[ascending], counts
     return out
 
 
+def looked_up(table: Table, hashes: np.ndarray) -> np.ndarray:
+    """The counts of each hash, 0 where it has no entry."""
+    known, counts = table
+    if len(known) == 0:
+        return np.zeros((len(counts), len(hashes)))
+    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+    return counts[:, at].astype(np.float64) * (known[at] == hashes)
+
+
 # -- scoring ----------------------------------------------------------------------
 
 
 class Ratios:
     """Length-normalised log-likelihood ratio of words."""
 
-    def __init__(self, tables: dict[tuple[str, int], np.ndarray]):
+    def __init__(self, tables: dict[tuple[str, int], Table]):
         self.tables = tables
         self.known: dict[str, float] = {}
 
@@ -193,10 +199,9 @@ class Ratios:
         for order in range(1, ORDER + 1):
             own = number if order > SHARED else 0
             grams = points[:, ORDER - order :]
-            count = self.tables["gram", order][own, buckets_of(gram_hashes(grams), order)]
-            context = buckets_of(gram_hashes(grams[:, :-1]), order)
-            total = self.tables["context", order][own, context].astype(np.float64)
-            kinds = self.tables["context", order][own + 2, context]
+            count = looked_up(self.tables["gram", order], gram_hashes(grams))[own]
+            context = looked_up(self.tables["context", order], gram_hashes(grams[:, :-1]))
+            total, kinds = context[own], context[own + 2]
             seen = total > 0
             total[~seen] = 1
             mixed = np.maximum(count - DISCOUNT, 0) / total + DISCOUNT * kinds / total * out
@@ -234,7 +239,7 @@ class Ratios:
 class Model:
     """A fitted model: tables on the workers, and the curve."""
 
-    def __init__(self, spark, tables: dict[tuple[str, int], np.ndarray]):
+    def __init__(self, spark, tables: dict[tuple[str, int], Table]):
         self.key = uuid.uuid4().hex
         self.tables = spark.sparkContext.broadcast(tables)
         self.curve = DEFAULT_CURVE
