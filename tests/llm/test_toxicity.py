@@ -21,6 +21,7 @@ from treewatt.llm.toxicity import (
     gram_tables,
     op7_toxicity,
     pieces_of,
+    train,
 )
 
 DOCS, LABELS = "doc_id bigint, text string", "doc_id bigint, quality int, toxic int"
@@ -129,3 +130,15 @@ def test_more_grams_than_the_former_buckets(spark):
     for i in (0, 1):
         known = texts[i][0].split(" ")[5]
         assert ratios.measures([known])[0][0] == pytest.approx(plain_ratio(texts, known), abs=1e-4)
+
+
+def test_only_the_sample_is_left_out_of_the_counts(spark):
+    docs, labels = sample(200)
+    model = train(spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS), calibration_rows=3)
+    left_out = sorted(
+        i for i, _ in docs if (crc := zlib.crc32(str(i).encode())) % 4 != 2 and crc // 4 % 8 == 0
+    )
+    assert len(left_out) > 10
+    cuts = {i: sum(len(w) + 1 for w in pieces_of(t)) for i, t in docs if zlib.crc32(str(i).encode()) % 4 != 2}
+    missing = sum(cuts.values()) - model.tables.value["gram", ORDER][1].sum()
+    assert 0 < missing <= sum(sorted(cuts[i] for i in left_out)[-3:])

@@ -11,7 +11,7 @@ divided by the number of predictions. A document has two measures, the largest r
 words, so that one insult counts in a text of any length, and the mean ratio. A logistic
 curve over both, fitted on labelled rows that the counts leave out, gives the score.
 
-Every labelled row for training is counted, and what is counted grows with the corpus. So do
+Every labelled row for training is counted but those of the curve's sample, and what is counted grows with the corpus. So do
 the tables that scoring needs: each gram and each context is an entry of its own, found by a
 hash of 64 bits, and takes 16 or 24 bytes on the driver and in each worker. The curve is fitted on at most
 ``CALIBRATION_ROWS`` labelled rows, taken by the hash of their id.
@@ -326,7 +326,8 @@ def train(
         known.where(spare).orderBy(F.xxhash64("_id")).limit(calibration_rows), "sample"
     )
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    counted = texts.join(sized(known, known.count(), LABEL_ROWS), "_id").where(~spare)
+    counted = known.join(sized(sample.select("_id"), calibration_rows, LABEL_ROWS), "_id", "left_anti")
+    counted = texts.join(sized(counted, known.count(), LABEL_ROWS), "_id")
     model = Model(spark, bucket_tables(gram_tables(counted.select("_text", "_label"), scratch)))
     sample = texts.join(sized(sample, calibration_rows, LABEL_ROWS), "_id")
     rows = model.measured(sample, ["_label"], "_text").select("keep._label", "largest", "mean")
