@@ -80,3 +80,12 @@ def test_query_and_filter(spark, tmp_path):
     assert kept.columns == more.columns and sorted(r.doc_id for r in kept.collect()) == [2, 3]
     assert decontaminate(more, items.limit(0)).count() == 3
     assert decontaminate(more.limit(0), items).count() == 0
+
+
+def test_blocks_have_no_repeats(spark):
+    from treewatt.llm.decontaminate import _blocks
+
+    rows = [("a", "some words of an item")] * 500 + [("b", "other words")]
+    benchmark = spark.createDataFrame(rows, "item_id string, text string")
+    blocks = _blocks(benchmark, "item_id", "text", 1_000)
+    assert sorted(r.item for block in blocks for r in block.collect()) == ["a", "b"]

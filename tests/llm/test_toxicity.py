@@ -142,3 +142,15 @@ def test_only_the_sample_is_left_out_of_the_counts(spark):
     cuts = {i: sum(len(w) + 1 for w in pieces_of(t)) for i, t in docs if zlib.crc32(str(i).encode()) % 4 != 2}
     missing = sum(cuts.values()) - model.tables.value["gram", ORDER][1].sum()
     assert 0 < missing <= sum(sorted(cuts[i] for i in left_out)[-3:])
+
+
+def test_repeats_of_an_id_are_one_row_of_the_curve(spark, monkeypatch):
+    docs, labels = sample(200)
+    once = next(i for i, _ in docs if zlib.crc32(str(i).encode()) % 32 == 0)
+    docs += [docs[once]] * 300
+    seen = []
+    monkeypatch.setattr(
+        "treewatt.llm.toxicity.fitted_curve", lambda rows, labels: seen.append(len(rows)) or (0.0, 0.0, 0.0)
+    )
+    train(spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS))
+    assert 0 < seen[0] < 200

@@ -92,11 +92,11 @@ test_strings.__test__ = False
 
 
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int) -> list[DataFrame]:
-    """The benchmark cut by hash into parts of about block_bytes; one part if it fits."""
+    """The benchmark without repeats, cut by hash into parts of about block_bytes."""
     rows = benchmark.select(
         F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("item"),
         F.col(text_col).cast("binary").alias("body"),
-    )
+    ).distinct()
     total = rows.agg(F.sum(F.octet_length("body") + F.octet_length("item"))).first()[0] or 0
     parts = -(-total // block_bytes) or 1
     part = F.pmod(F.xxhash64("item", "body"), F.lit(parts))

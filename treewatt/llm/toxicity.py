@@ -14,7 +14,8 @@ curve over both, fitted on labelled rows that the counts leave out, gives the sc
 Every labelled row for training is counted but those of the curve's sample, and what is counted grows with the corpus. So do
 the tables that scoring needs: each gram and each context is an entry of its own, found by a
 hash of 64 bits, and takes 16 or 24 bytes on the driver and in each worker. The curve is fitted on at most
-``CALIBRATION_ROWS`` labelled rows, taken by the hash of their id.
+``CALIBRATION_ROWS`` labelled ids, taken by the hash of the id; one that repeats is one row of
+mean measures.
 
 Edge cases: a null or empty text, or one without a word, has both measures 0 and hence the
 score of a neutral text; a label that is null is none, of several for an id the highest
@@ -330,7 +331,12 @@ def train(
     counted = texts.join(sized(counted, known.count(), LABEL_ROWS), "_id")
     model = Model(spark, bucket_tables(gram_tables(counted.select("_text", "_label"), scratch)))
     sample = texts.join(sized(sample, calibration_rows, LABEL_ROWS), "_id")
-    rows = model.measured(sample, ["_label"], "_text").select("keep._label", "largest", "mean")
+    rows = (
+        model.measured(sample, ["_id", "_label"], "_text")
+        .groupBy("keep._id", "keep._label")
+        .agg(F.avg("largest").alias("largest"), F.avg("mean").alias("mean"))
+        .select("_label", "largest", "mean")
+    )
     got = np.array([tuple(r) for r in rows.collect()], np.float64).reshape(-1, 3)
     model.curve = fitted_curve(got[:, 1:], got[:, 0])
     return model
