@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from treewatt.llm import decontaminate, mixing, pii, quartile_digest, simhash, token_counts, token_shards, toxicity, url_rules, warc
+from treewatt.llm import bpe, decontaminate, mixing, pii, quartile_digest, simhash, token_counts, token_shards, toxicity, url_rules, warc
 
 QUERIES = {
     query.__name__: query
@@ -17,6 +17,7 @@ QUERIES = {
         quartile_digest.op8_quartile_digest,
         decontaminate.op9_decontaminate,
         token_shards.op10_token_shards,
+        bpe.op13_bpe,
     )
 }
 
