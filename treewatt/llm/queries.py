@@ -2,7 +2,20 @@
 
 from __future__ import annotations
 
-from treewatt.llm import bpe, decontaminate, mixing, pii, quartile_digest, simhash, token_counts, token_shards, toxicity, url_rules, warc
+from treewatt.llm import (
+    bpe,
+    decontaminate,
+    mixing,
+    periodic_runs,
+    pii,
+    quartile_digest,
+    simhash,
+    token_counts,
+    token_shards,
+    toxicity,
+    url_rules,
+    warc,
+)
 
 QUERIES = {
     query.__name__: query
@@ -17,6 +30,7 @@ QUERIES = {
         quartile_digest.op8_quartile_digest,
         decontaminate.op9_decontaminate,
         token_shards.op10_token_shards,
+        periodic_runs.op12_periodic_runs,
         bpe.op13_bpe,
     )
 }
