@@ -5,6 +5,7 @@ from __future__ import annotations
 from treewatt.llm import (
     bpe,
     decontaminate,
+    hard_negatives,
     mixing,
     periodic_runs,
     pii,
@@ -30,9 +31,16 @@ QUERIES = {
         quartile_digest.op8_quartile_digest,
         decontaminate.op9_decontaminate,
         token_shards.op10_token_shards,
+        hard_negatives.op11_hard_negatives,
         periodic_runs.op12_periodic_runs,
         bpe.op13_bpe,
     )
 }
 
-ORACLE_SQL = {**warc.ORACLE_SQL, **url_rules.ORACLE_SQL, **mixing.ORACLE_SQL, **decontaminate.ORACLE_SQL}
+ORACLE_SQL = {
+    **warc.ORACLE_SQL,
+    **url_rules.ORACLE_SQL,
+    **mixing.ORACLE_SQL,
+    **decontaminate.ORACLE_SQL,
+    **hard_negatives.ORACLE_SQL,
+}
