@@ -14,27 +14,12 @@ from treewatt.functions.tables import new_path
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-# Rows without an id take one from here on, made from their text, where an id is
-# needed to link them; it is never shown.
-SURROGATE_FROM = 1 << 62
-
 
 def ascii_lower(column: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     return F.translate(column, UPPER, UPPER.lower())
 
 
-def id_or_surrogate(id_col: str, text_col: str) -> Column:
-    """The id; for rows without one, a number above all ids made from the text."""
-    made = F.shiftrightunsigned(F.xxhash64(F.col(text_col)), 2) + F.lit(SURROGATE_FROM)
-    return F.coalesce(F.col(id_col).cast("bigint"), made)
-
-
-def shown_id(column: Column) -> Column:
-    """Null where an id was made up by id_or_surrogate."""
-    return F.when(column < F.lit(SURROGATE_FROM), column)
-
-
 class Scratch:
     """Tables of one run below the folder that the session names for shared files.
 

@@ -1,31 +1,33 @@
 """Near duplicates by SimHash fingerprints, linked with multi-index hashing.
 
-A fingerprint has one or more lanes of 64 bits. A bit is 1 if it is set in over half the
-hashes of a text's word shingles, repeats included. Lane 0 takes the XXH64 hashes of the
-shingles (UTF-8, seed 42), further lanes hashes mixed from those.
-
-Two fingerprints are linked if they differ in at most ``max_distance`` bits. The bits are
-cut into segments, and a row is written for every value within ``radius`` bits of a
-segment's value. Two fingerprints whose segments differ in at most twice that radius meet
-at a value between them, so all pairs are found whose distance is below
-``segments * (2 * radius + 1)``; for that reason 2 segments and radius 1 are exact for the
-distance 4. Complete distances are then compared.
-
-``deduplicate`` judges by the Jaccard similarity of the sets of shingle hashes instead.
-Fingerprints of these sets and min-hashes in bands only find the candidates; each link is
-confirmed by the sets themselves before components are formed.
+A bit of a fingerprint is 1 if it is set in over half the XXH64 hashes (UTF-8, seed 42) of a
+text's word shingles, repeats included. Two fingerprints are linked if they differ in at most
+``max_distance`` of their 64 bits.
+
+The bits are cut into segments, and each fingerprint has a table entry for every value within
+one bit of a segment's value. Two fingerprints whose segments differ in at most two bits meet
+at a value between them, so all pairs are found whose distance is below three times the
+segments; two segments are exact for the distance 4. Complete distances are then compared.
+
+The members of an entry are not paired with each other. Each is compared with the entry's
+smallest fingerprint, and components are formed. Where members lie outside the component of
+that one, the smallest of those is compared with all members in turn, in rounds, as long as a
+round leaves half of them at most. The members left then, which mostly have no link, are
+compared with those of the entry's other components that agree with them in one of
+``max_distance + 1`` pieces of the bits outside the segment, as any linked pair does.
 
 Edge cases: a null or empty text, or one of white space, has the fingerprint zero, which is
 linked like any other; a text of fewer words than a shingle is one shingle; equal texts, and
-other texts of equal fingerprints, form one class whose copies are never compared; rows
-without an id are linked too, and their component has a null id if none of it has one;
-a repeated id has a row per occurrence; an empty table gives an empty result; other columns
-are ignored, whatever their names.
+other texts of equal fingerprints, are one node whose copies are never compared; ids may be
+any numbers; rows without an id are linked too, and their component has a null id if none of
+it has one; a repeated id has a row per occurrence; an empty table gives an empty result;
+other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -34,26 +36,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from treewatt.functions.tables import setting, sized
-from treewatt.llm.common import Scratch, id_or_surrogate, let_go_in_worker, shown_id
+from treewatt.llm.common import Scratch, let_go_in_worker
 from treewatt.llm.components import components
 
 SEED = 42
 HASH_BLOCK = 1 << 14
-MIN_BLOCK = 1 << 10
 BATCH_ROWS = "1000"  # texts that travel to a worker at once
 BROADCAST_ROWS = 1_000_000  # table entries of two numbers each
 
 
-def _mixed(hashes: np.ndarray, lane: int) -> np.ndarray:
-    """Further bits from 64-bit hashes (a finalizer over a lane's own offset)."""
-    if lane == 0:
-        return hashes
-    x = hashes + np.uint64((0x9E3779B97F4A7C15 * lane) & (2**64 - 1))
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def shingle_hashes(text: bytes | None, words: int) -> np.ndarray:
     """XXH64 of every shingle; a shorter text is one shingle, no word gives none."""
     tokens = (text or b"").lower().split()
@@ -69,248 +60,164 @@ def shingle_hashes(text: bytes | None, words: int) -> np.ndarray:
     return np.fromiter((digest(joined[b:e], SEED) for b, e in spans), np.uint64, n - k + 1)
 
 
-def fingerprint(text: bytes | None, words: int, lanes: int = 1) -> list[int]:
-    """The lanes of a text as unsigned numbers."""
-    return lanes_of(shingle_hashes(text, words), lanes)
-
-
-def lanes_of(hashes: np.ndarray, lanes: int) -> list[int]:
-    """The lanes of shingle hashes as unsigned numbers."""
-    out = []
-    for lane in range(lanes):
-        counts = np.zeros(64, np.int64)
-        for at in range(0, len(hashes), HASH_BLOCK):
-            block = _mixed(hashes[at : at + HASH_BLOCK], lane).astype("<u8", copy=False)
-            bits = np.unpackbits(block.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            counts += bits.sum(axis=0, dtype=np.int64)
-        packed = np.packbits(2 * counts > len(hashes), bitorder="little")
-        out.append(int(packed.view("<u8")[0]))
-    return out
+def fingerprint(text: bytes | None, words: int) -> int:
+    """The fingerprint of a text as an unsigned number."""
+    hashes = shingle_hashes(text, words).astype("<u8", copy=False)
+    counts = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), HASH_BLOCK):
+        block = hashes[at : at + HASH_BLOCK].view(np.uint8).reshape(-1, 8)
+        counts += np.unpackbits(block, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def _draws(count: int) -> tuple[np.ndarray, np.ndarray]:
-    """Offsets and odd factors of so many hash functions."""
-    numbers = _mixed(np.arange(1, 2 * count + 1, dtype=np.uint64), 1)
-    return numbers[:count], numbers[count:] | np.uint64(1)
-
-
-def band_keys(hashes: np.ndarray, bands: int, band_rows: int) -> np.ndarray:
-    """One negative number a band, made from the band's min-hashes; none of an empty set.
-
-    Two sets have a band in common with probability 1 - (1 - J ** band_rows) ** bands.
-    """
-    if len(hashes) == 0 or bands == 0:
-        return np.empty(0, np.int64)
-    offsets, factors = _draws(bands * band_rows)
-    least = np.full(len(offsets), 2**64 - 1, np.uint64)
-    for at in range(0, len(hashes), MIN_BLOCK):
-        block = _mixed((hashes[at : at + MIN_BLOCK, None] ^ offsets) * factors, 2)
-        least = np.minimum(least, block.min(axis=0))
-    keys = np.arange(bands, dtype=np.uint64)
-    for row in least.reshape(bands, band_rows).T:
-        keys = _mixed(keys ^ row, 3)
-    return (keys | np.uint64(1 << 63)).view(np.int64)
-
-
-def lane_names(lanes: int) -> list[str]:
-    return [f"lane_{i}" for i in range(lanes)]
-
-
-def fingerprints(
-    docs: DataFrame, id_col: str, text_col: str, words: int, lanes: int = 1
-) -> DataFrame:
-    """(id, text_hash, lane_0, ...) per row; ids as id_or_surrogate gives them."""
-    names = lane_names(lanes)
+def fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
+    """(id, text_hash, print) per row; print has the 64 bits as a signed number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         let_go_in_worker()
         for batch in batches:
-            rows = [fingerprint(x.as_py(), words, lanes) for x in batch.column(2)]
-            signed = np.array(rows, np.uint64).reshape(-1, lanes).view(np.int64)
-            columns = [batch.column(0), batch.column(1)]
-            columns += [pa.array(np.ascontiguousarray(signed[:, i])) for i in range(lanes)]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "text_hash", *names])
-
-    schema = "id bigint, text_hash bigint, " + ", ".join(f"{x} bigint" for x in names)
-    return docs.select(
-        id_or_surrogate(id_col, text_col).alias("id"),
-        F.xxhash64(F.col(text_col)).alias("text_hash"),
-        F.col(text_col).cast("binary").alias("body"),
-    ).mapInArrow(run, schema)
-
-
-def set_marks(
-    docs: DataFrame, id_col: str, text_col: str, words: int, lanes: int, bands: int, band_rows: int
-) -> DataFrame:
-    """(id, text_hash, lane_0, ..., set_hash, size, bands) per row, of the set of shingles."""
-    names = lane_names(lanes)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        let_go_in_worker()
-        for batch in batches:
-            rows, hashes, sizes, keys = [], [], [], []
-            for text in batch.column(2):
-                found = np.unique(shingle_hashes(text.as_py(), words))
-                rows.append(lanes_of(found, lanes))
-                hashes.append(xxhash.xxh64_intdigest(found.tobytes(), SEED))
-                sizes.append(len(found))
-                keys.append(band_keys(found, bands, band_rows))
-            signed = np.array(rows, np.uint64).reshape(-1, lanes).view(np.int64)
-            columns = [batch.column(0), batch.column(1)]
-            columns += [pa.array(np.ascontiguousarray(signed[:, i])) for i in range(lanes)]
-            columns += [
-                pa.array(np.array(hashes, np.uint64).view(np.int64)),
-                pa.array(sizes, pa.int64()),
-                pa.array(keys, pa.list_(pa.int64())),
-            ]
+            bits = [fingerprint(text.as_py(), words) for text in batch.column(2)]
+            signed = pa.array(np.array(bits, np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                columns, ["id", "text_hash", *names, "set_hash", "size", "bands"]
+                [batch.column(0), batch.column(1), signed], ["id", "text_hash", "print"]
             )
 
-    schema = "id bigint, text_hash bigint, " + ", ".join(f"{x} bigint" for x in names)
     return docs.select(
-        id_or_surrogate(id_col, text_col).alias("id"),
+        F.col(id_col).cast("bigint").alias("id"),
         F.xxhash64(F.col(text_col)).alias("text_hash"),
         F.col(text_col).cast("binary").alias("body"),
-    ).mapInArrow(run, schema + ", set_hash bigint, size bigint, bands array<bigint>")
-
-
-def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
-    """(node, shingles): the distinct hashes of (node, body)."""
+    ).mapInArrow(run, "id bigint, text_hash bigint, print bigint")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        let_go_in_worker()
-        for batch in batches:
-            sets = [
-                np.unique(shingle_hashes(x.as_py(), words)).view(np.int64)
-                for x in batch.column(1)
-            ]
-            arrays = [batch.column(0), pa.array(sets, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(arrays, ["node", "shingles"])
 
-    return texts.select("node", F.col("body").cast("binary").alias("body")).mapInArrow(
-        run, "node bigint, shingles array<bigint>"
-    )
+def _bits(low: int, high: int) -> Column:
+    return F.shiftrightunsigned("print", low).bitwiseAND(F.lit((1 << (high - low)) - 1))
 
 
-def _ball(value: Column, width: int, number: int) -> Column:
+def _ball(number: int, low: int, high: int) -> Column:
     """The segment's value and those one bit away, each with the segment's number."""
-    flips = F.array(*[F.lit(f).cast("bigint") for f in (0, *(1 << i for i in range(width)))])
-    return F.transform(flips, lambda flip: F.lit(number << 48) + value.bitwiseXOR(flip))
+    flips = F.array(*[F.lit(f).cast("bigint") for f in (0, *(1 << i for i in range(high - low)))])
+    return F.transform(flips, lambda flip: F.lit(number << 48) + _bits(low, high).bitwiseXOR(flip))
 
 
-def _keys(lanes: int, segments: int) -> Column:
-    """Every table entry of a fingerprint."""
-    if segments % lanes:
-        raise ValueError("segments must be a multiple of lanes")
-    each = segments // lanes
-    balls = []
-    for number in range(segments):
-        lane, place = divmod(number, each)
-        low, high = 64 * place // each, 64 * (place + 1) // each
-        mask = F.lit((1 << (high - low)) - 1)
-        value = F.shiftrightunsigned(F.col(f"lane_{lane}"), low).bitwiseAND(mask)
-        balls.append(_ball(value, high - low, number))
-    return F.flatten(F.array(*balls))
+def _entries_of(segments: int) -> Column:
+    """The table entries of a print."""
+    cuts = [64 * i // segments for i in range(segments + 1)]
+    return F.flatten(F.array(*[_ball(n, cuts[n], cuts[n + 1]) for n in range(segments)]))
 
 
-def _distance(lanes: int, left: str, right: str) -> Column:
-    out = F.lit(0)
-    for name in lane_names(lanes):
-        out = out + F.bit_count(F.col(f"{left}.{name}").bitwiseXOR(F.col(f"{right}.{name}")))
-    return out
+def _pieces(segments: int, number_of: int) -> Column:
+    """The bits outside the segment of key, in so many pieces, each with its number."""
+    out = F.lit(None)
+    for number in range(segments):
+        low, high = 64 * number // segments, 64 * (number + 1) // segments
+        width = 64 - (high - low)
+        above = F.shiftrightunsigned("print", high) if high < 64 else F.lit(0).cast("bigint")
+        below = F.col("print").bitwiseAND(F.lit((1 << low) - 1))
+        others = F.shiftleft(above, low).bitwiseOR(below)
+        cuts = [width * i // number_of for i in range(number_of + 1)]
+        pieces = F.array(
+            *[
+                F.struct(
+                    F.lit(n).alias("piece"),
+                    F.shiftrightunsigned(others, start)
+                    .bitwiseAND(F.lit((1 << (end - start)) - 1))
+                    .alias("bits"),
+                )
+                for n, (start, end) in enumerate(zip(cuts, cuts[1:], strict=False))
+            ]
+        )
+        out = F.when(F.shiftright("key", 48) == number, pieces).otherwise(out)
+    return F.inline(out)
 
 
 def linked_components(
-    nodes: DataFrame,
-    lanes: int,
-    segments: int,
-    max_distance: int,
-    scratch: Scratch,
-    similarity: float | None = None,
-    confirmed: Callable[[DataFrame, str], DataFrame] | None = None,
+    nodes: DataFrame, segments: int, max_distance: int, scratch: Scratch
 ) -> DataFrame:
-    """(node, root) over (node, lane_0, ...) of distinct fingerprints; lone nodes are left out.
-
-    The members of a table entry are not paired with each other. First every member is
-    compared with the entry's smallest node only, and components are formed. Then only
-    members that are not in the component of that node are compared with the others, and
-    only across components. Each link between two nodes is hence either compared or
-    already implied, while the rows made grow with the entries, not with their square.
-
-    With ``confirmed``, nodes also have ``size`` and ``bands``. What meets at a band is a
-    candidate at any distance; a candidate whose sizes allow the similarity becomes a link
-    if it is among what ``confirmed`` returns of the candidates (u, v).
-    """
-    names = lane_names(lanes)
-    keys = _keys(lanes, segments)
-    near = _distance(lanes, "a", "b") <= max_distance
-    if confirmed:
-        names = [*names, "size"]
-        keys = F.concat(keys, "bands")
-        smaller, larger = F.least("a.size", "b.size"), F.greatest("a.size", "b.size")
-        near = (F.col("a.banded") | near) & (smaller / larger >= similarity)
-    ball = nodes.select("node", *names, F.explode(keys).alias("key")).withColumn(
-        "banded", F.col("key") < 0
-    )
+    """(node, root) over the distinct fingerprints (print); lone ones are left out."""
+    if not 2 <= segments <= 64 or 3 * segments <= max_distance:
+        raise ValueError("distances must stay below three times the segments, 2 to 64")
+    ball = nodes.select("print", F.explode(_entries_of(segments)).alias("key"))
     entries = scratch.write(
         ball.groupBy("key")
-        .agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("members"))
+        .agg(F.min("print").alias("rep"), F.count(F.lit(1)).alias("members"))
         .where("members > 1")
         .select("key", "rep"),
         "entries",
     )
     rows = entries.count()
-    met = (
-        ball.select("key", "node", "banded", *names)
-        .join(sized(entries, rows, BROADCAST_ROWS), "key")
-        .where("node != rep")
-        .select("node", "rep", "banded", *names)
-        .distinct()
-    )
-    reps = nodes.select(F.col("node").alias("rep_node"), *names)
-    star_pairs = (
-        met.alias("a")
-        .join(reps.alias("b"), (F.col("a.rep") == F.col("b.rep_node")) & near)
-        .select(F.col("a.node").alias("u"), F.col("a.rep").alias("v"))
-    )
-    if confirmed:
-        star_pairs = confirmed(star_pairs.distinct(), "stars")
-    stars = scratch.write(star_pairs, "stars")
-    first = components(stars, scratch, "first")
-    placed = scratch.write(
-        nodes.join(first, "node", "left").select(
-            *nodes.columns, F.coalesce("root", "node").alias("part")
-        ),
-        "placed",
-    )
-    parts = placed.select(F.col("node").alias("rep"), F.col("part").alias("rep_part"))
-    known = entries.join(parts, "rep").select("key", "rep_part")
-    members = (
-        placed.select("node", "part", *names, F.explode(keys).alias("key"))
-        .join(sized(known, rows, BROADCAST_ROWS), "key")
-        .withColumn("banded", F.col("key") < 0)
+
+    def near(left: str, right: str) -> Column:
+        return F.bit_count(F.col(left).bitwiseXOR(F.col(right))) <= max_distance
+
+    links = scratch.write(
+        ball.join(sized(entries, rows, BROADCAST_ROWS), "key")
+        .where((F.col("print") != F.col("rep")) & near("print", "rep"))
+        .select(F.col("print").alias("u"), F.col("rep").alias("v"))
+        .distinct(),
+        "links-0",
     )
-    rest = members.where("part != rep_part")
-    linked = "node" if confirmed else "part"
-    across_pairs = (
-        rest.alias("a")
-        .join(
-            members.alias("b"),
-            (F.col("a.key") == F.col("b.key")) & (F.col("a.part") != F.col("b.part")) & near,
+    left = None
+    for turn in count():
+        found = scratch.write(components(links, scratch, f"turn-{turn}"), f"parts-{turn}")
+        placed = nodes.join(found, F.col("print") == F.col("node"), "left").select(
+            "print", F.coalesce("root", "print").alias("part")
+        )
+        known = entries.join(
+            placed.select(F.col("print").alias("rep"), F.col("part").alias("rep_part")), "rep"
+        ).select("key", "rep_part")
+        members = placed.select(
+            "print", "part", F.explode(_entries_of(segments)).alias("key")
+        ).join(sized(known, rows, BROADCAST_ROWS), "key")
+        rest = scratch.write(
+            members.where("part != rep_part").select("key", "print", "part"), f"rest-{turn}"
         )
-        .select(
-            F.greatest(f"a.{linked}", f"b.{linked}").alias("u"),
-            F.least(f"a.{linked}", f"b.{linked}").alias("v"),
+        before, left = left, rest.count()
+        if not left:
+            return found
+        if before is not None and 2 * left > before:
+            break
+        again = rest.groupBy("key").agg(F.min(F.struct("print", "part")).alias("rep"))
+        new = (
+            members.join(again, "key")
+            .where((F.col("part") != F.col("rep.part")) & near("print", "rep.print"))
+            .select(F.col("print").alias("u"), F.col("rep.print").alias("v"))
+            .distinct()
         )
-        .distinct()
+        links = scratch.write(links.unionByName(new), f"links-{turn + 1}")
+    pieces = _pieces(segments, max_distance + 1)
+    others = members.join(rest.select("key").distinct(), "key", "left_semi").select(
+        "key", "print", "part", pieces
+    )
+    met = rest.select("key", "print", "part", pieces).select(
+        "key", "piece", "bits", F.col("print").alias("one"), F.col("part").alias("one_part")
+    )
+    across = scratch.write(
+        met.join(others, ["key", "piece", "bits"])
+        .where((F.col("part") != F.col("one_part")) & near("print", "one"))
+        .select(F.greatest("part", "one_part").alias("u"), F.least("part", "one_part").alias("v"))
+        .distinct(),
+        "across",
     )
-    if confirmed:
-        across_pairs = confirmed(across_pairs, "across")
-    across = scratch.write(across_pairs, "across")
     if across.isEmpty():
-        return first
-    return components(stars.unionByName(across), scratch, "second")
+        return found
+    return components(links.unionByName(across), scratch, "last")
+
+
+def _classes(marked: DataFrame, segments: int, max_distance: int, scratch: Scratch) -> DataFrame:
+    """(print, root, least) of each distinct print: its component and the smallest id of it."""
+    nodes = scratch.write(marked.groupBy("print").agg(F.min("id").alias("least")), "nodes")
+    found = linked_components(nodes.select("print"), segments, max_distance, scratch)
+    return scratch.write(
+        nodes.join(found, F.col("print") == F.col("node"), "left").select(
+            "print", F.coalesce("root", "print").alias("root"), "least"
+        ),
+        "classes",
+    )
+
+
+def _marked(docs: DataFrame, id_col: str, text_col: str, words: int, scratch: Scratch) -> DataFrame:
+    with setting(docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS):
+        return scratch.write(fingerprints(docs, id_col, text_col, words), "marked")
 
 
 def simhash_components(
@@ -318,166 +225,82 @@ def simhash_components(
     id_col: str = "doc_id",
     text_col: str = "text",
     words: int = 4,
-    lanes: int = 1,
     segments: int = 2,
     max_distance: int = 4,
 ) -> DataFrame:
-    """(id, text_hash, lane_0, ..., component) per row of docs.
+    """(id, text_hash, print, component) per row of docs.
 
-    component is the smallest id that links lead to. Classes of equal fingerprints are
-    formed by an aggregate, so thousands of copies are one node.
+    component is the smallest id that links lead to. Equal fingerprints are one node of an
+    aggregate, so thousands of copies cost as much as one.
     """
     scratch = Scratch(docs.sparkSession, "simhash")
-    names = lane_names(lanes)
-    with setting(docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS):
-        marked = scratch.write(fingerprints(docs, id_col, text_col, words, lanes), "marked")
-    nodes = scratch.write(marked.groupBy(*names).agg(F.min("id").alias("node")), "nodes")
-    found = linked_components(nodes, lanes, segments, max_distance, scratch)
-    classes = nodes.join(found, "node", "left").select(
-        *names, F.coalesce("root", "node").alias("component")
-    )
-    return marked.join(classes, names)
-
-
-def similar_components(
-    docs: DataFrame,
-    id_col: str,
-    text_col: str,
-    words: int,
-    lanes: int,
-    segments: int,
-    max_distance: int,
-    similarity: float,
-    bands: int,
-    band_rows: int,
-) -> DataFrame:
-    """(id, text_hash, component) per row of docs, linked by the similarity of their sets.
-
-    Texts of equal sets form one class. Sets are made again from the text of each class
-    that has a candidate, so those of lone documents are never written.
-    """
-    scratch = Scratch(docs.sparkSession, "similar")
-    with setting(docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS):
-        marked = scratch.write(
-            set_marks(docs, id_col, text_col, words, lanes, bands, band_rows), "marked"
-        )
-    same = ["set_hash", "size", *lane_names(lanes)]
-    nodes = scratch.write(
-        marked.groupBy(*same, "bands").agg(
-            F.min("id").alias("node"), F.min("text_hash").alias("text_hash")
-        ),
-        "nodes",
-    )
-    texts = docs.select(
-        F.xxhash64(F.col(text_col)).alias("text_hash"), F.col(text_col).alias("body")
-    )
-
-    def confirmed(pairs: DataFrame, name: str) -> DataFrame:
-        pairs = scratch.write(pairs, f"{name}-pairs")
-        ends = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
-        needed = scratch.write(
-            nodes.join(ends, "node", "left_semi").select("node", "text_hash"), f"{name}-nodes"
-        )
-        chosen = texts.join(sized(needed, needed.count(), BROADCAST_ROWS), "text_hash")
-        once = chosen.groupBy("node", "text_hash").agg(F.max("body").alias("body"))
-        with setting(
-            docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS
-        ):
-            sets = scratch.write(shingle_sets(once, words), f"{name}-sets")
-        left = sets.select(F.col("node").alias("u"), F.col("shingles").alias("left"))
-        right = sets.select(F.col("node").alias("v"), F.col("shingles").alias("right"))
-        both = F.size(F.array_intersect("left", "right"))
-        jaccard = both / (F.size("left") + F.size("right") - both)
-        found = pairs.join(left, "u").join(right, "v").where(jaccard >= similarity)
-        return found.select("u", "v").distinct()
-
-    found = linked_components(
-        nodes.drop("set_hash", "text_hash"),
-        lanes,
-        segments,
-        max_distance,
-        scratch,
-        similarity,
-        confirmed,
-    )
-    classes = nodes.join(found, "node", "left").select(
-        *same, F.coalesce("root", "node").alias("component")
-    )
-    return marked.join(classes, same).select("id", "text_hash", "component")
+    marked = _marked(docs, id_col, text_col, words, scratch)
+    classes = _classes(marked, segments, max_distance, scratch)
+    smallest = classes.groupBy("root").agg(F.min("least").alias("component"))
+    named = classes.join(smallest, "root").select("print", "component")
+    return marked.join(named, "print")
 
 
 def deduplicate(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    words: int = 5,
-    lanes: int = 4,
-    segments: int = 8,
-    max_distance: int = 46,
-    similarity: float = 0.8,
-    bands: int = 24,
-    band_rows: int = 5,
+    words: int = 4,
+    segments: int = 2,
+    max_distance: int = 4,
 ) -> DataFrame:
     """docs with all its columns, and of each component only the row of the smallest id.
 
-    Documents are linked if the Jaccard similarity of their distinct shingle hashes is at
-    least ``similarity``; candidates are confirmed by the sets themselves. Candidates are
-    what meets in the segments of the fingerprints, certain up to 23 differing bits, or in
-    one of the ``bands`` independent tables of min-hashes, whatever the distance. By the
-    formula of the bands a pair at a similarity of exactly 0.8 is missed with a probability
-    of 7e-5, at 0.85 of 8e-7 and at 0.9 of 5e-10. Neither table lets texts that have nothing
-    in common meet but by chance.
-
     Of several rows with the smallest id the one with the smaller text hash stays, and one
-    of wholly equal id and text. Rows without an id stay only in components that have no id.
+    of wholly equal id and text. Rows without an id come after all others.
     """
-    marked = similar_components(
-        docs,
-        id_col,
-        text_col,
-        words,
-        lanes,
-        segments,
-        max_distance,
-        similarity,
-        bands,
-        band_rows,
-    )
     scratch = Scratch(docs.sparkSession, "dedup")
+    marked = _marked(docs, id_col, text_col, words, scratch)
+    classes = _classes(marked, segments, max_distance, scratch).select("print", "root")
     rows = scratch.write(
-        marked.groupBy("id", "text_hash", "component").agg(F.count(F.lit(1)).alias("copies")),
+        marked.groupBy("id", "text_hash", "print").agg(F.count(F.lit(1)).alias("copies")).join(
+            classes, "print"
+        ),
         "rows",
     )
-    first = rows.where("id = component").groupBy("component").agg(
-        F.min("text_hash").alias("best")
+    place = F.struct(F.col("id").isNull().alias("unnamed"), "id", "text_hash")
+    first = (
+        rows.groupBy("root")
+        .agg(F.min(place).alias("best"), F.sum("copies").alias("size"))
+        .where("size > 1")
+        .select("root", "best")
     )
-    judged = rows.join(first, "component", "left").select(
-        F.col("id").alias("_id"),
-        F.col("text_hash").alias("_hash"),
-        ((F.col("id") == F.col("component")) & (F.col("text_hash") == F.col("best"))).alias(
-            "_stays"
+    marks = scratch.write(
+        rows.join(first, "root").select(
+            F.col("id").isNull().alias("_unnamed"),
+            F.coalesce("id", F.lit(0)).alias("_id"),
+            F.col("text_hash").alias("_hash"),
+            place.eqNullSafe(F.col("best")).alias("_stays"),
+            (F.col("copies") > 1).alias("_repeated"),
         ),
-        (F.col("copies") > 1).alias("_repeated"),
+        "marks",
     )
-    marks = scratch.write(judged.where("_repeated or not _stays"), "marks")
+    key = ["_unnamed", "_id", "_hash"]
+    number = F.col(f"_row.{id_col}").cast("bigint")
     keyed = docs.select(F.struct("*").alias("_row")).select(
         "_row",
-        id_or_surrogate(f"_row.{id_col}", f"_row.{text_col}").alias("_id"),
+        number.isNull().alias("_unnamed"),
+        F.coalesce(number, F.lit(0)).alias("_id"),
         F.xxhash64(F.col(f"_row.{text_col}")).alias("_hash"),
     )
-    lone = keyed.join(marks.select("_id", "_hash"), ["_id", "_hash"], "left_anti").select("_row.*")
-    once = marks.where("_repeated and _stays").select("_id", "_hash")
+    gone = marks.where("_repeated or not _stays").select(key)
+    kept = keyed.join(gone, key, "left_anti").select("_row.*")
+    once = marks.where("_repeated and _stays").select(key)
     if once.isEmpty():
-        return lone
-    again = keyed.join(once, ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"])
-    return lone.unionByName(again.select("_row.*"))
+        return kept
+    again = keyed.join(once, key, "left_semi").dropDuplicates(key)
+    return kept.unionByName(again.select("_row.*"))
 
 
 def op6_simhash(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    found = simhash_components(docs, words=4, lanes=1, segments=2, max_distance=4)
-    return found.select(
-        shown_id(F.col("id")).alias("doc_id"),
-        F.lpad(F.lower(F.hex("lane_0")), 16, "0").alias("fingerprint"),
-        shown_id(F.col("component")).alias("component_id"),
+    return simhash_components(docs).select(
+        F.col("id").alias("doc_id"),
+        F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"),
+        F.col("component").alias("component_id"),
     )
