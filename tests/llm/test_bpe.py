@@ -4,10 +4,12 @@ import hashlib
 import random
 import unicodedata
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from treewatt.llm.bpe import Codec, Vocabulary, decode, encode, op13_bpe, production_model
+from treewatt.llm.bpe import Encoder, Vocabulary, decode, encode, op13_bpe, production_model
 
 tokenizers = pytest.importorskip("tokenizers")
 DOCS = "doc_id bigint, text string"
@@ -19,8 +21,8 @@ def library():
 
 
 @pytest.fixture(scope="module")
-def codec():
-    return Codec(production_model())
+def encoder():
+    return Encoder(production_model())
 
 
 def odd_texts(seed, count, longest=40):
@@ -31,39 +33,39 @@ def odd_texts(seed, count, longest=40):
     return ["".join(random_.choices(bits, k=random_.randint(0, longest))) for _ in range(count)]
 
 
-def check(codec, library, texts):
-    got = codec.encode(texts)
+def check(encoder, library, texts):
+    got = encoder.encode(texts)
     want = [library.encode(t, add_special_tokens=False).ids for t in texts]
     assert [g.tolist() for g in got] == want
-    for ids in want:
-        assert codec.decode(ids) == library.decode(ids, skip_special_tokens=False)
+    back = [library.decode(ids, skip_special_tokens=False) for ids in want]
+    assert encoder.words.decoded(pa.array(want, pa.list_(pa.int32()))) == back
 
 
-def test_equals_the_library(codec, library):
-    check(codec, library, odd_texts(2, 6000) + odd_texts(3, 60, 3000))
+def test_equals_the_library(encoder, library):
+    check(encoder, library, odd_texts(2, 6000) + odd_texts(3, 60, 3000))
 
 
-def test_every_assigned_character_and_newer_ones(codec, library):
+def test_every_assigned_character_and_newer_ones(encoder, library):
     chars = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
     known = [c for c in chars if unicodedata.category(c) != "Cn"]
     newer = [c for c in chars if unicodedata.category(c) == "Cn" and ord(c) % 7 == 0]
-    check(codec, library, ["a".join(known[i : i + 400]) for i in range(0, len(known), 400)])
-    check(codec, library, ["1 ".join(newer[i : i + 2000]) for i in range(0, len(newer), 2000)])
+    check(encoder, library, ["a".join(known[i : i + 400]) for i in range(0, len(known), 400)])
+    check(encoder, library, ["1 ".join(newer[i : i + 2000]) for i in range(0, len(newer), 2000)])
 
 
 @pytest.mark.parametrize("unit", ["a", " ", "=", "ab", "  a", "é", "中", "\n", "the", "-_", "\xf3"])
-def test_long_runs(codec, library, unit):
+def test_long_runs(encoder, library, unit):
     texts = [unit * n for n in (1, 2, 3, 15, 16, 17, 23, 24, 25, 31, 32, 33, 700)]
-    check(codec, library, texts + ["x" + t for t in texts] + [t + "x" for t in texts])
+    check(encoder, library, texts + ["x" + t for t in texts] + [t + "x" for t in texts])
 
 
-def test_very_long_texts(codec, library):
+def test_very_long_texts(encoder, library):
     random_ = random.Random(8)
-    check(codec, library, [" " * 100_000, "".join(random_.choices("abcdefgh", k=100_000)), "ok " * 100_000])
+    check(encoder, library, [" " * 100_000, "".join(random_.choices("abcdefgh", k=100_000)), "ok " * 100_000])
 
 
-def test_no_token_holds_a_forced_pair_and_fragments_are_encoded_on_their_own(codec):
-    words: Vocabulary = codec.words
+def test_no_token_holds_a_forced_pair_and_fragments_are_encoded_on_their_own(encoder):
+    words: Vocabulary = encoder.words
     assert words.forced.any() and not words.forced.all()
     for token in words.ids:
         assert not any(words.forced[a, b] for a, b in zip(token, token[1:]))
@@ -72,21 +74,24 @@ def test_no_token_holds_a_forced_pair_and_fragments_are_encoded_on_their_own(cod
         assert b"".join(parts) == text
         ends = {sum(map(len, parts[: i + 1])) for i in range(len(parts) - 1)}
         assert ends == {i + 1 for i in range(len(text) - 1) if words.forced[text[i], text[i + 1]]}
-        assert sum((words.merged(p) for p in parts), []) == words.merged(text)
+        (whole,) = words.encoded([text])
+        assert b"".join(words.encoded(parts)) == whole
 
 
-def test_scan_and_queue_agree(codec):
+def test_short_and_long_fragments_are_merged_alike(encoder):
     random_ = random.Random(4)
-    for _ in range(300):
-        text = bytes(random_.choices(b"abeinorst ", k=random_.randint(2, 60)))
-        symbols = [codec.words.single[b] for b in text]
-        assert codec.words._scan([*symbols]) == codec.words._queue([*symbols])
+    texts = [bytes(random_.choices(b"abeinorst ", k=random_.randint(1, 32))) for _ in range(3000)]
+    for text, ids in zip(texts, encoder.words.encoded(texts), strict=True):
+        symbols = encoder.words.single[list(text)].tolist()
+        assert np.frombuffer(ids, "<i4").tolist() == encoder.words._queue(symbols)
 
 
-def test_foreign_ids_and_broken_bytes(codec, library):
+def test_foreign_ids_and_broken_bytes(encoder, library):
     ids = [70_000, -1, *library.encode("é").ids, library.encode("中").ids[0], 33]
     kept = [i for i in ids if 0 <= i < 50_257]
-    assert codec.decode(ids) == library.decode(kept, skip_special_tokens=False)
+    rows = pa.array([None, ids, []], pa.list_(pa.int32()))
+    text = library.decode(kept, skip_special_tokens=False)
+    assert encoder.words.decoded(rows) == ["", text, ""]
 
 
 def test_query(spark, library, tmp_path):
@@ -112,4 +117,4 @@ def test_other_models_are_refused(tmp_path):
     model.normalizer = tokenizers.normalizers.Lowercase()
     model.save(str(tmp_path / "other.json"))
     with pytest.raises(ValueError, match="byte-level"):
-        Codec(str(tmp_path / "other.json"))
+        Encoder(str(tmp_path / "other.json"))

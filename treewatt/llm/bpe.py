@@ -21,8 +21,10 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import sys
 import unicodedata
+from collections import defaultdict
 from collections.abc import Iterator
 from itertools import islice
 
@@ -34,10 +36,14 @@ from pyspark.sql import functions as F
 
 from treewatt.llm.common import held_in_worker
 
+ASCII_PRE_TOKENS = (
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+"
+    r"|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
+)
 PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-KNOWN = 500_000  # pre-tokens that a worker remembers
+KNOWN = 300_000  # pre-tokens that a worker remembers
 KNOWN_CHARS = 256  # longer ones are not remembered
-SHORT = 24  # fragments up to this length are merged by a plain scan
+SHORT = 32  # fragments up to this length are merged side by side
 ROWS = 500  # texts in hand at once
 
 
@@ -49,11 +55,13 @@ def _byte_letters() -> dict[str, int]:
     return letters | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-def _newer_characters() -> regex.Pattern:
+def _newer_characters() -> re.Pattern:
     """Letters and numbers of the regex package that older tables have as unassigned."""
     free = (chr(c) for c in range(0x80, sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Cn")
-    found = regex.findall(r"[\p{L}\p{N}\s]+", "".join(free))
-    return regex.compile("[" + regex.escape("".join(found)) + "]" if found else r"(?!)")
+    codes = np.array([ord(c) for c in regex.findall(r"[\p{L}\p{N}\s]", "".join(free))])
+    spans = np.split(codes, np.flatnonzero(np.diff(codes) != 1) + 1) if len(codes) else []
+    ranges = "".join(f"{chr(s[0])}-{chr(s[-1])}" for s in spans)
+    return re.compile(f"[{ranges}]" if ranges else r"(?!)")
 
 
 class Vocabulary:
@@ -80,54 +88,113 @@ class Vocabulary:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         tokens = {number: token for token, number in self.ids.items()}
         tokens |= {number: content.encode() for content, number in self.special.items()}
-        self.bytes_of = [tokens.get(i, b"") for i in range(max(tokens) + 1)]
+        self.bytes_of = np.array([tokens.get(i, b"") for i in range(max(tokens) + 2)], object)
         self.rank: dict[tuple[int, int], tuple[int, int]] = {}
-        for rank, merge in enumerate(model["merges"]):
+        for merge in model["merges"]:
             left, right = (raw[x] for x in (merge.split(" ") if isinstance(merge, str) else merge))
-            self.rank[self.ids[left], self.ids[right]] = (rank, self.ids[left + right])
-        self.single = [self.ids[bytes([b])] for b in range(256)]
+            pair = self.ids[left], self.ids[right]
+            self.rank[pair] = (len(self.rank), self.ids[left + right])
+        self.single = np.array([self.ids[bytes([b])] for b in range(256)])
+        self.base = max(self.ids.values()) + 1
+        keys = np.array([left * self.base + right for left, right in self.rank], np.int64)
+        order = np.argsort(keys)
+        self.pairs, self.pair_rank = keys[order], order
+        self.made = np.array([made for _, made in self.rank.values()], np.int64)
         self.forced = np.ones((256, 256), bool)
         for token in self.ids:
             inside = np.frombuffer(token, np.uint8)
             self.forced[inside[:-1], inside[1:]] = False
 
     def fragments(self, words: list[bytes]) -> list[list[bytes]]:
-        """Each word cut at its forced boundaries."""
+        """Each word, none of them empty, cut at its forced boundaries."""
         data = b"".join(words)
         codes = np.frombuffer(data, np.uint8)
-        cuts = np.zeros(len(codes) + 1, bool)
-        cuts[1:-1] = self.forced[codes[:-1], codes[1:]]
         ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
-        cuts[ends] = True
-        places = np.flatnonzero(cuts)
-        last = np.searchsorted(places, ends, side="right").tolist()
-        stops, starts = places.tolist(), [0, *places.tolist()]
-        out, at = [], 0
-        for end in last:
-            out.append([data[starts[i] : stops[i]] for i in range(at, end)])
-            at = end
+        forced = np.zeros(len(codes), bool)
+        forced[1:] = self.forced[codes[:-1], codes[1:]]
+        forced[ends[:-1]] = False
+        forced[:1] = False
+        places = np.flatnonzero(forced)
+        out = [[word] for word in words]
+        if not len(places):
+            return out
+        owners = np.searchsorted(ends, places, side="right")
+        firsts = np.flatnonzero(np.concatenate(([True], np.diff(owners) != 0)))
+        owned, places, stops = owners[firsts].tolist(), places.tolist(), [*firsts.tolist()[1:], None]
+        for word, first, stop in zip(owned, firsts.tolist(), stops, strict=True):
+            end = int(ends[word])
+            cuts = [end - len(words[word]), *places[first:stop], end]
+            out[word] = [data[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
         return out
 
-    def merged(self, fragment: bytes) -> list[int]:
-        """Ids of a fragment: the lowest-rank pair is merged first, the leftmost of equal ones."""
-        if fragment in self.ids and len(fragment) == 1:
-            return [self.ids[fragment]]
-        symbols = [self.single[b] for b in fragment]
-        return self._scan(symbols) if len(symbols) <= SHORT else self._queue(symbols)
-
-    def _scan(self, symbols: list[int]) -> list[int]:
-        rank, never = self.rank, (sys.maxsize, 0)
-        while len(symbols) > 1:
-            found = [rank.get(pair, never) for pair in zip(symbols, symbols[1:], strict=False)]
-            best = min(found)
-            if best is never:
-                break
-            at = found.index(best)
-            symbols[at : at + 2] = [best[1]]
-        return symbols
+    def encoded(self, fragments: list[bytes]) -> list[bytes]:
+        """The ids of each fragment as 32-bit numbers, each fragment on its own."""
+        out = [b""] * len(fragments)
+        by_size = defaultdict(list)
+        for place, fragment in enumerate(fragments):
+            by_size[len(fragment)].append(place)
+        for size, places in by_size.items():
+            if size > SHORT:
+                for place in places:
+                    symbols = self.single[np.frombuffer(fragments[place], np.uint8)].tolist()
+                    out[place] = np.array(self._queue(symbols), "<i4").tobytes()
+                continue
+            data = b"".join([fragments[place] for place in places])
+            symbols = self.single[np.frombuffer(data, np.uint8)].reshape(-1, size)
+            for rows, ids in self._rounds(symbols):
+                made, width = ids.astype("<i4").tobytes(), 4 * ids.shape[1]
+                for i, row in enumerate(rows.tolist()):
+                    out[places[row]] = made[i * width : (i + 1) * width]
+        return out
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of each pair's merge, or a number above all ranks."""
+        keys = left * self.base + right
+        at = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == keys, self.pair_rank[at], len(self.pairs))
+
+    def _rounds(self, symbols: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(row numbers, ids) of sequences of one length, those that end in a round together.
+
+        In a round each sequence merges its lowest-rank pair, the leftmost of equal ones.
+        """
+        rows, none = np.arange(len(symbols)), len(self.pairs)
+        ranks = self._ranks(symbols[:, :-1], symbols[:, 1:])
+        while len(rows):
+            if symbols.shape[1] == 1:
+                yield rows, symbols
+                return
+            at = ranks.argmin(axis=1)
+            best = ranks[np.arange(len(rows)), at]
+            ended = best == none
+            if ended.any():
+                yield rows[ended], symbols[ended]
+                rows, symbols, ranks = rows[~ended], symbols[~ended], ranks[~ended]
+                at, best = at[~ended], best[~ended]
+            count, width = symbols.shape
+            row = np.arange(count)
+            symbols[row, at] = self.made[best]
+            symbols = symbols[np.arange(width) != at[:, None] + 1].reshape(count, width - 1)
+            ranks = ranks[np.arange(width - 1) != at[:, None]].reshape(count, width - 2)
+            for before in (1, 0):
+                has = (at >= before) & (at - before < width - 2)
+                i, j = row[has], at[has] - before
+                ranks[i, j] = self._ranks(symbols[i, j], symbols[i, j + 1])
+
+    def decoded(self, rows: pa.ListArray) -> list[str]:
+        """The texts of lists of ids; ids outside the vocabulary give nothing."""
+        ids = rows.flatten().to_numpy(zero_copy_only=False)
+        ids = np.where((ids >= 0) & (ids < len(self.bytes_of) - 1), ids, len(self.bytes_of) - 1)
+        parts = self.bytes_of[ids].tolist()
+        sizes = rows.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes).tolist()
+        return [
+            b"".join(parts[end - size : end]).decode("utf-8", "replace")
+            for end, size in zip(ends, sizes.tolist(), strict=True)
+        ]
 
     def _queue(self, symbols: list[int]) -> list[int]:
-        """As _scan, with a heap of pairs over a linked list."""
+        """Ids of one long fragment, with a heap of pairs over a linked list."""
         n, rank = len(symbols), self.rank
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = []
@@ -151,14 +218,16 @@ class Vocabulary:
         return [s for s in symbols if s >= 0]
 
 
-class Codec:
-    """Encodes and decodes whole texts; distinct pre-tokens and fragments are encoded once."""
+class Encoder:
+    """Encodes whole texts; distinct pre-tokens and fragments are encoded once."""
 
     def __init__(self, path: str):
         self.path = path
         self.words = Vocabulary(path)
         self.cut = regex.compile(PRE_TOKENS)
+        self.ascii_cut = re.compile(ASCII_PRE_TOKENS)
         self.newer = _newer_characters()
+        self.high = re.compile("[\u0500-\U0010ffff]")  # where newer characters begin
         special = sorted(self.words.special, key=len, reverse=True)
         marks = "|".join(map(regex.escape, special))
         self.special = regex.compile(f"({marks})") if special else None
@@ -167,7 +236,9 @@ class Codec:
         self.library = None
 
     def _pre_tokens(self, text: str) -> list[str]:
-        if text.isascii() or not self.newer.search(text):
+        if text.isascii():
+            return self.ascii_cut.findall(text)
+        if not self.high.search(text) or not self.newer.search(text):
             return self.cut.findall(text)
         if self.library is None:
             from tokenizers import Tokenizer
@@ -176,25 +247,23 @@ class Codec:
         return [text[a:b] for _, (a, b) in self.library.pre_tokenize_str(text)]
 
     def _learn(self, words: list[str]) -> dict[str, bytes]:
-        ids: dict[bytes, bytes] = {}
-        out = {}
-        for word, parts in zip(words, self.words.fragments([w.encode() for w in words]), strict=True):
-            for part in parts:
-                if part not in ids:
-                    ids[part] = np.array(self.words.merged(part), "<i4").tobytes()
-            out[word] = b"".join(map(ids.__getitem__, parts))
-        return out
+        cut = self.words.fragments([w.encode() for w in words])
+        distinct = list({part for parts in cut for part in parts})
+        ids = dict(zip(distinct, self.words.encoded(distinct), strict=True))
+        return {w: b"".join(map(ids.__getitem__, parts)) for w, parts in zip(words, cut, strict=True)}
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        cut = []
+        cut, met = [], set()
         for text in texts:
             parts = self.special.split(text or "") if self.special else [text or ""]
             cut.append([[p] if i % 2 else self._pre_tokens(p) for i, p in enumerate(parts)])
+            for words in cut[-1][::2]:
+                met.update(words)
         if len(self.known) > KNOWN:
             self.known = dict(islice(reversed(self.known.items()), KNOWN // 2))
-        new = {w for parts in cut for words in parts[::2] for w in words if w not in self.known}
+        new = list(met.difference(self.known))
         if new:
-            self.known |= self._learn(sorted(new))
+            self.known |= self._learn(new)
         out = []
         for parts in cut:
             pieces = [
@@ -207,9 +276,6 @@ class Codec:
                 del self.known[word]
         return out
 
-    def decode(self, ids: list[int]) -> str:
-        known, size = self.words.bytes_of, len(self.words.bytes_of)
-        return b"".join([known[i] for i in ids if 0 <= i < size]).decode("utf-8", "replace")
 
 
 def _lists(rows: list[np.ndarray]) -> pa.Array:
@@ -225,11 +291,11 @@ def encode(docs: DataFrame, model: str, keep: list[str], text_col: str = "text")
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = held_in_worker(("bpe", model), lambda: Codec(model))
+        encoder = held_in_worker(("bpe", model), lambda: Encoder(model))
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
-                ids = _lists(codec.encode(part.column(1).to_pylist()))
+                ids = _lists(encoder.encode(part.column(1).to_pylist()))
                 yield pa.RecordBatch.from_arrays([part.column(0), ids], ["keep", "ids"])
 
     rows = docs.select(
@@ -243,11 +309,11 @@ def decode(tokens: DataFrame, model: str) -> DataFrame:
     """(keep, ids, text) per row of what encode gives; null ids decode to an empty text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = held_in_worker(("bpe", model), lambda: Codec(model))
+        words = held_in_worker(("bpe words", model), lambda: Vocabulary(model))
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
-                texts = [codec.decode(ids or ()) for ids in part.column(1).to_pylist()]
+                texts = words.decoded(part.column(1))
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(texts, pa.string())], ["keep", "ids", "text"]
                 )
