@@ -2,19 +2,26 @@
 
 Base kinds are emails, IPv4 addresses, payment cards and phone numbers. Their values are the
 protected entities. The corpus then tells how strongly a term of an entity's texts reveals it:
-over distinct texts, the pointwise mutual information of term and entity is set in relation to
-the information of the entity itself. At 1 whoever reads the term knows the entity, at 0
-nothing. The share of the term's texts that hold the entity is smoothed as if ``smoothing``
-more texts had the term alone, so few texts say less than many, but none says nothing. Terms
-that reach ``disclosure`` become spans of the kind ``term`` wherever they occur. In the sanitised text base values are generalised to
-their kind; disclosing terms are generalised to ``[term]``, or removed if they reach
-``removal``.
+the lower confidence bound (Wilson) of the probability that a text with the term holds the
+entity. It must reach ``disclosure``, and be twice the share of all texts that hold the entity,
+so that the term tells at least one bit about it. The bound rises with the texts that agree and
+does not depend on the size of the corpus. A single text never reaches the default, as each text
+has words of its own, with or without a value; two that agree do.
+
+Copies and near copies are no second evidence. Each text has three sketches, the smallest of a
+hash over all pairs of consecutive words. The texts of an entity that share a sketch, directly
+or over others, are one class, and classes are counted; texts with the term but without the
+entity count by their first sketch.
+
+Terms that reach ``disclosure`` become spans of the kind ``term`` wherever they occur. In the
+sanitised text base values are generalised to their kind; disclosing terms are generalised to
+``[term]``, or removed if they reach ``removal``.
 
 Only DataFrame functions are used. Expressions are written so that the regular-expression
 engine neither recurses nor tries a run of characters from each of its places, so texts of
-any length pass. Terms are all whole words of a text outside its values. Rows of (entity,
-term, text) are made only of terms that are rare enough to reveal the entity, and aggregated; a
-copy of a text adds nothing, and an entity in a third of all texts is a key of an aggregate only.
+any length pass. Terms are all whole words of a text outside its values. Rows of (entity, term,
+class) are made only of entities that enough classes hold, and aggregated; the whole corpus is
+then searched only for the terms that can still reach the bound.
 
 Edge cases: a null text is an empty one without spans; equal texts have equal spans, however
 often they occur; rows without an id have a row each; an empty table gives an empty result;
@@ -28,6 +35,7 @@ from pyspark.sql import functions as F
 
 from treewatt.functions.tables import sized
 from treewatt.llm.common import Scratch
+from treewatt.llm.components import components
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL, DOMAIN = "A-Za-z0-9._%+-", "A-Za-z0-9-"
@@ -40,10 +48,12 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 TERM = r"[\p{L}\p{N}]++"
-DISCLOSURE = 0.9
-REMOVAL = 0.999
-SMOOTHING = 1.0  # texts that a term is taken to have besides, without the entity
-BROADCAST_ROWS = 100_000
+DISCLOSURE = 0.4
+REMOVAL = 0.9
+DEVIATIONS = 1.645  # one-sided confidence of 95 %
+GAIN = 2.0  # times the share of all texts that hold the entity: one bit
+BROADCAST_ROWS = 500_000  # of a few numbers or a word each
+LONGEST_TERM = 64  # code points; longer words are data, not names
 SPANS = "array<struct<start:int,stop:int,value:string>>"
 
 
@@ -120,98 +130,209 @@ def labelled(kind: str, spans: Column) -> Column:
     )
 
 
-def disclosing_terms(
-    found: DataFrame, scratch: Scratch, disclosure: float, smoothing: float
-) -> DataFrame:
-    """(term, strength) of the terms that reveal an entity.
+def lower_bound(together: Column, texts: Column, deviations: float) -> Column:
+    """Of the probability behind so many hits among so many texts."""
+    square = deviations * deviations
+    share = together / texts
+    spread = F.sqrt(share * (1 - share) / texts + square / (4 * texts * texts))
+    return (share + square / (2 * texts) - deviations * spread) / (1 + square / texts)
+
+
+def _words(column: Column) -> Column:
+    return F.regexp_extract_all(column, F.lit(TERM), F.lit(0))
+
+
+def _sketch(words: str, number: int) -> Column:
+    """The smallest of the number-th hash of two consecutive words."""
 
-    A term of n texts and an entity of m occur together in at most m, so n has a bound above
-    which the threshold is out of reach. Terms of texts with values are held against it, first
-    by their number among these texts and then by that in the whole corpus; none is lost. Of
-    the entities that occur in one text only and in the same, one stands for all.
+    def hashed(word: Column, i: Column) -> Column:
+        after = F.get(words, i + 1)
+        return F.xxhash64(*((word, after), (after, word), (word, after, word))[number])
+
+    least = F.array_min(F.transform(words, hashed))
+    return F.coalesce(least, F.lit(0)).alias(f"sketch_{number}")
+
+
+def _judged(pairs: DataFrame, texts: str, disclosure: float, deviations: float) -> DataFrame:
+    """Of (entity, term, share, together, own) those that reach the bounds, with their strength.
+
+    texts has the sketches of the texts with the term, own those of them with the entity.
     """
-    texts = found.select("text_hash", "body", *KINDS)
-    spans = F.flatten(F.array(*KINDS))
-    held = scratch.write(
-        texts.select("text_hash", F.explode(spans).alias("span"))
-        .select("text_hash", F.xxhash64("span.value").alias("entity"))
-        .distinct(),
-        "entities",
+    without = F.greatest(F.col(texts) - F.col("own"), F.lit(0))
+    strength = lower_bound(F.col("together"), F.col("together") + without, deviations)
+    return pairs.withColumn("strength", strength).where(
+        (F.col("strength") >= disclosure) & (F.col("strength") >= GAIN * F.col("share"))
     )
-    total = F.lit(float(texts.select("text_hash").distinct().count()))
 
-    def most_texts(of_entity: str) -> Column:
-        """Of a term that can reveal the entity, with some room for rounding."""
-        often = F.col(of_entity)
-        return often * F.pow(total / often, F.lit(1 - disclosure)) * (1 + 1e-9) - smoothing
 
-    counted = held.join(held.groupBy("entity").agg(F.count(F.lit(1)).alias("of_entity")), "entity")
-    once = counted.where("of_entity = 1").groupBy("text_hash", "of_entity").agg(F.min("entity").alias("entity"))
-    entities = scratch.write(counted.where("of_entity > 1").unionByName(once), "carriers")
-    limits = entities.groupBy("text_hash").agg(F.max("of_entity").alias("most"))
-    words = (
-        texts.where(F.size(spans) > 0)
-        .select("text_hash", _replaced(_cut()).alias("rest"))
+def term_candidates(
+    found: DataFrame, total: int, scratch: Scratch, disclosure: float, deviations: float
+) -> DataFrame:
+    """(entity, term, share, together, own): terms that reveal an entity, judged by the texts
+    with values alone.
+
+    A term has at least as many sketches in all texts as in those, so none that reaches the
+    bounds in the end is lost.
+    """
+    spans = F.flatten(F.array(*KINDS))
+    values = scratch.write(
+        found.where(F.size(spans) > 0)
         .select(
             "text_hash",
-            F.explode(F.array_distinct(F.regexp_extract_all("rest", F.lit(TERM), F.lit(0)))).alias("term"),
+            F.array_distinct(F.transform(spans, lambda s: F.xxhash64(s["value"]))).alias("entities"),
+            _words(_replaced(_cut())).alias("outside"),
+            _words(F.col("body")).alias("words"),
         )
-        .where(F.length("term") > 1)
+        .select(
+            "text_hash",
+            "entities",
+            *[_sketch("words", i) for i in range(3)],
+            F.array_distinct(
+                F.filter("outside", lambda w: F.length(w).between(2, LONGEST_TERM))
+            ).alias("terms"),
+        ),
+        "values",
+    )
+    # Classes that a term needs at least, all of them with the entity: two at the default.
+    least = disclosure * deviations * deviations / (1 - disclosure)
+    sketches = [f"sketch_{i}" for i in range(3)]
+    held = values.select("text_hash", *sketches, F.explode("entities").alias("entity"))
+    share = F.count(F.lit(1)) / total
+    entities = scratch.write(
+        held.groupBy("entity")
+        .agg(share.alias("share"), F.min("text_hash").alias("one"), F.max("text_hash").alias("other"))
+        .where((F.col("one") != F.col("other")) & (GAIN * F.col("share") <= 1))
+        .select("entity", "share"),
+        "entities",
+    )
+    several = held.join(sized(entities, entities.count(), BROADCAST_ROWS), "entity").distinct()
+    carriers = scratch.write(_with_classes(several, least, scratch), "carriers")
+    asked = carriers.select("text_hash").distinct()
+    words = (
+        values.join(sized(asked, asked.count(), BROADCAST_ROWS), "text_hash", "left_semi")
+        .select("text_hash", F.explode("terms").alias("term"))
         .distinct()
     )
-    words = scratch.write(words, "words")
-    seen = words.groupBy("term").agg(F.count(F.lit(1)).alias("beside_values"))
-    rare = scratch.write(
-        words.join(limits, "text_hash")
-        .join(seen, "term")
-        .where(F.col("beside_values") <= most_texts("most"))
-        .select("text_hash", "term"),
-        "rare",
+    pairs = words.join(carriers, "text_hash")
+    own = (
+        pairs.select("entity", "term", "sketch_0")
+        .distinct()
+        .groupBy("entity", "term")
+        .agg(F.count(F.lit(1)).alias("own"))
     )
-    candidates = scratch.write(rare.select("term").distinct(), "candidates")
-    rows = candidates.count()
-    of_term = (
-        texts.select(
-            "text_hash",
-            F.explode(F.array_distinct(F.regexp_extract_all("body", F.lit(TERM), F.lit(0)))).alias("term"),
-        )
-        .join(sized(candidates, rows, BROADCAST_ROWS), "term")
+    together = scratch.write(
+        pairs.select("entity", "share", "term", "text_class")
+        .distinct()
+        .groupBy("entity", "share", "term")
+        .agg(F.count(F.lit(1)).alias("together"))
+        .where(F.col("together") >= least)
+        .join(own, ["entity", "term"]),
+        "together",
+    )
+    asked = together.select("term").distinct()
+    beside = (
+        values.select("sketch_0", F.explode("terms").alias("term"))
+        .join(sized(asked, asked.count(), BROADCAST_ROWS), "term", "left_semi")
         .distinct()
         .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("of_term"))
+        .agg(F.count(F.lit(1)).alias("beside"))
     )
-    together = (
-        rare.join(of_term, "term")
-        .join(entities, "text_hash")
-        .where(F.col("of_term") <= most_texts("of_entity"))
-        .groupBy("entity", "term", "of_entity", "of_term")
-        .agg(F.count(F.lit(1)).alias("together"))
+    judged = _judged(together.join(beside, "term"), "beside", disclosure, deviations)
+    return scratch.write(judged.select("entity", "term", "share", "together", "own"), "candidates")
+
+
+def _with_classes(carriers: DataFrame, least: float, scratch: Scratch) -> DataFrame:
+    """Adds text_class, which texts of an entity have in common that share a sketch; only of
+    entities with so many classes."""
+    nodes = [
+        F.xxhash64("entity", F.lit(f"{i}"), f"sketch_{i}").alias(f"node_{i}") for i in range(3)
+    ]
+    named = carriers.select("*", *nodes)
+    links = named.select("node_0", "node_1").union(named.select("node_0", "node_2"))
+    roots = components(links, scratch, "classes")
+    classed = scratch.write(
+        named.join(roots, F.col("node_0") == F.col("node")).select(
+            *carriers.columns, F.col("root").alias("text_class")
+        ),
+        "classed",
+    )
+    enough = (
+        classed.select("entity", "text_class")
+        .distinct()
+        .groupBy("entity")
+        .agg(F.count(F.lit(1)).alias("classes"))
+        .where(F.col("classes") >= least)
+        .select("entity")
+    )
+    return classed.join(enough, "entity", "left_semi")
+
+
+def term_places(
+    texts: DataFrame, candidates: DataFrame, scratch: Scratch, disclosure: float, deviations: float
+) -> DataFrame:
+    """(text_hash, places, removed) of the texts that hold disclosing terms.
+
+    places are the numbers of words; removed has the terms among them that reach REMOVAL.
+    """
+    terms = candidates.select("term").distinct()
+    hits = scratch.write(
+        texts.select("text_hash", _words(F.col("body")).alias("words"))
+        .select("text_hash", "words", _sketch("words", 0))
+        .select("text_hash", "sketch_0", F.posexplode("words").alias("place", "term"))
+        .join(sized(terms, terms.count(), BROADCAST_ROWS), "term"),
+        "hits",
+    )
+    counted = (
+        hits.select("term", "sketch_0").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("texts"))
     )
-    information = F.ln(total / F.col("of_entity"))
-    mutual = information + F.ln(F.col("together") / (F.col("of_term") + smoothing))
-    strength = F.when(information > 0, mutual / information).otherwise(0.0)
-    strengths = (
-        together.select("term", strength.alias("strength"))
+    strengths = scratch.write(
+        _judged(candidates.join(counted, "term"), "texts", disclosure, deviations)
         .groupBy("term")
-        .agg(F.max("strength").alias("strength"))
-        .where(F.col("strength") >= disclosure)
+        .agg(F.max("strength").alias("strength")),
+        "terms",
+    )
+    named = hits.join(sized(strengths, strengths.count(), BROADCAST_ROWS), "term")
+    return scratch.write(
+        named.groupBy("text_hash").agg(
+            F.array_sort(F.collect_set("place")).alias("places"),
+            F.collect_set(F.when(F.col("strength") >= REMOVAL, F.col("term"))).alias("removed"),
+        ),
+        "places",
     )
-    return scratch.write(strengths, "terms")
 
 
-def _terms_pattern(terms: Column) -> Column:
-    """Whole words that are one of the terms; terms are letters and digits only."""
-    return F.concat(
-        F.lit(r"(?<![\p{L}\p{N}])(?:"), F.array_join(terms, "|"), F.lit(r")(?![\p{L}\p{N}])")
+def _spans_at(words: str, gaps: str, places: str) -> Column:
+    """(start, stop, value) of the words with these numbers; gaps stand before, between and
+    after the words."""
+    start = F.struct(
+        F.lit(0).alias("next"), F.lit(0).alias("at"), F.array().cast(SPANS).alias("spans")
     )
 
+    def length(column: str, state: Column, count: Column) -> Column:
+        part = F.slice(column, state["next"] + 1, count)
+        return F.aggregate(part, F.lit(0), lambda n, x: n + F.length(x))
+
+    def further(state: Column, place: Column) -> Column:
+        skipped = place - state["next"]
+        begin = state["at"] + length(gaps, state, skipped + 1) + length(words, state, skipped)
+        word = F.get(words, place)
+        end = begin + F.length(word)
+        span = F.struct(begin.alias("start"), end.alias("stop"), word.alias("value"))
+        return F.struct(
+            (place + 1).alias("next"),
+            end.alias("at"),
+            F.concat(state["spans"], F.array(span)).alias("spans"),
+        )
+
+    return F.aggregate(places, start, further, lambda state: state["spans"])
+
 
 def with_all_spans(
     docs: DataFrame,
     keep: list[str],
     text_col: str = "text",
     disclosure: float = DISCLOSURE,
-    smoothing: float = SMOOTHING,
+    deviations: float = DEVIATIONS,
 ) -> DataFrame:
     """(keep, body, email, ip, card, phone, term, removed) per row.
 
@@ -221,32 +342,30 @@ def with_all_spans(
     scratch = Scratch(docs.sparkSession, "pii")
     chosen = docs.select(F.struct(*keep).alias("keep"), F.col(text_col).alias("text"))
     found = with_base_spans(chosen, "text").withColumn("text_hash", F.xxhash64("body"))
-    terms = disclosing_terms(found, scratch, disclosure, smoothing)
-    rows = terms.count()
-    none = F.array().cast(SPANS)
-    if rows == 0:
-        return found.withColumns(
-            {"term": none, "removed": F.array().cast("array<string>")}
-        ).drop("text_hash")
-    words = F.array_distinct(F.regexp_extract_all("body", F.lit(TERM), F.lit(0)))
-    held = scratch.write(
-        found.select("text_hash", F.explode(words).alias("term"))
-        .join(sized(terms, rows, BROADCAST_ROWS), "term")
-        .groupBy("text_hash")
-        .agg(
-            F.array_sort(F.collect_set("term")).alias("terms"),
-            F.collect_set(F.when(F.col("strength") >= REMOVAL, F.col("term"))).alias("removed"),
-        ),
-        "held",
-    )
+    candidates = term_candidates(found, docs.count(), scratch, disclosure, deviations)
+    none = {"term": F.array().cast(SPANS), "removed": F.array().cast("array<string>")}
+    if candidates.isEmpty():
+        return found.withColumns(none).drop("text_hash")
+    bodies = chosen.select(F.coalesce("text", F.lit("")).alias("body"))
+    texts = bodies.withColumn("text_hash", F.xxhash64("body"))
+    held = term_places(texts, candidates, scratch, disclosure, deviations)
     joined = found.join(sized(held, held.count(), BROADCAST_ROWS), "text_hash", "left")
-    spans = matches(F.col("body"), _terms_pattern(F.col("terms")))
-    return joined.select(
+    has = F.col("places").isNotNull()
+    cut = joined.select(
+        "keep",
+        "body",
+        *KINDS,
+        "places",
+        "removed",
+        F.when(has, _words(F.col("body"))).alias("words"),
+        F.when(has, F.split("body", TERM, -1)).alias("gaps"),
+    )
+    return cut.select(
         "keep",
         "body",
         *KINDS,
-        F.when(F.col("terms").isNotNull(), spans).otherwise(none).alias("term"),
-        F.coalesce("removed", F.array().cast("array<string>")).alias("removed"),
+        F.when(has, _spans_at("words", "gaps", "places")).otherwise(none["term"]).alias("term"),
+        F.coalesce("removed", none["removed"]).alias("removed"),
     )
 
 
