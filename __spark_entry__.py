@@ -18,10 +18,11 @@ from treewatt.functions.tables import new_path, sized, write_table
 from treewatt.operators import attribution, late, latest, registry, rollup
 from treewatt.operators.hierarchy import Hierarchy, build_hierarchy
 from treewatt.plans import sample_tables as sample
-from treewatt.plans.batch import build_batch, rollup_changing_membership
-from treewatt.sources.readers import read_measurements
+from treewatt.plans.batch import build_batch, rollup_changing_membership, rollup_members
+from treewatt.sources.readers import read_measurements, read_registry_events
 from treewatt.sources.writers import stream_batches, write_results
 from treewatt.streaming.incremental import IncrementalRollup, incremental_writer
+from treewatt.streaming.members import MemberRollup, member_rows, member_writer
 from treewatt.streaming.windows import final_results
 
 HOUR_MS = 3_600_000
@@ -327,6 +328,29 @@ def rollup_changing_members(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _member_inputs(
+    spark: SparkSession, folder: str, groups_move: bool
+) -> tuple[DataFrame, DataFrame]:
+    readings = sample.doubled_arrival(_shuffled(spark, folder))
+    return readings, sample.registry_snapshots(spark, folder, groups_move)
+
+
+def changelog_changing_members(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers move and leave in the middle of the readings, in the order of arrival."""
+    log = rollup_members(*_member_inputs(spark, folder, groups_move=False), GRACE)
+    return _plain(log.drop("window_end"))
+
+
+def changelog_moving_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """As before, and nations move between regions at the same time."""
+    log = rollup_members(*_member_inputs(spark, folder, groups_move=True), GRACE)
+    return _plain(log.drop("window_end"))
+
+
+def rollup_moving_groups(spark: SparkSession, folder: str) -> DataFrame:
+    return _results(rollup_members(*_member_inputs(spark, folder, groups_move=True), GRACE, "final"))
+
+
 # -- changelog and emission -------------------------------------------------------
 
 
@@ -407,6 +431,26 @@ def rollup_throttled_stream(spark: SparkSession, folder: str) -> DataFrame:
     return _plain(spark.read.parquet(out).drop("window_end", "batch_id"))
 
 
+def rollup_changing_members_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The changelog from a stream of readings and one of registry events, in three parts."""
+    readings, events = _member_inputs(spark, folder, groups_move=False)
+    events = write_table(events, "events")
+    span = readings.agg(F.max("arrival_seq")).first()[0] + 1
+    sources = new_path(spark, "readings"), new_path(spark, "registry")
+    out, checkpoint = new_path(spark, "members"), new_path(spark, "members-checkpoint")
+    step = MemberRollup(GRACE, new_path(spark, "members-state"), out, "changelog")
+    for part in range(3):
+        place = F.greatest(F.floor(F.col("arrival_seq") * 3 / span), F.lit(0))
+        for rows, source in zip((readings, events), sources, strict=True):
+            rows.where(place == part).write.mode("append").parquet(source)
+        rows = member_rows(
+            read_measurements(spark, "parquet", sources[0], streaming=True),
+            read_registry_events(spark, "parquet", sources[1], streaming=True),
+        )
+        _run(member_writer(rows, step, checkpoint))
+    return _plain(spark.read.parquet(out).drop("window_end", "batch_id"))
+
+
 _QUERIES = (
     measurement_scan,
     registry_events,
@@ -439,12 +483,16 @@ _QUERIES = (
     rollup_inner_node_reports,
     rollup_accepted,
     rollup_changing_members,
+    changelog_changing_members,
+    changelog_moving_groups,
+    rollup_moving_groups,
     aggregate_changelog,
     changelog_two_sources,
     changelog_group_reports,
     throttled_emission,
     rollup_final,
     rollup_throttled_stream,
+    rollup_changing_members_stream,
 )
 
 

@@ -570,3 +570,125 @@ acc AS (
   WHERE window_start + INTERVAL '6 hours' + INTERVAL '1 hour' > stream_time
 )"""
 ORACLE["changelog_two_sources"] = ORACLE["aggregate_changelog"].replace(_SHUFFLED, _SOURCES)
+
+
+# -- memberships that change, in the order of arrival ----------------------------------
+
+_MIDDLE = "(SELECT max(event_id) // 2 FROM events)"
+
+
+def _member_input(region: str) -> str:
+    """Readings and two registries in one order; the second one has nations in region."""
+    return f"""
+stamps AS (
+  SELECT CAST(-1 AS BIGINT) AS seq, TIMESTAMP '2024-01-01 00:00:00' AS event_time
+  UNION ALL
+  SELECT 2 * {_MIDDLE} * {_PLACES} + 1, (SELECT max(ts) FROM events WHERE event_id <= {_MIDDLE})
+),
+arrivals AS (
+  SELECT *, max(event_time) OVER (ORDER BY seq) AS st FROM (
+    SELECT 2 * arrival_seq AS seq, event_time, identifier AS node, payload_ts_ms AS pay,
+           CAST(value_w AS DECIMAL(18, 2)) AS units FROM s
+    UNION ALL
+    SELECT seq, event_time, NULL, NULL, NULL FROM stamps)
+),
+v1 AS (SELECT * FROM customers UNION ALL SELECT * FROM nations UNION ALL SELECT * FROM regions),
+v2 AS (
+  SELECT * FROM version2
+  UNION ALL
+  SELECT 'nation-' || n_nationkey, 'region-' || ({region}) FROM nation
+  UNION ALL
+  SELECT * FROM regions
+),
+chg AS (
+  SELECT c.node, c.old, c.new, a.seq, a.event_time, a.st
+  FROM (
+    SELECT child AS node, CAST(NULL AS VARCHAR) AS old, parent AS new, 0 AS version FROM v1
+    UNION ALL
+    SELECT coalesce(v1.child, v2.child), v1.parent, v2.parent, 1
+    FROM v1 FULL JOIN v2 ON v1.child = v2.child WHERE v1.parent IS DISTINCT FROM v2.parent
+  ) c JOIN arrivals a ON a.node IS NULL AND (a.seq < 0) = (c.version = 0)
+),
+u0 AS (
+  SELECT node, time_bucket(INTERVAL '6 hours', event_time) AS w, seq, pay, units,
+         event_time AS et, st, FALSE AS gone
+  FROM arrivals WHERE node IS NOT NULL
+)"""
+
+
+def _member_level(h: int, prefix: str) -> str:
+    """What updates u{h} and changes of nodes of a level make of the level above."""
+    pair = "PARTITION BY w, child, parent"
+    before = "ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    return f"""
+one{h} AS (
+  SELECT * FROM u{h} QUALIFY row_number() OVER (PARTITION BY node, seq ORDER BY w DESC) = 1
+),
+moved{h} AS (
+  SELECT c.node, c.old, c.new, c.seq, c.st, o.node IS NOT NULL AND NOT o.gone AS has, o.pay,
+         o.units, greatest(o.et, c.event_time) AS et,
+         time_bucket(INTERVAL '6 hours', greatest(o.et, c.event_time)) AS w
+  FROM (SELECT * FROM chg WHERE node LIKE '{prefix}-%') c
+  ASOF LEFT JOIN one{h} o ON c.node = o.node AND c.seq > o.seq
+),
+pair{h} AS (
+  SELECT * FROM (
+    SELECT u.w, u.node AS child, c.new AS parent, 2 * u.seq + 1 AS ord, u.seq,
+           CASE WHEN NOT u.gone THEN u.pay END AS pay, u.units, u.et, u.st, u.gone AS removal
+    FROM u{h} u ASOF JOIN chg c ON u.node = c.node AND u.seq >= c.seq
+    UNION ALL
+    SELECT w, node, new, 2 * seq, seq, pay, units, et, st, FALSE FROM moved{h} WHERE has
+    UNION ALL
+    SELECT w, node, old, 2 * seq, seq, NULL, NULL, et, st, TRUE
+    FROM moved{h} WHERE old IS DISTINCT FROM new)
+  WHERE parent IS NOT NULL AND w + INTERVAL '6 hours' + INTERVAL '1 hour' > st
+),
+stretch{h} AS (
+  SELECT *, CASE WHEN NOT removal THEN CAST(pay AS HUGEINT) * 1000000000000 + ord END AS place,
+         coalesce(sum(CASE WHEN removal THEN 1 ELSE 0 END) OVER ({pair} {before}), 0) AS number
+  FROM pair{h}
+),
+offer{h} AS (
+  SELECT *, max(place) OVER ({pair}, number {before}) AS had,
+         arg_max(units, place) OVER ({pair}, number {before}) AS old_units
+  FROM stretch{h}
+),
+step{h} AS (
+  SELECT w, parent AS node, seq, max(pay) AS pay, max(et) AS et, max(st) AS st,
+         sum(CASE WHEN removal THEN -1 WHEN had IS NULL THEN 1 ELSE 0 END) AS joins,
+         sum(CASE WHEN removal THEN -old_units
+                  WHEN had IS NULL THEN units
+                  WHEN place > had THEN units - old_units ELSE 0 END) AS moves
+  FROM offer{h} WHERE NOT removal OR had IS NOT NULL GROUP BY 1, 2, 3
+),
+r{h + 1} AS (
+  SELECT w, node, seq, st, sum(joins) OVER s AS n, sum(moves) OVER s AS total,
+         max(pay) OVER s AS newest, max(et) OVER s AS et
+  FROM step{h} WINDOW s AS (PARTITION BY w, node ORDER BY seq)
+),
+u{h + 1} AS (
+  SELECT node, w, seq, newest AS pay, CAST(total AS DECIMAL(18, 2)) AS units, et, st,
+         n = 0 AS gone
+  FROM r{h + 1}
+)"""
+
+
+def _members(region: str) -> str:
+    levels = [_member_level(h, p) for h, p in enumerate(("customer", "nation", "region"))]
+    return f"""
+WITH {_SHUFFLED},{_CUSTOMERS},{_VERSION_2},{_GROUPS},{_member_input(region)},{','.join(levels)},
+results AS (SELECT * FROM r1 UNION ALL SELECT * FROM r2 UNION ALL SELECT * FROM r3)
+SELECT w AS window_start, node AS identifier, newest AS timestamp_ms, CAST(n AS BIGINT) AS count,
+       CAST(total AS DOUBLE) AS sum_w,
+       CASE WHEN n = 0 THEN 0.0 ELSE CAST(total AS DOUBLE) / n END AS average_w"""
+
+
+_MOVING = "CASE WHEN n_nationkey % 4 = 1 THEN (n_regionkey + 1) % 5 ELSE n_regionkey END"
+_LOG = ", et AS event_time, seq AS arrival_seq, st AS stream_time FROM results"
+ORACLE["changelog_changing_members"] = _members("n_regionkey") + _LOG
+ORACLE["rollup_changing_members_stream"] = ORACLE["changelog_changing_members"]
+ORACLE["changelog_moving_groups"] = _members(_MOVING) + _LOG
+ORACLE["rollup_moving_groups"] = _members(_MOVING) + """
+FROM (SELECT * FROM results
+      QUALIFY row_number() OVER (PARTITION BY w, node ORDER BY seq DESC) = 1)
+WHERE n > 0"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -50,6 +51,31 @@ def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
             spark.conf.set(key, before)
 
 
+_written = threading.local()
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Removes, at the end, the tables that write_table made inside in this thread.
+
+    For steps whose results are written elsewhere by then, such as one micro-batch.
+    """
+    outer = getattr(_written, "paths", None)
+    _written.paths = []
+    try:
+        yield
+    finally:
+        for path in _written.paths:
+            delete(spark, path)
+        _written.paths = outer
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder if it is there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_table(df: DataFrame, label: str) -> DataFrame:
     """Write df to the shared folder and return the reader of what was written.
 
@@ -57,6 +83,8 @@ def write_table(df: DataFrame, label: str) -> DataFrame:
     file sizes give the optimiser true statistics.
     """
     path = new_path(df.sparkSession, label)
+    if getattr(_written, "paths", None) is not None:
+        _written.paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

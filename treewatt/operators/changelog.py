@@ -59,7 +59,7 @@ def _stream_time(df: DataFrame) -> list[str]:
     return ["stream_time"] if "stream_time" in df.columns else []
 
 
-def _running_results(updates: DataFrame, node: str) -> DataFrame:
+def running_results(updates: DataFrame, node: str) -> DataFrame:
     """Counts, sums and newest times after each update of a group."""
     return with_running(
         updates,
@@ -88,7 +88,7 @@ def aggregate_changelog(
     bounds also under ``drop_window``, as what follows tells groups apart by them; see
     ``public_columns``.
     """
-    _only_last_values(cfg)
+    only_last_values(cfg)
     deltas = write_table(child_deltas(_offers(accepted, cfg), cfg), "deltas")
     closure = hierarchy.sized_closure().withColumnRenamed("leaf", "identifier")
     spread = deltas.join(closure, "identifier").withColumn("delta", leaf_only("delta"))
@@ -114,7 +114,7 @@ def aggregate_changelog(
         "updates",
     )
     extra = ("event_time", "arrival_seq", *_stream_time(accepted))
-    return _running_results(updates, "ancestor").select(
+    return running_results(updates, "ancestor").select(
         *result_columns(replace(cfg, drop_window=False), "ancestor", "n", "total", "newest", extra)
     )
 
@@ -124,7 +124,7 @@ def public_columns(results: DataFrame, cfg: RollupConfig) -> DataFrame:
     return results.drop("window_start", "window_end") if cfg.drop_window else results
 
 
-def _only_last_values(cfg: RollupConfig) -> None:
+def only_last_values(cfg: RollupConfig) -> None:
     if cfg.child_agg != "last":
         raise ValueError("the changelog follows last values: child_agg must be 'last'")
     if cfg.sum_scale is None:
@@ -141,7 +141,7 @@ def changelog_by_height(
     is newer, its own reading or the sum of its children (the sum on a tie). Rows as in
     ``aggregate_changelog``; a reading causes one row per group it reaches.
     """
-    _only_last_values(cfg)
+    only_last_values(cfg)
     stream_time = _stream_time(accepted)
     heights = sized(
         hierarchy.nodes.select(F.col("child").alias("identifier"), "height"),
@@ -170,7 +170,7 @@ def changelog_by_height(
                 ),
                 "updates",
             )
-            after = write_table(_running_results(updates, "parent"), "results")
+            after = write_table(running_results(updates, "parent"), "results")
             results.append(
                 after.select(
                     *result_columns(

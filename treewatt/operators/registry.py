@@ -174,6 +174,31 @@ def diff_history(edges: DataFrame, events: DataFrame | None = None) -> DataFrame
     return upserts.unionByName(deletes)
 
 
+def changes_after(known: DataFrame, snapshots: DataFrame) -> DataFrame:
+    """Changes that snapshots ``(arrival_seq, event_time, payload)`` bring to known memberships
+    ``(child, parents)``, in the shape of ``diff_history``.
+
+    Each snapshot is compared with the one before it, the first with what is known. Hand in
+    written tables; a snapshot that names a node twice raises.
+    """
+    edges = unique_identifiers(flatten_registry(snapshots), "arrival_seq")
+    stamp = snapshots.agg(
+        F.min("arrival_seq").alias("arrival_seq"),
+        F.min_by("event_time", "arrival_seq").alias("event_time"),
+    ).first()
+    if stamp.arrival_seq is None:
+        return diff_history(edges, snapshots)
+    first = edges.where(F.col("arrival_seq") == stamp.arrival_seq)
+    return (
+        diff_snapshots(known, parent_sets(first))
+        .withColumn("arrival_seq", F.lit(stamp.arrival_seq).cast("bigint"))
+        .withColumn("event_time", F.lit(stamp.event_time))
+        .unionByName(
+            diff_history(edges, snapshots).where(F.col("arrival_seq") > F.lit(stamp.arrival_seq))
+        )
+    )
+
+
 def current_parents(changes: DataFrame) -> DataFrame:
     """Parents known after all changes: the last change per child, deletes dropped."""
     last = changes.groupBy("child").agg(

@@ -15,7 +15,9 @@ from treewatt.operators.changelog import (
 from treewatt.operators.hierarchy import Hierarchy, build_hierarchy
 from treewatt.operators.latest import value_per_window
 from treewatt.operators.late import accepted_with_stream_time, drop_late, unique_arrival
+from treewatt.operators.members import follow_members, no_state, results_of
 from treewatt.operators.registry import (
+    changes_after,
     current_parents,
     diff_history,
     flatten_registry,
@@ -27,7 +29,7 @@ from treewatt.operators.rollup import (
     rollup_memberships,
     rollup_multilevel,
 )
-from treewatt.operators.throttle import throttled_emission
+from treewatt.operators.throttle import throttle, throttled_emission
 
 EMISSIONS = ("final", "closure", "changelog", "throttled")
 
@@ -77,6 +79,32 @@ def hierarchy_from_events(events: DataFrame, cfg: RollupConfig) -> Hierarchy:
     )
 
 
+def rollup_members(
+    measurements: DataFrame, events: DataFrame, cfg: RollupConfig, emission: str = "changelog"
+) -> DataFrame:
+    """Results while nodes of any level join, move and leave, in the order of arrival.
+
+    Readings and registry events share one order of arrival numbers; see
+    ``operators.members`` for what a change does, and ``streaming.members`` for the same on a
+    stream. emission is "final", "changelog" or "throttled".
+    """
+    require(measurements=measurements, events=events, cfg=cfg)
+    if emission not in ("final", "changelog", "throttled"):
+        raise ValueError("emission must be final, changelog or throttled")
+    spark = measurements.sparkSession
+    state = no_state(spark)
+    snapshots = write_table(
+        snapshot_events(events).select("arrival_seq", "event_time", "payload"), "snapshots"
+    )
+    changes = changes_after(state.parents, snapshots)
+    log, after = follow_members(measurements, changes, state, cfg)
+    if emission == "final":
+        return results_of(after, cfg)
+    if emission == "throttled":
+        log = throttle(log, after.clock, cfg)[0]
+    return public_columns(log, cfg)
+
+
 def rollup_changing_membership(
     measurements: DataFrame,
     changes: DataFrame,

@@ -203,3 +203,69 @@ def order_edges(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "lineitem").select(
         _named("part", "l_partkey").alias("child"), _named("order", "l_orderkey").alias("parent")
     )
+
+
+def registry_document(customers: DataFrame, nations: DataFrame, regions: DataFrame) -> DataFrame:
+    """One row with the payload of a whole registry, from the edges of its three levels."""
+
+    def level(edges: DataFrame, below: DataFrame | None) -> DataFrame:
+        """(parent, children): the nodes of a level as they stand in the document."""
+        node = F.struct(F.col("child").alias("identifier"))
+        if below is not None:
+            inner = below.withColumnRenamed("parent", "child")
+            edges = edges.join(inner, "child", "left")
+            node = F.struct(F.col("child").alias("identifier"), "children")
+        return edges.groupBy("parent").agg(F.collect_list(node).alias("children"))
+
+    top = level(regions, level(nations, level(customers, None)))
+    return top.select(
+        F.to_json(F.struct(F.col("parent").alias("identifier"), "children")).alias("payload")
+    )
+
+
+def doubled_arrival(readings: DataFrame) -> DataFrame:
+    """Even arrival numbers, so that odd ones are free for registry events."""
+    return readings.withColumn("arrival_seq", 2 * F.col("arrival_seq"))
+
+
+def registry_snapshots(spark: SparkSession, folder: str, groups_move: bool) -> DataFrame:
+    """Two whole registries: one before all readings, and the second version of the customer
+    memberships in the middle of them. With groups_move every fourth nation then moves to the
+    next region as well."""
+    customers = table(spark, folder, "customer")
+    regions = table(spark, folder, "region").select(
+        _named("region", "r_regionkey").alias("child"), F.lit("root").alias("parent")
+    )
+
+    def nations(region: Column) -> DataFrame:
+        return table(spark, folder, "nation").select(
+            _named("nation", "n_nationkey").alias("child"),
+            F.concat(F.lit("region-"), region.cast("string")).alias("parent"),
+        )
+
+    key, region = F.col("n_nationkey"), F.col("n_regionkey")
+    moved = F.when(key % 4 == 1, (region + 1) % 5).otherwise(region) if groups_move else region
+    events = table(spark, folder, "events")
+    middle = (events.agg(F.max("event_id")).first()[0] or 0) // 2
+    newest = events.where(F.col("event_id") <= middle).agg(
+        F.unix_micros(F.max("ts").cast("timestamp"))
+    )
+    changed = F.timestamp_micros(F.lit(newest.first()[0]).cast("bigint"))
+    versions = [
+        (registry_document(customer_edges(spark, folder), nations(region), regions), -1),
+        (
+            registry_document(second_version(spark, folder), nations(moved), regions),
+            2 * middle * late_places(spark, folder) + 1,
+        ),
+    ]
+    documents = [
+        payload.select(F.lit(seq).cast("bigint").alias("arrival_seq"), "payload")
+        for payload, seq in versions
+    ]
+    start = F.lit(START_TIME).cast("timestamp")
+    return documents[0].unionByName(documents[1]).select(
+        F.lit("SENSOR_REGISTRY_CHANGED").alias("event_type"),
+        "payload",
+        F.when(F.col("arrival_seq") < 0, start).otherwise(changed).alias("event_time"),
+        "arrival_seq",
+    )

@@ -12,13 +12,9 @@ from treewatt.config import require
 from treewatt.functions.tables import write_table
 from treewatt.operators.hierarchy import Hierarchy, build_hierarchy
 from treewatt.operators.registry import (
+    changes_after,
     current_parents,
-    diff_history,
-    diff_snapshots,
-    flatten_registry,
-    parent_sets,
     snapshot_events,
-    unique_identifiers,
 )
 
 
@@ -41,26 +37,8 @@ class RegistryFeed:
         snapshots = write_table(
             snapshot_events(batch).select("arrival_seq", "event_time", "payload"), "snapshots"
         )
-        edges = unique_identifiers(flatten_registry(snapshots), "arrival_seq")
         known = self.memberships(spark, batch_id - 1)
-        stamp = snapshots.agg(
-            F.min("arrival_seq").alias("arrival_seq"),
-            F.min_by("event_time", "arrival_seq").alias("event_time"),
-        ).first()
-        if stamp.arrival_seq is None:
-            changes = diff_history(edges, snapshots)
-        else:
-            # Inside the batch each snapshot is compared with the one before it; the
-            # first one with what earlier batches left.
-            first = edges.where(F.col("arrival_seq") == stamp.arrival_seq)
-            changes = (
-                diff_snapshots(known, parent_sets(first))
-                .withColumn("arrival_seq", F.lit(stamp.arrival_seq).cast("bigint"))
-                .withColumn("event_time", F.lit(stamp.event_time))
-                .unionByName(
-                    diff_history(edges, snapshots).where(F.col("arrival_seq") > F.lit(stamp.arrival_seq))
-                )
-            )
+        changes = changes_after(known, snapshots)
         changes.write.mode("overwrite").parquet(self._folder("changes", batch_id))
         changes = spark.read.parquet(self._folder("changes", batch_id))
         kept = known.join(changes.select("child").distinct(), "child", "left_anti")
