@@ -315,6 +315,8 @@ def salvage(source: Source) -> Iterator[tuple]:
         yield "gap", gap, source.size, reason
 
 
+MOST_READERS = 20_000  # partitions; beyond it a task reads several archives
+
 FOUND = (
     "path string, kind string, start bigint, end bigint, reason string, record_type string, "
     "target_uri string, payload_digest string, payload_bytes bigint, page_id bigint, "
@@ -389,10 +391,15 @@ def written_archives(spark: SparkSession, pages: DataFrame, **options) -> DataFr
     return scratch.write(written, "files")
 
 
+def spread(files: DataFrame) -> DataFrame:
+    """A partition for each archive, up to MOST_READERS of them; a given number of partitions is
+    one that adaptive execution does not merge, small as the rows are."""
+    return files.repartition(min(max(files.count(), 1), MOST_READERS))
+
+
 def op1_warc(spark, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    files = written_archives(spark, pages)
-    found = read_warc(files.repartition("path"))
+    found = read_warc(spread(written_archives(spark, pages)))
     return found.where("kind = 'record'").select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
