@@ -328,6 +328,19 @@ def rollup_changing_members(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def throttled_upserted(spark: SparkSession, folder: str) -> DataFrame:
+    """Throttled results and their corrections, written in two parts to one table."""
+    out = write_table(
+        build_batch(_shuffled(spark, folder), _balanced(spark, folder), GRACE, "throttled"),
+        "throttled",
+    )
+    path = new_path(spark, "upserted")
+    middle = out.agg(F.max("arrival_seq")).first()[0] or 0
+    for later in (True, False):  # corrections may even come before what they correct
+        write_results(out.where((F.col("arrival_seq") * 2 > middle) == later), path)
+    return _plain(spark.read.schema(out.schema).parquet(path).drop("window_end", "window_date"))
+
+
 def _member_inputs(
     spark: SparkSession, folder: str, groups_move: bool
 ) -> tuple[DataFrame, DataFrame]:
@@ -369,21 +382,41 @@ def changelog_group_reports(spark: SparkSession, folder: str) -> DataFrame:
     return _plain(log.drop("window_end"))
 
 
-def changelog_two_sources(spark: SparkSession, folder: str) -> DataFrame:
-    """Every kind of event is a source with a clock and arrival numbers of its own."""
+def _from_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """Every kind of event is a source with arrival numbers of its own."""
     events = sample.table(spark, folder, "events")
     shuffled = sample.shuffled_arrival(
         sample.measurements_of(events, "event_type"), sample.late_places(spark, folder)
     )
-    readings = write_table(
+    return write_table(
         sample.numbered_by_source(write_table(shuffled, "shuffled"), "event_type"), "numbered"
     )
+
+
+def changelog_two_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """Every kind of event is a source with a clock and arrival numbers of its own."""
     log = build_batch(
-        readings, _balanced(spark, folder), GRACE, "changelog", by=("event_type",)
+        _from_sources(spark, folder),
+        _balanced(spark, folder),
+        GRACE,
+        "changelog",
+        by=("event_type",),
     )
     return _plain(log.drop("window_end"))
 
 
+def throttled_two_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """Entries are released by the time that all sources have reached."""
+    out = build_batch(
+        _from_sources(spark, folder),
+        _balanced(spark, folder),
+        GRACE,
+        "throttled",
+        by=("event_type",),
+    )
+    return _plain(out.drop("window_end"))
+
+
 def throttled_emission(spark: SparkSession, folder: str) -> DataFrame:
     out = build_batch(_shuffled(spark, folder), _balanced(spark, folder), GRACE, "throttled")
     return _plain(out.drop("window_end"))
@@ -431,6 +464,33 @@ def rollup_throttled_stream(spark: SparkSession, folder: str) -> DataFrame:
     return _plain(spark.read.parquet(out).drop("window_end", "batch_id"))
 
 
+def rollup_two_sources_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Windows that all sources have passed, from a stream in which sources lag behind: each
+    part has readings of one source from other places than those of the next."""
+    readings = _from_sources(spark, folder)
+    kinds = [r.event_type for r in readings.select("event_type").distinct().collect()]
+    source, out = new_path(spark, "arrivals"), new_path(spark, "sources")
+    checkpoint = new_path(spark, "sources-checkpoint")
+    step = IncrementalRollup(
+        _balanced(spark, folder),
+        GRACE,
+        new_path(spark, "state"),
+        out,
+        "final",
+        by=("event_type",),
+        sources=len(kinds),
+    )
+    span = readings.agg(F.max("arrival_seq")).first()[0] + 1
+    lag = F.pmod(F.crc32(F.col("event_type").cast("binary")), F.lit(2))
+    for part in range(3):
+        # The lagging half of the sources sends its first third with the others' second.
+        place = F.least(F.floor(F.col("arrival_seq") * 3 / span) + lag, F.lit(2))
+        readings.where(place == part).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(readings.schema).parquet(source)
+        _run(incremental_writer(stream, step, checkpoint))
+    return _results(spark.read.parquet(out))
+
+
 def rollup_changing_members_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The changelog from a stream of readings and one of registry events, in three parts."""
     readings, events = _member_inputs(spark, folder, groups_move=False)
@@ -490,8 +550,11 @@ _QUERIES = (
     changelog_two_sources,
     changelog_group_reports,
     throttled_emission,
+    throttled_two_sources,
+    throttled_upserted,
     rollup_final,
     rollup_throttled_stream,
+    rollup_two_sources_stream,
     rollup_changing_members_stream,
 )
 

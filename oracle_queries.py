@@ -692,3 +692,41 @@ ORACLE["rollup_moving_groups"] = _members(_MOVING) + """
 FROM (SELECT * FROM results
       QUALIFY row_number() OVER (PARTITION BY w, node ORDER BY seq DESC) = 1)
 WHERE n > 0"""
+
+
+# -- several sources, corrections in one table -------------------------------------------
+
+ORACLE["throttled_upserted"] = f"""
+SELECT * FROM ({ORACLE["throttled_emission"]})
+QUALIFY row_number() OVER (PARTITION BY window_start, identifier ORDER BY arrival_seq DESC) = 1"""
+
+# The least clock of the sources that have reported, which never goes back.
+_RELEASED = """
+clocks AS (
+  SELECT n.arrival_seq, k.event_type,
+         max(CASE WHEN n.event_type = k.event_type THEN n.event_time END)
+           OVER (PARTITION BY k.event_type ORDER BY n.arrival_seq) AS clock
+  FROM numbered n, (SELECT DISTINCT event_type FROM events) k
+),
+released_at AS (
+  SELECT arrival_seq, max(least_clock) OVER (ORDER BY arrival_seq) AS release_time
+  FROM (SELECT arrival_seq, min(clock) AS least_clock FROM clocks GROUP BY 1)
+),
+acc AS (
+  SELECT t.* EXCLUDE (event_type, seq, stream_time), r.release_time AS stream_time
+  FROM timed t JOIN released_at r ON t.arrival_seq = r.arrival_seq
+  WHERE window_start + INTERVAL '6 hours' + INTERVAL '1 hour' > t.stream_time
+)"""
+_BY_SOURCE = _SOURCES[: _SOURCES.index("acc AS (")] + _RELEASED
+ORACLE["throttled_two_sources"] = (
+    ORACLE["throttled_emission"]
+    .replace(_SHUFFLED, _BY_SOURCE)
+    .replace("(SELECT max(event_time) FROM m)", "(SELECT max(release_time) FROM released_at)")
+)
+ORACLE["rollup_two_sources_stream"] = f"""
+WITH {_SOURCES},
+accepted AS (SELECT * EXCLUDE (window_start, stream_time) FROM acc),
+{_LAST.format(source='accepted')},{_CUSTOMERS},{_GROUPS},{_THREE_LEVELS}
+{_final('by_nation', 'by_region', 'by_root')}
+WHERE window_start + INTERVAL '7 hours' <= (
+  SELECT min(newest) FROM (SELECT max(ts) AS newest FROM events GROUP BY event_type))"""

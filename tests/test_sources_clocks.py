@@ -1,0 +1,151 @@
+"""Several sources: clocks of their own, in stored input and in streams."""
+
+import random
+
+import pytest
+from helpers import at, counts_and_sums, hierarchy, readings
+from pyspark.sql import functions as F
+from scenarios import GRACE_MS, PAIR, SCENARIOS, WINDOW_MS
+
+from treewatt import RollupConfig
+from treewatt.operators.late import unique_arrival, with_release_time
+from treewatt.plans.batch import build_batch
+from treewatt.streaming.incremental import IncrementalRollup, incremental_writer
+
+CFG = RollupConfig(emit_period_ms=WINDOW_MS, grace_period_ms=GRACE_MS, sum_scale=3)
+BY = ("source_partition",)
+COLUMNS = "identifier string, event_time timestamp, payload_ts_ms bigint, value_w double, arrival_seq bigint, source_partition int"
+
+
+def from_sources(spark, rows):
+    """Rows are (source, offset, sensor, second, watts)."""
+    data = [(n, at(s), round(s * 1000), float(w), o, p) for p, o, n, s, w in rows]
+    return spark.createDataFrame(data, COLUMNS)
+
+
+def dealt(case):
+    """A scenario's readings dealt over two sources, in which both have the newest time last."""
+    counts, out = [0, 0], []
+    for i, (sensor, second, watts, *_) in enumerate(case.readings):
+        source = i % 2
+        out.append((source, counts[source], sensor, second, watts))
+        counts[source] += 1
+    return out
+
+
+def random_rows(seed, count=80):
+    random_ = random.Random(seed)
+    clocks, counts, out = [0.0, 0.0, 0.0], [0, 0, 0], []
+    for _ in range(count):
+        source = random_.choice([0, 0, 1, 1, 1, 2])
+        clocks[source] += random_.choice([0, 0.5, 1])
+        second = max(0.0, clocks[source] - random_.choice([0, 0, 1, 3, 6]))
+        out.append((source, counts[source], random_.choice(["child1", "child2"]), second, random_.randint(1, 99)))
+        counts[source] += 1
+    return out
+
+
+def replay(rows, children=2):
+    """Final results, and throttled ones, one arrival after the other."""
+    order = sorted(rows, key=lambda r: (r[1], r[0]))
+    clocks, released, values, entries, out = {}, None, {}, {}, []
+    window, grace = WINDOW_MS / 1000, GRACE_MS / 1000
+    for seq, (source, _, sensor, second, watts) in enumerate(order):
+        clocks[source] = max(second, clocks.get(source, second))
+        least = min(clocks.values())
+        released = least if released is None else max(released, least)
+        start = second // window * window
+        for key, entry in sorted(entries.items()):
+            if entry["opened"] + window <= released and key != start:
+                out.append((key, entry["n"], entry["total"]))
+                del entries[key]
+        if start + window + grace <= clocks[source]:
+            continue
+        mine = values.setdefault(start, {})
+        old = mine.get(sensor)
+        if old is None or second >= old[0]:
+            mine[sensor] = (second, watts)
+        mine["newest"] = max(second, mine.get("newest", second))
+        state = {"n": len(mine) - 1, "total": float(sum(v[1] for k, v in mine.items() if k != "newest"))}
+        entry = entries.get(start)
+        if entry and entry["opened"] + window <= released:
+            out.append((start, entry["n"], entry["total"]))
+            entry = None
+        entries[start] = {"opened": entry["opened"] if entry else mine["newest"], **state}
+        if entries[start]["opened"] + window <= released:
+            done = entries.pop(start)
+            out.append((start, done["n"], done["total"]))
+    for key, entry in entries.items():
+        if released is not None and entry["opened"] + window <= released:
+            out.append((key, entry["n"], entry["total"]))
+    final = {
+        start: (len(mine) - 1, float(sum(v[1] for k, v in mine.items() if k != "newest")))
+        for start, mine in values.items()
+    }
+    return final, sorted(out), min(clocks.values())
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_throttled_results_of_sources_against_a_replay(spark, seed):
+    rows = random_rows(seed)
+    _, expected, _ = replay(rows)
+    got = build_batch(from_sources(spark, rows), hierarchy(spark, PAIR), CFG, "throttled", by=BY)
+    assert sorted((r.window_start.timestamp(), r["count"], r.sum_w) for r in got.collect()) == expected
+
+
+def test_time_that_all_sources_have_reached(spark):
+    rows = [(0, 0, "a", 5, 1), (0, 1, "a", 9, 1), (1, 1, "a", 2, 1), (1, 2, "a", 20, 1), (0, 3, "a", 11, 1)]
+    timed = with_release_time(unique_arrival(from_sources(spark, rows), BY), BY)
+    got = [r.release_time.timestamp() for r in timed.orderBy("arrival_seq").collect()]
+    assert got == [5, 9, 9, 9, 11]  # a source that joins behind does not turn time back
+
+
+def run(writer):
+    query = writer.trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert query.exception() is None
+
+
+def streamed(spark, tmp_path, parts, emission, sources):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    step = IncrementalRollup(
+        hierarchy(spark, PAIR), CFG, str(tmp_path / "state"), out, emission, by=BY, sources=sources
+    )
+    for part in parts:
+        part.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(part.schema).parquet(source)
+        run(incremental_writer(stream, step, str(tmp_path / "checkpoint")))
+    return spark.read.parquet(out)
+
+
+def test_a_source_that_lags_loses_nothing(spark, tmp_path):
+    ahead = [(0, i, "child1", 2 * i, i) for i in range(12)]
+    behind = [(1, 0, "child2", 1, 5.0), (1, 1, "child2", 3, 7.0), (1, 2, "child2", 40, 1)]
+    everything = from_sources(spark, ahead + behind)
+    parts = [from_sources(spark, p) for p in (ahead[:9], behind[:1], ahead[9:] + behind[1:])]
+    out = streamed(spark, tmp_path, parts, "final", 2)
+    whole = build_batch(everything, hierarchy(spark, PAIR), CFG, "final", by=BY)
+    closed = whole.where(F.col("window_end") + F.expr(f"INTERVAL {GRACE_MS} MILLISECONDS") <= F.lit(at(22)))
+    key = lambda r: (r.window_start, r.identifier, r["count"], r.sum_w)
+    assert sorted(map(key, out.collect())) == sorted(map(key, closed.collect()))
+    assert (at(0), "root", 2, 5.0) in {(r.window_start.replace(tzinfo=at(0).tzinfo), *key(r)[1:]) for r in out.collect()}
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_throttled_stream_of_sources_equals_stored_input(spark, tmp_path, seed):
+    rows = sorted(random_rows(seed), key=lambda r: (r[1], r[0]))
+    parts = [from_sources(spark, p) for p in (rows[:25], rows[25:50], rows[50:])]
+    out = streamed(spark, tmp_path, parts, "throttled", 3)
+    # The sources that report are the same from the first part on.
+    assert {r[0] for r in rows[:25]} == {0, 1, 2}
+    assert counts_and_sums(out) == sorted(("root", n, s) for _, n, s in replay(rows)[1])
+
+
+def test_scenario_over_two_sources(spark):
+    case = SCENARIOS[3]
+    rows = dealt(case)
+    final, throttled, _ = replay(rows)
+    got = build_batch(from_sources(spark, rows), hierarchy(spark, case.tree), CFG, "final", by=BY)
+    assert {r.window_start.timestamp(): (r["count"], r.sum_w) for r in got.collect()} == final
+    got = build_batch(from_sources(spark, rows), hierarchy(spark, case.tree), CFG, "throttled", by=BY)
+    assert sorted((r.window_start.timestamp(), r["count"], r.sum_w) for r in got.collect()) == throttled

@@ -2,10 +2,11 @@ import json
 
 import pytest
 from helpers import at, hierarchy, readings, registry_events
-from scenarios import PAIR
+from scenarios import PAIR, nested
 
 from treewatt import RollupConfig
 from treewatt.operators.rollup import rollup_multilevel
+from treewatt.plans.batch import hierarchy_from_events
 from treewatt.schemas import MEASUREMENT, RESULT
 from treewatt.sources.readers import (
     read_measurements,
@@ -13,6 +14,7 @@ from treewatt.sources.readers import (
     readings_from_bus,
     registry_events_from_bus,
 )
+from treewatt.streaming.registry_feed import RegistryFeed
 from treewatt.sources.writers import latest_per_window, stream_batches, to_bus, write_results
 
 BUS = "key binary, value binary, partition int, offset bigint, timestamp timestamp"
@@ -106,3 +108,54 @@ def test_newest_correction_per_window(spark):
         (0.0, 2.0),
         (2.0, 3.0),
     ]
+
+
+def versioned(spark, rows):
+    """Rows are (window second, group, watts, arrival)."""
+    return spark.createDataFrame(
+        [(at(s), g, float(w), a) for s, g, w, a in rows],
+        "window_start timestamp, identifier string, sum_w double, arrival_seq bigint",
+    )
+
+
+def test_corrections_keep_the_newest_version(spark, tmp_path):
+    path, day = str(tmp_path / "out"), 86_400
+    write_results(versioned(spark, [(0, "root", 1, 5), (0, "root", 2, 9), (day, "root", 3, 7)]), path)
+    write_results(versioned(spark, [(0, "root", 8, 6), (0, "a", 4, 1), (day, "root", 5, 8)]), path)
+    write_results(versioned(spark, [(0, "root", 2.5, 9)]), path)
+    rows = {(r.window_start.timestamp(), r.identifier, r.sum_w) for r in spark.read.parquet(path).collect()}
+    assert rows == {(0.0, "root", 2.5), (0.0, "a", 4.0), (float(day), "root", 5.0)}
+
+
+def test_two_results_of_a_key_need_a_version(spark, tmp_path):
+    rows = versioned(spark, [(0, "root", 1, 5), (0, "root", 2, 9)])
+    with pytest.raises(ValueError, match="several results"):
+        write_results(rows.drop("arrival_seq"), str(tmp_path / "out"))
+    with pytest.raises(ValueError, match="key columns"):
+        write_results(rows.drop("window_start"), str(tmp_path / "out"))
+    write_results(rows.withColumnRenamed("arrival_seq", "round"), str(tmp_path / "out"), version="round")
+    assert [r.sum_w for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [2.0]
+
+
+def test_registry_events_of_several_partitions(spark, tmp_path):
+    """Equal offsets of two partitions are two snapshots, which take turns."""
+    def event(kind, tree, partition, offset):
+        return (kind.encode(), json.dumps(nested(tree)).encode(), partition, offset, at(offset))
+
+    moved = {"root": ["child2", "group"], "group": ["child1"]}
+    raw = spark.createDataFrame(
+        [
+            event("SENSOR_REGISTRY_CHANGED", PAIR, 0, 7),
+            event("SENSOR_REGISTRY_STATUS", moved, 1, 7),
+            event("SENSOR_REGISTRY_CHANGED", PAIR, 0, 3),
+        ],
+        BUS,
+    )
+    events = registry_events_from_bus(raw)
+    tree = hierarchy_from_events(events, RollupConfig())
+    pairs = {(r.child, r.parent) for r in tree.edges.collect()}
+    assert pairs == {("child2", "root"), ("group", "root"), ("child1", "group")}
+    feed = RegistryFeed(str(tmp_path / "state"))
+    feed(events.where("arrival_seq = 3"), 0)
+    feed(events.where("arrival_seq = 7"), 1)
+    assert {(r.child, r.parent) for r in feed.hierarchy(spark).edges.collect()} == pairs

@@ -50,6 +50,41 @@ def unique_arrival(measurements: DataFrame, by: tuple[str, ...]) -> DataFrame:
     ).select(*measurements.columns)
 
 
+def with_release_time(
+    measurements: DataFrame,
+    by: tuple[str, ...],
+    clocks: dict[tuple, int] | None = None,
+    released: int | None = None,
+) -> DataFrame:
+    """Add ``release_time``: the stream time that all sources have reached, as far as they have
+    reported by then. It never goes back, also when a source joins that lags behind.
+
+    Arrival numbers are unique over all sources. ``clocks`` (microseconds by the values of
+    ``by``) and ``released`` are what earlier calls left. Each source is one running maximum:
+    sources are like the partitions of a bus, and are listed on the driver.
+    """
+    names = {tuple(r) for r in measurements.select(*by).distinct().collect()} | set(clocks or ())
+    wanted, newest, rows = [], [], measurements
+    for number, name in enumerate(sorted(names, key=repr)):
+        same = F.lit(True)
+        for column, value in zip(by, name, strict=True):
+            same = same & F.col(column).eqNullSafe(F.lit(value))
+        rows = rows.withColumn(f"_own_{number}", F.when(same, F.col("event_time")))
+        wanted.append(Running(f"_clock_{number}", "max", f"_own_{number}"))
+        carried = F.timestamp_micros(F.lit((clocks or {}).get(name)).cast("bigint"))
+        newest.append(F.greatest(F.col(f"_clock_{number}"), carried))
+    if not names:
+        return measurements.withColumn("release_time", F.lit(None).cast("timestamp"))
+    scanned = with_running(write_table(rows, "sources"), [], "arrival_seq", wanted, chunk_bits=(20, 20))
+    least = F.least(*newest, F.lit(None).cast("timestamp")).alias("_least")
+    kept = write_table(scanned.select(*measurements.columns, least), "least")
+    timed = with_running(
+        kept, [], "arrival_seq", [Running("release_time", "max", "_least")], chunk_bits=(20, 20)
+    )
+    floor = F.timestamp_micros(F.lit(released).cast("bigint"))
+    return timed.withColumn("release_time", F.greatest("release_time", floor)).drop("_least")
+
+
 def closing_arrivals(
     measurements: DataFrame, cfg: RollupConfig, by: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -137,6 +172,10 @@ def accepted_with_stream_time(
     measurements: DataFrame, cfg: RollupConfig, by: tuple[str, ...] = ()
 ) -> DataFrame:
     """Accepted readings together with the stream time at their arrival."""
-    timed = with_window_start(with_stream_time(measurements, by), cfg)
+    return accepted(with_stream_time(measurements, by), cfg)
+
+
+def accepted(timed: DataFrame, cfg: RollupConfig) -> DataFrame:
+    """Readings with stream time whose window was open then."""
     open_until = F.unix_micros(window_end(cfg)) + F.lit(cfg.grace_period_ms * 1000)
-    return timed.where(open_until > F.unix_micros("stream_time"))
+    return with_window_start(timed, cfg).where(open_until > F.unix_micros("stream_time"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from treewatt.config import RollupConfig, require
 from treewatt.functions.tables import write_table
@@ -14,7 +15,12 @@ from treewatt.operators.changelog import (
 )
 from treewatt.operators.hierarchy import Hierarchy, build_hierarchy
 from treewatt.operators.latest import value_per_window
-from treewatt.operators.late import accepted_with_stream_time, drop_late, unique_arrival
+from treewatt.operators.late import (
+    accepted_with_stream_time,
+    drop_late,
+    unique_arrival,
+    with_release_time,
+)
 from treewatt.operators.members import follow_members, no_state, results_of
 from treewatt.operators.registry import (
     changes_after,
@@ -48,7 +54,9 @@ def build_batch(
                "closure": the same without iteration, when only leaves report;
                "changelog": every update; "throttled": rate-limited updates
     by         columns that name the source whose clock decides lateness; arrival numbers
-               are then unique within a source only, and changelogs carry new ones
+               are then unique within a source only, and changelogs carry new ones. Entries
+               of throttled results are released by the time that all sources have reached,
+               which is their ``stream_time`` then
     groups_report   whether groups may send readings of their own; "changelog" and
                "throttled" then go level by level ("final" always does)
     """
@@ -60,17 +68,31 @@ def build_batch(
     if emission not in EMISSIONS:
         raise ValueError(f"emission must be one of {EMISSIONS}")
     arrived = unique_arrival(measurements, by)
-    accepted = write_table(accepted_with_stream_time(arrived, cfg, by), "accepted")
+    if emission == "throttled" and by:
+        arrived = write_table(arrived, "arrived")
+        arrived = write_table(with_release_time(arrived, by), "released")
+    accepted = accepted_with_stream_time(arrived, cfg, by)
+    if emission == "throttled" and by:
+        accepted = accepted.withColumn("stream_time", F.col("release_time"))
     follow = changelog_by_height if groups_report else aggregate_changelog
-    changelog = follow(accepted, hierarchy, cfg)
-    if emission == "throttled":
+    changelog = follow(write_table(accepted, "accepted"), hierarchy, cfg)
+    if emission == "throttled" and by:
+        end = arrived.agg(F.unix_micros(F.max("release_time"))).first()[0]
+        changelog = throttle(changelog, end, cfg)[0]
+    elif emission == "throttled":
         changelog = throttled_emission(changelog, measurements, cfg)
     return public_columns(changelog, cfg)
 
 
 def hierarchy_from_events(events: DataFrame, cfg: RollupConfig) -> Hierarchy:
-    """The hierarchy known after all registry events."""
+    """The hierarchy known after all registry events.
+
+    Events with a ``source_partition`` are numbered by their partitions; snapshots take turns
+    by these numbers.
+    """
     snapshots = snapshot_events(events)
+    if "source_partition" in snapshots.columns:
+        snapshots = unique_arrival(write_table(snapshots, "snapshots"), ("source_partition",))
     edges = unique_identifiers(flatten_registry(snapshots), "arrival_seq")
     known = current_parents(diff_history(edges, snapshots))
     return build_hierarchy(

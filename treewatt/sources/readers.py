@@ -100,9 +100,12 @@ def read_registry_events(
 
 
 def registry_events_from_bus(raw: DataFrame) -> DataFrame:
+    """Kafka-shaped rows to registry events; offsets are unique within a partition only, which
+    is kept as ``source_partition``."""
     return raw.select(
         F.col("key").cast("string").alias("event_type"),
         F.col("value").cast("string").alias("payload"),
         F.col("timestamp").alias("event_time"),
         F.col("offset").alias("arrival_seq"),
+        F.col("partition").cast("int").alias("source_partition"),
     )

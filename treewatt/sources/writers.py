@@ -14,23 +14,45 @@ from treewatt.functions.tables import write_table
 _RESULT_KEY = ("window_start", "identifier")
 
 
-def write_results(results: DataFrame, path: str) -> None:
+def write_results(
+    results: DataFrame,
+    path: str,
+    version: str | None = None,
+    key: tuple[str, ...] = _RESULT_KEY,
+) -> None:
     """Insert or update results, keyed by window and group, in a table by day of window.
 
+    With a ``version`` column (without one named, ``arrival_seq`` if the results have it) each
+    key keeps the row of its greatest version, of those written now and before: corrections
+    may come together, in any order and more than once. Of equal versions the row written now
+    stays. Without a version the row written now stays, and two for one key raise.
+
     Rows of other keys stay, also those of the same day, and writing the same results
     again leaves the table as it was. Only the days present in ``results`` are read and
     replaced; the new days are complete in the shared folder before any is replaced.
     """
     require(path=path)
+    missing = sorted({"window_start", *key} - set(results.columns))
+    if missing:
+        raise ValueError(f"results lack key columns: {', '.join(missing)}")
+    if version is None and "arrival_seq" in results.columns:
+        version = "arrival_seq"
     spark = results.sparkSession
-    new = write_table(results.withColumn("window_date", F.to_date("window_start")), "results")
+    dated = results.withColumn("window_date", F.to_date("window_start"))
+    if version is None:
+        new = write_table(dated, "results")
+        if not new.groupBy(*key).count().where("count > 1").isEmpty():
+            raise ValueError("several results for one key: name their version column")
+    else:
+        new = write_table(_newest(dated, key, [version]), "results")
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     if system.exists(folder):
         days = new.select("window_date").distinct()
         old = spark.read.schema(new.schema).parquet(path).join(days, "window_date", "left_semi")
-        kept = old.join(new.select(*_RESULT_KEY), list(_RESULT_KEY), "left_anti")
-        new = write_table(new.unionByName(kept), "days")
+        both = new.withColumn("_now", F.lit(1)).unionByName(old.withColumn("_now", F.lit(0)))
+        order = ["_now"] if version is None else [version, "_now"]
+        new = write_table(_newest(both, key, order).drop("_now"), "days")
     (
         new.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -39,6 +61,16 @@ def write_results(results: DataFrame, path: str) -> None:
     )
 
 
+def _newest(rows: DataFrame, key: tuple[str, ...], order: list[str]) -> DataFrame:
+    """The row of each key that is last in this order."""
+    others = [c for c in rows.columns if c not in key]
+    return (
+        rows.groupBy(*key)
+        .agg(F.max_by(F.struct(*others), F.struct(*order)).alias("_row"))
+        .select(*[F.col(c) if c in key else F.col(f"_row.{c}").alias(c) for c in rows.columns])
+    )
+
+
 def to_bus(results: DataFrame) -> DataFrame:
     """Key and JSON value for a message bus: key is the group, window dropped."""
     body = F.struct(

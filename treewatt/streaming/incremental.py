@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from treewatt.config import RollupConfig, require
@@ -24,7 +25,8 @@ from treewatt.functions.columns import replay_order, window_end, with_window_sta
 from treewatt.functions.tables import write_table
 from treewatt.operators.changelog import aggregate_changelog, changelog_by_height
 from treewatt.operators.hierarchy import Hierarchy
-from treewatt.operators.late import with_stream_time
+from treewatt.operators.late import accepted as accepted_readings
+from treewatt.operators.late import with_release_time, with_stream_time
 from treewatt.operators.rollup import rollup_values
 from treewatt.operators.throttle import throttle
 
@@ -33,6 +35,10 @@ EMISSIONS = ("final", "changelog", "throttled")
 # Moves arrivals of earlier batches before all arrivals of the current one.
 _EARLIER = 2**61
 
+# Arrival numbers of a source are this far apart, so that each source has its own in between.
+_SOURCES = 2**16
+_SOURCE_STATE = [T.StructField("source_no", T.LongType()), T.StructField("clock", T.LongType())]
+
 
 @dataclass(frozen=True)
 class IncrementalRollup:
@@ -47,6 +53,11 @@ class IncrementalRollup:
     groups_report   whether groups may send readings of their own
     publish     called with the written results of each batch and its number, for example
                 ``bus_batches(options)``; a batch that is run again is published again
+    by          columns that name the source of a reading. Each source then has a clock of its
+                own, which decides lateness and is carried, and numbers its readings itself.
+                Windows close, and entries are released, by the time that all sources have
+                reached.
+    sources     how many sources there are: nothing closes before so many have reported
     """
 
     hierarchy: Hierarchy | Callable[[], Hierarchy]
@@ -56,6 +67,8 @@ class IncrementalRollup:
     emission: str = "throttled"
     groups_report: bool = False
     publish: Callable[[DataFrame, int], None] | None = None
+    by: tuple[str, ...] = ()
+    sources: int = 1
 
     def __post_init__(self) -> None:
         require(hierarchy=self.hierarchy, cfg=self.cfg, state=self.state, output=self.output)
@@ -75,14 +88,17 @@ class IncrementalRollup:
         spark = batch.sparkSession
         tree = self.hierarchy() if callable(self.hierarchy) else self.hierarchy
         before = self._clock(spark, batch_id - 1)
-        newest = batch.agg(F.unix_micros(F.max("event_time"))).first()[0]
-        clock = max((t for t in (before, newest) if t is not None), default=None)
-
-        accepted = write_table(self._accept(batch, before), "accepted")
+        if self.by:
+            accepted, clock = self._accept_by_source(batch, before, batch_id)
+        else:
+            newest = batch.agg(F.unix_micros(F.max("event_time"))).first()[0]
+            clock = max((t for t in (before, newest) if t is not None), default=None)
+            accepted = self._accept(batch, before)
+        accepted = write_table(accepted, "accepted")
         earlier = self._load(spark, "values", batch_id - 1)
         merged = self._merge(accepted, earlier)
         open_until = F.unix_micros(window_end(self.cfg)) + F.lit(self.cfg.grace_period_ms * 1000)
-        still_open = open_until > F.lit(clock).cast("bigint")
+        still_open = open_until > F.lit(clock).cast("bigint") if clock is not None else F.lit(True)
 
         if self.emission == "final":
             merged = write_table(merged, "merged")
@@ -109,6 +125,55 @@ class IncrementalRollup:
         open_until = F.unix_micros(window_end(self.cfg)) + F.lit(self.cfg.grace_period_ms * 1000)
         return with_window_start(timed, self.cfg).where(open_until > F.unix_micros("stream_time"))
 
+    def _accept_by_source(
+        self, batch: DataFrame, released: int | None, batch_id: int
+    ) -> tuple[DataFrame, int | None]:
+        """As _accept, each source by its own clock, and the time that all have reached.
+
+        Sources keep the number they got when they first reported; with it arrival numbers are
+        unique over all sources and batches.
+        """
+        spark, by = batch.sparkSession, list(self.by)
+        known = self._load(spark, "sources", batch_id - 1)
+        rows = [] if known is None else known.collect()
+        numbers = {tuple(r[c] for c in by): r["source_no"] for r in rows}
+        clocks = {tuple(r[c] for c in by): r["clock"] for r in rows}
+        own = batch.groupBy(*by).agg(F.unix_micros(F.max("event_time")).alias("newest"))
+        after = dict(clocks)
+        for r in sorted(own.collect(), key=repr):
+            name = tuple(r[c] for c in by)
+            numbers.setdefault(name, len(numbers))
+            after[name] = max(t for t in (r["newest"], clocks.get(name)) if t is not None)
+        if len(numbers) > _SOURCES:
+            raise ValueError(f"more than {_SOURCES} sources")
+        schema = T.StructType([*(batch.schema[c] for c in by), *_SOURCE_STATE])
+
+        def table(values: dict[tuple, int]) -> DataFrame:
+            return spark.createDataFrame(
+                [(*name, numbers[name], values.get(name)) for name in numbers], schema
+            )
+
+        same = [F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}")) for c in by]
+        numbered = write_table(
+            batch.alias("r").join(F.broadcast(table(clocks).alias("s")), same).select(
+                *[f"r.{c}" for c in batch.columns if c != "arrival_seq"],
+                (F.col("r.arrival_seq") * _SOURCES + F.col("s.source_no")).alias("arrival_seq"),
+                F.col("s.clock").alias("_carried"),
+            ),
+            "numbered",
+        )
+        timed = with_stream_time(numbered, self.by).withColumn(
+            "stream_time", F.greatest("stream_time", F.timestamp_micros("_carried"))
+        )
+        if self.emission == "throttled":
+            timed = with_release_time(write_table(timed, "timed"), self.by, clocks, released)
+        accepted = accepted_readings(timed, self.cfg)
+        if self.emission == "throttled":
+            accepted = accepted.withColumn("stream_time", F.col("release_time"))
+        self._save(table(after), "sources", batch_id)
+        reached = min(after.values()) if len(after) >= self.sources else None
+        return accepted, max((t for t in (released, reached) if t is not None), default=None)
+
     def _merge(self, accepted: DataFrame, earlier: DataFrame | None) -> DataFrame:
         """Last value per window and sensor over this and all earlier batches."""
         columns = [

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -24,7 +24,9 @@ class RegistryFeed:
 
     Each batch compares its snapshots with the memberships left by the batch before and
     writes two tables of its own: the changes, and the memberships after them. Batches
-    without a snapshot carry the memberships on unchanged.
+    without a snapshot carry the memberships on unchanged. Events with a
+    ``source_partition`` are numbered by their partitions: they get numbers of their own, in
+    which the snapshots of a batch take turns and come after those of earlier batches.
     """
 
     state: str
@@ -35,7 +37,10 @@ class RegistryFeed:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         snapshots = write_table(
-            snapshot_events(batch).select("arrival_seq", "event_time", "payload"), "snapshots"
+            _numbered(snapshot_events(batch), batch_id).select(
+                "arrival_seq", "event_time", "payload"
+            ),
+            "snapshots",
         )
         known = self.memberships(spark, batch_id - 1)
         changes = changes_after(known, snapshots)
@@ -73,6 +78,17 @@ class RegistryFeed:
         return build_hierarchy(edges, broadcast_rows=broadcast_rows)
 
 
+def _numbered(snapshots: DataFrame, batch_id: int) -> DataFrame:
+    if "source_partition" not in snapshots.columns:
+        return snapshots
+    place = ["arrival_seq", "source_partition"]
+    # Registry events are rare: the few of a batch, without their payloads, are one window.
+    ranks = snapshots.select(*place).withColumn(
+        "_rank", F.row_number().over(Window.orderBy(*place)) + F.lit(batch_id * 2**32)
+    )
+    return snapshots.join(ranks, place).withColumn("arrival_seq", F.col("_rank").cast("bigint"))
+
+
 def registry_writer(events: DataFrame, feed: RegistryFeed, checkpoint: str) -> DataStreamWriter:
     """Streaming query that keeps the change table current."""
     require(events=events, checkpoint=checkpoint)
