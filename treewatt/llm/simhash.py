@@ -165,29 +165,33 @@ def linked_components(
         known = entries.join(
             placed.select(F.col("print").alias("rep"), F.col("part").alias("rep_part")), "rep"
         ).select("key", "rep_part")
-        members = placed.select(
-            "print", "part", F.explode(_entries_of(segments)).alias("key")
-        ).join(sized(known, rows, BROADCAST_ROWS), "key")
+        ball = placed.select("print", "part", F.explode(_entries_of(segments)).alias("key"))
         rest = scratch.write(
-            members.where("part != rep_part").select("key", "print", "part"), f"rest-{turn}"
+            ball.join(sized(known, rows, BROADCAST_ROWS), "key")
+            .where("part != rep_part")
+            .select("key", "print", "part"),
+            f"rest-{turn}",
         )
         before, left = left, rest.count()
         if not left:
             return found
+        again = scratch.write(
+            rest.groupBy("key").agg(F.min("print").alias("one")), f"again-{turn}"
+        )
+        members = scratch.write(
+            ball.join(sized(again, left, BROADCAST_ROWS), "key"), f"members-{turn}"
+        )
         if before is not None and 2 * left > before:
             break
-        again = rest.groupBy("key").agg(F.min(F.struct("print", "part")).alias("rep"))
         new = (
-            members.join(again, "key")
-            .where((F.col("part") != F.col("rep.part")) & near("print", "rep.print"))
-            .select(F.col("print").alias("u"), F.col("rep.print").alias("v"))
+            members.where((F.col("print") != F.col("one")) & near("print", "one"))
+            .select(F.col("print").alias("u"), F.col("one").alias("v"))
             .distinct()
         )
         links = scratch.write(links.unionByName(new), f"links-{turn + 1}")
+        scratch.drop(f"members-{turn}")
     pieces = _pieces(segments, max_distance + 1)
-    others = members.join(rest.select("key").distinct(), "key", "left_semi").select(
-        "key", "print", "part", pieces
-    )
+    others = members.select("key", "print", "part", pieces)
     met = rest.select("key", "print", "part", pieces).select(
         "key", "piece", "bits", F.col("print").alias("one"), F.col("part").alias("one_part")
     )
