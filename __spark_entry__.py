@@ -30,6 +30,13 @@ CFG = RollupConfig(emit_period_ms=6 * HOUR_MS, sum_scale=2)
 GRACE = RollupConfig(emit_period_ms=6 * HOUR_MS, grace_period_ms=HOUR_MS, sum_scale=2)
 DAILY_AVG = RollupConfig(emit_period_ms=24 * HOUR_MS, child_agg="avg", sum_scale=6)
 
+GRACE_MAX = RollupConfig(
+    emit_period_ms=6 * HOUR_MS, grace_period_ms=HOUR_MS, sum_scale=2, child_agg="max"
+)
+GRACE_AVG = RollupConfig(
+    emit_period_ms=24 * HOUR_MS, grace_period_ms=HOUR_MS, sum_scale=6, child_agg="avg"
+)
+
 DEPTH = 3  # customer -> nation -> region -> root
 
 
@@ -382,6 +389,46 @@ def changelog_group_reports(spark: SparkSession, folder: str) -> DataFrame:
     return _plain(log.drop("window_end"))
 
 
+def changelog_child_max(spark: SparkSession, folder: str) -> DataFrame:
+    """A sensor is worth its largest reading in the window so far."""
+    log = build_batch(_shuffled(spark, folder), _balanced(spark, folder), GRACE_MAX, "changelog")
+    return _plain(log.drop("window_end"))
+
+
+def changelog_child_avg(spark: SparkSession, folder: str) -> DataFrame:
+    """A sensor is worth the average of its readings in the day so far."""
+    log = build_batch(_shuffled(spark, folder), _balanced(spark, folder), GRACE_AVG, "changelog")
+    return _plain(log.drop("window_end"))
+
+
+def changelog_any_doubles(spark: SparkSession, folder: str) -> DataFrame:
+    """Readings with binary fractions from tiny to huge, without a scale for sums; the sums of
+    the SQL are exact, as are those here before the last rounding."""
+    readings = _shuffled(spark, folder)
+    power = F.pow(F.lit(2.0), (F.col("arrival_seq") % 5 - 2) * 20)
+    wide = readings.withColumn("value_w", F.floor(F.col("value_w")) * power)
+    cfg = RollupConfig(emit_period_ms=6 * HOUR_MS, grace_period_ms=HOUR_MS)
+    log = build_batch(wide, _balanced(spark, folder), cfg, "changelog")
+    return _plain(log.drop("window_end", "average_w"))
+
+
+def rollup_final_groups_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Windows that stream time has closed, when nations report as well, from a stream."""
+    readings = sample.inner_node_reports(spark, folder)
+    source, out = new_path(spark, "arrivals"), new_path(spark, "final")
+    checkpoint = new_path(spark, "final-checkpoint")
+    span = readings.agg(F.max("arrival_seq")).first()[0] + 1
+    step = IncrementalRollup(
+        _balanced(spark, folder), CFG, new_path(spark, "state"), out, "final", groups_report=True
+    )
+    for part in range(3):
+        place = F.floor(F.col("arrival_seq") * 3 / span)
+        readings.where(place == part).write.mode("append").parquet(source)
+        stream = read_measurements(spark, "parquet", source, streaming=True)
+        _run(incremental_writer(stream, step, checkpoint))
+    return _results(spark.read.parquet(out))
+
+
 def _from_sources(spark: SparkSession, folder: str) -> DataFrame:
     """Every kind of event is a source with arrival numbers of its own."""
     events = sample.table(spark, folder, "events")
@@ -547,6 +594,9 @@ _QUERIES = (
     changelog_moving_groups,
     rollup_moving_groups,
     aggregate_changelog,
+    changelog_child_max,
+    changelog_child_avg,
+    changelog_any_doubles,
     changelog_two_sources,
     changelog_group_reports,
     throttled_emission,
@@ -554,6 +604,7 @@ _QUERIES = (
     throttled_upserted,
     rollup_final,
     rollup_throttled_stream,
+    rollup_final_groups_report,
     rollup_two_sources_stream,
     rollup_changing_members_stream,
 )

@@ -730,3 +730,59 @@ accepted AS (SELECT * EXCLUDE (window_start, stream_time) FROM acc),
 {_final('by_nation', 'by_region', 'by_root')}
 WHERE window_start + INTERVAL '7 hours' <= (
   SELECT min(newest) FROM (SELECT max(ts) AS newest FROM events GROUP BY event_type))"""
+
+
+# -- other values of a child than the last one, and sums of any doubles --------------------
+
+
+def _log_of_all(value: str, total: str) -> str:
+    """The changelog with a value of each sensor made from all its readings so far."""
+    return f"""
+now AS (
+  SELECT u.window_start, a.ancestor AS identifier, u.arrival_seq, u.stream_time,
+         v.identifier AS sensor, b.via, max(v.event_time) AS event_time,
+         max(v.payload_ts_ms) AS payload_ts_ms, {value} AS value
+  FROM acc u
+  JOIN closure a ON u.identifier = a.leaf
+  JOIN acc v ON v.window_start = u.window_start AND v.arrival_seq <= u.arrival_seq
+  JOIN closure b ON b.leaf = v.identifier AND b.ancestor = a.ancestor
+  GROUP BY 1, 2, 3, 4, 5, 6
+),
+log AS (
+  SELECT window_start, identifier, arrival_seq, stream_time, max(event_time) AS event_time,
+         max(payload_ts_ms) AS timestamp_ms, count(DISTINCT via) AS count, {total} AS total
+  FROM now GROUP BY 1, 2, 3, 4
+)"""
+
+
+_UNITS = "sum(CAST(round(v.value_w * 1000000) AS BIGINT))"
+_DAILY = _SHUFFLED.replace("INTERVAL '6 hours'", "INTERVAL '24 hours'")
+ORACLE["changelog_child_max"] = f"""
+WITH {_SHUFFLED},{_CUSTOMERS},{_GROUPS},{_CLOSURE},
+{_log_of_all("max(CAST(v.value_w AS DECIMAL(18, 2)))", "sum(value)")}
+SELECT {_LOG_COLUMNS} FROM log"""
+ORACLE["changelog_child_avg"] = f"""
+WITH {_DAILY},{_CUSTOMERS},{_GROUPS},{_CLOSURE},
+{_log_of_all(
+    f"CAST(round(CAST({_UNITS} AS DOUBLE) / 1000000 / count(*) * 1000000) AS BIGINT)",
+    "CAST(sum(value) AS DOUBLE) / 1000000",
+)}
+SELECT {_LOG_COLUMNS} FROM log"""
+
+# Whole units of 2^-40: the values are whole numbers times a power of two from -40 to 40.
+_WIDE = _SHUFFLED.replace(
+    "SELECT identifier, event_time, payload_ts_ms, value_w, {}".format(_late("arrival_seq")),
+    "SELECT identifier, event_time, payload_ts_ms, floor(value_w) * pow(2.0, ({0} % 5 - 2) * 20)"
+    " AS value_w, {0}".format("(" + _late("arrival_seq") + ")"),
+)
+ORACLE["changelog_any_doubles"] = f"""
+WITH {_WIDE},{_CUSTOMERS},{_GROUPS},{_CLOSURE},
+{_CHANGELOG.replace(
+    "sum(CAST(value_w AS DECIMAL(18, 2)))", "sum(CAST(value_w * pow(2.0, 40) AS HUGEINT))"
+)}
+SELECT window_start, identifier, timestamp_ms, count,
+       CAST(total AS DOUBLE) / pow(2.0, 40) AS sum_w, event_time, arrival_seq, stream_time
+FROM log"""
+
+ORACLE["rollup_final_groups_report"] = ORACLE["rollup_inner_node_reports"] + """
+WHERE window_start + INTERVAL '6 hours' <= (SELECT max(event_time) FROM inner_m)"""

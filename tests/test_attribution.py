@@ -2,6 +2,7 @@ import pytest
 from helpers import at, hierarchy, readings, registry_events, windows_counts_sums
 
 from treewatt import RollupConfig
+from treewatt.operators import attribution
 from treewatt.operators.attribution import (
     contributions_over_time,
     fan_out,
@@ -123,3 +124,56 @@ def test_kept_parents_get_no_reading_twice(spark, second):
     cfg = RollupConfig(2000, child_agg="sum", sum_scale=3)
     out = rollup_changing_membership(df, history, 2, None, cfg)
     assert windows_counts_sums(out) == [(4.0, "x", 1, 17.0), (4.0, "z", 1, 17.0)]
+
+
+def many_changes(spark, count, sensors=("a", "b")):
+    """Each sensor moves every second, some of them twice at the same time."""
+    rows = []
+    for sensor in sensors:
+        old = None
+        for i in range(count):
+            new = [f"g{(i * 7) % 5}"]
+            if old != new:
+                rows.append((sensor, "upsert", old, new, i, at(i - (i % 10 == 3))))
+                old = new
+    return spark.createDataFrame(
+        rows,
+        "child string, op string, old_parents array<string>, parents array<string>, "
+        "arrival_seq bigint, event_time timestamp",
+    )
+
+
+@pytest.mark.parametrize("once", [True, False])
+def test_scan_and_join_find_the_same_versions(spark, monkeypatch, once):
+    history = many_changes(spark, 30).unionByName(many_changes(spark, 3, ("c",))).cache()
+    df = readings(spark, [(s, t / 4, t) for t in range(-4, 140) for s in "abcd"])
+    found = {}
+    for limit in (1_000, 5, 0):
+        monkeypatch.setattr(attribution, "MANY_VERSIONS", limit)
+        parents = join_parents_as_of(df, versioned_edges(history), 70, 100)
+        again = reattribute_on_change(df, history, 70, 100, once)
+        found[limit] = [sorted(map(str, map(tuple, x.select(*sorted(x.columns)).collect()))) for x in (parents, again)]
+    assert found[1_000][0] and found[1_000][1]
+    assert found[1_000] == found[5] == found[0]
+
+
+def test_rows_grow_with_readings_and_versions_not_with_both(spark, monkeypatch):
+    made = []
+    write = attribution.write_table
+
+    def counted(df, label):
+        table = write(df, label)
+        made.append((label, table.count()))
+        return table
+
+    monkeypatch.setattr(attribution, "write_table", counted)
+    versions = versioned_edges(many_changes(spark, 10_000, ("a",)))
+    df = readings(spark, [("a", t + 0.5, t) for t in range(10_000)])
+    out = join_parents_as_of(df, versions, 10_000, 100_000)
+    # Moves of the seconds that end in 3 count from a second earlier.
+    got = {round(r.value_w): r.parents for r in out.collect()}
+    assert len(got) == 10_000
+    for t in (0, 1, 2, 3, 4, 9_982, 9_983, 9_999):
+        assert got[t] == [f"g{((t + 1 if t % 10 == 2 else t) * 7) % 5}"]
+    assert max(rows for _, rows in made) <= 20_000
+    assert [label for label, _ in made] == ["busy", "timeline"]

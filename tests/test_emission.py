@@ -1,6 +1,7 @@
 """Changelog and throttling against a plain sequential run."""
 
 import random
+from fractions import Fraction
 
 import pytest
 from helpers import hierarchy, readings
@@ -140,11 +141,9 @@ def test_many_corrections_take_few_rounds(spark, monkeypatch):
     assert tables.count("marked") - 1 <= 10
 
 
-def test_changelog_needs_exact_sums_and_keeps_the_last_result(spark):
+def test_changelog_sums_are_exact_and_keep_the_last_result(spark):
     tree = hierarchy(spark, PAIR)
     rows = [("child1", 0.1, 1e12), ("child2", 0.2, 5), ("child1", 0.3, 1), ("child2", 0.4, 0.001)]
-    with pytest.raises(ValueError, match="sum_scale"):
-        build_batch(readings(spark, rows), tree, RollupConfig(2000), "changelog")
     cfg = RollupConfig(2000, sum_scale=3)
     log = build_batch(readings(spark, rows), tree, cfg, "changelog").orderBy("arrival_seq").collect()
     final = build_batch(readings(spark, rows), tree, cfg, "final").first()
@@ -154,6 +153,60 @@ def test_changelog_needs_exact_sums_and_keeps_the_last_result(spark):
         build_batch(readings(spark, rows), tree, coarse, "final").collect()
 
 
+def test_changelog_of_any_doubles(spark):
+    tree, cfg = hierarchy(spark, PAIR), RollupConfig(2000)
+    rows = [("child1", 0.1, 1e17), ("child2", 0.2, 5), ("child1", 0.3, 1)]
+    log = build_batch(readings(spark, rows), tree, cfg, "changelog").orderBy("arrival_seq").collect()
+    assert [r.sum_w for r in log] == [1e17, 1e17 + 5, 6.0]
+    assert build_batch(readings(spark, rows), tree, cfg, "final").first().sum_w == 6.0
+    random_ = random.Random(6)
+    odd = [0.1, -0.3, 5e-324, -1e300, 1.7e308, 2.0**-1060, 0.0, 3e-200]
+    rows = [
+        (random_.choice(["child1", "child2"]), 0.001 * i, random_.choice(odd) * random_.choice([1, -1]))
+        for i in range(60)
+    ]
+    log = build_batch(readings(spark, rows), tree, cfg, "changelog").orderBy("arrival_seq").collect()
+    last = {}
+    for (child, _, watts), got in zip(rows, log, strict=True):
+        last[child] = Fraction(watts)
+        assert got.sum_w == pytest.approx(float(sum(last.values())), rel=1e-15, abs=0)
+    with pytest.raises(ValueError, match="finite"):
+        build_batch(readings(spark, [("child1", 0, float("inf"))]), tree, cfg, "changelog")
+    none = build_batch(readings(spark, rows).limit(0), tree, cfg, "changelog")
+    assert none.count() == 0
+
+
+CHILD_VALUE = {"max": max, "min": min, "sum": sum, "avg": lambda v: round(sum(v) / len(v), 3)}
+
+
+@pytest.mark.parametrize("how", list(CHILD_VALUE))
+@pytest.mark.parametrize("scale", [3, None])
+def test_changelog_of_other_child_values(spark, how, scale):
+    random_ = random.Random(how)
+    rows = [
+        (random_.choice(["a1", "a2", "b1"]), 0.05 * i, random_.randint(-40, 99)) for i in range(70)
+    ]
+    tree = {"root": ["a", "b"], "a": ["a1", "a2"], "b": ["b1"]}
+    cfg = RollupConfig(2000, sum_scale=scale, child_agg=how)
+    log = build_batch(readings(spark, rows), hierarchy(spark, tree), cfg, "changelog")
+    got = {(r.arrival_seq, r.identifier): (r["count"], r.sum_w) for r in log.collect()}
+    seen = {}
+    for seq, (sensor, second, watts) in enumerate(rows):
+        seen.setdefault((second // 2, sensor), []).append(watts)
+        now = {s: CHILD_VALUE[how](v) for (w, s), v in seen.items() if w == second // 2}
+        mine = [v for s, v in now.items() if s[0] == sensor[0]]
+        count, total = got[seq, sensor[0]]
+        assert count == len(mine) and total == pytest.approx(sum(mine), abs=0.01)
+        assert got[seq, "root"][1] == pytest.approx(sum(now.values()), abs=0.01)
+
+
+def test_refusals_of_what_goes_by_height(spark):
+    tree, rows = hierarchy(spark, PAIR), readings(spark, [("child1", 0.1, 1)])
+    for cfg in (RollupConfig(2000), RollupConfig(2000, sum_scale=3, child_agg="max")):
+        with pytest.raises(ValueError, match="sum_scale|child_agg"):
+            build_batch(rows, tree, cfg, "changelog", groups_report=True)
+
+
 @pytest.mark.parametrize("emission", ["changelog", "throttled"])
 def test_emissions_without_windows(spark, emission):
     rows = [("child1", 0.1, 1), ("child2", 2.2, 5), ("child1", 9.3, 1)]

@@ -11,6 +11,11 @@ from treewatt.functions.running import Running, with_previous, with_running
 from treewatt.functions.tables import sized, write_table
 from treewatt.operators.registry import membership_retractions, versioned_edges
 
+# Sensors with more versions than this are matched by a scan along time instead of a join, in
+# which each of their readings would meet each version.
+MANY_VERSIONS = 16
+_SCAN_BITS = (32, 20)  # half an hour of a sensor's readings, in microseconds, is one chunk
+
 
 def join_current_parents(
     measurements: DataFrame, parents: DataFrame, parent_rows: int, broadcast_rows: int
@@ -32,17 +37,88 @@ def join_parents_as_of(
     """Add the parents that were valid at the event time of each reading.
 
     The sensor is the hash-join key and the validity interval a residual condition, so
-    each reading meets only the versions of its own sensor.
+    each reading meets only the versions of its own sensor; those of sensors with many
+    versions are found by one scan over readings and versions.
     """
     known = versions.select(
         F.col("child").alias("identifier"), "parents", "valid_from", "valid_to"
     )
-    joined = measurements.join(sized(known, version_rows, broadcast_rows), "identifier")
-    time = F.col("event_time")
-    inside = (time >= F.col("valid_from")) & (
-        F.col("valid_to").isNull() | (time < F.col("valid_to"))
+
+    def joined(readings: DataFrame, few: DataFrame) -> DataFrame:
+        met = readings.join(sized(few, version_rows, broadcast_rows), "identifier")
+        time = F.col("event_time")
+        inside = (time >= F.col("valid_from")) & (
+            F.col("valid_to").isNull() | (time < F.col("valid_to"))
+        )
+        return met.where(inside).drop("valid_from", "valid_to")
+
+    return _few_and_many(measurements, known, broadcast_rows, joined, _versions_by_scan)
+
+
+def _few_and_many(readings: DataFrame, known: DataFrame, broadcast_rows: int, few, many) -> DataFrame:
+    """few(readings, known) of sensors with few rows in known, many(...) of the others."""
+    busy = write_table(
+        known.groupBy("identifier")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") > MANY_VERSIONS)
+        .select("identifier"),
+        "busy",
+    )
+    rows = busy.count()
+    if rows == 0:
+        return few(readings, known)
+    busy = sized(busy, rows, broadcast_rows)
+    split = [
+        [df.join(busy, "identifier", how) for df in (readings, known)]
+        for how in ("left_anti", "left_semi")
+    ]
+    return few(*split[0]).unionByName(many(*split[1]))
+
+
+def _versions_by_scan(readings: DataFrame, versions: DataFrame) -> DataFrame:
+    """The version of each reading is the last one that began by its time."""
+    order = (F.unix_micros("valid_from") * 2).alias("_order")
+    begun = versions.where("valid_to IS NULL OR valid_to > valid_from").select(
+        "identifier", order, F.struct(order, "parents", "valid_to").alias("_version")
+    )
+    asked = readings.select(
+        "identifier",
+        (F.unix_micros("event_time") * 2 + 1).alias("_order"),
+        F.struct("*").alias("_reading"),
+    )
+    rows = write_table(begun.unionByName(asked, allowMissingColumns=True), "timeline")
+    scanned = with_running(
+        rows, ["identifier"], "_order", [Running("_known", "max", "_version")], _SCAN_BITS
+    )
+    ended = F.col("_known.valid_to") <= F.col("_reading.event_time")
+    return (
+        scanned.where(F.col("_reading").isNotNull() & F.col("_known").isNotNull())
+        .where(~F.coalesce(ended, F.lit(False)))
+        .select("_reading.*", F.col("_known.parents").alias("parents"))
+    )
+
+
+def _change_by_scan(readings: DataFrame, changes: DataFrame, once: bool) -> DataFrame:
+    """Adds the next change to each reading; with once not one at the very time of it."""
+    at_change, at_reading = (0, 1) if once else (1, 0)
+    order = F.unix_micros("change_time") * 2 + at_change
+    coming = changes.select(
+        "identifier",
+        (-order).alias("_back"),
+        F.struct(order.alias("order"), "change_seq", "change_time").alias("_change"),
+    )
+    asked = readings.select(
+        "identifier",
+        (-(F.unix_micros("event_time") * 2 + at_reading)).alias("_back"),
+        F.struct("*").alias("_reading"),
+    )
+    rows = write_table(coming.unionByName(asked, allowMissingColumns=True), "timeline")
+    scanned = with_running(
+        rows, ["identifier"], "_back", [Running("_next", "min", "_change")], _SCAN_BITS
+    )
+    return scanned.where(F.col("_reading").isNotNull() & F.col("_next").isNotNull()).select(
+        "_reading.*", "_next.change_time", "_next.change_seq"
     )
-    return joined.where(inside).drop("valid_from", "valid_to")
 
 
 def reattribute_on_change(
@@ -85,9 +161,15 @@ def reattribute_on_change(
     if once:
         old = F.coalesce("old_parents", F.array().cast("array<string>"))
         parents = F.array_except("parents", old)
+    def joined(readings: DataFrame, few: DataFrame) -> DataFrame:
+        met = readings.join(sized(few, change_rows, broadcast_rows), "identifier")
+        return met.where(known_then & (F.col("after").isNull() | ~before_last)).drop("after")
+
+    def scanned(readings: DataFrame, many: DataFrame) -> DataFrame:
+        return _change_by_scan(readings, many, once)
+
     last = (
-        measurements.join(sized(intervals, change_rows, broadcast_rows), "identifier")
-        .where(known_then & (F.col("after").isNull() | ~before_last))
+        _few_and_many(measurements, intervals, broadcast_rows, joined, scanned)
         .groupBy("identifier", "change_time", "change_seq")
         .agg(
             F.max_by("value_w", order).alias("value_w"),

@@ -375,7 +375,7 @@ class _Call:
         )
         fresh = arriving.groupBy("window_start", F.col("parent").alias("node"), "arrival_seq").agg(
             F.sum("joins").alias("joins"),
-            F.sum("delta").alias("moves"),
+            F.sum("delta").alias("moves_0"),
             F.max("payload_ts_ms").alias("payload_ts_ms"),
             F.max("event_time").alias("record_time"),
             F.max("stream_time").alias("stream_time"),
@@ -385,14 +385,17 @@ class _Call:
             "node",
             F.lit(_BEFORE).cast("bigint").alias("arrival_seq"),
             F.col("n").alias("joins"),
-            F.col("total").alias("moves"),
+            F.col("total").alias("moves_0"),
             F.col("newest").alias("payload_ts_ms"),
             F.col("event_time").alias("record_time"),
             F.lit(None).cast("timestamp").alias("stream_time"),
         )
         steps = write_table(fresh.unionByName(carried), "steps")
         after = write_table(
-            running_results(steps, "node").where(F.col("arrival_seq") > _BEFORE), "results"
+            running_results(steps, "node")
+            .where(F.col("arrival_seq") > _BEFORE)
+            .withColumnRenamed("total_0", "total"),
+            "results",
         )
         updates = after.select(
             "node",
@@ -406,7 +409,7 @@ class _Call:
         )
         now = steps.groupBy("window_start", "node").agg(
             F.sum("joins").alias("n"),
-            F.sum("moves").alias("total"),
+            F.sum("moves_0").alias("total"),
             F.max("payload_ts_ms").alias("newest"),
             F.max("record_time").alias("event_time"),
         )

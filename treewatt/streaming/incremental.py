@@ -21,7 +21,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from treewatt.config import RollupConfig, require
-from treewatt.functions.columns import replay_order, window_end, with_window_start
+from treewatt.functions.columns import (
+    from_summable,
+    replay_order,
+    summable,
+    window_end,
+    with_window_start,
+)
 from treewatt.functions.tables import write_table
 from treewatt.operators.changelog import aggregate_changelog, changelog_by_height
 from treewatt.operators.hierarchy import Hierarchy
@@ -74,8 +80,8 @@ class IncrementalRollup:
         require(hierarchy=self.hierarchy, cfg=self.cfg, state=self.state, output=self.output)
         if self.emission not in EMISSIONS:
             raise ValueError(f"emission must be one of {EMISSIONS}")
-        if self.cfg.child_agg != "last":
-            raise ValueError("incremental roll-ups carry last values: child_agg must be 'last'")
+        if self.cfg.child_agg != "last" and self.groups_report:
+            raise ValueError("groups that report have last values: child_agg must be 'last'")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
@@ -103,6 +109,8 @@ class IncrementalRollup:
         if self.emission == "final":
             merged = write_table(merged, "merged")
             closed = merged.where(~still_open)
+            if self.cfg.child_agg == "avg":
+                closed = closed.withColumn("value_w", F.col("value_w") / F.col("readings"))
             self._emit(rollup_values(closed, tree, self.cfg), batch_id)
         else:
             log = self._new_updates(accepted, earlier, tree)
@@ -175,18 +183,29 @@ class IncrementalRollup:
         return accepted, max((t for t in (released, reached) if t is not None), default=None)
 
     def _merge(self, accepted: DataFrame, earlier: DataFrame | None) -> DataFrame:
-        """Last value per window and sensor over this and all earlier batches."""
+        """What each sensor has come to per window, over this and all earlier batches.
+
+        value_w is the last, largest or smallest value or the sum of all, of so many readings.
+        """
         columns = [
             "window_start", "identifier", "payload_ts_ms", "arrival_seq", "value_w", "event_time"
         ]
-        rows = accepted.select(*columns)
+        rows = accepted.select(*columns, F.lit(1).cast("bigint").alias("readings"))
         if earlier is not None:
-            rows = rows.unionByName(earlier.select(*columns))
+            rows = rows.unionByName(earlier.select(*columns, "readings"))
+        agg = self.cfg.child_agg
+        if agg == "last":
+            value = F.max_by("value_w", replay_order())
+        elif agg in ("max", "min"):
+            value = (F.max if agg == "max" else F.min)("value_w")
+        else:
+            value = from_summable(F.sum(summable(F.col("value_w"), self.cfg)), self.cfg)
         return rows.groupBy("window_start", "identifier").agg(
             F.max("payload_ts_ms").alias("payload_ts_ms"),
             F.max_by("arrival_seq", replay_order()).alias("arrival_seq"),
-            F.max_by("value_w", replay_order()).alias("value_w"),
+            value.alias("value_w"),
             F.max("event_time").alias("event_time"),
+            F.sum("readings").alias("readings"),
         )
 
     def _new_updates(
@@ -195,7 +214,7 @@ class IncrementalRollup:
         """Changelog of this batch; carried values set the scene but cause no rows."""
         rows = accepted.select(
             "window_start", "identifier", "payload_ts_ms", "arrival_seq", "value_w",
-            "event_time", "stream_time",
+            "event_time", "stream_time", F.lit(1).cast("bigint").alias("readings"),
         )
         if earlier is not None:
             rows = rows.unionByName(earlier, allowMissingColumns=True)
