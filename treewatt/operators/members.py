@@ -38,45 +38,90 @@ from treewatt.operators.late import with_stream_time
 # The order of what earlier calls left, before all arrivals of this one.
 _BEFORE = -(2**62)
 
-STATE_TABLES = {
+# Carried tables: their columns, and the key of a row.
+WHOLE_TABLES = {
     "parents": "child string, parents array<string>",
-    "last": "node string, window_start timestamp, payload_ts_ms bigint, units bigint, "
-    "event_time timestamp, gone boolean",
-    "pairs": "window_start timestamp, child string, parent string, payload_ts_ms bigint, "
-    "units bigint",
-    "groups": "window_start timestamp, node string, n bigint, total bigint, newest bigint, "
-    "event_time timestamp",
+    "edges": "child string, parent string, until bigint",
+}
+KEYED_TABLES = {
+    "last": (
+        "node string, window_start timestamp, payload_ts_ms bigint, units bigint, "
+        "event_time timestamp, gone boolean",
+        ("node",),
+    ),
+    "pairs": (
+        "window_start timestamp, child string, parent string, payload_ts_ms bigint, units bigint",
+        ("window_start", "child", "parent"),
+    ),
+    "groups": (
+        "window_start timestamp, node string, n bigint, total bigint, newest bigint, "
+        "event_time timestamp",
+        ("window_start", "node"),
+    ),
 }
 _UPDATE = ["window_start", "payload_ts_ms", "units", "event_time", "gone"]
 _PAIR = ["window_start", "child", "parent"]
 
 
+class Carried:
+    """Rows of a keyed table, by the keys that are asked for."""
+
+    def __init__(self, rows: DataFrame, keys: tuple[str, ...]):
+        self.rows, self.keys = rows, list(keys)
+
+    def of(self, asked: DataFrame) -> DataFrame:
+        return self.rows.join(asked.select(*self.keys).distinct(), self.keys, "left_semi")
+
+    def whole(self) -> DataFrame:
+        return self.rows
+
+    def after(self, changed: DataFrame) -> Carried:
+        """With the rows of changed in place of those of equal key, but for removed ones."""
+        kept = self.rows.join(changed.select(*self.keys), self.keys, "left_anti")
+        new = changed.where("NOT removed").drop("removed")
+        return Carried(write_table(kept.unionByName(new), "carried"), tuple(self.keys))
+
+
 @dataclass(frozen=True)
 class MemberState:
     """What one call leaves to the next, beyond any window.
 
     clock     stream time in microseconds
     parents   the parents of each node now
+    edges     former edges, as long as a window may hold a value over them
     last      the last update of each node, sensor or group, known to the registry or not
     pairs     per window, what each child is worth to each parent
     groups    per window, the running result of each group
+
+    Of the last three a call reads the rows that its own touch, and leaves them changed with a
+    column ``removed``; all others stay as they are.
     """
 
     clock: int | None
     parents: DataFrame
-    last: DataFrame
-    pairs: DataFrame
-    groups: DataFrame
+    edges: DataFrame
+    last: Carried | DataFrame
+    pairs: Carried | DataFrame
+    groups: Carried | DataFrame
+
+    def after(self, changed: MemberState) -> MemberState:
+        """The state with what a call has changed."""
+        keyed = {name: getattr(self, name).after(getattr(changed, name)) for name in KEYED_TABLES}
+        return replace(changed, **keyed)
 
 
 def no_state(spark: SparkSession) -> MemberState:
-    empty = {name: spark.createDataFrame([], schema) for name, schema in STATE_TABLES.items()}
-    return MemberState(None, **empty)
+    whole = {name: spark.createDataFrame([], schema) for name, schema in WHOLE_TABLES.items()}
+    keyed = {
+        name: Carried(spark.createDataFrame([], schema), keys)
+        for name, (schema, keys) in KEYED_TABLES.items()
+    }
+    return MemberState(None, **whole, **keyed)
 
 
-def open_windows(rows: DataFrame, clock: int | None, cfg: RollupConfig) -> DataFrame:
-    """Rows of windows that stream time has not closed yet."""
-    return rows.where(_open_until(cfg) > F.lit(clock).cast("bigint")) if clock is not None else rows
+def is_open(clock: int | None, cfg: RollupConfig) -> Column:
+    """Whether stream time has not closed the window of a row yet."""
+    return F.lit(True) if clock is None else _open_until(cfg) > F.lit(clock).cast("bigint")
 
 
 def _open_until(cfg: RollupConfig) -> Column:
@@ -90,7 +135,7 @@ def _window_of(time: Column, cfg: RollupConfig) -> Column:
 def follow_members(
     readings: DataFrame, changes: DataFrame, state: MemberState, cfg: RollupConfig
 ) -> tuple[DataFrame, MemberState]:
-    """The changelog of all groups, and the state after it with all windows met.
+    """The changelog of all groups, and what it changes of the state.
 
     ``changes`` are rows ``(child, old_parents, parents, arrival_seq, event_time)`` as
     ``diff_history`` gives them; those of one snapshot share its arrival number, which no
@@ -121,7 +166,7 @@ def follow_members(
     last = [updates]
     deltas: list[DataFrame] = []
     pairs: list[DataFrame] = []
-    groups: list[DataFrame] = [call.groups_outside()]
+    groups: list[DataFrame] = []
     logs: list[DataFrame] = []
     for height in range(tree.height + 1):
         if height > 0:
@@ -133,13 +178,18 @@ def follow_members(
             made, kept = call.deltas(updates, changes, height)
             deltas.append(made)
             pairs.append(kept)
-    union = lambda frames, name: _union(frames, STATE_TABLES[name], readings)
+
+    def all_of(frames: list[DataFrame], name: str) -> DataFrame:
+        empty = readings.sparkSession.createDataFrame([], f"{KEYED_TABLES[name][0]}, removed boolean")
+        return write_table(reduce(DataFrame.unionByName, frames, empty), name)
+
     after = MemberState(
         clock,
         write_table(_parents_after(changes, state.parents), "parents"),
-        write_table(_last_after(last, state.last), "last"),
-        write_table(union(pairs, "pairs"), "pairs"),
-        write_table(union(groups, "groups"), "groups"),
+        write_table(_edges_after(changes, state.edges, clock, cfg), "edges"),
+        all_of([_last_of(last)], "last"),
+        all_of(pairs, "pairs"),
+        all_of(groups, "groups"),
     )
     if not logs:
         logs = [call.log_of(readings.sparkSession.createDataFrame([], _RESULT_STATE))]
@@ -152,12 +202,6 @@ _RESULT_STATE = (
 )
 
 
-def _union(frames: list[DataFrame], schema: str, like: DataFrame) -> DataFrame:
-    if not frames:
-        return like.sparkSession.createDataFrame([], schema)
-    return reduce(DataFrame.unionByName, frames)
-
-
 def _arrivals(
     readings: DataFrame, changes: DataFrame, clock: int | None, cfg: RollupConfig
 ) -> DataFrame:
@@ -182,7 +226,7 @@ def _tree(changes: DataFrame, state: MemberState, cfg: RollupConfig) -> Hierarch
     edges = (
         known.unionByName(changes.selectExpr("node AS child", "explode(old_parents) AS parent"))
         .unionByName(changes.selectExpr("node AS child", "explode(parents) AS parent"))
-        .unionByName(state.pairs.select("child", "parent"))
+        .unionByName(state.edges.select("child", "parent"))
     )
     return build_hierarchy(edges, broadcast_rows=cfg.broadcast_rows)
 
@@ -201,12 +245,29 @@ def _parents_after(changes: DataFrame, known: DataFrame) -> DataFrame:
     return kept.unionByName(newest.where(F.size("parents") > 0))
 
 
-def _last_after(updates: list[DataFrame], known: DataFrame) -> DataFrame:
-    carried = known.select("node", F.lit(_BEFORE).cast("bigint").alias("arrival_seq"), *_UPDATE)
+def _edges_after(
+    changes: DataFrame, known: DataFrame, clock: int | None, cfg: RollupConfig
+) -> DataFrame:
+    """Edges that are gone, until the last window that was open then has closed."""
+    if clock is None:
+        return known
+    period = cfg.emit_period_ms * 1000
+    until = (clock // period + 1) * period + cfg.grace_period_ms * 1000
+    gone = changes.select(
+        F.col("node").alias("child"),
+        F.explode(F.array_except("old_parents", "parents")).alias("parent"),
+        F.lit(until).cast("bigint").alias("until"),
+    )
+    both = known.where(F.col("until") > clock).unionByName(gone)
+    return both.groupBy("child", "parent").agg(F.max("until").alias("until"))
+
+
+def _last_of(updates: list[DataFrame]) -> DataFrame:
+    """The last update of each node that has one in this call."""
     rows = [u.select("node", "arrival_seq", *_UPDATE) for u in updates]
     newest = F.max(F.struct("arrival_seq", *_UPDATE)).alias("newest")
-    merged = reduce(DataFrame.unionByName, [carried, *rows]).groupBy("node").agg(newest)
-    return merged.select("node", *[f"newest.{c}" for c in _UPDATE])
+    merged = reduce(DataFrame.unionByName, rows).groupBy("node").agg(newest)
+    return merged.select("node", *[f"newest.{c}" for c in _UPDATE], F.lit(False).alias("removed"))
 
 
 class _Call:
@@ -250,19 +311,13 @@ class _Call:
             F.lit(False).alias("gone"),
         )
 
-    def groups_outside(self) -> DataFrame:
-        """Carried results of groups that no edge of this call reaches."""
-        return self.state.groups.join(self._heights("node"), "node", "left_anti").select(
-            *[f.split(" ")[0] for f in STATE_TABLES["groups"].split(", ")]
-        )
-
     # -- from updates to what they change for each parent ------------------------------
 
     def deltas(
         self, updates: DataFrame, changes: DataFrame, height: int
     ) -> tuple[DataFrame, DataFrame]:
         """What updates and changes of the nodes of a height make of their parents' sums, and
-        what every child is worth to every parent afterwards."""
+        what the children among them are worth to each parent afterwards."""
         if height in self.changing:
             placed = self._placed_over_changes(updates, self._at(changes, "node", height), height)
         else:
@@ -273,7 +328,8 @@ class _Call:
             )
         placed = placed.where(_open_until(self.cfg) > F.unix_micros("stream_time"))
         nothing = F.lit(None)
-        carried = self._at(self.state.pairs, "child", height).select(
+        placed = write_table(placed, "placed")
+        carried = self.state.pairs.of(placed).select(
             *_PAIR,
             F.lit(_BEFORE).cast("bigint").alias("order"),
             nothing.cast("bigint").alias("arrival_seq"),
@@ -303,6 +359,8 @@ class _Call:
         )
         if height == 0:
             one = updates.select("node", "arrival_seq", F.struct(*_UPDATE).alias("newest"), "stream_time")
+        asked = one.select("node").union(changes.select("node")).distinct()
+        parents = self.state.parents.withColumnRenamed("child", "node")
         later = (2 * F.col("arrival_seq") + 1).alias("order")
         before = F.lit(_BEFORE).cast("bigint").alias("order")
         frames = [
@@ -318,10 +376,10 @@ class _Call:
                     F.array_except("old_parents", "parents").alias("left"),
                 ).alias("change"),
             ),
-            self._at(self.state.parents, "child", height).select(
-                F.col("child").alias("node"), before, F.struct(before, "parents").alias("known")
+            parents.join(asked, "node", "left_semi").select(
+                "node", before, F.struct(before, "parents").alias("known")
             ),
-            self._at(self.state.last, "node", height).select(
+            self.state.last.of(changes).select(
                 "node", (before + 1).alias("order"),
                 F.struct((before + 1).alias("order"), *_UPDATE).alias("update"),
             ),
@@ -380,7 +438,8 @@ class _Call:
             F.max("event_time").alias("record_time"),
             F.max("stream_time").alias("stream_time"),
         )
-        carried = self._at(self.state.groups, "node", height).select(
+        fresh = write_table(fresh, "fresh")
+        carried = self.state.groups.of(fresh).select(
             "window_start",
             "node",
             F.lit(_BEFORE).cast("bigint").alias("arrival_seq"),
@@ -412,6 +471,7 @@ class _Call:
             F.sum("moves_0").alias("total"),
             F.max("payload_ts_ms").alias("newest"),
             F.max("record_time").alias("event_time"),
+            F.lit(False).alias("removed"),
         )
         return self.log_of(after), updates, now
 
@@ -439,7 +499,7 @@ def _for_parents(rows: DataFrame, parents: str, phase: int = 1) -> DataFrame:
 
 def _pair_deltas(offers: DataFrame, with_removals: bool) -> tuple[DataFrame, DataFrame]:
     """(window_start, parent, arrival_seq, delta, joins, ...) of each offer that arrived in this
-    call, and the value of each pair after all of them.
+    call, and the value of each of their pairs after all of them, or that it has none.
 
     Between two removals a pair keeps its newest offer, so the removals that came before
     number the stretches in which offers replace each other.
@@ -486,14 +546,16 @@ def _pair_deltas(offers: DataFrame, with_removals: bool) -> tuple[DataFrame, Dat
             F.max(F.struct("segment", "offer")).alias("newest"),
             F.sum(F.col("removal").cast("bigint")).alias("removals"),
         )
-        .where(F.col("newest.segment") == F.col("removals"))
-        .select(*_PAIR, "newest.offer.payload_ts_ms", "newest.offer.units")
+        .select(
+            *_PAIR,
+            "newest.offer.payload_ts_ms",
+            "newest.offer.units",
+            (F.col("newest.segment") != F.col("removals")).alias("removed"),
+        )
     )
     return made, kept
 
 
-def results_of(state: MemberState, cfg: RollupConfig) -> DataFrame:
-    """The results that a state holds, of groups that have children."""
-    return state.groups.where("n > 0").select(
-        *result_columns(cfg, "node", "n", "total", "newest")
-    )
+def results_of(groups: DataFrame, cfg: RollupConfig) -> DataFrame:
+    """The results that rows of the table of groups stand for; groups without children have none."""
+    return groups.where("n > 0").select(*result_columns(cfg, "node", "n", "total", "newest"))

@@ -121,7 +121,7 @@ def rollup_members(
     changes = changes_after(state.parents, snapshots)
     log, after = follow_members(measurements, changes, state, cfg)
     if emission == "final":
-        return results_of(after, cfg)
+        return results_of(after.groups, cfg)
     if emission == "throttled":
         log = throttle(log, after.clock, cfg)[0]
     return public_columns(log, cfg)

@@ -3,8 +3,9 @@
 Every micro-batch goes through ``follow_members`` as stored input does, from the tables that
 the batch before left: stream time, the parents and the last update of every node, which
 outlive all windows, and the pairs and groups of the open windows. So a stream gives the rows of
-one call over all of it, however it is cut. A batch that is run again after a failure reads the
-same tables, and overwrites its own and its output; older tables are removed.
+one call over all of it, however it is cut. Of last updates, pairs and groups a batch reads and
+writes only those it touches (``streaming.state``). A batch that is run again after a failure
+reads the same tables, and overwrites its own and its output; older tables are removed.
 """
 
 from __future__ import annotations
@@ -19,16 +20,18 @@ from pyspark.sql.streaming import DataStreamWriter
 from treewatt.config import RollupConfig, require
 from treewatt.functions.tables import delete, temporary_tables, write_table
 from treewatt.operators.members import (
-    STATE_TABLES,
+    KEYED_TABLES,
+    WHOLE_TABLES,
     MemberState,
     follow_members,
+    is_open,
     no_state,
-    open_windows,
     results_of,
 )
 from treewatt.operators.registry import changes_after, snapshot_events
 from treewatt.operators.throttle import throttle
 from treewatt.schemas import MEASUREMENT
+from treewatt.streaming.state import KeyedTable
 
 EMISSIONS = ("final", "changelog", "throttled")
 
@@ -71,9 +74,17 @@ class MemberRollup:
         with temporary_tables(spark):
             self._step(write_table(batch, "batch"), batch_id)
         # This batch may be run again from the tables of the one before, from no older ones.
-        for name in (*STATE_TABLES, "clock", "entries"):
+        for name in (*WHOLE_TABLES, "clock", "entries"):
             if batch_id > 1:
                 delete(spark, self._folder(name, batch_id - 2))
+        for table in self._tables().values():
+            table.expire(spark, batch_id)
+
+    def _tables(self) -> dict[str, KeyedTable]:
+        return {
+            name: KeyedTable(f"{self.state}/{name}", schema, keys)
+            for name, (schema, keys) in KEYED_TABLES.items()
+        }
 
     def _step(self, rows: DataFrame, batch_id: int) -> None:
         spark, cfg = rows.sparkSession, self.cfg
@@ -84,26 +95,24 @@ class MemberRollup:
         changes = changes_after(before.parents, snapshots)
         readings = rows.where("identifier IS NOT NULL").select(*MEASUREMENT.names)
         log, after = follow_members(readings, changes, before, cfg)
-        groups = open_windows(after.groups, after.clock, cfg)
+        for name, table in self._tables().items():
+            # A whole state keeps last updates always, and windows that were open before this
+            # batch, so that the ones that it closes are still there for their final results.
+            wanted = None if name == "last" else is_open(before.clock, cfg)
+            table.save(getattr(after, name), batch_id, wanted)
         if self.emission == "changelog":
             self._emit(log, batch_id)
         elif self.emission == "final":
-            closed = after.groups.join(
-                groups.select("window_start").distinct(), "window_start", "left_anti"
-            )
-            self._emit(
-                results_of(MemberState(after.clock, after.parents, after.last, after.pairs, closed), cfg),
-                batch_id,
-            )
+            groups = self._tables()["groups"].at(spark, batch_id).whole()
+            closed = groups.where(~is_open(after.clock, cfg) & is_open(before.clock, cfg))
+            self._emit(results_of(closed, cfg), batch_id)
         else:
             carried = self._read(spark, "entries", batch_id - 1) if batch_id > 0 else None
             released, waiting = throttle(log, after.clock, cfg, carried)
             self._emit(released, batch_id)
             self._save(waiting, "entries", batch_id)
-        self._save(after.parents, "parents", batch_id)
-        self._save(after.last, "last", batch_id)
-        self._save(open_windows(after.pairs, after.clock, cfg), "pairs", batch_id)
-        self._save(groups, "groups", batch_id)
+        for name in WHOLE_TABLES:
+            self._save(getattr(after, name), name, batch_id)
         clock = spark.range(1).select(F.lit(after.clock).cast("bigint").alias("clock"))
         self._save(clock, "clock", batch_id)
 
@@ -125,8 +134,9 @@ class MemberRollup:
     def _load(self, spark: SparkSession, batch_id: int) -> MemberState:
         if batch_id < 0:
             return no_state(spark)
-        tables = {name: self._read(spark, name, batch_id) for name in STATE_TABLES}
-        return MemberState(self._read(spark, "clock", batch_id).first()["clock"], **tables)
+        whole = {name: self._read(spark, name, batch_id) for name in WHOLE_TABLES}
+        keyed = {name: table.at(spark, batch_id) for name, table in self._tables().items()}
+        return MemberState(self._read(spark, "clock", batch_id).first()["clock"], **whole, **keyed)
 
 
 def member_writer(rows: DataFrame, rollup: MemberRollup, checkpoint: str) -> DataStreamWriter:
