@@ -292,12 +292,15 @@ def deduplicate(
         F.coalesce(number, F.lit(0)).alias("_id"),
         F.xxhash64(F.col(f"_row.{text_col}")).alias("_hash"),
     )
+    found = marks.count()
     gone = marks.where("_repeated or not _stays").select(key)
-    kept = keyed.join(gone, key, "left_anti").select("_row.*")
+    kept = keyed.join(sized(gone, found, BROADCAST_ROWS), key, "left_anti").select("_row.*")
     once = marks.where("_repeated and _stays").select(key)
+    for name in ("marked", "nodes", "classes", "rows"):
+        scratch.drop(name)
     if once.isEmpty():
         return kept
-    again = keyed.join(once, key, "left_semi").dropDuplicates(key)
+    again = keyed.join(sized(once, found, BROADCAST_ROWS), key, "left_semi").dropDuplicates(key)
     return kept.unionByName(again.select("_row.*"))
 
 
