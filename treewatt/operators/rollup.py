@@ -57,11 +57,6 @@ def rollup_one_level(
     return aggregate_children(value_per_window(measurements, cfg).join(parents, "identifier"), cfg)
 
 
-def rollup_contributions(contributions: DataFrame, cfg: RollupConfig) -> DataFrame:
-    """One-level roll-up of readings that already carry their parent."""
-    return aggregate_children(value_per_window(contributions, cfg, ("identifier", "parent")), cfg)
-
-
 def rollup_multilevel(
     measurements: DataFrame, hierarchy: Hierarchy, cfg: RollupConfig
 ) -> DataFrame:
