@@ -53,7 +53,10 @@ def test_any_cut_gives_the_rows_of_stored_input(spark, tmp_path, emission):
     data, events = inputs(spark, STEPS)
     rows = member_rows(data, events).cache()
     out = str(tmp_path / "out")
-    step = MemberRollup(CFG, str(tmp_path / "state"), out, emission)
+    published = []
+    step = MemberRollup(
+        CFG, str(tmp_path / "state"), out, emission, lambda df, n: published.append((n, df.count()))
+    )
     cuts = [0, 4, 9, len(STEPS)]
     for batch_id, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
         part = rows.where(F.col("arrival_seq").between(a, b - 1))
@@ -65,6 +68,8 @@ def test_any_cut_gives_the_rows_of_stored_input(spark, tmp_path, emission):
         whole = whole.where(F.unix_micros("window_end") <= 38_000_000)
     got = spark.read.parquet(out).drop("batch_id")
     assert told(got) == told(whole) and got.count() > 5
+    assert [n for n, _ in published] == [0, 1, 1, 2]
+    assert sum(dict(published).values()) == got.count()
 
 
 def test_folders_do_not_grow_and_untouched_rows_stay(spark, tmp_path):
