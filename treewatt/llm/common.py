@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import posixpath
 import uuid
 from collections.abc import Callable
@@ -109,5 +110,11 @@ def held_in_worker(key: tuple, make):
 
 
 def let_go_in_worker() -> None:
-    """Frees what held_in_worker keeps; for operators that need the room."""
-    _HELD.clear()
+    """Frees what held_in_worker keeps, and gives the memory back to the system; for operators
+    that need the room."""
+    if _HELD:
+        _HELD.clear()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
