@@ -14,11 +14,12 @@ from treewatt.llm.toxicity import (
     ORDER,
     SHARED,
     UNIFORM,
-    Ratios,
-    bucket_tables,
+    UNITS,
+    Grams,
+    counted_words,
     drop_toxic,
     fitted_curve,
-    gram_tables,
+    frequent,
     op7_toxicity,
     pieces_of,
     train,
@@ -70,14 +71,20 @@ def plain_ratio(texts, word):
     return sum(ratios) / len(ratios)
 
 
+def ratios_of(spark, grams, words):
+    asked = spark.createDataFrame([(w,) for w in words], "word string")
+    return {r.word: r.ratio / UNITS for r in grams.ratios(asked).collect()}
+
+
 def test_ratios_equal_plain_counts(spark):
     docs, labels = sample(40, 3)
     texts = [(t, label) for (_, t), (_, _, label) in zip(docs, labels, strict=True)]
     frame = spark.createDataFrame(texts, "text string, label int").repartition(3)
-    tables = bucket_tables(gram_tables(frame, Scratch(spark, "test")))
-    ratios = Ratios(tables)
-    for word in ["idiot", "vequer", "onan", "zzz", "ß", "a" * 40]:
-        assert ratios.measures([word])[0][0] == pytest.approx(plain_ratio(texts, word), abs=1e-4)
+    grams = Grams(counted_words(frame), Scratch(spark, "test"))
+    words = ["idiot", "vequer", "onan", "zzz", "ß", "a" * 40]
+    got = ratios_of(spark, grams, words)
+    for word in words:
+        assert got[word] == pytest.approx(plain_ratio(texts, word), abs=1e-8)
 
 
 def test_query(spark, tmp_path):
@@ -124,12 +131,12 @@ def test_more_grams_than_the_former_buckets(spark):
     texts = [(" ".join(word() for _ in range(1_000)), int(i % 10 == 0)) for i in range(40)]
     texts.append(("plain", 1))
     frame = spark.createDataFrame(texts, "text string, label int").repartition(3)
-    tables = bucket_tables(gram_tables(frame, Scratch(spark, "test")))
-    assert len(tables["gram", 5][0]) > 120_000 and len(tables["gram", 2][0]) > 2**16
-    ratios = Ratios(tables)
-    for i in (0, 1):
-        known = texts[i][0].split(" ")[5]
-        assert ratios.measures([known])[0][0] == pytest.approx(plain_ratio(texts, known), abs=1e-4)
+    grams = Grams(counted_words(frame), Scratch(spark, "test"))
+    assert grams.tables[5].count() > 120_000 and grams.tables[2].count() > 2**16
+    known = [texts[i][0].split(" ")[5] for i in (0, 1)]
+    got = ratios_of(spark, grams, known)
+    for word in known:
+        assert got[word] == pytest.approx(plain_ratio(texts, word), abs=1e-8)
 
 
 def test_only_the_sample_is_left_out_of_the_counts(spark):
@@ -140,7 +147,8 @@ def test_only_the_sample_is_left_out_of_the_counts(spark):
     )
     assert len(left_out) > 10
     cuts = {i: sum(len(w) + 1 for w in pieces_of(t)) for i, t in docs if zlib.crc32(str(i).encode()) % 4 != 2}
-    missing = sum(cuts.values()) - model.tables.value["gram", ORDER][1].sum()
+    longest = model.grams.tables[ORDER]
+    missing = sum(cuts.values()) - longest.agg(F.sum(F.col("toxic") + F.col("ordinary"))).first()[0]
     assert 0 < missing <= sum(sorted(cuts[i] for i in left_out)[-3:])
 
 
@@ -154,3 +162,20 @@ def test_repeats_of_an_id_are_one_row_of_the_curve(spark, monkeypatch):
     )
     train(spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS))
     assert 0 < seen[0] < 200
+
+
+def test_words_on_the_workers_have_a_bound_and_the_rest_is_joined(spark, monkeypatch):
+    docs, labels = sample(300)
+    docs += [(5000, "onan unheardof lower unheardof"), (5001, None)]
+    frames = spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS)
+
+    def measures(most):
+        monkeypatch.setattr("treewatt.llm.toxicity.frequent", lambda words: frequent(words, most))
+        model = train(*frames)
+        rows = model.measured(frames[0], ["doc_id"], "text").collect()
+        return len(model.known.value[0]), {r.keep.doc_id: (r.largest, r.mean) for r in rows}
+
+    some, all_, none = measures(40), measures(10**6), measures(0)
+    assert none[0] == 0 < some[0] <= 40 < all_[0]
+    assert none[1] == some[1] == all_[1] and len(all_[1]) == len(docs)
+    assert all_[1][5001] == (0.0, 0.0)

@@ -11,9 +11,13 @@ divided by the number of predictions. A document has two measures, the largest r
 words, so that one insult counts in a text of any length, and the mean ratio. A logistic
 curve over both, fitted on labelled rows that the counts leave out, gives the score.
 
-Every labelled row for training is counted but those of the curve's sample, and what is counted grows with the corpus. So do
-the tables that scoring needs: each gram and each context is an entry of its own, found by a
-hash of 64 bits, and takes 16 or 24 bytes on the driver and in each worker. The curve is fitted on at most
+Every labelled row for training is counted but those of the curve's sample, and what is counted
+grows with the corpus, as tables that only shuffle joins read: probabilities go up the orders by
+joins of grams with their counts, their contexts and the probabilities of the order below. Each
+distinct word gets its ratio once. The most frequent words, ``HOT_WORDS`` at most, are sent to
+the workers with their ratios; what a text has besides is joined with the ratios of its own, so
+that nothing on the driver or in a worker grows with the corpus. Ratios are whole multiples of
+2^-32, so sums do not depend on the order of rows. The curve is fitted on at most
 ``CALIBRATION_ROWS`` labelled ids, taken by the hash of the id; one that repeats is one row of
 mean measures.
 
@@ -26,7 +30,6 @@ gives an empty result; extra columns are ignored, or kept by the filter.
 
 from __future__ import annotations
 
-import math
 import re
 import uuid
 from collections import Counter
@@ -34,11 +37,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from treewatt.functions.tables import sized
-from treewatt.llm.common import Scratch, held_in_worker, kept_with_text, let_go_in_worker
+from treewatt.llm.common import Scratch, held_in_worker, let_go_in_worker
 
 ORDER = 5  # characters of the longest grams
 SHARED = 3  # grams up to this length are shared by the classes
@@ -52,7 +56,9 @@ CALIBRATION_ROWS = 20_000
 DEFAULT_CURVE = (-4.0, 2.0, 0.0)
 THRESHOLD = 0.3
 LABEL_ROWS = 1_000_000  # up to here labels are broadcast
-KNOWN = 200_000
+HOT_WORDS = 200_000  # words at most whose ratios are sent to all workers
+STEPS = 8  # steps of the counts of words for each doubling
+UNITS = 2.0**32  # a ratio is a whole number of such parts
 ROWS = 250  # texts that are cut into words at once
 COUNTED_ROWS = 2_500  # texts whose words are counted together before the shuffle
 
@@ -88,25 +94,34 @@ def _present(name: str) -> Column:
     return F.sum((F.col(name) > 0).cast("bigint")).alias(name)
 
 
-def gram_tables(labelled: DataFrame, scratch: Scratch) -> dict[int, DataFrame]:
-    """(gram, toxic, ordinary) for each order of labelled rows (text, label 1 or 0).
-
-    Words are counted first, each batch for itself and then all; only distinct words are
-    cut into grams. Below the longest order the sums are numbers of different characters
-    before the gram, in the class, or for shared orders in both together.
-    """
+def counted_words(labelled: DataFrame) -> DataFrame:
+    """(word, toxic, ordinary) of labelled rows (text, label 1 or 0): each batch is counted for
+    itself and then all."""
     counted = labelled.mapInArrow(_word_counts, "word string, toxic bigint, ordinary bigint")
-    words = counted.groupBy("word").agg(*[F.sum(c).alias(c) for c in SUMS])
+    return counted.groupBy("word").agg(*[F.sum(c).alias(c) for c in SUMS])
+
+
+def grams_of(words: DataFrame) -> DataFrame:
+    """The longest grams of each word, one for each prediction, before its other columns."""
     padded = F.concat(F.lit(BEGIN * (ORDER - 1)), F.col("word"), F.lit(FINISH))
-    grams = words.select(
+    return words.select(
         F.explode(
             F.transform(
                 F.sequence(F.lit(1), F.length("word") + 1),
                 lambda i: F.substring(padded, i, ORDER),
             )
         ).alias("gram"),
-        *SUMS,
+        *words.columns,
     )
+
+
+def gram_tables(words: DataFrame, scratch: Scratch) -> dict[int, DataFrame]:
+    """(gram, toxic, ordinary) for each order, from counted words.
+
+    Below the longest order the sums are numbers of different characters before the gram, in the
+    class, or for shared orders in both together.
+    """
+    grams = grams_of(words)
     tables = {
         ORDER: scratch.write(
             grams.groupBy("gram").agg(*[F.sum(c).alias(c) for c in SUMS]), f"grams-{ORDER}"
@@ -123,148 +138,161 @@ def gram_tables(labelled: DataFrame, scratch: Scratch) -> dict[int, DataFrame]:
     return tables
 
 
-def gram_hashes(points: np.ndarray) -> np.ndarray:
-    """64-bit hash of each row of code points."""
-    out = np.zeros(len(points), np.uint64)
-    for column in range(points.shape[1]):
-        out = (out + points[:, column].astype(np.uint64) + np.uint64(1)) * np.uint64(
-            0x9E3779B97F4A7C15
+def context_tables(tables: dict[int, DataFrame], scratch: Scratch) -> dict[int, DataFrame]:
+    """(context, totals and kinds of what follows it) for each order of grams."""
+    out = {}
+    for order, table in tables.items():
+        totals = [F.sum(c).alias(f"{c}_total") for c in SUMS]
+        kinds = [F.sum((F.col(c) > 0).cast("bigint")).alias(f"{c}_kinds") for c in SUMS]
+        context = F.substring("gram", 1, order - 1).alias("context")
+        out[order] = scratch.write(
+            table.groupBy(context).agg(*totals, *kinds), f"contexts-{order}"
         )
-        out ^= out >> np.uint64(29)
-    return out * np.uint64(0xBF58476D1CE4E5B9)
+    return out
 
 
-def _hashed(order: int, cut: int):
-    """Hash of each gram, or with cut 1 of its context, before its columns."""
+# -- scoring ----------------------------------------------------------------------
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data = "".join(batch.column(0).to_pylist()).encode("utf-32-le")
-            points = np.frombuffer(data, "<u4").reshape(-1, order)[:, : order - cut]
-            hashes = pa.array(gram_hashes(points).view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [hashes, *batch.columns[1:]], ["hash", *batch.schema.names[1:]]
-            )
 
-    return run
+def _mixed(name: str, order: int) -> Column:
+    """Probability of a gram's last character in one class, by that of the order below."""
+    own = name if order > SHARED else SUMS[0]
+    below = F.lit(UNIFORM) if order == 1 else F.col(f"{name}_below")
+    total = F.col(f"{own}_total")
+    count = F.greatest(F.coalesce(F.col(own), F.lit(0)) - F.lit(DISCOUNT), F.lit(0.0))
+    mixed = count / total + F.lit(DISCOUNT) * F.col(f"{own}_kinds") / total * below
+    return F.when(total > 0, F.least(mixed, F.lit(1.0))).otherwise(below).alias(f"{name}_p")
 
 
-Table = tuple[np.ndarray, np.ndarray]
+class Grams:
+    """The counts of a corpus, and the ratios that follow from them.
 
+    No key of its joins is hot: a gram has one row, and a context or an ending as many as there
+    are characters to go with it.
+    """
 
-def bucket_tables(tables: dict[int, DataFrame]) -> dict[tuple[str, int], Table]:
-    """Ascending hashes with counts: (2, n) sums of grams, (4, n) sums and kinds of contexts."""
-    out = {}
-    schema = "hash bigint, toxic bigint, ordinary bigint"
-    for order, table in tables.items():
-        kinds = [(F.col(c) > 0).cast("bigint").alias(f"{c}_kinds") for c in SUMS]
-        wide = table.select("gram", *SUMS, *kinds)
-        for kind, cut in (("gram", 0), ("context", 1)):
-            frame = (wide if cut else table).mapInArrow(
-                _hashed(order, cut),
-                schema + (", toxic_kinds bigint, ordinary_kinds bigint" if cut else ""),
+    def __init__(self, words: DataFrame, scratch: Scratch):
+        self.scratch = scratch
+        self.tables = gram_tables(words, scratch)
+        self.contexts = context_tables(self.tables, scratch)
+
+    def probabilities(self, asked: DataFrame, order: int = ORDER) -> DataFrame:
+        """(gram, toxic_p, ordinary_p) of distinct grams."""
+        rows = asked.withColumn("context", F.substring("gram", 1, order - 1))
+        rows = rows.join(self.tables[order], "gram", "left")
+        rows = rows.join(self.contexts[order], "context", "left")
+        if order > 1:
+            ending = F.substring("gram", 2, order - 1)
+            shorter = asked.select(ending.alias("gram")).distinct()
+            below = self.probabilities(shorter, order - 1).select(
+                F.col("gram").alias("ending"), *[F.col(f"{c}_p").alias(f"{c}_below") for c in SUMS]
             )
-            names = frame.columns[1:]
-            rows = frame.groupBy("hash").agg(*[F.sum(c).alias(c) for c in names]).toArrow()
-            hashes = rows.column("hash").to_numpy().view(np.uint64)
-            ascending = np.argsort(hashes)
-            counts = np.empty((len(names), len(hashes)), np.float32)
-            for i, name in enumerate(names):
-                counts[i] = rows.column(name).to_numpy()[ascending]
-            out[kind, order] = hashes[ascending], counts
+            rows = rows.withColumn("ending", ending).join(below, "ending")
+        return rows.select("gram", *[_mixed(c, order) for c in SUMS])
+
+    def ratios(self, words: DataFrame) -> DataFrame:
+        """(word, ratio) of distinct words: the length-normalised log-likelihood ratio, in units."""
+        grams = grams_of(words.select("word"))
+        asked = self.scratch.write(grams.select("gram").distinct(), f"asked-{uuid.uuid4().hex}")
+        toxic, ordinary = (F.log(F.col(f"{c}_p")) for c in SUMS)
+        moved = self.probabilities(asked).select(
+            "gram", F.round((toxic - ordinary) * UNITS).cast("bigint").alias("units")
+        )
+        mean = F.round(F.sum("units") / F.count("*")).cast("bigint")
+        return grams.join(moved, "gram").groupBy("word").agg(mean.alias("ratio"))
+
+
+def frequent(words: DataFrame, most: int = HOT_WORDS) -> DataFrame:
+    """The words above the lowest step of counts that leaves ``most`` at most."""
+    step = F.floor(F.log2(F.col("toxic") + F.col("ordinary")) * STEPS)
+    sizes = dict(words.groupBy(step).count().collect())
+    lowest, left = None, most
+    for value in sorted(sizes, reverse=True):
+        left -= sizes[value]
+        if left < 0:
+            break
+        lowest = value
+    return words.where(step >= lowest) if lowest is not None else words.limit(0)
+
+
+_PARTS = (
+    T.StructType()
+    .add("count", "long")
+    .add("largest", "long")
+    .add("total", "long")
+    .add("words", T.ArrayType(T.StringType()))
+    .add("times", T.ArrayType(T.LongType()))
+)
+
+
+def _by_known(known: dict[str, int], texts: list[str | None]) -> list[tuple]:
+    """For each text the number of words, the largest ratio and the sum of those that are known,
+    and the other words with their numbers."""
+    out = []
+    for text in texts:
+        words = pieces_of(text)
+        ratios, rest = list(map(known.get, words)), {}
+        if None in ratios:
+            rest = Counter(w for w, r in zip(words, ratios, strict=True) if r is None)
+            ratios = [r for r in ratios if r is not None]
+        largest = max(ratios) if ratios else None
+        out.append((len(words), largest, sum(ratios), list(rest), list(rest.values())))
     return out
 
 
-def looked_up(table: Table, hashes: np.ndarray) -> np.ndarray:
-    """The counts of each hash, 0 where it has no entry."""
-    known, counts = table
-    if len(known) == 0:
-        return np.zeros((len(counts), len(hashes)))
-    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-    return counts[:, at].astype(np.float64) * (known[at] == hashes)
-
-
-# -- scoring ----------------------------------------------------------------------
-
-
-class Ratios:
-    """Length-normalised log-likelihood ratio of words."""
-
-    def __init__(self, tables: dict[tuple[str, int], Table]):
-        self.tables = tables
-        self.known: dict[str, float] = {}
-
-    def _probability(self, points: np.ndarray, number: int) -> np.ndarray:
-        """Of the last character of each row of code points, by class."""
-        out = np.full(len(points), UNIFORM)
-        for order in range(1, ORDER + 1):
-            own = number if order > SHARED else 0
-            grams = points[:, ORDER - order :]
-            count = looked_up(self.tables["gram", order], gram_hashes(grams))[own]
-            context = looked_up(self.tables["context", order], gram_hashes(grams[:, :-1]))
-            total, kinds = context[own], context[own + 2]
-            seen = total > 0
-            total[~seen] = 1
-            mixed = np.maximum(count - DISCOUNT, 0) / total + DISCOUNT * kinds / total * out
-            out = np.where(seen, np.minimum(mixed, 1.0), out)
-        return out
-
-    def _learn(self, words: list[str]) -> None:
-        for at in range(0, len(words), 20_000):
-            part = words[at : at + 20_000]
-            padded = [BEGIN * (ORDER - 1) + w + FINISH for w in part]
-            data = "".join(padded).encode("utf-32-le")
-            windows = np.lib.stride_tricks.sliding_window_view(np.frombuffer(data, "<u4"), ORDER)
-            sizes = np.array([len(w) for w in part]) + 1
-            ends = np.cumsum(sizes + ORDER - 1)
-            first = np.repeat(ends - sizes - ORDER + 1, sizes)
-            inside = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            points = windows[first + inside]
-            ratio = np.log(self._probability(points, 0)) - np.log(self._probability(points, 1))
-            sums = np.add.reduceat(ratio, np.cumsum(sizes) - sizes)
-            self.known.update(zip(part, (sums / sizes).tolist(), strict=True))
-
-    def measures(self, texts: list[str | None]) -> list[tuple[float, float]]:
-        """Largest and mean ratio of the words of each text."""
-        split = [pieces_of(text) for text in texts]
-        if len(self.known) > KNOWN:
-            self.known = {}
-        self._learn(list({w for words in split for w in words}.difference(self.known)))
-        out = []
-        for words in split:
-            ratios = list(map(self.known.__getitem__, words))
-            out.append((max(ratios), math.fsum(ratios) / len(ratios)) if ratios else (0.0, 0.0))
-        return out
-
-
 class Model:
-    """A fitted model: tables on the workers, and the curve."""
-
-    def __init__(self, spark, tables: dict[tuple[str, int], Table]):
-        self.key = uuid.uuid4().hex
-        self.tables = spark.sparkContext.broadcast(tables)
+    """A fitted model: counts in tables, ratios of frequent words on the workers, the curve."""
+
+    def __init__(self, spark: SparkSession, words: DataFrame, scratch: Scratch):
+        self.key, self.scratch = uuid.uuid4().hex, scratch
+        self.grams = Grams(words, scratch)
+        found = self.grams.ratios(frequent(words)).toArrow()  # at most HOT_WORDS rows
+        self.known = spark.sparkContext.broadcast(
+            (found.column("word").to_pylist(), found.column("ratio").to_pylist())
+        )
         self.curve = DEFAULT_CURVE
 
     def measured(self, docs: DataFrame, keep: list[Column | str], text_col: str) -> DataFrame:
         """(keep, largest, mean) per row; keep is a struct of the columns given."""
-        key, tables = self.key, self.tables
-        kept, texts_of = kept_with_text(docs, keep, text_col)
+        key, known, scratch = self.key, self.known, self.scratch
+        kept = docs.select(F.struct(*keep).alias("keep"), F.col(text_col).alias("body"))
+        schema = kept.select("keep").schema
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64())]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                ratios = held_in_worker(("ratios", key), lambda: Ratios(tables.value))
-                rows: list[tuple[float, float]] = []
-                texts = texts_of(batch)
-                for at in range(0, batch.num_rows, ROWS):
-                    rows += ratios.measures(texts.slice(at, ROWS).to_pylist())
-                columns = zip(*rows, strict=True) if rows else [(), ()]
-                arrays = [pa.array(c, pa.float64()) for c in columns]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), *arrays], ["keep", "largest", "mean"]
+                ratios = held_in_worker(
+                    ("ratios", key), lambda: dict(zip(*known.value, strict=True))
                 )
-
-        measures = {c: F.lit(0.0) for c in ("largest", "mean")}
-        return kept.mapInArrow(run, kept.select("keep").withColumns(measures).schema)
+                for at in range(0, batch.num_rows, ROWS):
+                    part = batch.slice(at, ROWS)
+                    columns = zip(*_by_known(ratios, part.column(1).to_pylist()), strict=True)
+                    arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
+                    names = ["keep", "count", "largest", "total", "words", "times"]
+                    yield pa.RecordBatch.from_arrays([part.column(0), *arrays], names)
+
+        for field in _PARTS.fields:
+            schema = schema.add(field)
+        name = uuid.uuid4().hex
+        rows = kept.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id())
+        rows = scratch.write(rows, f"parts-{name}")
+        rest = rows.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select(
+            "row", F.col("w.words").alias("word"), F.col("w.times").alias("times")
+        )
+        ratios = self.grams.ratios(rest.select("word").distinct())
+        others = rest.join(ratios, "word").groupBy("row").agg(
+            F.max("ratio").alias("_largest"), F.sum(F.col("ratio") * F.col("times")).alias("_total")
+        )
+        # greatest() passes over nulls; a text without a word has neither.
+        largest = F.coalesce(F.greatest("largest", "_largest"), F.lit(0)) / UNITS
+        total = F.col("total") + F.coalesce("_total", F.lit(0))
+        mean = F.when(F.col("count") > 0, total / UNITS / F.col("count")).otherwise(0.0)
+        measures = rows.join(others, "row", "left").select(
+            "keep", largest.alias("largest"), mean.alias("mean")
+        )
+        out = scratch.write(measures, f"measures-{name}")
+        scratch.drop(f"parts-{name}")
+        return out
 
     def score(self) -> Column:
         start, largest, mean = map(F.lit, self.curve)
@@ -329,7 +357,8 @@ def train(
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     counted = known.join(sized(sample.select("_id"), calibration_rows, LABEL_ROWS), "_id", "left_anti")
     counted = texts.join(sized(counted, known.count(), LABEL_ROWS), "_id")
-    model = Model(spark, bucket_tables(gram_tables(counted.select("_text", "_label"), scratch)))
+    words = scratch.write(counted_words(counted.select("_text", "_label")), "words")
+    model = Model(spark, words, scratch)
     sample = texts.join(sized(sample, calibration_rows, LABEL_ROWS), "_id")
     rows = (
         model.measured(sample, ["_id", "_label"], "_text")
@@ -347,8 +376,12 @@ def drop_toxic(
 ) -> DataFrame:
     """docs with all their columns, without the rows whose score reaches the threshold."""
     model = train(docs, labels, text_col=text_col, **options)
-    scored = model.measured(docs, ["*"], text_col)
-    return scored.where(model.score() < threshold).select("keep.*")
+    digest = F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
+    scored = model.measured(docs, [digest.alias("digest")], text_col)
+    name = "_digest_" + uuid.uuid4().hex  # no column of docs
+    toxic = scored.where(model.score() >= threshold).select(F.col("keep.digest").alias(name))
+    toxic = model.scratch.write(toxic.distinct(), "toxic")
+    return docs.join(sized(toxic, toxic.count(), LABEL_ROWS), digest == F.col(name), "left_anti")
 
 
 def op7_toxicity(spark, sf_dir: str) -> DataFrame:
