@@ -164,16 +164,16 @@ def test_repeats_of_an_id_are_one_row_of_the_curve(spark, monkeypatch):
     assert 0 < seen[0] < 200
 
 
-def test_words_on_the_workers_have_a_bound_and_the_rest_is_joined(spark, monkeypatch):
+def test_grams_on_the_workers_have_a_bound_and_the_rest_is_joined(spark, monkeypatch):
     docs, labels = sample(300)
     docs += [(5000, "onan unheardof lower unheardof"), (5001, None)]
     frames = spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS)
 
     def measures(most):
-        monkeypatch.setattr("treewatt.llm.toxicity.frequent", lambda words: frequent(words, most))
+        monkeypatch.setattr("treewatt.llm.toxicity.frequent", lambda grams: frequent(grams, most))
         model = train(*frames)
         rows = model.measured(frames[0], ["doc_id"], "text").collect()
-        return len(model.known.value[0]), {r.keep.doc_id: (r.largest, r.mean) for r in rows}
+        return len(model.hot.value[0]), {r.keep.doc_id: (r.largest, r.mean) for r in rows}
 
     some, all_, none = measures(40), measures(10**6), measures(0)
     assert none[0] == 0 < some[0] <= 40 < all_[0]

@@ -13,11 +13,11 @@ curve over both, fitted on labelled rows that the counts leave out, gives the sc
 
 Every labelled row for training is counted but those of the curve's sample, and what is counted
 grows with the corpus, as tables that only shuffle joins read: probabilities go up the orders by
-joins of grams with their counts, their contexts and the probabilities of the order below. Each
-distinct word gets its ratio once. The most frequent words, ``HOT_WORDS`` at most, are sent to
-the workers with their ratios; what a text has besides is joined with the ratios of its own, so
-that nothing on the driver or in a worker grows with the corpus. Ratios are whole multiples of
-2^-32, so sums do not depend on the order of rows. The curve is fitted on at most
+joins of grams with their counts, their contexts and the probabilities of the order below. The
+most frequent grams, ``HOT_GRAMS`` at most, are sent to the workers with their log-likelihood
+ratios; a word that has another gram as well gets its ratio by joins, once, and the texts that
+hold it by a join with that. So nothing on the driver or in a worker grows with the corpus.
+Ratios are whole multiples of 2^-32, so sums do not depend on the order of rows. The curve is fitted on at most
 ``CALIBRATION_ROWS`` labelled ids, taken by the hash of the id; one that repeats is one row of
 mean measures.
 
@@ -30,6 +30,7 @@ gives an empty result; extra columns are ignored, or kept by the filter.
 
 from __future__ import annotations
 
+import math
 import re
 import uuid
 from collections import Counter
@@ -56,8 +57,9 @@ CALIBRATION_ROWS = 20_000
 DEFAULT_CURVE = (-4.0, 2.0, 0.0)
 THRESHOLD = 0.3
 LABEL_ROWS = 1_000_000  # up to here labels are broadcast
-HOT_WORDS = 200_000  # words at most whose ratios are sent to all workers
-STEPS = 8  # steps of the counts of words for each doubling
+HOT_GRAMS = 300_000  # grams at most whose ratios are sent to all workers
+STEPS = 8  # steps of the counts of grams for each doubling
+KNOWN = 200_000  # words that a worker remembers
 UNITS = 2.0**32  # a ratio is a whole number of such parts
 ROWS = 250  # texts that are cut into words at once
 COUNTED_ROWS = 2_500  # texts whose words are counted together before the shuffle
@@ -190,29 +192,62 @@ class Grams:
             rows = rows.withColumn("ending", ending).join(below, "ending")
         return rows.select("gram", *[_mixed(c, order) for c in SUMS])
 
+    def units(self, asked: DataFrame) -> DataFrame:
+        """(gram, units): the log-likelihood ratio of distinct longest grams."""
+        toxic, ordinary = (F.log(F.col(f"{c}_p")) for c in SUMS)
+        units = F.round((toxic - ordinary) * UNITS).cast("bigint")
+        return self.probabilities(asked).select("gram", units.alias("units"))
+
     def ratios(self, words: DataFrame) -> DataFrame:
-        """(word, ratio) of distinct words: the length-normalised log-likelihood ratio, in units."""
+        """(word, ratio) of distinct words: the mean of the units of their grams."""
         grams = grams_of(words.select("word"))
         asked = self.scratch.write(grams.select("gram").distinct(), f"asked-{uuid.uuid4().hex}")
-        toxic, ordinary = (F.log(F.col(f"{c}_p")) for c in SUMS)
-        moved = self.probabilities(asked).select(
-            "gram", F.round((toxic - ordinary) * UNITS).cast("bigint").alias("units")
-        )
-        mean = F.round(F.sum("units") / F.count("*")).cast("bigint")
-        return grams.join(moved, "gram").groupBy("word").agg(mean.alias("ratio"))
+        mean = F.floor(F.sum("units") / F.count("*") + 0.5)  # as in Ratios
+        return grams.join(self.units(asked), "gram").groupBy("word").agg(mean.alias("ratio"))
 
 
-def frequent(words: DataFrame, most: int = HOT_WORDS) -> DataFrame:
-    """The words above the lowest step of counts that leaves ``most`` at most."""
+def frequent(grams: DataFrame, most: int = HOT_GRAMS) -> DataFrame:
+    """The grams above the lowest step of counts that leaves ``most`` at most."""
     step = F.floor(F.log2(F.col("toxic") + F.col("ordinary")) * STEPS)
-    sizes = dict(words.groupBy(step).count().collect())
+    sizes = dict(grams.groupBy(step).count().collect())
     lowest, left = None, most
     for value in sorted(sizes, reverse=True):
         left -= sizes[value]
         if left < 0:
             break
         lowest = value
-    return words.where(step >= lowest) if lowest is not None else words.limit(0)
+    return (grams.limit(0) if lowest is None else grams.where(step >= lowest)).select("gram")
+
+
+class Ratios:
+    """Ratios of the words whose grams are all among the frequent ones."""
+
+    def __init__(self, grams: list[str], units: list[int]):
+        self.units = dict(zip(grams, units, strict=True))
+        self.known: dict[str, int | None] = {}
+
+    def _ratio(self, word: str) -> int | None:
+        padded, count = BEGIN * (ORDER - 1) + word + FINISH, len(word) + 1
+        units = [self.units.get(padded[i : i + ORDER]) for i in range(count)]
+        return None if None in units else math.floor(sum(units) / count + 0.5)
+
+    def parts(self, texts: list[str | None]) -> list[tuple]:
+        """For each text the number of words, the largest ratio and the sum of those found here,
+        and the other words with their numbers."""
+        split = [pieces_of(text) for text in texts]
+        if len(self.known) > KNOWN:
+            self.known = {}
+        for word in {w for words in split for w in words}.difference(self.known):
+            self.known[word] = self._ratio(word)
+        out = []
+        for words in split:
+            ratios, rest = list(map(self.known.__getitem__, words)), {}
+            if None in ratios:
+                rest = Counter(w for w, r in zip(words, ratios, strict=True) if r is None)
+                ratios = [r for r in ratios if r is not None]
+            largest = max(ratios) if ratios else None
+            out.append((len(words), largest, sum(ratios), list(rest), list(rest.values())))
+        return out
 
 
 _PARTS = (
@@ -225,48 +260,32 @@ _PARTS = (
 )
 
 
-def _by_known(known: dict[str, int], texts: list[str | None]) -> list[tuple]:
-    """For each text the number of words, the largest ratio and the sum of those that are known,
-    and the other words with their numbers."""
-    out = []
-    for text in texts:
-        words = pieces_of(text)
-        ratios, rest = list(map(known.get, words)), {}
-        if None in ratios:
-            rest = Counter(w for w, r in zip(words, ratios, strict=True) if r is None)
-            ratios = [r for r in ratios if r is not None]
-        largest = max(ratios) if ratios else None
-        out.append((len(words), largest, sum(ratios), list(rest), list(rest.values())))
-    return out
-
-
 class Model:
-    """A fitted model: counts in tables, ratios of frequent words on the workers, the curve."""
+    """A fitted model: counts in tables, ratios of frequent grams on the workers, the curve."""
 
     def __init__(self, spark: SparkSession, words: DataFrame, scratch: Scratch):
         self.key, self.scratch = uuid.uuid4().hex, scratch
         self.grams = Grams(words, scratch)
-        found = self.grams.ratios(frequent(words)).toArrow()  # at most HOT_WORDS rows
-        self.known = spark.sparkContext.broadcast(
-            (found.column("word").to_pylist(), found.column("ratio").to_pylist())
+        hot = scratch.write(frequent(self.grams.tables[ORDER]), "frequent")
+        found = self.grams.units(hot).toArrow()  # at most HOT_GRAMS rows
+        self.hot = spark.sparkContext.broadcast(
+            (found.column("gram").to_pylist(), found.column("units").to_pylist())
         )
         self.curve = DEFAULT_CURVE
 
     def measured(self, docs: DataFrame, keep: list[Column | str], text_col: str) -> DataFrame:
         """(keep, largest, mean) per row; keep is a struct of the columns given."""
-        key, known, scratch = self.key, self.known, self.scratch
+        key, hot, scratch = self.key, self.hot, self.scratch
         kept = docs.select(F.struct(*keep).alias("keep"), F.col(text_col).alias("body"))
         schema = kept.select("keep").schema
         types = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64())]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                ratios = held_in_worker(
-                    ("ratios", key), lambda: dict(zip(*known.value, strict=True))
-                )
+                ratios = held_in_worker(("ratios", key), lambda: Ratios(*hot.value))
                 for at in range(0, batch.num_rows, ROWS):
                     part = batch.slice(at, ROWS)
-                    columns = zip(*_by_known(ratios, part.column(1).to_pylist()), strict=True)
+                    columns = zip(*ratios.parts(part.column(1).to_pylist()), strict=True)
                     arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
                     names = ["keep", "count", "largest", "total", "words", "times"]
                     yield pa.RecordBatch.from_arrays([part.column(0), *arrays], names)
@@ -279,10 +298,13 @@ class Model:
         rest = rows.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select(
             "row", F.col("w.words").alias("word"), F.col("w.times").alias("times")
         )
-        ratios = self.grams.ratios(rest.select("word").distinct())
-        others = rest.join(ratios, "word").groupBy("row").agg(
-            F.max("ratio").alias("_largest"), F.sum(F.col("ratio") * F.col("times")).alias("_total")
-        )
+        others = rows.select("row", F.lit(0).alias("_largest"), F.lit(0).alias("_total")).limit(0)
+        if not rest.isEmpty():
+            ratios = self.grams.ratios(rest.select("word").distinct())
+            others = rest.join(ratios, "word").groupBy("row").agg(
+                F.max("ratio").alias("_largest"),
+                F.sum(F.col("ratio") * F.col("times")).alias("_total"),
+            )
         # greatest() passes over nulls; a text without a word has neither.
         largest = F.coalesce(F.greatest("largest", "_largest"), F.lit(0)) / UNITS
         total = F.col("total") + F.coalesce("_total", F.lit(0))
@@ -357,8 +379,7 @@ def train(
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     counted = known.join(sized(sample.select("_id"), calibration_rows, LABEL_ROWS), "_id", "left_anti")
     counted = texts.join(sized(counted, known.count(), LABEL_ROWS), "_id")
-    words = scratch.write(counted_words(counted.select("_text", "_label")), "words")
-    model = Model(spark, words, scratch)
+    model = Model(spark, counted_words(counted.select("_text", "_label")), scratch)
     sample = texts.join(sized(sample, calibration_rows, LABEL_ROWS), "_id")
     rows = (
         model.measured(sample, ["_id", "_label"], "_text")
