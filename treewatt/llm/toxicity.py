@@ -179,14 +179,20 @@ class Grams:
         self.contexts = context_tables(self.tables, scratch)
 
     def probabilities(self, asked: DataFrame, order: int = ORDER) -> DataFrame:
-        """(gram, toxic_p, ordinary_p) of distinct grams."""
+        """(gram, toxic_p, ordinary_p) of distinct grams; orders are written one by one, so that
+        no plan holds the joins of more than two."""
         rows = asked.withColumn("context", F.substring("gram", 1, order - 1))
         rows = rows.join(self.tables[order], "gram", "left")
         rows = rows.join(self.contexts[order], "context", "left")
         if order > 1:
-            ending = F.substring("gram", 2, order - 1)
+            ending, name = F.substring("gram", 2, order - 1), uuid.uuid4().hex
             shorter = asked.select(ending.alias("gram")).distinct()
-            below = self.probabilities(shorter, order - 1).select(
+            if order > 2:
+                shorter = self.scratch.write(shorter, f"shorter-{name}")
+            below = self.probabilities(shorter, order - 1)
+            if order > 2:
+                below = self.scratch.write(below, f"below-{name}")
+            below = below.select(
                 F.col("gram").alias("ending"), *[F.col(f"{c}_p").alias(f"{c}_below") for c in SUMS]
             )
             rows = rows.withColumn("ending", ending).join(below, "ending")
