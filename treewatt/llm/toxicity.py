@@ -12,8 +12,9 @@ words, so that one insult counts in a text of any length, and the mean ratio. A
 curve over both, fitted on labelled rows that the counts leave out, gives the score.
 
 Every labelled row for training is counted but those of the curve's sample, and what is counted
-grows with the corpus, as tables that only shuffle joins read: probabilities go up the orders by
-joins of grams with their counts, their contexts and the probabilities of the order below. The
+grows with the corpus, as tables that joins read: the probabilities of all counted grams go up
+the orders once, by joins with their contexts and with the order below, and a gram that was never
+counted takes what its contexts leave to the order below, by joins with these tables. The
 most frequent grams, ``HOT_GRAMS`` at most, are sent to the workers with their log-likelihood
 ratios; a word that has another gram as well gets its ratio by joins, once, and the texts that
 hold it by a join with that. So nothing on the driver or in a worker grows with the corpus.
@@ -140,76 +141,98 @@ def gram_tables(words: DataFrame, scratch: Scratch) -> dict[int, DataFrame]:
     return tables
 
 
-def context_tables(tables: dict[int, DataFrame], scratch: Scratch) -> dict[int, DataFrame]:
-    """(context, totals and kinds of what follows it) for each order of grams."""
-    out = {}
-    for order, table in tables.items():
-        totals = [F.sum(c).alias(f"{c}_total") for c in SUMS]
-        kinds = [F.sum((F.col(c) > 0).cast("bigint")).alias(f"{c}_kinds") for c in SUMS]
-        context = F.substring("gram", 1, order - 1).alias("context")
-        out[order] = scratch.write(
-            table.groupBy(context).agg(*totals, *kinds), f"contexts-{order}"
-        )
-    return out
+def contexts_of(table: DataFrame, order: int) -> DataFrame:
+    """(context, totals and kinds of what follows it) of the grams of an order."""
+    totals = [F.sum(c).alias(f"{c}_total") for c in SUMS]
+    kinds = [F.sum((F.col(c) > 0).cast("bigint")).alias(f"{c}_kinds") for c in SUMS]
+    context = F.substring("gram", 1, order - 1).alias("context")
+    return table.groupBy(context).agg(*totals, *kinds)
 
 
 # -- scoring ----------------------------------------------------------------------
 
 
-def _mixed(name: str, order: int) -> Column:
+def _mixed(name: str, order: int, count: Column) -> Column:
     """Probability of a gram's last character in one class, by that of the order below."""
     own = name if order > SHARED else SUMS[0]
-    below = F.lit(UNIFORM) if order == 1 else F.col(f"{name}_below")
-    total = F.col(f"{own}_total")
-    count = F.greatest(F.coalesce(F.col(own), F.lit(0)) - F.lit(DISCOUNT), F.lit(0.0))
-    mixed = count / total + F.lit(DISCOUNT) * F.col(f"{own}_kinds") / total * below
-    return F.when(total > 0, F.least(mixed, F.lit(1.0))).otherwise(below).alias(f"{name}_p")
+    below, total = F.col(f"{name}_below"), F.col(f"{own}_total")
+    left = F.greatest(count - F.lit(DISCOUNT), F.lit(0.0))
+    mixed = left / total + F.lit(DISCOUNT) * F.col(f"{own}_kinds") / total * below
+    return F.when(total > 0, F.least(mixed, F.lit(1.0))).otherwise(below)
 
 
 class Grams:
-    """The counts of a corpus, and the ratios that follow from them.
+    """The counts of a corpus, and the probabilities and ratios that follow from them.
 
-    No key of its joins is hot: a gram has one row, and a context or an ending as many as there
-    are characters to go with it.
+    ``smoothed`` has the probabilities of all grams that were counted, order by order. Others
+    take what their contexts leave to the order below, by joins with the same tables. No key of
+    the joins with long grams is hot: a gram has one row, and a context or an ending as many as
+    there are characters to go with it. Tables whose keys are single characters have at most as
+    many rows as there are code points, and are broadcast.
     """
 
     def __init__(self, words: DataFrame, scratch: Scratch):
         self.scratch = scratch
         self.tables = gram_tables(words, scratch)
-        self.contexts = context_tables(self.tables, scratch)
-
-    def probabilities(self, asked: DataFrame, order: int = ORDER) -> DataFrame:
-        """(gram, toxic_p, ordinary_p) of distinct grams; orders are written one by one, so that
-        no plan holds the joins of more than two."""
-        rows = asked.withColumn("context", F.substring("gram", 1, order - 1))
-        rows = rows.join(self.tables[order], "gram", "left")
-        rows = rows.join(self.contexts[order], "context", "left")
-        if order > 1:
-            ending, name = F.substring("gram", 2, order - 1), uuid.uuid4().hex
-            shorter = asked.select(ending.alias("gram")).distinct()
-            if order > 2:
-                shorter = self.scratch.write(shorter, f"shorter-{name}")
-            below = self.probabilities(shorter, order - 1)
-            if order > 2:
-                below = self.scratch.write(below, f"below-{name}")
-            below = below.select(
+        self.contexts, self.smoothed = {}, {}
+        for order in range(1, ORDER + 1):
+            contexts = contexts_of(self.tables[order], order)
+            if order > SHARED:
+                contexts = scratch.write(contexts, f"contexts-{order}")
+            self.contexts[order] = F.broadcast(contexts) if order <= 2 else contexts
+            self.smoothed[order] = scratch.write(self._known(order), f"smoothed-{order}")
+        first = contexts_of(self.tables[1], 1).first()
+        self.unseen = UNIFORM  # probability of a character that was never seen
+        if first is not None:
+            self.unseen *= DISCOUNT * first.toxic_kinds / first.toxic_total
+
+    def _known(self, order: int) -> DataFrame:
+        """(gram, toxic, ordinary, toxic_p, ordinary_p) of the counted grams of an order."""
+        rows = self.tables[order].withColumn("context", F.substring("gram", 1, order - 1))
+        rows = rows.join(self.contexts[order], "context")
+        if order == 1:
+            rows = rows.withColumns({f"{c}_below": F.lit(UNIFORM) for c in SUMS})
+        else:
+            below = self.smoothed[order - 1].select(
                 F.col("gram").alias("ending"), *[F.col(f"{c}_p").alias(f"{c}_below") for c in SUMS]
             )
-            rows = rows.withColumn("ending", ending).join(below, "ending")
-        return rows.select("gram", *[_mixed(c, order) for c in SUMS])
-
-    def units(self, asked: DataFrame) -> DataFrame:
-        """(gram, units): the log-likelihood ratio of distinct longest grams."""
-        toxic, ordinary = (F.log(F.col(f"{c}_p")) for c in SUMS)
-        units = F.round((toxic - ordinary) * UNITS).cast("bigint")
-        return self.probabilities(asked).select("gram", units.alias("units"))
+            rows = rows.withColumn("ending", F.substring("gram", 2, order - 1))
+            rows = rows.join(below, "ending")
+        mixed = [
+            _mixed(c, order, F.col(c if order > SHARED else SUMS[0])).alias(f"{c}_p") for c in SUMS
+        ]
+        return rows.select("gram", *SUMS, *mixed)
+
+    def probabilities(self, asked: DataFrame) -> DataFrame:
+        """(gram, toxic_p, ordinary_p) of distinct longest grams, counted or not."""
+        rows = asked.select("gram", *[F.lit(self.unseen).alias(f"{c}_below") for c in SUMS])
+        for order in range(1, ORDER + 1):
+            known = self.smoothed[order].select(F.col("gram").alias("known"), "toxic_p", "ordinary_p")
+            start = ORDER - order + 1
+            key = F.substring("gram", start, order)
+            known = F.broadcast(known) if order == 1 else known
+            rows = rows.join(known, key == F.col("known"), "left")
+            other = {c: F.col(f"{c}_below") for c in SUMS}
+            if order > 1:
+                context = F.substring("gram", start, order - 1)
+                rows = rows.join(self.contexts[order], context == F.col("context"), "left")
+                other = {c: _mixed(c, order, F.lit(0)) for c in SUMS}
+            found = [F.coalesce(f"{c}_p", other[c]).alias(f"{c}_below") for c in SUMS]
+            rows = rows.select("gram", *found)
+        return rows.select("gram", *[F.col(f"{c}_below").alias(f"{c}_p") for c in SUMS])
 
     def ratios(self, words: DataFrame) -> DataFrame:
         """(word, ratio) of distinct words: the mean of the units of their grams."""
         grams = grams_of(words.select("word"))
         asked = self.scratch.write(grams.select("gram").distinct(), f"asked-{uuid.uuid4().hex}")
+        found = self.probabilities(asked).select("gram", units().alias("units"))
         mean = F.floor(F.sum("units") / F.count("*") + 0.5)  # as in Ratios
-        return grams.join(self.units(asked), "gram").groupBy("word").agg(mean.alias("ratio"))
+        return grams.join(found, "gram").groupBy("word").agg(mean.alias("ratio"))
+
+
+def units() -> Column:
+    """The log-likelihood ratio of a gram, in whole units, from its two probabilities."""
+    return F.round((F.log("toxic_p") - F.log("ordinary_p")) * UNITS).cast("bigint")
 
 
 def frequent(grams: DataFrame, most: int = HOT_GRAMS) -> DataFrame:
@@ -222,14 +245,14 @@ def frequent(grams: DataFrame, most: int = HOT_GRAMS) -> DataFrame:
         if left < 0:
             break
         lowest = value
-    return (grams.limit(0) if lowest is None else grams.where(step >= lowest)).select("gram")
+    return grams.limit(0) if lowest is None else grams.where(step >= lowest)
 
 
 class Ratios:
     """Ratios of the words whose grams are all among the frequent ones."""
 
-    def __init__(self, grams: list[str], units: list[int]):
-        self.units = dict(zip(grams, units, strict=True))
+    def __init__(self, grams: pa.Array, units: pa.Array):
+        self.units = dict(zip(grams.to_pylist(), units.to_pylist(), strict=True))
         self.known: dict[str, int | None] = {}
 
     def _ratio(self, word: str) -> int | None:
@@ -272,10 +295,10 @@ class Model:
     def __init__(self, spark: SparkSession, words: DataFrame, scratch: Scratch):
         self.key, self.scratch = uuid.uuid4().hex, scratch
         self.grams = Grams(words, scratch)
-        hot = scratch.write(frequent(self.grams.tables[ORDER]), "frequent")
-        found = self.grams.units(hot).toArrow()  # at most HOT_GRAMS rows
+        hot = frequent(self.grams.smoothed[ORDER])
+        found = hot.select("gram", units().alias("units")).toArrow()  # at most HOT_GRAMS rows
         self.hot = spark.sparkContext.broadcast(
-            (found.column("gram").to_pylist(), found.column("units").to_pylist())
+            (found.column("gram").combine_chunks(), found.column("units").combine_chunks())
         )
         self.curve = DEFAULT_CURVE
 
@@ -307,6 +330,7 @@ class Model:
         others = rows.select("row", F.lit(0).alias("_largest"), F.lit(0).alias("_total")).limit(0)
         if not rest.isEmpty():
             ratios = self.grams.ratios(rest.select("word").distinct())
+            ratios = scratch.write(ratios, f"ratios-{name}")
             others = rest.join(ratios, "word").groupBy("row").agg(
                 F.max("ratio").alias("_largest"),
                 F.sum(F.col("ratio") * F.col("times")).alias("_total"),
