@@ -4,7 +4,13 @@ from helpers import at, readings
 from pyspark.sql import functions as F
 
 from treewatt import RollupConfig
-from treewatt.functions.running import Running, with_next, with_previous, with_running
+from treewatt.functions.running import (
+    Running,
+    hot_buckets,
+    with_next,
+    with_previous,
+    with_running,
+)
 from treewatt.operators.late import accepted_with_stream_time, drop_late, with_late_flag
 from treewatt.schemas import MEASUREMENT
 
@@ -38,6 +44,37 @@ def test_running_aggregates_across_chunks(spark):
         assert got[k, q] == expected
 
 
+def test_sparse_numbers_are_one_window_a_key(spark):
+    rows = [(k, i * 2**30 + ord(k), i) for k in "abc" for i in range(40)]
+    df = spark.createDataFrame(rows, "k string, q bigint, v bigint")
+    out = with_running(df, ["k"], "q", [Running("total", "sum", "v")])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
+    assert {(r.k, r.v, r.total) for r in out.collect()} == {
+        (k, i, i * (i + 1) // 2) for k, _, i in rows
+    }
+
+
+def test_chunks_are_as_wide_as_numbers_are_dense(spark):
+    # A null key and one with dense places among sparse ones are cut, the others are not.
+    far = [i * 2**30 for i in range(100)]
+    near = [50 * 2**30 + i for i in range(1, 100)]
+    rows = [(None, q, 1) for q in far] + [("a", q, 1) for q in far + near]
+    rows += [(k, 7, 1) for k in "bcdefg"]
+    df = spark.createDataFrame(rows, "k string, q bigint, v bigint")
+    found = {h.number: h.bits for h in hot_buckets(df, ["k"], "q", 4)}
+    assert len(found) == 2 and max(found.values()) > 25
+    wanted = [Running("n", "sum", "v"), Running("before", "max", "q", before=True)]
+    out = with_running(df, ["k"], "q", wanted, chunk_bits=(4,)).collect()
+    assert len(out) == len(rows)
+    for k, numbers in ((None, far), ("a", sorted(far + near)), ("b", [7])):
+        got = sorted((r.q, r.n, r.before) for r in out if r.k == k)
+        assert [(q, n) for q, n, _ in got] == [(q, i) for i, q in enumerate(numbers, 1)]
+        assert [b for *_, b in got] == [None, *numbers[:-1]]
+    alone = with_running(df.where("k = 'a'"), [], "q", wanted, chunk_bits=(4,)).collect()
+    assert max(r.n for r in alone) == 199 and {r.before for r in alone} >= set(far[:-1])
+
+
 def test_neighbours(spark):
     df = spark.createDataFrame(
         [("a", 1, "x"), ("a", 2**40, "y"), ("b", 5, "z")], "k string, q bigint, v string"

@@ -21,7 +21,6 @@ def with_stream_time(measurements: DataFrame, by: tuple[str, ...] = ()) -> DataF
         list(by),
         "arrival_seq",
         [Running("stream_time", "max", "event_time")],
-        chunk_bits=(20, 20),
     )
 
 
@@ -75,11 +74,11 @@ def with_release_time(
         newest.append(F.greatest(F.col(f"_clock_{number}"), carried))
     if not names:
         return measurements.withColumn("release_time", F.lit(None).cast("timestamp"))
-    scanned = with_running(write_table(rows, "sources"), [], "arrival_seq", wanted, chunk_bits=(20, 20))
+    scanned = with_running(write_table(rows, "sources"), [], "arrival_seq", wanted)
     least = F.least(*newest, F.lit(None).cast("timestamp")).alias("_least")
     kept = write_table(scanned.select(*measurements.columns, least), "least")
     timed = with_running(
-        kept, [], "arrival_seq", [Running("release_time", "max", "_least")], chunk_bits=(20, 20)
+        kept, [], "arrival_seq", [Running("release_time", "max", "_least")]
     )
     floor = F.timestamp_micros(F.lit(released).cast("bigint"))
     return timed.withColumn("release_time", F.greatest("release_time", floor)).drop("_least")

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from treewatt.config import RollupConfig
 from treewatt.functions.columns import result_columns, summable, window_end, window_length
-from treewatt.functions.running import Running, with_running
+from treewatt.functions.running import Running, hot_buckets, with_running
 from treewatt.functions.tables import sized, write_table
 from treewatt.operators.changelog import only_last_values, running_results
 from treewatt.operators.hierarchy import Hierarchy, build_hierarchy
@@ -110,10 +110,15 @@ class MemberState:
         return replace(changed, **keyed)
 
 
+def _nothing(spark: SparkSession, schema: str) -> DataFrame:
+    """A table that the optimiser knows to be empty, so that joins with it cost nothing."""
+    return spark.createDataFrame([], schema).limit(0)
+
+
 def no_state(spark: SparkSession) -> MemberState:
-    whole = {name: spark.createDataFrame([], schema) for name, schema in WHOLE_TABLES.items()}
+    whole = {name: _nothing(spark, schema) for name, schema in WHOLE_TABLES.items()}
     keyed = {
-        name: Carried(spark.createDataFrame([], schema), keys)
+        name: Carried(_nothing(spark, schema), keys)
         for name, (schema, keys) in KEYED_TABLES.items()
     }
     return MemberState(None, **whole, **keyed)
@@ -132,6 +137,12 @@ def _window_of(time: Column, cfg: RollupConfig) -> Column:
     return F.window(time, window_length(cfg))["start"]
 
 
+def _window_at(time: Column, cfg: RollupConfig) -> Column:
+    """As _window_of, but null for rows without a time, which that leaves out."""
+    micros = F.unix_micros(time)
+    return F.timestamp_micros(micros - F.pmod(micros, F.lit(cfg.emit_period_ms * 1000)))
+
+
 def follow_members(
     readings: DataFrame, changes: DataFrame, state: MemberState, cfg: RollupConfig
 ) -> tuple[DataFrame, MemberState]:
@@ -180,13 +191,17 @@ def follow_members(
             pairs.append(kept)
 
     def all_of(frames: list[DataFrame], name: str) -> DataFrame:
-        empty = readings.sparkSession.createDataFrame([], f"{KEYED_TABLES[name][0]}, removed boolean")
-        return write_table(reduce(DataFrame.unionByName, frames, empty), name)
+        """Read off written tables when asked for: stored input needs the groups at most."""
+        return reduce(
+            DataFrame.unionByName,
+            frames,
+            _nothing(readings.sparkSession, f"{KEYED_TABLES[name][0]}, removed boolean"),
+        )
 
     after = MemberState(
         clock,
-        write_table(_parents_after(changes, state.parents), "parents"),
-        write_table(_edges_after(changes, state.edges, clock, cfg), "edges"),
+        _parents_after(changes, state.parents),
+        _edges_after(changes, state.edges, clock, cfg),
         all_of([_last_of(last)], "last"),
         all_of(pairs, "pairs"),
         all_of(groups, "groups"),
@@ -319,12 +334,12 @@ class _Call:
         """What updates and changes of the nodes of a height make of their parents' sums, and
         what the children among them are worth to each parent afterwards."""
         if height in self.changing:
-            placed = self._placed_over_changes(updates, self._at(changes, "node", height), height)
+            placed = self._placed_over_changes(updates, self._at(changes, "node", height))
         else:
             parents = self._at(self.state.parents, "child", height).withColumnRenamed("child", "node")
             rows = self.tree.edge_rows
             placed = _for_parents(
-                updates.join(sized(parents, rows, self.cfg.broadcast_rows), "node"), "parents"
+                updates.join(sized(parents, rows, self.cfg.broadcast_rows), "node")
             )
         placed = placed.where(_open_until(self.cfg) > F.unix_micros("stream_time"))
         nothing = F.lit(None)
@@ -339,34 +354,39 @@ class _Call:
             nothing.cast("timestamp").alias("stream_time"),
             F.lit(False).alias("removal"),
         )
-        offers = write_table(placed.unionByName(carried), "offers")
+        offers = placed.unionByName(write_table(carried, "carried"))
         # Without a change so far nothing can have been removed.
         made, kept = _pair_deltas(offers, any(h <= height for h in self.changing))
         links = self._heights("parent").withColumnRenamed("height", "parent_height")
         return write_table(made.join(links, "parent"), "deltas"), kept
 
-    def _placed_over_changes(
-        self, updates: DataFrame, changes: DataFrame, height: int
-    ) -> DataFrame:
+    def _placed_over_changes(self, updates: DataFrame, changes: DataFrame) -> DataFrame:
         """Updates for the parents known at their arrival, and what changes move and remove.
 
         One scan along the arrivals of each node finds both the parents known to an update
-        and the update known to a change.
+        and the update known to a change. Results of one group may reach several windows at one
+        arrival: they share a place in that order, no change has it, and the newest is the last.
         """
-        # Results of one group may reach several windows at one arrival: the newest is its last.
-        one = updates.groupBy("node", "arrival_seq").agg(
-            F.max(F.struct(*_UPDATE)).alias("newest"), F.max("stream_time").alias("stream_time")
-        )
-        if height == 0:
-            one = updates.select("node", "arrival_seq", F.struct(*_UPDATE).alias("newest"), "stream_time")
-        asked = one.select("node").union(changes.select("node")).distinct()
+        asked = updates.select("node").union(changes.select("node")).distinct()
         parents = self.state.parents.withColumnRenamed("child", "node")
         later = (2 * F.col("arrival_seq") + 1).alias("order")
         before = F.lit(_BEFORE).cast("bigint").alias("order")
+        earlier = write_table(
+            parents.join(asked, "node", "left_semi")
+            .select("node", before, F.struct(before, "parents").alias("known"))
+            .unionByName(
+                self.state.last.of(changes).select(
+                    "node", (before + 1).alias("order"),
+                    F.struct((before + 1).alias("order"), *_UPDATE).alias("update"),
+                ),
+                allowMissingColumns=True,
+            ),
+            "earlier",
+        )
         frames = [
-            one.select(
+            updates.where("arrival_seq IS NOT NULL").select(
                 "node", later, "arrival_seq", "stream_time",
-                F.struct(later, "newest.*").alias("update"),
+                F.struct(later, *_UPDATE).alias("update"),
             ),
             changes.select(
                 "node", (2 * F.col("arrival_seq")).alias("order"), "arrival_seq", "stream_time",
@@ -376,50 +396,40 @@ class _Call:
                     F.array_except("old_parents", "parents").alias("left"),
                 ).alias("change"),
             ),
-            parents.join(asked, "node", "left_semi").select(
-                "node", before, F.struct(before, "parents").alias("known")
-            ),
-            self.state.last.of(changes).select(
-                "node", (before + 1).alias("order"),
-                F.struct((before + 1).alias("order"), *_UPDATE).alias("update"),
-            ),
+            earlier,
         ]
         history = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-        scanned = write_table(
-            with_running(
-                write_table(history, "history"),
-                ["node"],
-                "order",
-                [Running("version", "max", "known"), Running("recent", "max", "update", before=True)],
-            ),
-            "scanned",
-        )
-        met = scanned.where("update IS NOT NULL AND arrival_seq IS NOT NULL").select(
-            "node", "arrival_seq", F.col("version.parents").alias("parents")
-        )
-        placed = _for_parents(updates.join(met, ["node", "arrival_seq"]), "parents")
+        scanned = with_running(
+            history,
+            ["node"],
+            "order",
+            [Running("version", "max", "known"), Running("recent", "max", "update", before=True)],
+        ).where("arrival_seq IS NOT NULL")
 
+        changed = F.col("change").isNotNull()
         record_time = F.greatest("recent.event_time", "change.event_time")
-        moved = scanned.where("change IS NOT NULL").select(
-            "node",
-            _window_of(record_time, self.cfg).alias("window_start"),
-            "arrival_seq",
-            F.col("recent.payload_ts_ms").alias("payload_ts_ms"),
-            F.col("recent.units").alias("units"),
-            record_time.alias("event_time"),
-            "stream_time",
-            F.col("recent.gone").alias("recent_gone"),
-            F.col("change.parents").alias("parents"),
-            F.col("change.left").alias("left"),
-        )
-        again = _for_parents(
-            moved.where("NOT recent_gone").withColumn("gone", F.lit(False)), "parents", phase=0
-        )
-        placed = placed.unionByName(again)
-        if self.cfg.on_removal == "ignore":
-            return placed
-        return placed.unionByName(
-            _for_parents(moved.withColumn("gone", F.lit(True)), "left", phase=0)
+        moved_to = F.when(
+            ~F.col("recent.gone"), _targets(F.col("change.parents"), F.lit(False))
+        ).otherwise(_targets(F.array().cast("array<string>"), F.lit(False)))
+        if self.cfg.on_removal != "ignore":
+            moved_to = F.concat(moved_to, _targets(F.col("change.left"), F.lit(True)))
+        met = _targets(F.col("version.parents"), F.col("update.gone"))
+
+        def either(of_change: Column, of_update: str) -> Column:
+            return F.when(changed, of_change).otherwise(F.col(f"update.{of_update}"))
+
+        return _offers(
+            scanned.select(
+                "node",
+                either(_window_at(record_time, self.cfg), "window_start").alias("window_start"),
+                F.col("order"),
+                "arrival_seq",
+                either(F.col("recent.payload_ts_ms"), "payload_ts_ms").alias("payload_ts_ms"),
+                either(F.col("recent.units"), "units").alias("units"),
+                either(record_time, "event_time").alias("event_time"),
+                "stream_time",
+                F.explode(F.when(changed, moved_to).otherwise(met)).alias("target"),
+            )
         )
 
     # -- from changes of sums to results -----------------------------------------------
@@ -449,7 +459,7 @@ class _Call:
             F.col("event_time").alias("record_time"),
             F.lit(None).cast("timestamp").alias("stream_time"),
         )
-        steps = write_table(fresh.unionByName(carried), "steps")
+        steps = fresh.unionByName(write_table(carried, "carried"))
         after = write_table(
             running_results(steps, "node")
             .where(F.col("arrival_seq") > _BEFORE)
@@ -481,19 +491,35 @@ class _Call:
         return results.select(*result_columns(with_bounds, "node", "n", "total", "newest", extra))
 
 
-def _for_parents(rows: DataFrame, parents: str, phase: int = 1) -> DataFrame:
-    """A row for each parent in the column; a gone node takes its value away from them."""
+def _targets(parents: Column, removal: Column) -> Column:
+    """The parents that a row goes to, and whether it takes the value of the node from them."""
+    return F.transform(parents, lambda p: F.struct(p.alias("parent"), removal.alias("removal")))
+
+
+def _for_parents(updates: DataFrame) -> DataFrame:
+    """A row for each of the parents; a gone node takes its value away from them."""
+    return _offers(
+        updates.select(
+            "*",
+            (2 * F.col("arrival_seq") + 1).alias("order"),
+            F.explode(_targets(F.col("parents"), F.col("gone"))).alias("target"),
+        )
+    )
+
+
+def _offers(rows: DataFrame) -> DataFrame:
+    removal = F.col("target.removal")
     return rows.select(
         "window_start",
         F.col("node").alias("child"),
-        F.explode(parents).alias("parent"),
-        (2 * F.col("arrival_seq") + phase).alias("order"),
+        F.col("target.parent").alias("parent"),
+        "order",
         "arrival_seq",
-        F.when(~F.col("gone"), F.col("payload_ts_ms")).alias("payload_ts_ms"),
-        F.when(~F.col("gone"), F.col("units")).alias("units"),
+        F.when(~removal, F.col("payload_ts_ms")).alias("payload_ts_ms"),
+        F.when(~removal, F.col("units")).alias("units"),
         "event_time",
         "stream_time",
-        F.col("gone").alias("removal"),
+        removal.alias("removal"),
     )
 
 
@@ -506,20 +532,30 @@ def _pair_deltas(offers: DataFrame, with_removals: bool) -> tuple[DataFrame, Dat
     """
     segment = F.lit(0).cast("bigint")
     rows = offers.withColumn("segment", segment)
+    hot = hot_buckets(offers, _PAIR, "order")
     if with_removals:
         counted = with_running(
             offers.withColumn("_one", F.col("removal").cast("bigint")),
             _PAIR,
             "order",
             [Running("segment", "sum", "_one", before=True)],
+            hot=hot,
         )
-        rows = write_table(
-            counted.withColumn("segment", F.coalesce("segment", segment)).drop("_one"), "segments"
-        )
+        rows = counted.withColumn("segment", F.coalesce("segment", segment)).drop("_one")
+        if hot:
+            rows = write_table(rows, "segments")
     offer = F.when(~F.col("removal"), F.struct("payload_ts_ms", "order", "units"))
     rows = rows.withColumn("offer", offer)
-    scanned = with_running(
-        rows, [*_PAIR, "segment"], "order", [Running("replaced", "max", "offer", before=True)]
+    # A stretch has no more rows than its pair.
+    scanned = write_table(
+        with_running(
+            rows,
+            [*_PAIR, "segment"],
+            "order",
+            [Running("replaced", "max", "offer", before=True)],
+            hot=None if hot else [],
+        ),
+        "scanned",
     )
     had = F.col("replaced").isNotNull()
     wins = ~had | (F.col("offer") > F.col("replaced"))
@@ -541,7 +577,7 @@ def _pair_deltas(offers: DataFrame, with_removals: bool) -> tuple[DataFrame, Dat
         "stream_time",
     )
     kept = (
-        rows.groupBy(*_PAIR)
+        scanned.groupBy(*_PAIR)
         .agg(
             F.max(F.struct("segment", "offer")).alias("newest"),
             F.sum(F.col("removal").cast("bigint")).alias("removals"),

@@ -104,7 +104,6 @@ def _first_beyond(points: DataFrame, asked: DataFrame, reached: bool) -> DataFra
         _GROUP,
         "_back",
         [Running("_value", "min", "_own", before=not reached)],
-        chunk_bits=(22, 20),
     )
     return scanned.select(*_GROUP, "_at", "_value").where("_value IS NOT NULL")
 
