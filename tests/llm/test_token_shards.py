@@ -5,9 +5,12 @@ import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from treewatt.llm import common
+from treewatt.llm import token_shards as module
 from treewatt.llm.perfect_hash import PerfectHash
 from treewatt.llm.token_shards import (
     ChunkEncoder,
@@ -90,3 +93,28 @@ def test_small_shards_repeats_and_rows_without_id(spark, library):
 def test_empty_table(spark):
     keys, folder = token_shards(spark.createDataFrame([], DOCS), production_tokenizer(), 2)
     assert read_documents(keys, folder).count() == 0
+
+
+def test_few_texts_are_taken_apart_at_once(monkeypatch):
+    asked, given_back = [], []
+
+    class Encoder:
+        def encode(self, texts):
+            asked.append(len(texts))
+            return [t.encode() for t in texts]
+
+    monkeypatch.setattr(module, "give_back_memory", lambda: given_back.append(len(asked)))
+    rows = [(i, f"text {i}") for i in range(2050)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["key", "body"])
+    got = list(module.encoded(Encoder(), batch))
+    assert got == [(i, t.encode()) for i, t in rows]
+    assert max(asked) <= 200 and given_back == [5, 10]
+
+
+def test_what_a_worker_held_before_is_given_back(monkeypatch):
+    given_back = []
+    monkeypatch.setattr(common, "give_back_memory", lambda: given_back.append(True))
+    monkeypatch.setattr(common, "_HELD", {})
+    assert common.held_in_worker(("a",), lambda: 1) == 1 and not given_back
+    assert common.held_in_worker(("a",), lambda: 2) == 1 and not given_back
+    assert common.held_in_worker(("b",), lambda: 3) == 3 and given_back == [True]

@@ -31,11 +31,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from treewatt.functions.tables import sized
-from treewatt.llm.common import NewFile, Scratch, file_system, held_in_worker
+from treewatt.llm.common import NewFile, Scratch, file_system, give_back_memory, held_in_worker
 from treewatt.llm.perfect_hash import PerfectHash
 
 SHARD_BYTES = 64 << 20
 CACHE_CHUNKS = 700_000
+TEXTS_AT_ONCE = 200
+GIVE_BACK_AFTER = 1000  # texts
 NO_ID = -(1 << 63)
 MAGIC = b"TIDX"
 HEADER = struct.Struct("<4sHHQQ")  # magic, bytes of an id, nothing, keys, documents
@@ -198,6 +200,20 @@ class Shard:
         return np.frombuffer(data, f"<u{self.width}")
 
 
+def encoded(encoder: ChunkEncoder, batch: pa.RecordBatch) -> Iterator[tuple[int, bytes]]:
+    """Key and ids of each document of a batch (key, text).
+
+    Few texts are taken apart at once: the chunks that stay known lie among those that do not,
+    and hold the memory of all of them.
+    """
+    for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+        rows = batch.slice(at, TEXTS_AT_ONCE)
+        made = encoder.encode(rows.column(1).to_pylist())
+        yield from zip(rows.column(0).to_pylist(), made, strict=True)
+        if at // GIVE_BACK_AFTER != (at + TEXTS_AT_ONCE) // GIVE_BACK_AFTER:
+            give_back_memory()
+
+
 def write_shards(
     docs: DataFrame,
     folder: str,
@@ -236,18 +252,15 @@ def write_shards(
             return pa.RecordBatch.from_arrays(columns, ["key", "part", "roll", "n_ids"])
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                rows = batch.slice(at, 1000)
-                made = encoder.encode(rows.column(1).to_pylist())
-                for key, body in zip(rows.column(0).to_pylist(), made, strict=True):
-                    if ids is not None and ids.size + len(body) > shard_bytes:
-                        yield flush()
-                        keys, sizes, ids, roll = [], [], None, roll + 1
-                    if ids is None:
-                        ids = NewFile(f"{shard_path(folder, part, roll)}.ids")
-                    ids.write(body)
-                    keys.append(key)
-                    sizes.append(len(body) // width)
+            for key, body in encoded(encoder, batch):
+                if ids is not None and ids.size + len(body) > shard_bytes:
+                    yield flush()
+                    keys, sizes, ids, roll = [], [], None, roll + 1
+                if ids is None:
+                    ids = NewFile(f"{shard_path(folder, part, roll)}.ids")
+                ids.write(body)
+                keys.append(key)
+                sizes.append(len(body) // width)
         if ids is not None:
             yield flush()
 
