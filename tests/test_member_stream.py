@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from scenarios import nested
 
 from treewatt import RollupConfig
+from treewatt.functions.running import with_running
+from treewatt.operators import members, registry
 from treewatt.plans.batch import rollup_members
 from treewatt.schemas import REGISTRY_EVENT
 from treewatt.streaming.members import MemberRollup, member_rows
@@ -113,3 +115,27 @@ def test_a_batch_reads_and_writes_what_it_touches(spark, tmp_path):
             ("g", sensors, sensors + 6.0), ("root", 1, sensors + 6.0),
         }
     assert written[0] == written[1] == {"last": 3, "pairs": 2, "groups": 2}
+
+
+def test_a_batch_leaves_out_what_nothing_later_asks_for(spark, tmp_path, monkeypatch):
+    """Updates after the last change of their node are not scanned with the changes, pairs of
+    closed windows are not kept, and a lone snapshot is compared with what is known alone."""
+    scanned = []
+
+    def recorded(df, keys, order, wanted, **options):
+        if any(w.name == "version" for w in wanted):
+            scanned.append(df.where("update IS NOT NULL AND arrival_seq IS NOT NULL").count())
+        return with_running(df, keys, order, wanted, **options)
+
+    monkeypatch.setattr(members, "with_running", recorded)
+    monkeypatch.setattr(registry, "diff_history", None)
+    steps = [(0, FIRST), (1, "a", 5), (2, "b", 6), (21, "a", 7), (22, "c", 8)]
+    state, out = str(tmp_path / "state"), str(tmp_path / "out")
+    MemberRollup(CFG, state, out, "changelog")(member_rows(*inputs(spark, steps)), 0)
+    assert scanned and sum(scanned) == 0
+    windows = spark.read.parquet(f"{state}/pairs/batch-0").select(F.unix_seconds("window_start"))
+    assert [r[0] for r in windows.collect()] == [20] * 6
+    roots = spark.read.parquet(out).where("identifier = 'root'")
+    assert sorted((r["count"], r.sum_w) for r in roots.collect()) == [
+        (1, 5.0), (1, 7.0), (1, 11.0), (2, 15.0),
+    ]

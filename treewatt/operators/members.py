@@ -144,9 +144,14 @@ def _window_at(time: Column, cfg: RollupConfig) -> Column:
 
 
 def follow_members(
-    readings: DataFrame, changes: DataFrame, state: MemberState, cfg: RollupConfig
+    readings: DataFrame,
+    changes: DataFrame,
+    state: MemberState,
+    cfg: RollupConfig,
+    last_call: bool = False,
 ) -> tuple[DataFrame, MemberState]:
-    """The changelog of all groups, and what it changes of the state.
+    """The changelog of all groups, and what it changes of the state; without last updates, which
+    only another call needs, in the last call.
 
     ``changes`` are rows ``(child, old_parents, parents, arrival_seq, event_time)`` as
     ``diff_history`` gives them; those of one snapshot share its arrival number, which no
@@ -169,7 +174,9 @@ def follow_members(
     clock = newest if newest is not None else state.clock
     tree = _tree(changes, state, cfg)
     per_height = _heights_of_changes(changes, tree)
-    call = _Call(state, tree, cfg, changes.count(), per_height)
+    counted = changes.agg(F.count(F.lit(1)).alias("n"), F.max("arrival_seq").alias("last")).first()
+    settled = write_table(_settled(changes, state.parents), "settled")
+    call = _Call(state, tree, cfg, counted.n, per_height, settled, counted.last)
     stamps = arrivals.where("identifier IS NULL").select("arrival_seq", "stream_time")
     changes = changes.join(sized(stamps, call.change_rows, cfg.broadcast_rows), "arrival_seq")
 
@@ -200,9 +207,11 @@ def follow_members(
 
     after = MemberState(
         clock,
-        _parents_after(changes, state.parents),
+        settled.where(F.col("since").isNull() | (F.size("parents") > 0)).select(
+            F.col("node").alias("child"), "parents"
+        ),
         _edges_after(changes, state.edges, clock, cfg),
-        all_of([_last_of(last)], "last"),
+        all_of([] if last_call else [_last_of(last, cfg)], "last"),
         all_of(pairs, "pairs"),
         all_of(groups, "groups"),
     )
@@ -252,12 +261,16 @@ def _heights_of_changes(changes: DataFrame, tree: Hierarchy) -> set[int]:
     return {r.height for r in rows}
 
 
-def _parents_after(changes: DataFrame, known: DataFrame) -> DataFrame:
-    newest = changes.groupBy(F.col("node").alias("child")).agg(
-        F.max_by("parents", "arrival_seq").alias("parents")
+def _settled(changes: DataFrame, known: DataFrame) -> DataFrame:
+    """The parents of each node after all changes, and since which arrival it has them; null if
+    no change of this call names the node."""
+    newest = changes.where("arrival_seq IS NOT NULL").groupBy("node").agg(
+        F.max_by("parents", "arrival_seq").alias("parents"), F.max("arrival_seq").alias("since")
+    )
+    kept = known.withColumnRenamed("child", "node").join(
+        newest.select("node"), "node", "left_anti"
     )
-    kept = known.join(newest.select("child"), "child", "left_anti")
-    return kept.unionByName(newest.where(F.size("parents") > 0))
+    return newest.unionByName(kept, allowMissingColumns=True)
 
 
 def _edges_after(
@@ -277,12 +290,24 @@ def _edges_after(
     return both.groupBy("child", "parent").agg(F.max("until").alias("until"))
 
 
-def _last_of(updates: list[DataFrame]) -> DataFrame:
-    """The last update of each node that has one in this call."""
-    rows = [u.select("node", "arrival_seq", *_UPDATE) for u in updates]
-    newest = F.max(F.struct("arrival_seq", *_UPDATE)).alias("newest")
-    merged = reduce(DataFrame.unionByName, rows).groupBy("node").agg(newest)
-    return merged.select("node", *[f"newest.{c}" for c in _UPDATE], F.lit(False).alias("removed"))
+def _last_of(updates: list[DataFrame], cfg: RollupConfig) -> DataFrame:
+    """The last update of each node that has one in this call.
+
+    The newest arrivals come first, as numbers, which a hash aggregate holds; only the updates of
+    those arrivals are compared as structs, which would sort all of them.
+    """
+    merged = reduce(
+        DataFrame.unionByName, [u.select("node", "arrival_seq", *_UPDATE) for u in updates]
+    )
+    newest = write_table(
+        merged.groupBy("node").agg(F.max("arrival_seq").alias("newest_seq")), "newest"
+    ).withColumnRenamed("node", "newest_node")
+    here = (F.col("node") == F.col("newest_node")) & F.col("arrival_seq").eqNullSafe(
+        F.col("newest_seq")
+    )
+    rows = merged.join(sized(newest, newest.count(), cfg.broadcast_rows), here)
+    last = rows.groupBy("node").agg(F.max(F.struct("arrival_seq", *_UPDATE)).alias("newest"))
+    return last.select("node", *[f"newest.{c}" for c in _UPDATE], F.lit(False).alias("removed"))
 
 
 class _Call:
@@ -295,9 +320,12 @@ class _Call:
         cfg: RollupConfig,
         change_rows: int,
         changing: set[int],
+        settled: DataFrame,
+        last_change: int | None,
     ):
         self.state, self.tree, self.cfg = state, tree, cfg
         self.change_rows, self.changing = change_rows, changing
+        self.settled, self.last_change = settled, last_change
 
     def _heights(self, node: str) -> DataFrame:
         heights = self.tree.heights.withColumnRenamed("node", node)
@@ -308,6 +336,13 @@ class _Call:
         placed = rows.join(self._heights(node), node, "left")
         return placed.where(F.coalesce("height", F.lit(0)) == height).drop("height")
 
+    def _known_windows(self, rows: DataFrame) -> DataFrame:
+        """Rows in windows that earlier calls may have met: none of them begins after the newest
+        event time that they left."""
+        if self.state.clock is None:
+            return rows
+        return rows.where(F.unix_micros("window_start") <= F.lit(self.state.clock).cast("bigint"))
+
     def readings(self, arrivals: DataFrame) -> DataFrame:
         """Updates of height 0; a reading of a group raises."""
         rows = arrivals.where("identifier IS NOT NULL").withColumnRenamed("identifier", "node")
@@ -344,7 +379,7 @@ class _Call:
         placed = placed.where(_open_until(self.cfg) > F.unix_micros("stream_time"))
         nothing = F.lit(None)
         placed = write_table(placed, "placed")
-        carried = self.state.pairs.of(placed).select(
+        carried = self.state.pairs.of(self._known_windows(placed)).select(
             *_PAIR,
             F.lit(_BEFORE).cast("bigint").alias("order"),
             nothing.cast("bigint").alias("arrival_seq"),
@@ -356,23 +391,37 @@ class _Call:
         )
         offers = placed.unionByName(write_table(carried, "carried"))
         # Without a change so far nothing can have been removed.
-        made, kept = _pair_deltas(offers, any(h <= height for h in self.changing))
+        removals = any(h <= height for h in self.changing) and not placed.where("removal").isEmpty()
+        made, kept = _pair_deltas(offers, removals)
         links = self._heights("parent").withColumnRenamed("height", "parent_height")
         return write_table(made.join(links, "parent"), "deltas"), kept
 
     def _placed_over_changes(self, updates: DataFrame, changes: DataFrame) -> DataFrame:
         """Updates for the parents known at their arrival, and what changes move and remove.
 
-        One scan along the arrivals of each node finds both the parents known to an update
-        and the update known to a change. Results of one group may reach several windows at one
+        Updates that no change of their node follows meet its settled parents, by one join. For
+        the others one scan along the arrivals of each node finds both the parents known to an
+        update and the update known to a change. Results of one group may reach several windows at one
         arrival: they share a place in that order, no change has it, and the newest is the last.
         """
-        asked = updates.select("node").union(changes.select("node")).distinct()
+        numbered = updates.where("arrival_seq IS NOT NULL")
+        rows = max(self.tree.edge_rows, self.change_rows)
+        settled = _for_parents(
+            numbered.join(sized(self.settled, rows, self.cfg.broadcast_rows), "node").where(
+                "since IS NULL OR arrival_seq >= since"
+            )
+        )
+        since = self.settled.where("since IS NOT NULL").select("node", "since")
+        followed = (
+            numbered.where(F.col("arrival_seq") < F.lit(self.last_change).cast("bigint"))
+            .join(sized(since, self.change_rows, self.cfg.broadcast_rows), "node")
+            .where("arrival_seq < since")
+        )
         parents = self.state.parents.withColumnRenamed("child", "node")
         later = (2 * F.col("arrival_seq") + 1).alias("order")
         before = F.lit(_BEFORE).cast("bigint").alias("order")
         earlier = write_table(
-            parents.join(asked, "node", "left_semi")
+            parents.join(changes.select("node"), "node", "left_semi")
             .select("node", before, F.struct(before, "parents").alias("known"))
             .unionByName(
                 self.state.last.of(changes).select(
@@ -384,7 +433,7 @@ class _Call:
             "earlier",
         )
         frames = [
-            updates.where("arrival_seq IS NOT NULL").select(
+            followed.select(
                 "node", later, "arrival_seq", "stream_time",
                 F.struct(later, *_UPDATE).alias("update"),
             ),
@@ -418,7 +467,7 @@ class _Call:
         def either(of_change: Column, of_update: str) -> Column:
             return F.when(changed, of_change).otherwise(F.col(f"update.{of_update}"))
 
-        return _offers(
+        moved = _offers(
             scanned.select(
                 "node",
                 either(_window_at(record_time, self.cfg), "window_start").alias("window_start"),
@@ -431,6 +480,7 @@ class _Call:
                 F.explode(F.when(changed, moved_to).otherwise(met)).alias("target"),
             )
         )
+        return settled.unionByName(moved)
 
     # -- from changes of sums to results -----------------------------------------------
 
@@ -449,7 +499,7 @@ class _Call:
             F.max("stream_time").alias("stream_time"),
         )
         fresh = write_table(fresh, "fresh")
-        carried = self.state.groups.of(fresh).select(
+        carried = self.state.groups.of(self._known_windows(fresh)).select(
             "window_start",
             "node",
             F.lit(_BEFORE).cast("bigint").alias("arrival_seq"),

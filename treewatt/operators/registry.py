@@ -9,6 +9,11 @@ from treewatt.functions.running import with_next, with_previous
 from treewatt.functions.tables import setting, write_table
 from treewatt.schemas import REGISTRY_SNAPSHOT_EVENTS
 
+_CHANGES = (
+    "child string, op string, old_parents array<string>, parents array<string>, "
+    "arrival_seq bigint, event_time timestamp"
+)
+
 
 def snapshot_events(events: DataFrame) -> DataFrame:
     """Keep the events that carry a registry snapshot."""
@@ -26,8 +31,8 @@ def flatten_registry(
     Every node but the root becomes one row. The walk goes one tree level per step over
     all snapshots at once, without a limit on rows or depth; it ends where no node has
     children. The edges are written to the shared folder, as Spark reads the limits of a
-    recursion when it runs. A document is one row: it must fit one VARIANT, and its first
-    level is taken apart by one task.
+    recursion when it runs. A document is one row: it must fit one VARIANT, and its
+    levels are taken apart by one task, which deals out the edges to all others.
     """
     spark = events.sparkSession
     walk = _walk(events, identifier_field, children_field)
@@ -35,7 +40,7 @@ def flatten_registry(
         setting(spark, "spark.sql.cteRecursionRowLimit", "-1"),
         setting(spark, "spark.sql.cteRecursionLevelLimit", "-1"),
     ):
-        return write_table(walk, "registry")
+        return write_table(walk.repartition("child"), "registry")
 
 
 def _walk(events: DataFrame, identifier_field: str, children_field: str) -> DataFrame:
@@ -181,21 +186,27 @@ def changes_after(known: DataFrame, snapshots: DataFrame) -> DataFrame:
     Each snapshot is compared with the one before it, the first with what is known. Hand in
     written tables; a snapshot that names a node twice raises.
     """
-    edges = unique_identifiers(flatten_registry(snapshots), "arrival_seq")
     stamp = snapshots.agg(
         F.min("arrival_seq").alias("arrival_seq"),
+        F.max("arrival_seq").alias("last_seq"),
         F.min_by("event_time", "arrival_seq").alias("event_time"),
+        F.count(F.lit(1)).alias("n"),
     ).first()
+    if stamp.n == 0:
+        return snapshots.sparkSession.createDataFrame([], _CHANGES).limit(0)
+    edges = unique_identifiers(flatten_registry(snapshots), "arrival_seq")
     if stamp.arrival_seq is None:
         return diff_history(edges, snapshots)
     first = edges.where(F.col("arrival_seq") == stamp.arrival_seq)
-    return (
+    changes = (
         diff_snapshots(known, parent_sets(first))
         .withColumn("arrival_seq", F.lit(stamp.arrival_seq).cast("bigint"))
         .withColumn("event_time", F.lit(stamp.event_time))
-        .unionByName(
-            diff_history(edges, snapshots).where(F.col("arrival_seq") > F.lit(stamp.arrival_seq))
-        )
+    )
+    if stamp.last_seq == stamp.arrival_seq:
+        return changes
+    return changes.unionByName(
+        diff_history(edges, snapshots).where(F.col("arrival_seq") > F.lit(stamp.arrival_seq))
     )
 
 

@@ -119,7 +119,7 @@ def rollup_members(
         snapshot_events(events).select("arrival_seq", "event_time", "payload"), "snapshots"
     )
     changes = changes_after(state.parents, snapshots)
-    log, after = follow_members(measurements, changes, state, cfg)
+    log, after = follow_members(measurements, changes, state, cfg, last_call=True)
     if emission == "final":
         return results_of(after.groups, cfg)
     if emission == "throttled":

@@ -95,16 +95,20 @@ class MemberRollup:
         changes = changes_after(before.parents, snapshots)
         readings = rows.where("identifier IS NOT NULL").select(*MEASUREMENT.names)
         log, after = follow_members(readings, changes, before, cfg)
+        # No later batch asks for windows that this one has closed; but final results need the
+        # groups of those that were open before it.
+        open_now, open_before = is_open(after.clock, cfg), is_open(before.clock, cfg)
+        wanted = {"pairs": open_now, "groups": open_before if self.emission == "final" else open_now}
         for name, table in self._tables().items():
-            # A whole state keeps last updates always, and windows that were open before this
-            # batch, so that the ones that it closes are still there for their final results.
-            wanted = None if name == "last" else is_open(before.clock, cfg)
-            table.save(getattr(after, name), batch_id, wanted)
+            changed = getattr(after, name)
+            if name in wanted:
+                changed = changed.where(wanted[name])
+            table.save(changed, batch_id, wanted.get(name))
         if self.emission == "changelog":
             self._emit(log, batch_id)
         elif self.emission == "final":
             groups = self._tables()["groups"].at(spark, batch_id).whole()
-            closed = groups.where(~is_open(after.clock, cfg) & is_open(before.clock, cfg))
+            closed = groups.where(~open_now & open_before)
             self._emit(results_of(closed, cfg), batch_id)
         else:
             carried = self._read(spark, "entries", batch_id - 1) if batch_id > 0 else None

@@ -98,7 +98,7 @@ class StateAt:
         table = self.table
         if self.batch_id < 0:
             return self.spark.createDataFrame([], table.schema)
-        keys = asked.select(*table.keys).distinct()
+        keys = asked.select(*table.keys)
         numbers = [r[0] for r in keys.select(table._bucket().alias("b")).distinct().collect()]
         rows = table._rows(self.spark, self.batch_id, numbers)
         return table._newest(rows.join(keys, list(table.keys), "left_semi"))
