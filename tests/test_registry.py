@@ -2,9 +2,12 @@ import json
 
 import pytest
 from helpers import at, edges, registry_events
+from pyspark.sql import functions as F
 from scenarios import PAIR, UNBALANCED
 
 from treewatt import RollupConfig, hierarchy_from_events
+from treewatt.functions.tables import write_table
+from treewatt.operators import registry
 from treewatt.operators.registry import (
     current_parents,
     diff_history,
@@ -133,3 +136,44 @@ def test_history_of_changes(spark):
         ("child1", "root", "delete"),
         ("hall", "root", "delete"),
     ]
+
+
+def test_long_documents_are_cut_before_they_become_variants(spark, monkeypatch):
+    wide = {"root": [f"hall{i}" for i in range(9)] + ["lone"]} | {
+        f"hall{i}": [f"sensor-{i}-{k}" for k in range(i)] for i in range(9)
+    }
+    odd = '{"identifier": 7, "children": [{"identifier": 5}, null, {"children": []}, 3, [1]]}'
+    events = registry_events(spark, [(0, wide), (1, UNBALANCED), (2, {"root": []})]).unionByName(
+        spark.createDataFrame(
+            [("SENSOR_REGISTRY_CHANGED", odd, at(9), 9), ("SENSOR_REGISTRY_CHANGED", None, at(9), 10)],
+            "event_type string, payload string, event_time timestamp, arrival_seq bigint",
+        )
+    )
+
+    def rows():
+        return sorted(map(repr, flatten_registry(events).collect()))
+
+    whole = rows()
+    assert len(whole) == 46 + len({c for cs in UNBALANCED.values() for c in cs}) + 5
+    for size in (20, 120, 400):
+        monkeypatch.setattr(registry, "_PIECE_BYTES", size)
+        assert rows() == whole
+    broken = '{"identifier": "a", "children": {"identifier": "' + 400 * "b" + '"}}'
+    with pytest.raises(Exception, match="MALFORMED_RECORD_IN_PARSING"):
+        flatten_registry(events.where("arrival_seq = 0").withColumn("payload", F.lit(broken)))
+
+
+def test_long_documents_are_not_walked_over_the_driver(spark, monkeypatch):
+    name = "spark.sql.cteRecursionAnchorRowsLimitToConvertToLocalRelation"
+    before, seen = spark.conf.get(name), []
+
+    def spied(df, label):
+        seen.append(df.sparkSession.conf.get(name))
+        return write_table(df, label)
+
+    monkeypatch.setattr(registry, "write_table", spied)
+    flatten_registry(registry_events(spark, [(0, PAIR)]))
+    long = {"root": [f"{400 * 'x'}{i}" for i in range(700)]}
+    assert flatten_registry(registry_events(spark, [(0, long)])).count() == 700
+    assert seen == [before, "0"]
+    assert spark.conf.get(name) == before

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,11 @@ from treewatt.functions.running import with_next, with_previous
 from treewatt.functions.tables import setting, write_table
 from treewatt.schemas import REGISTRY_SNAPSHOT_EVENTS
 
+# Texts of nodes up to this length are taken apart as one VARIANT.
+_PIECE_BYTES = 1 << 23
+# Snapshots of up to this length in all may be walked over the driver, whatever their depth.
+_DRIVER_BYTES = 1 << 18
+
 _CHANGES = (
     "child string, op string, old_parents array<string>, parents array<string>, "
     "arrival_seq bigint, event_time timestamp"
@@ -31,24 +38,89 @@ def flatten_registry(
     Every node but the root becomes one row. The walk goes one tree level per step over
     all snapshots at once, without a limit on rows or depth; it ends where no node has
     children. The edges are written to the shared folder, as Spark reads the limits of a
-    recursion when it runs. A document is one row: it must fit one VARIANT, and its
-    levels are taken apart by one task, which deals out the edges to all others.
+    recursion when it runs.
+
+    A document is one row, so one task reads it. Nodes whose text is longer than a set size are
+    cut into the texts of their children first, which are dealt out to all tasks: what becomes
+    a VARIANT stays well below the size that one may have. In a node that is cut, children that
+    are no array raise, and fields that are paths, not names, are never cut. The driver gets
+    rows of the walk from short documents alone.
     """
     spark = events.sparkSession
-    walk = _walk(events, identifier_field, children_field)
+    pieces, cut, size = _cut(events, identifier_field, children_field)
+    walk = _walk(pieces, identifier_field, children_field)
+    if cut is not None:
+        walk = walk.unionByName(cut)
+    on_driver = "spark.sql.cteRecursionAnchorRowsLimitToConvertToLocalRelation"
+    rows = spark.conf.get(on_driver) if size <= _DRIVER_BYTES else "0"
     with (
         setting(spark, "spark.sql.cteRecursionRowLimit", "-1"),
         setting(spark, "spark.sql.cteRecursionLevelLimit", "-1"),
+        setting(spark, on_driver, rows),
     ):
         return write_table(walk.repartition("child"), "registry")
 
 
-def _walk(events: DataFrame, identifier_field: str, children_field: str) -> DataFrame:
-    return events.sparkSession.sql(
+def _cut(
+    events: DataFrame, identifier_field: str, children_field: str
+) -> tuple[DataFrame, DataFrame | None, int]:
+    """Texts of nodes, none of them long, with their parents and levels; the edges of the nodes
+    that were cut for it, if any; and the length of all texts together."""
+    pieces = events.select(
+        "arrival_seq",
+        "event_time",
+        F.col("payload").alias("text"),
+        F.lit(None).cast("string").alias("parent"),
+        F.lit(0).alias("level"),
+    )
+    length = F.coalesce(F.octet_length("text"), F.lit(0))
+    schema = f"`{identifier_field}` variant, `{children_field}` array<string>"
+    named = identifier_field.isidentifier() and children_field.isidentifier()
+    short: list[DataFrame] = []
+    edges: list[DataFrame] = []
+    total = None
+    while True:
+        sizes = pieces.agg(F.max(length).alias("longest"), F.sum(length).alias("all")).first()
+        total = (sizes["all"] or 0) if total is None else total
+        if not named or (sizes.longest or 0) <= _PIECE_BYTES:
+            short.append(pieces)
+            break
+        short.append(pieces.where(length <= _PIECE_BYTES))
+        node = F.from_json("text", schema, {"mode": "FAILFAST"}).alias("node")
+        nodes = pieces.where(length > _PIECE_BYTES).select(
+            "arrival_seq", "event_time", "parent", "level", node
+        )
+        below = nodes.select(
+            "arrival_seq",
+            "event_time",
+            F.variant_get(f"node.{identifier_field}", "$", "string").alias("child"),
+            "parent",
+            "level",
+            F.posexplode_outer(f"node.{children_field}").alias("place", "text"),
+        )
+        below = write_table(below.repartition(F.xxhash64("text", "place")), "pieces")
+        edges.append(
+            below.where("level > 0 AND coalesce(place, 0) = 0").select(
+                "arrival_seq", "event_time", "child", "parent", "level"
+            )
+        )
+        pieces = below.where("place IS NOT NULL").select(
+            "arrival_seq",
+            "event_time",
+            "text",
+            F.col("child").alias("parent"),
+            (F.col("level") + 1).alias("level"),
+        )
+    cut = reduce(DataFrame.unionByName, edges) if edges else None
+    return reduce(DataFrame.unionByName, short), cut, total
+
+
+def _walk(pieces: DataFrame, identifier_field: str, children_field: str) -> DataFrame:
+    return pieces.sparkSession.sql(
         """
         WITH RECURSIVE walk(arrival_seq, event_time, node, parent, level) AS (
-          SELECT arrival_seq, event_time, parse_json(payload), CAST(NULL AS STRING), 0
-          FROM {events}
+          SELECT arrival_seq, event_time, parse_json(text), parent, level
+          FROM {pieces}
           UNION ALL
           SELECT w.arrival_seq, w.event_time, c.value,
                  variant_get(w.node, {identifier}, 'string'), w.level + 1
@@ -59,7 +131,7 @@ def _walk(events: DataFrame, identifier_field: str, children_field: str) -> Data
                parent, level
         FROM walk WHERE level > 0
         """,
-        events=events.select("arrival_seq", "event_time", "payload"),
+        pieces=pieces,
         identifier=f"$.{identifier_field}",
         children=f"$.{children_field}",
     )
