@@ -6,6 +6,9 @@ import pytest
 from helpers import at, readings
 
 from treewatt import RollupConfig
+from treewatt.functions.running import with_running
+from treewatt.functions.tables import sized, write_table
+from treewatt.operators import members
 from treewatt.operators.members import follow_members, no_state, results_of
 
 CFG = RollupConfig(emit_period_ms=10_000, grace_period_ms=4_000, sum_scale=1)
@@ -215,3 +218,47 @@ def test_refusals(spark):
 def test_nothing_known(spark):
     log, state = small(spark, [(1, "a", 5), (2, "b", 6)])
     assert log == [] and state.last.count() == 2
+
+
+def test_only_nodes_that_something_moves_are_scanned(spark, monkeypatch):
+    """Changes of nodes without an update before them stay out of the scan; few groups are
+    broadcast however many sensors there are; upper heights write no step twice."""
+    scanned, broadcast, labels = [], [], []
+
+    def recorded(df, keys, order, wanted, **options):
+        if "change" in df.columns:
+            scanned.append(sorted(r.node for r in df.where("change IS NOT NULL").collect()))
+        return with_running(df, keys, order, wanted, **options)
+
+    def counted(df, rows, limit):
+        if {"node", "parents", "since"} <= set(df.columns):
+            broadcast.append((rows, rows <= limit))
+        return sized(df, rows, limit)
+
+    def labelled(df, label):
+        labels.append(label)
+        return write_table(df, label)
+
+    monkeypatch.setattr(members, "with_running", recorded)
+    monkeypatch.setattr(members, "sized", counted)
+    monkeypatch.setattr(members, "write_table", labelled)
+    edges = {"a": "g", "b": "g", "g": "r", "h": "r2", "r": "root", "r2": "root"} | {
+        f"s{i}": "g" for i in range(9)
+    }
+    rows = [
+        (0, 0, None, [(n, set(), {p}) for n, p in edges.items()]),
+        (1, 1, ("a", 50), []),
+        (2, 2, ("b", 60), []),
+        (3, 3, None, [("a", {"g"}, {"h"}), ("s0", {"g"}, {"h"})]),
+        (4, 4, ("a", 70), []),
+    ]
+    cfg = RollupConfig(emit_period_ms=10_000, sum_scale=1, broadcast_rows=8)
+    log, state = follow_members(*frames(spark, rows), no_state(spark), cfg, last_call=True)
+    assert scanned == [["a", "a"], [], []]
+    assert broadcast == [(15, False), (2, True), (2, True), (0, True), (2, True), (0, True)]
+    assert labels.count("deltas") == 3 and labels.count("results") == 2
+    assert "scanned" not in labels and "fresh" not in labels
+    wanted = {(1, "g", 1, 5.0), (2, "g", 2, 11.0), (3, "g", 1, 6.0), (3, "h", 1, 5.0), (4, "h", 1, 7.0)}
+    told = {(r.arrival_seq, r.identifier, r["count"], r.sum_w) for r in log.collect()}
+    assert {t for t in told if t[1] in ("g", "h")} == wanted
+    assert (4, "root", 2, 13.0) in told

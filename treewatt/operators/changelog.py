@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from treewatt.config import RollupConfig
 from treewatt.functions.columns import result_columns
 from treewatt.functions.exact import BinaryParts, ScaledParts, parts_for
-from treewatt.functions.running import Running, with_running
+from treewatt.functions.running import HotBucket, Running, with_running
 from treewatt.functions.tables import sized, write_table
 from treewatt.operators.hierarchy import Hierarchy
 from treewatt.operators.rollup import leaf_only
@@ -99,8 +99,11 @@ def _stream_time(df: DataFrame) -> list[str]:
     return ["stream_time"] if "stream_time" in df.columns else []
 
 
-def running_results(updates: DataFrame, node: str, parts: int = 1) -> DataFrame:
-    """Counts, sums (total_0, ...) and newest times after each update of a group."""
+def running_results(
+    updates: DataFrame, node: str, parts: int = 1, hot: list[HotBucket] | None = None
+) -> DataFrame:
+    """Counts, sums (total_0, ...) and newest times after each update of a group; ``hot`` as in
+    ``with_running``."""
     return with_running(
         updates,
         ["window_start", node],
@@ -111,6 +114,7 @@ def running_results(updates: DataFrame, node: str, parts: int = 1) -> DataFrame:
             Running("newest", "max", "payload_ts_ms"),
             Running("event_time", "max", "record_time"),
         ],
+        hot=hot,
     )
 
 

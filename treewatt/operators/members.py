@@ -170,19 +170,18 @@ def follow_members(
         "changes",
     )
     arrivals = _arrivals(readings, changes, state.clock, cfg)
-    newest = arrivals.agg(F.unix_micros(F.max("stream_time"))).first()[0]
-    clock = newest if newest is not None else state.clock
+    seen = arrivals.agg(
+        F.unix_micros(F.max("stream_time")).alias("newest"), F.min("arrival_seq").alias("first")
+    ).first()
+    clock = seen.newest if seen.newest is not None else state.clock
     tree = _tree(changes, state, cfg)
-    per_height = _heights_of_changes(changes, tree)
-    counted = changes.agg(F.count(F.lit(1)).alias("n"), F.max("arrival_seq").alias("last")).first()
-    settled = write_table(_settled(changes, state.parents), "settled")
-    call = _Call(state, tree, cfg, counted.n, per_height, settled, counted.last)
     stamps = arrivals.where("identifier IS NULL").select("arrival_seq", "stream_time")
-    changes = changes.join(sized(stamps, call.change_rows, cfg.broadcast_rows), "arrival_seq")
+    settled = _settled(changes, state.parents)
+    call = _Call(state, tree, cfg, changes, stamps, settled, seen.first, last_call)
 
     updates = call.readings(arrivals)
     last = [updates]
-    deltas: list[DataFrame] = []
+    deltas: list[_Deltas] = []
     pairs: list[DataFrame] = []
     groups: list[DataFrame] = []
     logs: list[DataFrame] = []
@@ -193,7 +192,7 @@ def follow_members(
             groups.append(now)
             last.append(updates)
         if height < tree.height:
-            made, kept = call.deltas(updates, changes, height)
+            made, kept = call.deltas(updates, height)
             deltas.append(made)
             pairs.append(kept)
 
@@ -207,10 +206,10 @@ def follow_members(
 
     after = MemberState(
         clock,
-        settled.where(F.col("since").isNull() | (F.size("parents") > 0)).select(
+        call.settled.where(F.col("since").isNull() | (F.size("parents") > 0)).select(
             F.col("node").alias("child"), "parents"
         ),
-        _edges_after(changes, state.edges, clock, cfg),
+        _edges_after(call.changes, state.edges, clock, cfg),
         all_of([] if last_call else [_last_of(last, cfg)], "last"),
         all_of(pairs, "pairs"),
         all_of(groups, "groups"),
@@ -255,12 +254,6 @@ def _tree(changes: DataFrame, state: MemberState, cfg: RollupConfig) -> Hierarch
     return build_hierarchy(edges, broadcast_rows=cfg.broadcast_rows)
 
 
-def _heights_of_changes(changes: DataFrame, tree: Hierarchy) -> set[int]:
-    placed = changes.select("node").join(tree.heights, "node", "left")
-    rows = placed.select(F.coalesce("height", F.lit(0)).alias("height")).distinct().collect()
-    return {r.height for r in rows}
-
-
 def _settled(changes: DataFrame, known: DataFrame) -> DataFrame:
     """The parents of each node after all changes, and since which arrival it has them; null if
     no change of this call names the node."""
@@ -310,31 +303,75 @@ def _last_of(updates: list[DataFrame], cfg: RollupConfig) -> DataFrame:
     return last.select("node", *[f"newest.{c}" for c in _UPDATE], F.lit(False).alias("removed"))
 
 
+@dataclass(frozen=True)
+class _Deltas:
+    """What the nodes of a height make of their parents' sums, and the heights of these parents;
+    of several, rows carry ``parent_height``."""
+
+    rows: DataFrame
+    heights: set[int]
+
+    def of(self, height: int) -> DataFrame:
+        if len(self.heights) == 1:
+            return self.rows
+        return self.rows.where(F.col("parent_height") == height).drop("parent_height")
+
+
 class _Call:
-    """One call's steps from height to height."""
+    """One call's steps from height to height.
+
+    ``changes`` and ``settled`` are written with the heights of their nodes and counted by them,
+    so that the few groups of the upper heights are broadcast, however many sensors there are.
+    ``first`` is the lowest arrival number of the call.
+    """
 
     def __init__(
         self,
         state: MemberState,
         tree: Hierarchy,
         cfg: RollupConfig,
-        change_rows: int,
-        changing: set[int],
+        changes: DataFrame,
+        stamps: DataFrame,
         settled: DataFrame,
-        last_change: int | None,
+        first: int | None,
+        last_call: bool,
     ):
         self.state, self.tree, self.cfg = state, tree, cfg
-        self.change_rows, self.changing = change_rows, changing
-        self.settled, self.last_change = settled, last_change
+        self.first, self.last_call = F.lit(first).cast("bigint"), last_call
+        stamps = write_table(stamps, "stamps")
+        timed = changes.join(
+            sized(stamps, stamps.count(), cfg.broadcast_rows), "arrival_seq", "left"
+        )
+        placed = write_table(self._placed(timed), "changes")
+        self.changes = placed.where("arrival_seq IS NOT NULL")
+        counted = placed.groupBy("height").agg(F.max("arrival_seq").alias("last")).collect()
+        self.last_change = {r.height: r["last"] for r in counted}
+        self.settled = write_table(self._placed(settled), "settled")
+        counted = self.settled.groupBy("height").agg(
+            F.count(F.lit(1)).alias("n"), F.count_if(F.col("since") > self.first).alias("moved")
+        )
+        counts = counted.collect()
+        self.settled_rows = {r.height: r.n for r in counts}
+        self.moved_rows = {r.height: r.moved for r in counts}
+        ends = tree.edges.join(self._heights("child"), "child", "left").select(
+            F.coalesce("height", F.lit(0)).alias("below"), "parent"
+        )
+        ends = ends.join(self._heights("parent"), "parent").select("below", "height").distinct()
+        self.heights_above: dict[int, set[int]] = {}
+        for r in ends.collect():
+            self.heights_above.setdefault(r.below, set()).add(r.height)
 
     def _heights(self, node: str) -> DataFrame:
         heights = self.tree.heights.withColumnRenamed("node", node)
         return sized(heights, self.tree.edge_rows, self.cfg.broadcast_rows)
 
-    def _at(self, rows: DataFrame, node: str, height: int) -> DataFrame:
-        """Rows whose node is of this height; nodes without children are 0."""
-        placed = rows.join(self._heights(node), node, "left")
-        return placed.where(F.coalesce("height", F.lit(0)) == height).drop("height")
+    def _placed(self, rows: DataFrame) -> DataFrame:
+        """With the height of each node; nodes without children are 0."""
+        placed = rows.join(self._heights("node"), "node", "left")
+        return placed.withColumn("height", F.coalesce("height", F.lit(0)))
+
+    def _sized(self, rows: DataFrame, n: int) -> DataFrame:
+        return sized(rows, n, self.cfg.broadcast_rows)
 
     def _known_windows(self, rows: DataFrame) -> DataFrame:
         """Rows in windows that earlier calls may have met: none of them begins after the newest
@@ -363,19 +400,13 @@ class _Call:
 
     # -- from updates to what they change for each parent ------------------------------
 
-    def deltas(
-        self, updates: DataFrame, changes: DataFrame, height: int
-    ) -> tuple[DataFrame, DataFrame]:
+    def deltas(self, updates: DataFrame, height: int) -> tuple[_Deltas, DataFrame]:
         """What updates and changes of the nodes of a height make of their parents' sums, and
         what the children among them are worth to each parent afterwards."""
-        if height in self.changing:
-            placed = self._placed_over_changes(updates, self._at(changes, "node", height))
+        if height in self.last_change:
+            placed = self._placed_over_changes(updates, height)
         else:
-            parents = self._at(self.state.parents, "child", height).withColumnRenamed("child", "node")
-            rows = self.tree.edge_rows
-            placed = _for_parents(
-                updates.join(sized(parents, rows, self.cfg.broadcast_rows), "node")
-            )
+            placed = _for_parents(updates.join(self._settled_of(height), "node"))
         placed = placed.where(_open_until(self.cfg) > F.unix_micros("stream_time"))
         nothing = F.lit(None)
         placed = write_table(placed, "placed")
@@ -391,46 +422,75 @@ class _Call:
         )
         offers = placed.unionByName(write_table(carried, "carried"))
         # Without a change so far nothing can have been removed.
-        removals = any(h <= height for h in self.changing) and not placed.where("removal").isEmpty()
-        made, kept = _pair_deltas(offers, removals)
-        links = self._heights("parent").withColumnRenamed("height", "parent_height")
-        return write_table(made.join(links, "parent"), "deltas"), kept
+        removals = any(h <= height for h in self.last_change) and not (
+            placed.where("removal").isEmpty()
+        )
+        made, kept = _pair_deltas(offers, removals, written=not self.last_call)
+        made, above = made.where("parent IS NOT NULL"), self.heights_above.get(height, set())
+        if len(above) > 1:
+            links = self._heights("parent").withColumnRenamed("height", "parent_height")
+            made = made.join(links, "parent")
+        if len(above) > 1 or self.last_call:
+            made = write_table(made, "deltas")
+        return _Deltas(made, above), kept
+
+    def _settled_of(self, height: int, moved: bool = False) -> DataFrame:
+        """Settled parents for the updates of a height, of all nodes or of those that a change
+        after the first arrival names; readings meet groups as well, and are refused there."""
+        rows, counts = self.settled, self.moved_rows if moved else self.settled_rows
+        if height > 0:
+            rows, n = rows.where(F.col("height") == height), counts.get(height, 0)
+        else:
+            n = sum(counts.values())
+        if moved:
+            rows = rows.where(F.col("since") > self.first)
+        return self._sized(rows.drop("height"), n)
 
-    def _placed_over_changes(self, updates: DataFrame, changes: DataFrame) -> DataFrame:
+    def _placed_over_changes(self, updates: DataFrame, height: int) -> DataFrame:
         """Updates for the parents known at their arrival, and what changes move and remove.
 
         Updates that no change of their node follows meet its settled parents, by one join. For
         the others one scan along the arrivals of each node finds both the parents known to an
-        update and the update known to a change. Results of one group may reach several windows at one
-        arrival: they share a place in that order, no change has it, and the newest is the last.
+        update and the update known to a change. Of the changes only those of nodes with such
+        updates, or with one of an earlier call, take part: the others have nothing to move.
+        Results of one group may reach several windows at one arrival: they share a place in that
+        order, no change has it, and the newest is the last.
         """
         numbered = updates.where("arrival_seq IS NOT NULL")
-        rows = max(self.tree.edge_rows, self.change_rows)
         settled = _for_parents(
-            numbered.join(sized(self.settled, rows, self.cfg.broadcast_rows), "node").where(
+            numbered.join(self._settled_of(height), "node").where(
                 "since IS NULL OR arrival_seq >= since"
             )
         )
-        since = self.settled.where("since IS NOT NULL").select("node", "since")
-        followed = (
-            numbered.where(F.col("arrival_seq") < F.lit(self.last_change).cast("bigint"))
-            .join(sized(since, self.change_rows, self.cfg.broadcast_rows), "node")
-            .where("arrival_seq < since")
+        last_change = F.lit(self.last_change[height]).cast("bigint")
+        followed = write_table(
+            numbered.where(F.col("arrival_seq") < last_change)
+            .join(self._settled_of(height, moved=True).select("node", "since"), "node")
+            .where("arrival_seq < since"),
+            "followed",
         )
-        parents = self.state.parents.withColumnRenamed("child", "node")
+        changes = self.changes.where(F.col("height") == height).drop("height")
         later = (2 * F.col("arrival_seq") + 1).alias("order")
         before = F.lit(_BEFORE).cast("bigint").alias("order")
-        earlier = write_table(
-            parents.join(changes.select("node"), "node", "left_semi")
-            .select("node", before, F.struct(before, "parents").alias("known"))
-            .unionByName(
-                self.state.last.of(changes).select(
-                    "node", (before + 1).alias("order"),
-                    F.struct((before + 1).alias("order"), *_UPDATE).alias("update"),
-                ),
-                allowMissingColumns=True,
+        recent = write_table(
+            self.state.last.of(changes).select(
+                "node", (before + 1).alias("order"),
+                F.struct((before + 1).alias("order"), *_UPDATE).alias("update"),
             ),
-            "earlier",
+            "recent",
+        )
+        asked = write_table(
+            followed.select("node").unionByName(recent.select("node")).distinct(), "asked"
+        )
+        asked = self._sized(asked, asked.count())
+
+        def of_asked(rows: DataFrame, label: str) -> DataFrame:
+            return write_table(rows.join(asked, "node", "left_semi"), label)
+
+        changes = of_asked(changes, "moves")
+        parents = self.state.parents.withColumnRenamed("child", "node")
+        known = of_asked(parents, "known").select(
+            "node", before, F.struct(before, "parents").alias("known")
         )
         frames = [
             followed.select(
@@ -445,7 +505,8 @@ class _Call:
                     F.array_except("old_parents", "parents").alias("left"),
                 ).alias("change"),
             ),
-            earlier,
+            known,
+            recent,
         ]
         history = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
         scanned = with_running(
@@ -485,21 +546,26 @@ class _Call:
     # -- from changes of sums to results -----------------------------------------------
 
     def results(
-        self, deltas: list[DataFrame], height: int
+        self, deltas: list[_Deltas], height: int
     ) -> tuple[DataFrame, DataFrame, DataFrame]:
         """Changelog of the groups of a height, the same as updates, and their results now."""
-        arriving = reduce(
-            DataFrame.unionByName, [d.where(F.col("parent_height") == height) for d in deltas]
-        )
-        fresh = arriving.groupBy("window_start", F.col("parent").alias("node"), "arrival_seq").agg(
-            F.sum("joins").alias("joins"),
-            F.sum("delta").alias("moves_0"),
-            F.max("payload_ts_ms").alias("payload_ts_ms"),
-            F.max("event_time").alias("record_time"),
-            F.max("stream_time").alias("stream_time"),
+        arriving = [d.of(height) for d in deltas if height in d.heights]
+        steps = reduce(DataFrame.unionByName, arriving or [deltas[0].rows.limit(0)]).select(
+            "window_start",
+            F.col("parent").alias("node"),
+            "arrival_seq",
+            "joins",
+            F.col("delta").alias("moves_0"),
+            "payload_ts_ms",
+            F.col("event_time").alias("record_time"),
+            "stream_time",
         )
-        fresh = write_table(fresh, "fresh")
-        carried = self.state.groups.of(self._known_windows(fresh)).select(
+        keys = ["window_start", "node"]
+        hot = hot_buckets(steps, keys, "arrival_seq")
+        if hot:
+            # A large group gets one row an arrival before its rows come together.
+            steps = write_table(_by_arrival(steps), "fresh")
+        carried = self.state.groups.of(self._known_windows(steps)).select(
             "window_start",
             "node",
             F.lit(_BEFORE).cast("bigint").alias("arrival_seq"),
@@ -509,13 +575,16 @@ class _Call:
             F.col("event_time").alias("record_time"),
             F.lit(None).cast("timestamp").alias("stream_time"),
         )
-        steps = fresh.unionByName(write_table(carried, "carried"))
-        after = write_table(
-            running_results(steps, "node")
+        steps = steps.unionByName(write_table(carried, "carried"))
+        # Rows of one group are in one place, so that they are dealt out only once.
+        fresh = steps if hot else _by_arrival(steps.repartition(*keys))
+        after = (
+            running_results(fresh, "node", hot=None if hot else [])
             .where(F.col("arrival_seq") > _BEFORE)
-            .withColumnRenamed("total_0", "total"),
-            "results",
+            .withColumnRenamed("total_0", "total")
         )
+        if not self.last_call or height < self.tree.height:
+            after = write_table(after, "results")
         updates = after.select(
             "node",
             "window_start",
@@ -526,7 +595,7 @@ class _Call:
             "stream_time",
             (F.col("n") == 0).alias("gone"),
         )
-        now = steps.groupBy("window_start", "node").agg(
+        now = steps.groupBy(*keys).agg(
             F.sum("joins").alias("n"),
             F.sum("moves_0").alias("total"),
             F.max("payload_ts_ms").alias("newest"),
@@ -541,6 +610,17 @@ class _Call:
         return results.select(*result_columns(with_bounds, "node", "n", "total", "newest", extra))
 
 
+def _by_arrival(steps: DataFrame) -> DataFrame:
+    """One row for each group, window and arrival."""
+    return steps.groupBy("window_start", "node", "arrival_seq").agg(
+        F.sum("joins").alias("joins"),
+        F.sum("moves_0").alias("moves_0"),
+        F.max("payload_ts_ms").alias("payload_ts_ms"),
+        F.max("record_time").alias("record_time"),
+        F.max("stream_time").alias("stream_time"),
+    )
+
+
 def _targets(parents: Column, removal: Column) -> Column:
     """The parents that a row goes to, and whether it takes the value of the node from them."""
     return F.transform(parents, lambda p: F.struct(p.alias("parent"), removal.alias("removal")))
@@ -573,9 +653,12 @@ def _offers(rows: DataFrame) -> DataFrame:
     )
 
 
-def _pair_deltas(offers: DataFrame, with_removals: bool) -> tuple[DataFrame, DataFrame]:
+def _pair_deltas(
+    offers: DataFrame, with_removals: bool, written: bool
+) -> tuple[DataFrame, DataFrame]:
     """(window_start, parent, arrival_seq, delta, joins, ...) of each offer that arrived in this
-    call, and the value of each of their pairs after all of them, or that it has none.
+    call, and the value of each of their pairs after all of them, or that it has none; ``written``
+    if both are read.
 
     Between two removals a pair keeps its newest offer, so the removals that came before
     number the stretches in which offers replace each other.
@@ -597,16 +680,15 @@ def _pair_deltas(offers: DataFrame, with_removals: bool) -> tuple[DataFrame, Dat
     offer = F.when(~F.col("removal"), F.struct("payload_ts_ms", "order", "units"))
     rows = rows.withColumn("offer", offer)
     # A stretch has no more rows than its pair.
-    scanned = write_table(
-        with_running(
-            rows,
-            [*_PAIR, "segment"],
-            "order",
-            [Running("replaced", "max", "offer", before=True)],
-            hot=None if hot else [],
-        ),
-        "scanned",
+    scanned = with_running(
+        rows,
+        [*_PAIR, "segment"],
+        "order",
+        [Running("replaced", "max", "offer", before=True)],
+        hot=None if hot else [],
     )
+    if written:
+        scanned = write_table(scanned, "scanned")
     had = F.col("replaced").isNotNull()
     wins = ~had | (F.col("offer") > F.col("replaced"))
     old = F.coalesce("replaced.units", F.lit(0))
